@@ -1,3 +1,3 @@
 """Registered queries, one module per operator family."""
 
-from stratum.plans.catalog import baseline, tabular  # noqa: F401
+from stratum.plans.catalog import aggregates, baseline, tabular  # noqa: F401
