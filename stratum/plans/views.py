@@ -70,3 +70,47 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = load(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return (d.join(lab, "doc_id", "left")
             .withColumn("is_train", F.col("quality").isNotNull()))
+
+
+# ---- derived run tables: baseline scores per group fold --------------------------------------
+
+def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long table (entity, i, sig, model, p) of three baselines on the eval zone."""
+    from stratum.operators import regression
+    from stratum.operators.aggregates import boundary_row
+    s = seq(spark, sf_dir)
+    ols = regression.group_ols_2(s, "entity", "pos", "k", "y_in", "known", "p")
+    last = boundary_row(s, "entity", "i", ["sig"], F.col("known")).select("entity", F.col("last_sig"))
+    mean = s.filter("known").groupBy("entity").agg(F.avg("sig").alias("mean_sig"))
+    ev = ols.select("entity", "i", "sig", "p").join(last, "entity").join(mean, "entity")
+    return ev.select("entity", "i", "sig", F.explode(F.array(
+        F.struct(F.lit("ols").alias("model"), F.col("p").alias("p")),
+        F.struct(F.lit("last").alias("model"), F.col("last_sig").alias("p")),
+        F.struct(F.lit("mean").alias("model"), F.col("mean_sig").alias("p")))).alias("_m")
+    ).select("entity", "i", "sig", "_m.model", "_m.p")
+
+
+def fold_scores(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
+    """RMSE per (model, fold) with entity-grouped folds."""
+    from stratum.operators.splits import group_kfold
+    s = seq(spark, sf_dir)
+    folds = group_kfold(s, "entity", k).select("entity", "fold")
+    ev = eval_predictions(spark, sf_dir).join(folds, "entity")
+    d = F.col("sig") - F.col("p")
+    return ev.groupBy("model", "fold").agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def runs(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
+    """Run log: per (variant, loop = held-out fold) the CV mean/std over the other folds and the holdout score."""
+    from pyspark.sql import Window
+    fs = fold_scores(spark, sf_dir, k)
+    w = Window.partitionBy("model")  # k rows per model
+    s1 = F.sum("rmse").over(w) - F.col("rmse")
+    s2 = F.sum(F.col("rmse") * F.col("rmse")).over(w) - F.col("rmse") * F.col("rmse")
+    m = s1 / (k - 1)
+    return fs.select(
+        F.col("model").alias("variant"),
+        F.when(F.col("model") == "ols", F.lit("linear")).otherwise(F.lit("naive")).alias("model_family"),
+        F.lit("cv").alias("stage"), F.col("fold").alias("loop"), m.alias("cv_mean"),
+        F.sqrt(F.greatest(s2 / (k - 1) - m * m, F.lit(0.0))).alias("cv_std"),
+        F.col("rmse").alias("holdout_score"))
