@@ -73,3 +73,162 @@ def ordered_window(entity: str, idx: str) -> Window:
 
 def own_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("_own")).drop("_blk", "_own")
+
+
+# ---- windows over halo blocks ---------------------------------------------------------------
+
+def _w(entity: str, idx: str, lo, hi) -> Window:
+    return Window.partitionBy(entity, "_blk").orderBy(idx).rowsBetween(lo, hi)
+
+
+def rolling_centered(df: DataFrame, entity: str, idx: str, value: str, widths=(5, 21, 51, 101),
+                     block: int = DEFAULT_BLOCK, prefix: str = "roll") -> DataFrame:
+    """Centered rolling mean and sample std (std of < 2 values -> 0), min_periods=1."""
+    h = max((w - 1) // 2 for w in widths)
+    d = halo_blocks(df, idx, h, block)
+    cols = {}
+    for w in widths:
+        r = (w - 1) // 2
+        cols[f"{prefix}_mean{w}"] = F.avg(value).over(_w(entity, idx, -r, r))
+        cols[f"{prefix}_std{w}"] = F.coalesce(F.stddev_samp(value).over(_w(entity, idx, -r, r)), F.lit(0.0))
+    return own_rows(d.withColumns(cols))
+
+
+def rolling_max(df: DataFrame, entity: str, idx: str, value: str, width: int = 21, out: str = "roll_max",
+                block: int = DEFAULT_BLOCK) -> DataFrame:
+    r = (width - 1) // 2
+    d = halo_blocks(df, idx, r, block)
+    return own_rows(d.withColumn(out, F.max(value).over(_w(entity, idx, -r, r))))
+
+
+def rolling_rms(df: DataFrame, entity: str, idx: str, value: str, width: int = 21, out: str = "roll_rms",
+                block: int = DEFAULT_BLOCK) -> DataFrame:
+    r = (width - 1) // 2
+    d = halo_blocks(df, idx, r, block)
+    return own_rows(d.withColumn(out, F.sqrt(F.avg(F.col(value) * F.col(value)).over(_w(entity, idx, -r, r)))))
+
+
+def lag_lead_filled(df: DataFrame, entity: str, idx: str, value: str, lags=(1, 5, 15, 30),
+                    block: int = DEFAULT_BLOCK) -> DataFrame:
+    """lag_k = x[max(i-k, 0)], lead_k = x[min(i+k, n-1)] (shift with edge fill)."""
+    h = max(lags)
+    d = halo_blocks(df, idx, h, block)
+    o = Window.partitionBy(entity, "_blk").orderBy(idx)
+    head = F.first(value).over(_w(entity, idx, Window.unboundedPreceding, 0))
+    tail = F.last(value).over(_w(entity, idx, 0, Window.unboundedFollowing))
+    cols = {}
+    for k in lags:
+        cols[f"lag{k}"] = F.coalesce(F.lag(value, k).over(o), head)
+        cols[f"lead{k}"] = F.coalesce(F.lead(value, k).over(o), tail)
+    return own_rows(d.withColumns(cols))
+
+
+def diff_1_2(df: DataFrame, entity: str, idx: str, value: str, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """First and second differences; undefined edges -> 0."""
+    d = halo_blocks(df, idx, 2, block)
+    o = Window.partitionBy(entity, "_blk").orderBy(idx)
+    x, x1, x2 = F.col(value), F.lag(value, 1).over(o), F.lag(value, 2).over(o)
+    return own_rows(d.withColumns({"d1": F.coalesce(x - x1, F.lit(0.0)),
+                                   "d2": F.coalesce(x - 2 * x1 + x2, F.lit(0.0))}))
+
+
+def axis_derivative(df: DataFrame, entity: str, idx: str, axis: str, cols, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """d(col)/d(axis) between consecutive rows; a zero axis step -> null."""
+    d = halo_blocks(df, idx, 1, block)
+    o = Window.partitionBy(entity, "_blk").orderBy(idx)
+    dm = F.nullif(F.col(axis) - F.lag(axis).over(o), F.lit(0.0))
+    return own_rows(d.withColumns({f"d{c}_d{axis}": F.try_divide(F.col(c) - F.lag(c).over(o), dm) for c in cols}))
+
+
+def window_tensor(df: DataFrame, entity: str, idx: str, n: str, channels, half: int = 20,
+                  block: int = DEFAULT_BLOCK, out: str = "tensor") -> DataFrame:
+    """Per row an edge-clamped window of 2*half+1 rows for each channel (array of arrays).
+
+    Built from bounded ``collect_list`` frames inside halo blocks; the frame
+    is padded with the entity's first / last value where it runs off an end.
+    """
+    d = halo_blocks(df, idx, half, block)
+    fr = _w(entity, idx, -half, half)
+    first_all = _w(entity, idx, Window.unboundedPreceding, 0)
+    last_all = _w(entity, idx, 0, Window.unboundedFollowing)
+    i, nn = F.col(idx), F.col(n)
+    arrs = []
+    for c in channels:
+        pre = F.array_repeat(F.first(c).over(first_all), F.greatest(F.lit(half) - i, F.lit(0)).cast("int"))
+        post = F.array_repeat(F.last(c).over(last_all), F.greatest(i + half - (nn - 1), F.lit(0)).cast("int"))
+        arrs.append(F.concat(pre, F.collect_list(c).over(fr), post))
+    return own_rows(d.withColumn(out, F.array(*arrs)))
+
+
+# ---- segmented scans (unbounded reach, bounded tasks) --------------------------------------------
+
+def neighbours(df: DataFrame, entity: str, idx: str, value: str, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Previous and next non-null (idx, value) of every row (inclusive of the row itself).
+
+    Two-level scan: per-block first/last non-null, carried across blocks on
+    the small per-block table, then a within-block scan.  Adds _pi,_pv,_ni,_nv.
+    """
+    d = df.withColumn("_blk", F.floor(F.col(idx) / block))
+    nn = F.when(F.col(value).isNotNull(), F.struct(F.col(idx).alias("i"), F.col(value).alias("v")))
+    per = d.groupBy(entity, "_blk").agg(F.max(nn).alias("_bl"), F.min(nn).alias("_bf"))
+    bw = Window.partitionBy(entity).orderBy("_blk")
+    per = per.select(entity, "_blk",
+                     F.last("_bl", ignorenulls=True).over(bw.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
+                     F.first("_bf", ignorenulls=True).over(bw.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"))
+    w = Window.partitionBy(entity, "_blk").orderBy(idx)
+    prev = F.coalesce(F.last(nn, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_cin"))
+    nxt = F.coalesce(F.first(nn, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("_cout"))
+    j = d.join(per, [entity, "_blk"]).withColumn("_p", prev).withColumn("_n", nxt)
+    return j.select(*df.columns, F.col("_p.i").alias("_pi"), F.col("_p.v").alias("_pv"),
+                    F.col("_n.i").alias("_ni"), F.col("_n.v").alias("_nv"))
+
+
+def gap_interpolate(df: DataFrame, entity: str, idx: str, value: str, out: str, fallback=None,
+                    block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Linear fill of null runs by row position; ends held flat; all-null entity -> fallback."""
+    nb = neighbours(df, entity, idx, value, block)
+    pi, pv, ni, nv = F.col("_pi"), F.col("_pv"), F.col("_ni"), F.col("_nv")
+    lerp = pv + (nv - pv) * (F.col(idx) - pi) / (ni - pi)
+    filled = (F.when(pi.isNotNull() & ni.isNotNull(), F.when(ni == pi, pv).otherwise(lerp))
+              .when(pi.isNotNull(), pv).when(ni.isNotNull(), nv))
+    if fallback is not None:
+        filled = F.coalesce(filled, fallback if not isinstance(fallback, (int, float)) else F.lit(float(fallback)))
+    return nb.withColumn(out, filled).drop("_pi", "_pv", "_ni", "_nv")
+
+
+def smooth_mean(df: DataFrame, entity: str, idx: str, value: str, radius: int, out: str, fallback=None,
+                block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Gap-fill, then centered mean of radius r (r = 0 -> gap-filled values)."""
+    g = gap_interpolate(df, entity, idx, value, "_g", fallback, block)
+    if radius <= 0:
+        return g.withColumnRenamed("_g", out)
+    d = halo_blocks(g, idx, radius, block)
+    return own_rows(d.withColumn(out, F.avg("_g").over(_w(entity, idx, -radius, radius)))).drop("_g")
+
+
+def entity_arrays(df: DataFrame, entity: str, idx: str, cols, chunk_rows: int = DEFAULT_BLOCK) -> DataFrame:
+    """Ordered arrays per entity, in chunks of at most ``chunk_rows`` rows.
+
+    One row per (entity, chunk): a long entity never becomes a single
+    unbounded row.  Arrays are sorted by ``idx`` inside each chunk.
+    """
+    d = df.withColumn("chunk", F.floor(F.col(idx) / chunk_rows).cast("long"))
+    st = F.sort_array(F.collect_list(F.struct(F.col(idx), *[F.col(c) for c in cols])))
+    g = d.groupBy(entity, "chunk").agg(st.alias("_a"))
+    return g.select(entity, "chunk", F.col(f"_a.{idx}").alias(idx), *[F.col(f"_a.{c}").alias(c) for c in cols])
+
+
+def even_subsample(df: DataFrame, entity: str, idx: str, n_rows: str, m: int = 60) -> DataFrame:
+    """Keep rows at linspace(0, len-1, min(m, len)) truncated to int, per entity.
+
+    The index set is generated per entity (at most ``m`` rows each) and joined
+    back on (entity, idx): no window, no collect.
+    """
+    ent = df.select(entity, n_rows).distinct()
+    mm = F.least(F.lit(m), F.col(n_rows))
+    step = (F.col(n_rows) - 1).cast("double") / F.greatest(mm - 1, F.lit(1)).cast("double")
+    gen = ent.select(entity, n_rows, F.explode(F.sequence(F.lit(0), (mm - 1).cast("long"))).alias("_j"), step.alias("_st"),
+                     mm.alias("_m"))
+    keep = gen.select(entity, F.when(F.col("_j") == F.col("_m") - 1, F.col(n_rows) - 1)
+                      .otherwise(F.floor(F.col("_j") * F.col("_st"))).cast("long").alias(idx)).distinct()
+    return df.join(keep, [entity, idx], "left_semi")
