@@ -1,3 +1,3 @@
 """Registered queries, one module per operator family."""
 
-from stratum.plans.catalog import aggregates, baseline, profile, publish, relational, sequence, splits, tabular  # noqa: F401
+from stratum.plans.catalog import aggregates, baseline, matching, profile, publish, relational, sequence, splits, tabular  # noqa: F401
