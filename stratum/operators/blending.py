@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.matching import interp_lookup
 from stratum.operators.sequence import DEFAULT_BLOCK, halo_blocks, own_rows
+from stratum.session import cut_lineage
 
 
 # ---- fixed-weight and column-expression post-processing ---------------------------------------
@@ -269,10 +270,12 @@ def robust_poly_project(df: DataFrame, entity: str, s: str, y: str, out: str, de
     if eligible is not None:
         ok = ok & eligible
     d = d.withColumn("_ok", ok)
-    fitd = d.filter("_ok")
+    fitd = cut_lineage(d.filter("_ok"))
     cur = _fit_round(fitd, entity, s, y, None, deg)
     for _ in range(rounds):
-        cur = cur.withColumn("_res", F.col(y) - F.col("_fit"))
+        # each round reads the previous one twice (fit + median): cut lineage so
+        # the plan stays linear in the number of rounds
+        cur = cut_lineage(cur.withColumn("_res", F.col(y) - F.col("_fit")))
         mad = cur.groupBy(entity).agg(F.median(F.abs("_res")).alias("_mad"))
         cur = cur.drop("_fit").join(mad, entity)
         sc = F.col("_mad") * 1.4826 + F.lit(1e-6)
