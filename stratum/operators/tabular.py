@@ -177,3 +177,53 @@ def bin_code_variant(df: DataFrame, entity: str, eval_flag: Column, z: str, n_th
                                                 {str(k): v for k, v in variants.items()}))\
             .withColumn("variant", F.when(F.col("code").isin(list(variants)), F.col("variant"))
                         .otherwise(F.lit(default)))
+
+
+# ---- passenger-table feature build ---------------------------------------------------------------
+
+# Title synonyms, the common-title list, the listed rare titles, and the
+# family-size buckets (right-closed edges) used by the passenger feature build.
+TITLE_CANON = {"Mlle": "Miss", "Ms": "Miss", "Mme": "Mrs"}
+COMMON_TITLES = ["Mr", "Mrs", "Miss", "Master"]
+RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "Sir", "Jonkheer", "Dona"]
+FAMILY_EDGES = [0, 1, 4, 100]
+FAMILY_LABELS = ["alone", "small", "large"]
+
+
+def passenger_features(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Target-free enrichment of a passenger table (train and test together).
+
+    Title (extracted, canonicalised, unlisted -> Rare), FamilySize, IsAlone,
+    FamilyBucket, TicketGroupSize (counted over train + test), Fare filled by
+    class median over both, FarePerPerson, Deck (U when unknown), Embarked
+    filled with the mode, Age filled with the train-only median of its Title
+    (global train median for an unseen title).
+    """
+    both = union_tag(train, test)
+    t = S.regex_extract_trim("Name")
+    both = both.withColumn("Title", S.collapse_unlisted(S.map_values(t, TITLE_CANON), COMMON_TITLES))
+    both = both.withColumn("FamilySize", F.col("SibSp") + F.col("Parch") + 1)
+    both = both.withColumn("IsAlone", S.bool_flag(F.col("FamilySize") == 1))
+    both = both.withColumn("FamilyBucket", S.bin_right_closed("FamilySize", FAMILY_EDGES, FAMILY_LABELS))
+    both = group_count(both, "Ticket", "TicketGroupSize")
+    both = group_median_fill(both, "Pclass", "Fare")
+    both = share_per_member(both, "Fare", "TicketGroupSize", "FarePerPerson")
+    both = both.withColumn("Deck", S.first_char_default("Cabin"))
+    both = mode_fill(both, "Embarked")
+    both = train_median_fill(both.withColumn("_is_tr", F.col("_src") == "tr"), "Title", "Age", "_is_tr").drop("_is_tr")
+    both = both.withColumn("Age", F.col("Age").cast("double"))
+    keep = ["Pclass", "Sex", "Age", "SibSp", "Parch", "Fare", "Embarked", "Title", "FamilySize", "IsAlone",
+            "FamilyBucket", "TicketGroupSize", "FarePerPerson", "Deck"]
+    tr = both.filter(F.col("_src") == "tr").select("PassengerId", *([c for c in ["Survived"] if c in train.columns]), *keep)
+    te = both.filter(F.col("_src") == "te").select("PassengerId", *keep)
+    return tr, te
+
+
+def union_tag(train: DataFrame, test: DataFrame, tag: str = "_src") -> DataFrame:
+    return (train.withColumn(tag, F.lit("tr"))
+            .unionByName(test.withColumn(tag, F.lit("te")), allowMissingColumns=True))
+
+
+def title_listed_rare(name_col: str = "Name") -> Column:
+    """The model-side Title rule: extracted, canonicalised, listed rare titles -> Rare."""
+    return S.collapse_listed(S.map_values(S.regex_extract_trim(name_col), TITLE_CANON), RARE_TITLES)

@@ -1,3 +1,3 @@
 """Registered queries, one module per operator family."""
 
-from stratum.plans.catalog import aggregates, baseline, blending, matching, profile, publish, relational, sequence, sources, splits, tabular  # noqa: F401
+from stratum.plans.catalog import aggregates, baseline, blending, matching, models, profile, publish, relational, sequence, sources, splits, tabular  # noqa: F401
