@@ -33,10 +33,17 @@ def boundary_row(df: DataFrame, entity: str, idx: str, cols: Sequence[str], know
 
 def known_position(df: DataFrame, entity: str, idx: str, known: Column, desc: bool = False,
                    out: str = "_j") -> DataFrame:
-    """0-based position among the entity's known rows (ascending or descending)."""
-    o = F.col(idx).desc() if desc else F.col(idx).asc()
-    w = Window.partitionBy(entity).orderBy(o)
-    return df.filter(known).withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    """0-based position among the entity's known rows (ascending or descending).
+
+    A two-level running count (``sequence.running_count``): no window ever
+    holds a whole entity.
+    """
+    from stratum.operators.sequence import running_count
+    c = running_count(df, entity, idx, known, "_kc").filter(known)
+    if not desc:
+        return c.withColumn(out, F.col("_kc") - 1).drop("_kc")
+    nk = c.groupBy(entity).agg(F.count(F.lit(1)).alias("_nk"))
+    return c.join(nk, entity).withColumn(out, F.col("_nk") - F.col("_kc")).drop("_kc", "_nk")
 
 
 def tail_steps(df: DataFrame, entity: str, idx: str, known: Column, k: int, cols: Sequence[str]) -> DataFrame:
@@ -64,10 +71,12 @@ def group_velocity_ols(df: DataFrame, entity: str, idx: str, known: Column, y: s
     Returns beta, icpt and the residual std (floored at 0.001); fewer than
     ``min_steps`` valid steps -> (-1, 0, 0.1).
     """
-    kn = df.filter(known)
-    w = Window.partitionBy(entity).orderBy(idx)
-    st = kn.select(entity, (F.col(y) - F.lag(y).over(w)).alias("_dy"), (F.col(z) - F.lag(z).over(w)).alias("_dz"),
+    from stratum.operators.sequence import halo_blocks, own_rows
+    kn = halo_blocks(known_position(df, entity, idx, known), "_j", 1)
+    w = Window.partitionBy(entity, "_blk").orderBy("_j")
+    st = kn.select(entity, "_own", (F.col(y) - F.lag(y).over(w)).alias("_dy"), (F.col(z) - F.lag(z).over(w)).alias("_dz"),
                    (F.col(axis) - F.lag(axis).over(w)).alias("_dm"))
+    st = own_rows(st)
     st = st.filter(F.col("_dm") > 0).select(entity, (F.col("_dz") / F.col("_dm")).alias("_vz"),
                                             (F.col("_dy") / F.col("_dm")).alias("_vt"))
     g = st.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"), F.avg("_vz").alias("_mz"), F.avg("_vt").alias("_mt"),
@@ -92,8 +101,8 @@ def segment_offsets(df: DataFrame, entity: str, idx: str, known: Column, y: str,
     third and last ``tail`` rows; b_wls: exp(growth * j)-weighted mean.
     """
     kn = known_position(df, entity, idx, known)
-    n = F.count(F.lit(1)).over(Window.partitionBy(entity))
-    kn = kn.withColumn("_n", n).withColumn("_b", F.col(y) + F.col(z) - F.col(surface))
+    kn = kn.join(kn.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")), entity)
+    kn = kn.withColumn("_b", F.col(y) + F.col(z) - F.col(surface))
     t1 = F.floor(F.col("_n") / 3)
     t2 = F.floor(F.col("_n") * 2 / 3)
     j = F.col("_j")

@@ -232,3 +232,18 @@ def even_subsample(df: DataFrame, entity: str, idx: str, n_rows: str, m: int = 6
     keep = gen.select(entity, F.when(F.col("_j") == F.col("_m") - 1, F.col(n_rows) - 1)
                       .otherwise(F.floor(F.col("_j") * F.col("_st"))).cast("long").alias(idx)).distinct()
     return df.join(keep, [entity, idx], "left_semi")
+
+
+def running_count(df: DataFrame, entity: str, idx: str, flag: Column, out: str, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Inclusive running count of ``flag`` rows in ``idx`` order per entity, in bounded tasks.
+
+    Per-block totals are prefix-summed on the small per-block table; the
+    within-block running sum adds that carry.
+    """
+    d = df.withColumn("_blk", F.floor(F.col(idx) / block)).withColumn("_f", flag.cast("long"))
+    per = d.groupBy(entity, "_blk").agg(F.sum("_f").alias("_bs"))
+    bw = Window.partitionBy(entity).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(entity, "_blk", F.coalesce(F.sum("_bs").over(bw), F.lit(0)).alias("_carry"))
+    w = Window.partitionBy(entity, "_blk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    return (d.join(per, [entity, "_blk"]).withColumn(out, (F.col("_carry") + F.sum("_f").over(w)).cast("long"))
+            .drop("_blk", "_f", "_carry"))

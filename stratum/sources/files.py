@@ -71,7 +71,11 @@ def scan_tolerant_json(spark: SparkSession, path: str, schema: T.StructType, cor
 
 
 def quarantine_report(df: DataFrame, corrupt_col: str = "_corrupt") -> DataFrame:
-    return df.groupBy(F.col(corrupt_col).isNotNull().alias("is_corrupt")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows parsed vs quarantined.  A data column is referenced too: Spark refuses
+    queries over raw JSON/CSV that read only the corrupt-record column."""
+    data = [c for c in df.columns if c != corrupt_col][0]
+    return (df.groupBy(F.col(corrupt_col).isNotNull().alias("is_corrupt"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count(data).alias("n_with_value")))
 
 
 def scan_limit_entities(df: DataFrame, entity: str, n: int, seed: int | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ def test_row_index_chunked(spark):
 
 def test_halo_rolling_matches_entity_window(spark):
     df = _seq(spark)
-    small = Q.rolling_centered(df, "e", "i", "v", (5, 21), block=8).orderBy("e", "i").collect()
+    small = Q.rolling_centered(df, "e", "i", "v", (5, 21), block=16).orderBy("e", "i").collect()
     w = Window.partitionBy("e").orderBy("i")
     ref = df.select("e", "i", F.avg("v").over(w.rowsBetween(-10, 10)).alias("m"),
                     F.coalesce(F.stddev_samp("v").over(w.rowsBetween(-10, 10)), F.lit(0.0)).alias("s")).orderBy("e", "i").collect()
