@@ -24,15 +24,24 @@ DEFAULT_BLOCK = 1 << 18  # rows per halo block (bounded task size for hot entiti
 
 
 def row_index(df: DataFrame, entity: str, order: list[str], out: str = "i",
-              chunk: Column | None = None) -> DataFrame:
-    """0-based position of each row inside its entity (``cumcount``)."""
+              chunk: Column | None = None, count_col: str | None = None) -> DataFrame:
+    """0-based position of each row inside its entity (``cumcount``).
+
+    With ``chunk`` the numbering is two-level (see module notes); with
+    ``count_col`` the entity length is attached as well, taken from the same
+    per-chunk count table (no second pass over the rows).
+    """
     if chunk is None:
         w = Window.partitionBy(entity).orderBy(*order)
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+        res = df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+        return entity_count(res, entity, count_col) if count_col else res
     df = df.withColumn("_chunk", chunk)
     counts = df.groupBy(entity, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(entity, "_chunk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    cols = [entity, "_chunk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")]
+    if count_col:
+        cols.append(F.sum("_c").over(Window.partitionBy(entity)).alias(count_col))
+    offs = counts.select(*cols)
     w = Window.partitionBy(entity, "_chunk").orderBy(*order)
     return (df.join(offs, [entity, "_chunk"])
             .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("long"))

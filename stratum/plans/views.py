@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.sequence import entity_count, row_index
+from stratum.operators.sequence import row_index
 from stratum.sources.tables import load
 
 EPOCH = "2024-01-01 00:00:00"
@@ -41,8 +41,7 @@ def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(900.0) + F.col("value") / 5).alias("prior"),
     )
     # two-level numbering: chunks are calendar days of the order key
-    ev = row_index(ev, "entity", ["ts", "event_id"], "i", chunk=F.to_date("ts"))
-    ev = entity_count(ev, "entity", "n")
+    ev = row_index(ev, "entity", ["ts", "event_id"], "i", chunk=F.to_date("ts"), count_col="n")
     known = (F.col("i") * 10) < (F.col("n") * 7)
     return ev.select("entity", "event_id", "i", "n", "pos", "k", "sig", "sig_gap",
                      known.alias("known"), F.when(known, F.col("sig")).alias("y_in"),
