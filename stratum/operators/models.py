@@ -33,9 +33,11 @@ def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], out: s
         stages.append(StandardScaler(inputCol="__num", outputCol="__num_s", withMean=True, withStd=True))
     ohe = []
     for c in categorical:
+        # the indexer gives unseen values one extra index (the last); dropping the
+        # encoder's last slot then encodes an unseen category as all zeros while
+        # every seen category keeps its own slot
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc"))
-        # dropLast removes the "unseen" slot: an unknown category encodes as all zeros
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", handleInvalid="keep", dropLast=True))
+        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", handleInvalid="error", dropLast=True))
         ohe.append(f"{c}__ohe")
     stages.append(VectorAssembler(inputCols=(["__num_s"] if numeric else []) + ohe, outputCol=out))
     return stages

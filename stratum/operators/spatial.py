@@ -95,10 +95,10 @@ def knn_grid(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu
         du, dv = F.col("_qu") - F.col("_ru"), F.col("_qv") - F.col("_rv")
         cand = cand.withColumn("dist", F.sqrt(du * du + dv * dv))
         w = Window.partitionBy("_qid").orderBy("dist", "_rid")
-        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        if len(done) > 0:
-            # later rounds: cut lineage so a round never recomputes the previous ones
-            top = cut_lineage(top)
+        # materialise each round's k-best (bounded: k rows per pending query) in the
+        # shared checkpoint folder, so the status check, the next round and the
+        # final union never recompute earlier rounds
+        top = cut_lineage(cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
         summ = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_found"), F.max("dist").alias("_dk"))
         st = pending.join(summ, "_qid", "left").withColumn("_found", F.coalesce("_found", F.lit(0)))
         final = (((F.col("_found") >= k) & (F.col("_dk") <= F.col("_R") * F.col("_cell")))
