@@ -25,6 +25,12 @@ from pyspark.sql import functions as F
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
 
 
+def _cpu_partitions(df: DataFrame) -> int:
+    """Partition count for compute-heavy row-wise array work."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def bucket_index(ref: DataFrame, key: str, x: str, y: str, width: float) -> DataFrame:
     """Per (key, bucket): _pts, _nbr (buckets b-1..b+1), _cin / _cout carries, _lo / _hi bucket range."""
     t = (ref.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
@@ -159,23 +165,34 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     seg = F.filter(F.coalesce("_nbr", F.array().cast("array<struct<x:double,y:double>>")),
                    lambda pt: (pt["x"] >= lo) & (pt["x"] < hi))
     j = j.withColumn("_seg", seg).withColumn("_L", F.size("_loc"))
+    # Exchange with an explicit partition count: (1) an optimisation barrier, so the
+    # segment array is computed once per row instead of being inlined into the SSE
+    # lambda, and (2) the CPU-heavy rows are spread over tasks (AQE does not coalesce
+    # a repartition with an explicit count; byte-size coalescing would pack them into one)
+    j = j.repartition(_cpu_partitions(j), entity, pos)
     ok = (F.col("_L") >= 3) & (F.col("_nn") == F.col("_cnt")) & (F.size("_seg") >= F.col("_L"))
 
-    def sse_at(s):
-        terms = F.transform(F.sequence(F.lit(0), F.col("_L") - 1),
-                            lambda t: F.pow(F.col("_seg")[s + t]["y"] - F.col("_loc")[t], 2))
-        return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-
-    def key_of(v):
-        return F.round(v, sse_digits) if sse_digits is not None else v
-
-    starts = F.sequence(F.lit(0), F.size("_seg") - F.col("_L"))
-    scored = F.transform(starts, lambda s: F.struct(sse_at(s).alias("raw"), s.alias("s")))
-    best = F.array_min(F.transform(scored, lambda c: F.struct(key_of(c["raw"]).alias("key"), c["s"].alias("s"),
-                                                              c["raw"].alias("sse"))))
+    # the segment is bound once as a lambda variable ("let seg = ..."), so the
+    # array filter runs once per row even where the optimiser inlines columns
+    def best_of(seg):
+        def sse_at(s):
+            terms = F.transform(F.sequence(F.lit(0), F.col("_L") - 1),
+                                lambda t: F.pow(seg[s + t]["y"] - F.col("_loc")[t], 2))
+            return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+
+        def key_of(v):
+            return F.round(v, sse_digits) if sse_digits is not None else v
+
+        starts = F.sequence(F.lit(0), F.size(seg) - F.col("_L"))
+        scored = F.transform(starts, lambda s: F.struct(sse_at(s).alias("raw"), s.alias("s")))
+        win_best = F.array_min(F.transform(scored, lambda c: F.struct(key_of(c["raw"]).alias("key"), c["s"].alias("s"),
+                                                                      c["raw"].alias("sse"))))
+        return F.transform(F.array(win_best),
+                           lambda wb: F.struct(wb.alias("b"), seg[wb["s"] + F.col("_off")]["x"].alias("x")))[0]
+
+    best = F.transform(F.array(F.col("_seg")), best_of)[0]
     j = j.withColumn("_best", F.when(ok, best))
-    j = j.withColumn("match_x", F.col("_seg")[F.col("_best.s") + F.col("_off")]["x"]) \
-         .withColumn("err", F.col("_best.sse") / F.col("_L"))
+    j = j.withColumn("match_x", F.col("_best.x")).withColumn("err", F.col("_best.b.sse") / F.col("_L"))
     return j.drop("_g", "_loc", "_nn", "_cnt", "_off", "_b", "_nbr", "_seg", "_L", "_best")
 
 
@@ -240,6 +257,7 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     ew = ew.withColumn("_hsd", hsd).withColumn("_hn", F.transform("_h", lambda v: (v - F.col("_hm")) / (F.col("_hsd") + 1e-6)))
     ew = ew.select(*ev.columns, "_hn")
     pairs = ew.join(chunks, entity, "left")
+    pairs = pairs.repartition(_cpu_partitions(pairs), entity, epos)  # spread the scoring work
 
     def ncc(c):
         return F.aggregate(F.zip_with(F.col("_hn"), c["_cn"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) / win

@@ -201,9 +201,11 @@ def _sse(spark, sf):
                                half=5, search=W, sse_digits=5)
 
 
-@register("subseq_match_sse", dbl=["match_x", "err"], sql=f"WITH {SSE_SQL} SELECT entity, i, match_x, err FROM mt")
+@register("subseq_match_sse", dbl=["match_x", "err"], sql=f"""
+WITH {SSE_SQL} SELECT ev.entity, ev.i, mt.match_x, mt.err FROM ev LEFT JOIN mt ON ev.entity = mt.entity AND ev.i = mt.i""")
 def q_subseq_match_sse(spark, sf):
-    return _sse(spark, sf).filter(F.col("err").isNotNull()).select("entity", "i", "match_x", "err")
+    # every eval row; match_x / err are null where no window could be matched
+    return _sse(spark, sf).select("entity", "i", "match_x", "err")
 
 
 @register("median_gate", dbl=["pred"], sql=f"""
