@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "regex_extract_trim", "first_char_default", "compose_id", "split_id_entity",
+    "col_", "let", "znorm_fixed", "regex_extract_trim", "first_char_default", "compose_id", "split_id_entity",
     "split_id_row", "file_stem_id", "safe_div", "clip", "map_values", "collapse_listed",
     "collapse_unlisted", "bin_right_closed", "bin_searchsorted_right", "finite", "bool_flag",
     "round_percent", "array_dot", "array_l2_norm", "array_l2_distance", "array_znorm",
@@ -23,6 +23,16 @@ __all__ = [
 TITLE_PATTERN = r",\s*([^\.]+)\."
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda variable.
+
+    Spark inlines projected columns into the expressions that use them; inside a
+    higher-order function that means re-evaluating them per element.  Binding the
+    value as the argument of a one-element ``transform`` evaluates it exactly once.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -145,6 +155,14 @@ def array_znorm(a, mean=None, sd=None) -> Column:
         F.transform(arr, lambda v: v * 0.0))
 
 
+def znorm_fixed(a, n: int, eps: float = 1e-6) -> Column:
+    """(v - mean) / (std + eps) for a length-``n`` array, population std, moments evaluated once."""
+    return let(col_(a), lambda arr: let(
+        F.aggregate(arr, F.lit(0.0), lambda s, v: s + v) / n,
+        lambda m: let(F.sqrt(F.aggregate(arr, F.lit(0.0), lambda s, v: s + (v - m) * (v - m)) / n),
+                      lambda sd: F.transform(arr, lambda v: (v - m) / (sd + eps)))))
+
+
 def array_moments(a):
     """(mean, population std) of a numeric array column."""
     arr = col_(a)

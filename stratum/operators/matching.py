@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.functions.scalar import let, znorm_fixed
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
 
 
@@ -55,15 +56,22 @@ def bucket_index(ref: DataFrame, key: str, x: str, y: str, width: float) -> Data
 
 
 def _brackets(df: DataFrame, index: DataFrame, key: str, q: Column, width: float) -> DataFrame:
-    """Attach _L / _R: the nearest reference point at or below / at or above q."""
+    """Attach _LR = struct(L, R): the nearest reference point at or below / at or above q.
+
+    Both brackets are computed in one let-bound struct, so each bucket filter
+    runs once per row however often the caller reads L and R.
+    """
     rng = index.select(key, "_lo", "_hi").distinct()
     d = df.withColumn("_q", q.cast("double")).join(rng, key, "left")
     d = d.withColumn("_b", F.least(F.greatest(F.floor(F.col("_q") / F.lit(float(width))), F.col("_lo")), F.col("_hi")))
     j = d.join(index.select(key, "_b", "_pts", "_cin", "_cout"), [key, "_b"], "left")
-    below = F.filter("_pts", lambda p: p["x"] <= F.col("_q"))
-    above = F.filter("_pts", lambda p: p["x"] >= F.col("_q"))
-    j = j.withColumn("_L", F.coalesce(F.try_element_at(below, F.lit(-1)), F.col("_cin")))
-    j = j.withColumn("_R", F.coalesce(F.try_element_at(above, F.lit(1)), F.col("_cout")))
+
+    def brackets(pts):
+        below = F.filter(pts, lambda p: p["x"] <= F.col("_q"))
+        above = F.filter(pts, lambda p: p["x"] >= F.col("_q"))
+        return F.struct(F.coalesce(F.try_element_at(below, F.lit(-1)), F.col("_cin")).alias("L"),
+                        F.coalesce(F.try_element_at(above, F.lit(1)), F.col("_cout")).alias("R"))
+    j = j.withColumn("_LR", let(F.col("_pts"), brackets))
     return j.drop("_pts", "_cin", "_cout", "_lo", "_hi", "_b")
 
 
@@ -72,10 +80,12 @@ def interp_lookup(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str
     """Piecewise-linear y(q) from the reference curve of the same key; flat outside its range."""
     index = index if index is not None else bucket_index(ref, key, ref_x, ref_y, width)
     j = _brackets(df, index, key, q, width)
-    xl, yl, xr, yr = F.col("_L.x"), F.col("_L.y"), F.col("_R.x"), F.col("_R.y")
-    val = (F.when(F.col("_L").isNull(), yr).when(F.col("_R").isNull(), yl).when(xr == xl, yl)
-           .otherwise((yr - yl) / (xr - xl) * (F.col("_q") - xl) + yl))
-    return j.withColumn(out, val).drop("_L", "_R", "_q")
+
+    def value(lr):
+        xl, yl, xr, yr = lr["L"]["x"], lr["L"]["y"], lr["R"]["x"], lr["R"]["y"]
+        return (F.when(lr["L"].isNull(), yr).when(lr["R"].isNull(), yl).when(xr == xl, yl)
+                .otherwise((yr - yl) / (xr - xl) * (F.col("_q") - xl) + yl))
+    return j.withColumn(out, let(F.col("_LR"), value)).drop("_LR", "_q")
 
 
 def nearest_key(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str, ref_y: str, out_x: str, out_y: str,
@@ -83,10 +93,12 @@ def nearest_key(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str,
     """Nearest reference x to q (equal distance -> the lower x) and its y."""
     index = bucket_index(ref, key, ref_x, ref_y, width)
     j = _brackets(df, index, key, q, width)
-    dl, dr = F.abs(F.col("_L.x") - F.col("_q")), F.abs(F.col("_R.x") - F.col("_q"))
-    pick = F.when(F.col("_R").isNull() | (F.col("_L").isNotNull() & (dl <= dr)), F.col("_L")).otherwise(F.col("_R"))
-    return j.withColumn("_pick", pick).withColumn(out_x, F.col("_pick.x")).withColumn(out_y, F.col("_pick.y")) \
-        .drop("_L", "_R", "_q", "_pick")
+
+    def pick(lr):
+        dl, dr = F.abs(lr["L"]["x"] - F.col("_q")), F.abs(lr["R"]["x"] - F.col("_q"))
+        return F.when(lr["R"].isNull() | (lr["L"].isNotNull() & (dl <= dr)), lr["L"]).otherwise(lr["R"])
+    j = j.withColumn("_pick", let(F.col("_LR"), pick))
+    return j.withColumn(out_x, F.col("_pick.x")).withColumn(out_y, F.col("_pick.y")).drop("_LR", "_q", "_pick")
 
 
 def interp_offsets(df: DataFrame, ref: DataFrame, key: str, row_id: Sequence[str], sig: str,
@@ -230,10 +242,7 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     lab = kn.select(entity, F.col(kpos).alias("_cpos"), F.col(klabel).alias("_clab"))
     kw = kw.join(nk, entity).filter((F.col(kpos) % stride == 0) & (F.col(kpos) <= F.col("_nk") - win)
                                     & (F.col("_nk") >= win + 1))
-    mean = F.aggregate("_w", F.lit(0.0), lambda a, v: a + v) / win
-    kw = kw.withColumn("_m", mean)
-    sd = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, v: a + (v - F.col("_m")) * (v - F.col("_m"))) / win)
-    kw = kw.withColumn("_sd", sd).withColumn("_cn", F.transform("_w", lambda v: (v - F.col("_m")) / (F.col("_sd") + 1e-6)))
+    kw = kw.withColumn("_cn", znorm_fixed("_w", win))
     kw = kw.withColumn("_cpos", F.least(F.col(kpos) + half, F.col("_nk") - 1))
     kw = kw.join(lab, [entity, "_cpos"]).select(entity, F.col(kpos).alias("_start"), "_cn", "_clab")
     chunks = (kw.withColumn("_chunk", F.floor(F.col("_start") / (stride * chunk)))
@@ -251,10 +260,7 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     pre = F.array_repeat("_first", F.greatest(F.lit(half) - F.col(epos), F.lit(0)).cast("int"))
     post = F.array_repeat("_last", F.greatest(F.col(epos) + half - (F.col("_ne") - 1), F.lit(0)).cast("int"))
     ew = ew.withColumn("_h", F.concat(pre, "_raw", post))
-    hm = F.aggregate("_h", F.lit(0.0), lambda a, v: a + v) / win
-    ew = ew.withColumn("_hm", hm)
-    hsd = F.sqrt(F.aggregate("_h", F.lit(0.0), lambda a, v: a + (v - F.col("_hm")) * (v - F.col("_hm"))) / win)
-    ew = ew.withColumn("_hsd", hsd).withColumn("_hn", F.transform("_h", lambda v: (v - F.col("_hm")) / (F.col("_hsd") + 1e-6)))
+    ew = ew.withColumn("_hn", znorm_fixed("_h", win))
     ew = ew.select(*ev.columns, "_hn")
     pairs = ew.join(chunks, entity, "left")
     pairs = pairs.repartition(_cpu_partitions(pairs), entity, epos)  # spread the scoring work
