@@ -79,6 +79,9 @@ def knn_grid(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu
         q = q.join(ids, "_qid", "left")
         excl = excl + F.coalesce(F.col("_self"), F.lit(0))
     q = q.withColumn("_avail", F.col("_ntot") - excl).drop("_ntot", "_ng", "_self")
+    # both inputs are read once per round: materialise them once
+    r = cut_lineage(r)
+    q = cut_lineage(q)
     pending = q.withColumn("_R", F.least(F.col("_R0"), F.col("_rmax"))).drop("_R0")
     q = q.drop("_R0")
     done = []
