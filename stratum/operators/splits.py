@@ -56,8 +56,9 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold") -> Dat
     (0..k-1, k-1..0, ...).  Returns one row per group; the ranking runs on the
     per-group table, not on the rows.
     """
-    g = group_sizes(df, group)
-    r = g.withColumn("_r", (F.row_number().over(Window.orderBy(F.col("size").desc(), F.col(group))) - 1))
+    g = group_sizes(df, group).withColumn("_all", F.lit(0))
+    # global rank over the per-group table, numbered in two levels (chunk = size, descending)
+    r = row_index(g, "_all", [F.col("size").desc(), F.col(group)], "_r", chunk=-F.col("size")).drop("_all")
     q, m = F.floor(F.col("_r") / k), F.col("_r") % k
     return r.select(group, "size", F.when(q % 2 == 0, m).otherwise(F.lit(k - 1) - m).cast("long").alias(out))
 

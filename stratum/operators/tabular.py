@@ -54,8 +54,12 @@ def ordinal_encode(df: DataFrame, c: str, out: str) -> DataFrame:
     The ranking runs on the distinct values only (a small table), not on the
     rows, so the global order never pulls the data into a single task.
     """
-    codes = df.select(c).distinct().filter(F.col(c).isNotNull())
-    codes = codes.withColumn(out, (F.dense_rank().over(Window.orderBy(c)) - 1).cast("long"))
+    from stratum.operators.sequence import row_index
+    codes = df.select(c).distinct().filter(F.col(c).isNotNull()).withColumn("_all", F.lit(0))
+    # dense rank = row number over the distinct values; string values are numbered in
+    # two levels (chunk = 2-character prefix, monotone in the sort order)
+    is_str = dict(df.dtypes)[c] == "string"
+    codes = row_index(codes, "_all", [c], out, chunk=F.substring(c, 1, 2) if is_str else None).drop("_all")
     return df.join(codes, c, "left")
 
 
