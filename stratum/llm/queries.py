@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, exact_dedup, language_id
+from stratum.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,14 @@ FROM n JOIN w USING (h)
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return exact_dedup.copy_decisions(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op6_ngram_join")
+def op6(spark, sf_dir):
+    return ngram_join.join_components(table(spark, sf_dir, "documents", "doc_id", "text"), ngram_join.Rule(3, 90, 100))
+
+
+@query("op7_mixing")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
