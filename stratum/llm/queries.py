@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join
+from stratum.llm import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+
+
+@query("op1_html_extraction")
+def op1(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
