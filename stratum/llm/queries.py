@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join
+from stratum.llm import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op7(spark, sf_dir):
 @query("op1_html_extraction")
 def op1(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op8_secret_scan")
+def op8(spark, sf_dir):
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
