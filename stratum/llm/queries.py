@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets
+from stratum.llm import chat, decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets, toxicity
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,14 @@ def op1(spark, sf_dir):
 @query("op8_secret_scan")
 def op8(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"),
+                           table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query("op10_chat_formatting")
+def op10(spark, sf_dir):
+    return chat.format_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
