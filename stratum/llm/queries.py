@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import chat, decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets, toxicity
+from stratum.llm import chat, decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets, suffix_dedup, toxicity
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op5(spark, sf_dir):
 @query("op10_chat_formatting")
 def op10(spark, sf_dir):
     return chat.format_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
