@@ -106,13 +106,15 @@ def segment_offsets(df: DataFrame, entity: str, idx: str, known: Column, y: str,
     t1 = F.floor(F.col("_n") / 3)
     t2 = F.floor(F.col("_n") * 2 / 3)
     j = F.col("_j")
+    late = F.exp(F.lit(growth) * (j - (F.col("_n") - 1)))
     g = kn.groupBy(entity).agg(
         F.first("_n").alias("_n"),
         F.median("_b").alias("b_full"),
         F.median(F.when(j >= F.greatest(F.col("_n") - tail, F.lit(0)), F.col("_b"))).alias("_late"),
         F.median(F.when(j < F.greatest(t1, F.lit(1)), F.col("_b"))).alias("_early"),
         F.median(F.when((j >= t1) & (j < F.greatest(t1 + 1, t2)), F.col("_b"))).alias("_mid"),
-        (F.sum(F.exp(F.lit(growth) * j) * F.col("_b")) / F.sum(F.exp(F.lit(growth) * j))).alias("b_wls"))
+        # relative to the last row: the same ratio, and no weight exceeds 1
+        (F.sum(late * F.col("_b")) / F.sum(late)).alias("b_wls"))
     n_ = F.col("_n")
     return g.select(
         entity, "b_full",

@@ -76,14 +76,22 @@ def _mats(row, cols):
 
 
 def nnls_solve(A: np.ndarray, b: np.ndarray, tol: float = 1e-12, max_iter: int = 200) -> np.ndarray:
-    """Lawson-Hanson active set on the normal equations (A = XᵀX, b = Xᵀy)."""
+    """Lawson-Hanson active set on the normal equations (A = XᵀX, b = Xᵀy).
+
+    ``tol`` is relative: gradients are judged against the largest entry of b,
+    weights against the largest weight that one signal alone would get.  Raises
+    if the active set has not settled after ``max_iter`` changes.
+    """
     k = len(b)
     x = np.zeros(k)
+    slope = tol * max(float(np.abs(b).max(initial=0.0)), 1e-300)
+    diag = np.where(np.diag(A) > 0, np.diag(A), 1.0)
+    tol = tol * max(float(np.abs(b / diag).max(initial=0.0)), 1e-300)
     passive = np.zeros(k, dtype=bool)
     for _ in range(max_iter):
         grad = b - A @ x
-        if passive.all() or grad[~passive].max(initial=-np.inf) <= tol:
-            break
+        if passive.all() or grad[~passive].max(initial=-np.inf) <= slope:
+            return x
         j = int(np.argmax(np.where(passive, -np.inf, grad)))
         passive[j] = True
         while True:
@@ -97,7 +105,7 @@ def nnls_solve(A: np.ndarray, b: np.ndarray, tol: float = 1e-12, max_iter: int =
             alpha = np.min(x[neg] / (x[neg] - z[neg] + 1e-300))
             x = x + alpha * (z - x)
             passive &= x > tol
-    return x
+    raise RuntimeError("non-negative least squares did not settle")
 
 
 def nnls_blend(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
@@ -118,7 +126,7 @@ def ridge_weights(row, cols, alpha: float, positive: bool = False):
     C = A / n - np.outer(mx, mx)
     cy = b / n - mx * my
     sd = np.sqrt(np.maximum(np.diag(C), 0.0))
-    sd = np.where(sd < 1e-12, 1.0, sd)
+    sd = np.where(sd < 1e-6, 1.0, sd)
     Cz = C / np.outer(sd, sd) * n + alpha * np.eye(k)
     cz = cy / sd * n
     beta = nnls_solve(Cz, cz) if positive else np.linalg.solve(Cz, cz)
@@ -199,6 +207,7 @@ def savgol_smooth(df: DataFrame, entity: str, idx: str, n: str, value: str, out:
     """Per-entity Savitzky-Golay filter; ends use the polynomial of the end window.
 
     wl = min(window, n) made odd; wl < deg + 2 leaves the values unchanged.
+    A row whose window holds a null has no smoothed value.
     ``idx`` is the 0-based position in the entity and ``n`` its length.
     """
     wl = F.least(F.lit(window), F.col(n))
@@ -208,7 +217,9 @@ def savgol_smooth(df: DataFrame, entity: str, idx: str, n: str, value: str, out:
     d = d.withColumn("_r", (F.col(idx) - F.col("_st")).cast("int"))
     h = halo_blocks(d, idx, window - 1, block)
     fr = Window.partitionBy(entity, "_blk").orderBy(idx).rowsBetween(-(window - 1), window - 1)
-    h = h.withColumn("_vals", F.collect_list(value).over(fr)).withColumn("_i0", F.min(idx).over(fr))
+    # structs keep the nulls, so a null cannot shift the values behind it; a window that holds one gives null
+    held = F.transform(F.collect_list(F.struct(F.col(value).alias("v"))).over(fr), lambda s: s["v"])
+    h = h.withColumn("_vals", held).withColumn("_i0", F.min(idx).over(fr))
     o = own_rows(h)
     tab = savgol_table(df.sparkSession, window, deg)
     o = o.join(F.broadcast(tab), (o["_wl"] == tab["wl"]) & (o["_r"] == tab["r"]), "left")  # bounded constant table

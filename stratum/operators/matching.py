@@ -32,6 +32,11 @@ def _cpu_partitions(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def _values(col: str, frame) -> Column:
+    """The frame's values in order, nulls kept (``collect_list`` alone would drop them and shift the rest)."""
+    return F.transform(F.collect_list(F.struct(F.col(col).alias("v"))).over(frame), lambda s: s["v"])
+
+
 def bucket_index(ref: DataFrame, key: str, x: str, y: str, width: float) -> DataFrame:
     """Per (key, bucket): _pts, _nbr (buckets b-1..b+1), _cin / _cout carries, _lo / _hi bucket range."""
     t = (ref.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
@@ -62,8 +67,10 @@ def _brackets(df: DataFrame, index: DataFrame, key: str, q: Column, width: float
     runs once per row however often the caller reads L and R.
     """
     rng = index.select(key, "_lo", "_hi").distinct()
-    d = df.withColumn("_q", q.cast("double")).join(rng, key, "left")
-    d = d.withColumn("_b", F.least(F.greatest(F.floor(F.col("_q") / F.lit(float(width))), F.col("_lo")), F.col("_hi")))
+    # greatest and least skip nulls: a null (or NaN) query must not be clamped into a bucket
+    d = df.withColumn("_q", F.nullif(q.cast("double"), F.lit(float("nan")))).join(rng, key, "left")
+    d = d.withColumn("_b", F.when(F.col("_q").isNotNull(), F.least(
+        F.greatest(F.floor(F.col("_q") / F.lit(float(width))), F.col("_lo")), F.col("_hi"))))
     j = d.join(index.select(key, "_b", "_pts", "_cin", "_cout"), [key, "_b"], "left")
 
     def brackets(pts):
@@ -165,7 +172,7 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     filled = gap_interpolate(ev, entity, pos, sig, "_g", None, block)
     h = halo_blocks(filled, pos, half, block)
     fr = Window.partitionBy(entity, "_blk").orderBy(pos).rowsBetween(-half, half)
-    h = h.withColumn("_loc", F.collect_list("_g").over(fr)).withColumn("_nn", F.count("_g").over(fr))
+    h = h.withColumn("_loc", _values("_g", fr)).withColumn("_nn", F.count("_g").over(fr))
     h = h.withColumn("_cnt", F.count(F.lit(1)).over(fr))
     win = own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int"))
     r = ref.select(key, "x", "y").dropna()
@@ -236,13 +243,13 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     kh = halo_blocks(kn, kpos, win + smooth, block)
     sm = Window.partitionBy(entity, "_blk").orderBy(kpos)
     kh = kh.withColumn("_s", F.avg(ksig).over(sm.rowsBetween(-smooth, smooth)))
-    kh = kh.withColumn("_w", F.collect_list("_s").over(sm.rowsBetween(0, win - 1)))
+    kh = kh.withColumn("_w", _values("_s", sm.rowsBetween(0, win - 1)))
     kw = own_rows(kh)
     nk = kn.groupBy(entity).agg(F.count(F.lit(1)).alias("_nk"), F.max_by(klabel, kpos).alias("_lastlab"))
     lab = kn.select(entity, F.col(kpos).alias("_cpos"), F.col(klabel).alias("_clab"))
     kw = kw.join(nk, entity).filter((F.col(kpos) % stride == 0) & (F.col(kpos) <= F.col("_nk") - win)
                                     & (F.col("_nk") >= win + 1))
-    kw = kw.withColumn("_cn", znorm_fixed("_w", win))
+    kw = kw.filter(~F.exists("_w", lambda v: v.isNull())).withColumn("_cn", znorm_fixed("_w", win))
     kw = kw.withColumn("_cpos", F.least(F.col(kpos) + half, F.col("_nk") - 1))
     kw = kw.join(lab, [entity, "_cpos"]).select(entity, F.col(kpos).alias("_start"), "_cn", "_clab")
     chunks = (kw.withColumn("_chunk", F.floor(F.col("_start") / (stride * chunk)))
@@ -251,7 +258,7 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     eh = halo_blocks(ev, epos, half + smooth, block)
     sm2 = Window.partitionBy(entity, "_blk").orderBy(epos)
     eh = eh.withColumn("_s", F.avg(esig).over(sm2.rowsBetween(-smooth, smooth)))
-    eh = eh.withColumn("_raw", F.collect_list("_s").over(sm2.rowsBetween(-half, half)))
+    eh = eh.withColumn("_raw", _values("_s", sm2.rowsBetween(-half, half)))
     eh = eh.withColumn("_first", F.first("_s").over(sm2.rowsBetween(Window.unboundedPreceding, 0)))
     eh = eh.withColumn("_last", F.last("_s").over(sm2.rowsBetween(0, Window.unboundedFollowing)))
     ew = own_rows(eh)
@@ -260,7 +267,8 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     pre = F.array_repeat("_first", F.greatest(F.lit(half) - F.col(epos), F.lit(0)).cast("int"))
     post = F.array_repeat("_last", F.greatest(F.col(epos) + half - (F.col("_ne") - 1), F.lit(0)).cast("int"))
     ew = ew.withColumn("_h", F.concat(pre, "_raw", post))
-    ew = ew.withColumn("_hn", znorm_fixed("_h", win))
+    # a window with a gap wider than the smoothing has no score and falls back to the last label
+    ew = ew.withColumn("_hn", F.when(~F.exists("_h", lambda v: v.isNull()), znorm_fixed("_h", win)))
     ew = ew.select(*ev.columns, "_hn")
     pairs = ew.join(chunks, entity, "left")
     pairs = pairs.repartition(_cpu_partitions(pairs), entity, epos)  # spread the scoring work
@@ -271,7 +279,7 @@ def subseq_match_ncc(kn: DataFrame, ev: DataFrame, entity: str, kpos: str, epos:
     # best in chunk: max score, ties -> earliest start (negated start in the struct)
     best = F.array_max(F.transform("_cands", lambda c: F.struct(ncc(c).alias("score"), (-c["_start"]).alias("neg_start"),
                                                                 c["_clab"].alias("label"))))
-    pairs = pairs.withColumn("_best", best)
+    pairs = pairs.withColumn("_best", F.when(F.col("_hn").isNotNull(), best))
     red = pairs.groupBy(*ev.columns).agg(F.max("_best").alias("_best"))
     red = red.join(nk.select(entity, "_lastlab"), entity, "left")
     return red.select(*ev.columns,

@@ -40,14 +40,18 @@ def fingerprint(df: DataFrame, cols: Sequence[str]) -> Column:
 
 
 def reconcile_submission(expected: DataFrame, preds: DataFrame, id_col: str, value: str,
-                         order: Sequence[str]) -> DataFrame:
-    """dedupe -> left join expected -> fill missing with the global mean -> counts.
+                         order: Sequence[str], fallback: DataFrame) -> DataFrame:
+    """dedupe -> left join expected -> fill missing with the training fallback -> counts.
+
+    ``fallback`` is one row with column ``fallback`` (see ``global_fallback``): a
+    statistic of the training data, so that what is filled in does not depend
+    on which predictions happened to arrive.
 
     Returns one row per expected id: value, ``filled`` flag, and the report
     columns n_expected, n_missing, n_extra, n_dupes, ok (same on every row).
     """
     dd = dedupe_first(preds.select(id_col, value, *[c for c in order if c not in (id_col, value)]), id_col, order)
-    fallback = dd.agg(F.avg(value).alias("_fb"))
+    fallback = fallback.select(F.col("fallback").cast("double").alias("_fb"))
     j = expected.select(id_col).join(dd.select(id_col, value), id_col, "left")
     extra = dd.join(expected.select(id_col), id_col, "left_anti").agg(F.count(F.lit(1)).alias("n_extra"))
     dupes = preds.agg((F.count(F.lit(1)) - F.countDistinct(id_col)).alias("n_dupes"))

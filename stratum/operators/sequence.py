@@ -35,23 +35,31 @@ def row_index(df: DataFrame, entity: str, order: list[str], out: str = "i",
         w = Window.partitionBy(entity).orderBy(*order)
         res = df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
         return entity_count(res, entity, count_col) if count_col else res
-    df = df.withColumn("_chunk", chunk)
-    counts = df.groupBy(entity, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [entity, "_chunk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")]
+    # the key is a struct: null entities and null chunks compare equal in it, so no row is lost,
+    # and the numbering window reuses the join's partitioning
+    df = df.withColumn("_key", F.struct(F.col(entity).alias("e"), chunk.alias("c")))
+    counts = df.groupBy("_key").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy("_key.e")
+    before = whole.orderBy("_key.c").rowsBetween(Window.unboundedPreceding, -1)
+    cols = ["_key", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")]
     if count_col:
-        cols.append(F.sum("_c").over(Window.partitionBy(entity)).alias(count_col))
+        cols.append(F.sum("_c").over(whole).alias(count_col))
     offs = counts.select(*cols)
-    w = Window.partitionBy(entity, "_chunk").orderBy(*order)
-    return (df.join(offs, [entity, "_chunk"])
+    w = Window.partitionBy("_key").orderBy(*order)
+    return (df.join(offs, "_key")
             .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("long"))
-            .drop("_chunk", "_off"))
+            .drop("_key", "_off"))
+
+
+def join_by_key(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which nulls are equal (the keys meet as one struct)."""
+    right = small.select(F.struct(*keys).alias("_key"), *[c for c in small.columns if c not in keys])
+    return df.withColumn("_key", F.struct(*keys)).join(right, "_key", how).drop("_key")
 
 
 def entity_count(df: DataFrame, entity: str, out: str = "n") -> DataFrame:
-    """Attach the entity row count (partial aggregation + join back; skew-safe)."""
-    cnt = df.groupBy(entity).agg(F.count(F.lit(1)).alias(out))
-    return df.join(cnt, entity)
+    """Attach the entity row count (partial aggregation + join back; skew-safe, null entities included)."""
+    return join_by_key(df, df.groupBy(entity).agg(F.count(F.lit(1)).alias(out)), [entity])
 
 
 def halo_blocks(df: DataFrame, idx: str, halo: int, block: int = DEFAULT_BLOCK) -> DataFrame:
@@ -118,18 +126,29 @@ def rolling_rms(df: DataFrame, entity: str, idx: str, value: str, width: int = 2
 
 
 def lag_lead_filled(df: DataFrame, entity: str, idx: str, value: str, lags=(1, 5, 15, 30),
-                    block: int = DEFAULT_BLOCK) -> DataFrame:
-    """lag_k = x[max(i-k, 0)], lead_k = x[min(i+k, n-1)] (shift with edge fill)."""
-    h = max(lags)
-    d = halo_blocks(df, idx, h, block)
+                    block: int = DEFAULT_BLOCK, n: str | None = None) -> DataFrame:
+    """lag_k: the column shifted down by k and then back-filled; lead_k: shifted up by k and then forward-filled.
+
+    So a null or missing x[i-k] takes the next known value at or after it, as far as
+    the shifted column reaches, and a null x[i+k] the last known one at or
+    before it.  Known neighbours come from the segmented scan, so the result does
+    not depend on the block size.  ``n`` names a column with the entity's length.
+    """
+    base = df if n else entity_count(df, entity, "_len")
+    length = F.col(n or "_len")
+    nb = neighbours(base, entity, idx, value, block)
+    nb = nb.withColumn("_after", F.struct("_ni", "_nv")).withColumn("_before", F.struct("_pi", "_pv"))
+    d = halo_blocks(nb, idx, max(lags), block)
     o = Window.partitionBy(entity, "_blk").orderBy(idx)
-    head = F.first(value).over(_w(entity, idx, Window.unboundedPreceding, 0))
-    tail = F.last(value).over(_w(entity, idx, 0, Window.unboundedFollowing))
-    cols = {}
+    head = F.first("_after").over(_w(entity, idx, Window.unboundedPreceding, 0))
+    tail = F.last("_before").over(_w(entity, idx, 0, Window.unboundedFollowing))
+    shifted, cols = {}, {}
     for k in lags:
-        cols[f"lag{k}"] = F.coalesce(F.lag(value, k).over(o), head)
-        cols[f"lead{k}"] = F.coalesce(F.lead(value, k).over(o), tail)
-    return own_rows(d.withColumns(cols))
+        shifted[f"_a{k}"] = F.when(F.col(idx) >= k, F.lag("_after", k).over(o)).otherwise(head)
+        shifted[f"_b{k}"] = F.when(F.col(idx) + k < length, F.lead("_before", k).over(o)).otherwise(tail)
+        cols[f"lag{k}"] = F.when(F.col(f"_a{k}")["_ni"] <= length - 1 - k, F.col(f"_a{k}")["_nv"])
+        cols[f"lead{k}"] = F.when(F.col(f"_b{k}")["_pi"] >= k, F.col(f"_b{k}")["_pv"])
+    return own_rows(d.withColumns(shifted)).withColumns(cols).select(*df.columns, *cols)
 
 
 def diff_1_2(df: DataFrame, entity: str, idx: str, value: str, block: int = DEFAULT_BLOCK) -> DataFrame:
@@ -165,7 +184,9 @@ def window_tensor(df: DataFrame, entity: str, idx: str, n: str, channels, half:
     for c in channels:
         pre = F.array_repeat(F.first(c).over(first_all), F.greatest(F.lit(half) - i, F.lit(0)).cast("int"))
         post = F.array_repeat(F.last(c).over(last_all), F.greatest(i + half - (nn - 1), F.lit(0)).cast("int"))
-        arrs.append(F.concat(pre, F.collect_list(c).over(fr), post))
+        # collect_list drops nulls, a struct around them does not: windows keep their length
+        inner = F.transform(F.collect_list(F.struct(F.col(c).alias("v"))).over(fr), lambda s: s["v"])
+        arrs.append(F.concat(pre, inner, post))
     return own_rows(d.withColumn(out, F.array(*arrs)))
 
 
@@ -187,7 +208,7 @@ def neighbours(df: DataFrame, entity: str, idx: str, value: str, block: int = DE
     w = Window.partitionBy(entity, "_blk").orderBy(idx)
     prev = F.coalesce(F.last(nn, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_cin"))
     nxt = F.coalesce(F.first(nn, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("_cout"))
-    j = d.join(per, [entity, "_blk"]).withColumn("_p", prev).withColumn("_n", nxt)
+    j = join_by_key(d, per, [entity, "_blk"]).withColumn("_p", prev).withColumn("_n", nxt)
     return j.select(*df.columns, F.col("_p.i").alias("_pi"), F.col("_p.v").alias("_pv"),
                     F.col("_n.i").alias("_ni"), F.col("_n.v").alias("_nv"))
 
@@ -254,5 +275,5 @@ def running_count(df: DataFrame, entity: str, idx: str, flag: Column, out: str,
     bw = Window.partitionBy(entity).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(entity, "_blk", F.coalesce(F.sum("_bs").over(bw), F.lit(0)).alias("_carry"))
     w = Window.partitionBy(entity, "_blk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    return (d.join(per, [entity, "_blk"]).withColumn(out, (F.col("_carry") + F.sum("_f").over(w)).cast("long"))
+    return (join_by_key(d, per, [entity, "_blk"]).withColumn(out, (F.col("_carry") + F.sum("_f").over(w)).cast("long"))
             .drop("_blk", "_f", "_carry"))

@@ -85,7 +85,7 @@ def knn_grid(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu
     pending = q.withColumn("_R", F.least(F.col("_R0"), F.col("_rmax"))).drop("_R0")
     q = q.drop("_R0")
     done = []
-    for _ in range(64):  # radius at least doubles each round; 64 rounds exceed any extent
+    while True:  # until no query is pending: a radius grows every round and ends at _rmax
         ring = F.sequence(-F.col("_R"), F.col("_R"))
         probe = (pending.withColumn("_dx", F.explode(ring)).withColumn("_dy", F.explode(ring))
                  .withColumn("_cu", F.col("_qcu") + F.col("_dx")).withColumn("_cv", F.col("_qcv") + F.col("_dy"))
@@ -109,8 +109,8 @@ def knn_grid(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu
         fin_ids = st.filter(final).select("_qid")
         done.append(top.join(fin_ids, "_qid", "left_semi"))
         nxt = st.filter(~final).withColumn(
-            "_R", F.least(F.when(F.col("_found") >= k, F.ceil(F.col("_dk") / F.col("_cell")))
-                          .otherwise(F.col("_R") * 2), F.col("_rmax")).cast("long"))
+            "_R", F.least(F.greatest(F.col("_R") + 1, F.when(F.col("_found") >= k, F.ceil(F.col("_dk") / F.col("_cell")))
+                                     .otherwise(F.col("_R") * 2)), F.col("_rmax")).cast("long"))
         pending = nxt.select(*q.columns, "_R")
         if pending.isEmpty():
             break
@@ -180,7 +180,9 @@ def knn_idw_impute(refs: DataFrame, queries: DataFrame, entity: str, rid: str, x
     """Inverse-distance-weighted mean / weighted std of ``value`` over the k nearest reference points.
 
     Distances are scaled by the reference std; own entity excluded; weights
-    1/(d + 1e-3); total weight < 1e-9 -> the reference mean.
+    1/(d + 1e-3); total weight < 1e-9, or no reference at all (only the own
+    group has points, a null coordinate) -> the reference mean, with std 0 and
+    a null distance.  One row per query.
     """
     r = refs.select(F.col(rid).alias("_ref_id"), entity, x, y, value).dropna()
     sc = scale_of(r, x, y)
@@ -190,10 +192,10 @@ def knn_idw_impute(refs: DataFrame, queries: DataFrame, entity: str, rid: str, x
     w = F.lit(1.0) / (F.col("dist") + F.lit(1e-3))
     g = nb.groupBy(qid).agg(F.sum(w).alias("_sw"), F.sum(w * F.col(value)).alias("_swa"), F.min("dist").alias("idw_dist"))
     mean = r.agg(F.avg(value).alias("_gm"))
-    g = g.crossJoin(F.broadcast(mean))
     safe = F.when(F.col("_sw") < 1e-9, F.lit(1.0)).otherwise(F.col("_sw"))
-    g = g.withColumn("idw_mean", F.when(F.col("_sw") < 1e-9, F.col("_gm")).otherwise(F.col("_swa") / safe)) \
+    g = queries.select(qid).join(g, qid, "left").crossJoin(F.broadcast(mean))
+    g = g.withColumn("idw_mean", F.when(F.coalesce(F.col("_sw"), F.lit(0.0)) < 1e-9, F.col("_gm")).otherwise(F.col("_swa") / safe)) \
          .withColumn("_safe", safe)
     var = nb.join(g.select(qid, "idw_mean", "_safe"), qid).groupBy(qid).agg(
         (F.sum(w * F.pow(F.col(value) - F.col("idw_mean"), 2)) / F.first("_safe")).alias("_var"))
-    return (g.join(var, qid).select(qid, "idw_mean", F.sqrt(F.greatest("_var", F.lit(0.0))).alias("idw_std"), "idw_dist"))
+    return (g.join(var, qid, "left").select(qid, "idw_mean", F.sqrt(F.greatest("_var", F.lit(0.0))).alias("idw_std"), "idw_dist"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.operators.sequence import row_index
+from stratum.operators.sequence import join_by_key, row_index
 
 
 def seeded_hash(seed, *keys) -> Column:
@@ -40,7 +41,7 @@ def stratified_holdout(df: DataFrame, id_col: str, y: str, frac: float = 0.2, se
         "_cls", F.when(F.col("_lv") <= max_levels, F.col(y).cast("string")).otherwise(F.lit("all"))).drop("_lv")
     pos = _position(d, "_cls", seeded_hash(seed, id_col), "_p")
     n = pos.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n"))
-    pos = pos.join(n, "_cls")
+    pos = join_by_key(pos, n, ["_cls"])      # a null class is a class of its own
     cut = F.ceil(F.col("_n") * F.lit(frac) - F.lit(1e-9))
     return pos.withColumn(out, F.col("_p") < cut).drop("_p", "_n", "_cls")
 
@@ -57,8 +58,12 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold") -> Dat
     per-group table, not on the rows.
     """
     g = group_sizes(df, group).withColumn("_all", F.lit(0))
-    # global rank over the per-group table, numbered in two levels (chunk = size, descending)
-    r = row_index(g, "_all", [F.col("size").desc(), F.col(group)], "_r", chunk=-F.col("size")).drop("_all")
+    # global rank over the per-group table, numbered in two levels: chunks follow the order (size
+    # descending, id ascending), and ids are cut further so that the commonest size is many chunks
+    numeric = isinstance(g.schema[group].dataType, T.NumericType)
+    part = F.floor(F.col(group) / 4096) if numeric else F.substring(F.col(group).cast("string"), 1, 6)
+    r = row_index(g, "_all", [F.col("size").desc(), F.col(group)], "_r",
+                  chunk=F.struct((-F.col("size")).alias("s"), part.alias("p"))).drop("_all")
     q, m = F.floor(F.col("_r") / k), F.col("_r") % k
     return r.select(group, "size", F.when(q % 2 == 0, m).otherwise(F.lit(k - 1) - m).cast("long").alias(out))
 

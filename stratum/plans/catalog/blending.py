@@ -192,7 +192,7 @@ def q_heldout_blend_rmse(spark, sf):
 
 @register("paired_repeat_test", dbl=["mean_diff", "std_diff", "t_stat"], sql=f"""
 WITH {EVAL_SQL},
-g AS (SELECT DISTINCT user_id FROM events), rp AS (SELECT range AS rep FROM range(5)),
+g AS (SELECT DISTINCT user_id FROM events), rp AS (SELECT range AS rep FROM range(10)),
 rf AS (SELECT rep, user_id AS entity, (row_number() OVER (PARTITION BY rep ORDER BY md5('42|' || CAST(rep AS VARCHAR) || '|' || CAST(user_id AS VARCHAR))) - 1) % 5 AS fold
        FROM g CROSS JOIN rp),
 lg AS (SELECT entity, sig, 'ols' AS model, pred AS p FROM ef UNION ALL SELECT entity, sig, 'last', last_sig FROM ef),
@@ -203,7 +203,7 @@ d AS (SELECT rep, max(CASE WHEN model = 'ols' THEN score END) - max(CASE WHEN mo
 SELECT avg(d) AS mean_diff, stddev_pop(d) AS std_diff, count(*) AS n_repeats, avg(d) / (stddev_pop(d) / sqrt(count(*))) AS t_stat FROM d""")
 def q_paired_repeat_test(spark, sf):
     ev = views.eval_predictions(spark, sf).filter(F.col("model").isin("ols", "last"))
-    folds = SP.random_group_kfold(views.seq(spark, sf), "entity", 5, 42, repeats=5)
+    folds = SP.random_group_kfold(views.seq(spark, sf), "entity", 5, 42, repeats=10)
     e = ev.join(folds, "entity")
     d = F.col("sig") - F.col("p")
     fe = e.groupBy("rep", "fold", "model").agg(F.sqrt(F.avg(d * d)).alias("rmse"))

@@ -320,7 +320,7 @@ def q_knn_plane_impute(spark, sf):
     return SPT.knn_plane_impute(p, p.select("vec_id", "x", "y", "grp"), "grp", "x", "y", SURF, "vec_id", "x", "y", "grp", k=10)
 
 
-def _pts_subsample(spark, sf, m=20):
+def _pts_subsample(spark, sf, m=60):
     p = views.pts(spark, sf)
     p = row_index(p, "grp", ["vec_id"], "j")
     n = p.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
@@ -330,7 +330,7 @@ def _pts_subsample(spark, sf, m=20):
 @register("knn_idw_impute", dbl=["idw_mean", "idw_std", "idw_dist"], sql="""
 WITH r0 AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY vec_id) - 1 AS j, count(*) OVER (PARTITION BY grp) AS n FROM pts),
 e AS (SELECT DISTINCT grp, n FROM r0),
-g AS (SELECT grp, n, least(20, n) AS m, unnest(range(least(20, n))) AS jj FROM e),
+g AS (SELECT grp, n, least(60, n) AS m, unnest(range(least(60, n))) AS jj FROM e),
 kp AS (SELECT DISTINCT grp, CAST(CASE WHEN jj = m - 1 THEN n - 1 ELSE floor(jj * (CAST(n - 1 AS DOUBLE) / CAST(greatest(m - 1, 1) AS DOUBLE))) END AS BIGINT) AS j FROM g),
 rf AS (SELECT r0.vec_id, r0.grp, r0.x, r0.y, r0.s1 FROM r0 JOIN kp ON r0.grp = kp.grp AND r0.j = kp.j),
 sc AS (SELECT CASE WHEN stddev_pop(x) < 1e-3 THEN 1.0 ELSE stddev_pop(x) END AS sx, CASE WHEN stddev_pop(y) < 1e-3 THEN 1.0 ELSE stddev_pop(y) END AS sy,
@@ -340,13 +340,13 @@ pr AS (SELECT q.vec_id AS qid, r.vec_id AS rid, r.s1,
        FROM pts AS q JOIN rf AS r ON r.grp <> q.grp CROSS JOIN sc),
 nb AS (SELECT *, 1.0 / (dist + 1e-3) AS w FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rk FROM pr) AS t WHERE rk <= 20),
 ag AS (SELECT qid, sum(w) AS sw, sum(w * s1) AS swa, min(dist) AS idw_dist FROM nb GROUP BY qid),
-mn AS (SELECT ag.*, CASE WHEN sw < 1e-9 THEN sc.gm ELSE swa / CASE WHEN sw < 1e-9 THEN 1.0 ELSE sw END END AS idw_mean,
-              CASE WHEN sw < 1e-9 THEN 1.0 ELSE sw END AS safe FROM ag CROSS JOIN sc),
+mn AS (SELECT p.vec_id AS qid, ag.idw_dist, CASE WHEN coalesce(sw, 0) < 1e-9 THEN sc.gm ELSE swa / sw END AS idw_mean,
+              CASE WHEN sw < 1e-9 THEN 1.0 ELSE sw END AS safe FROM pts AS p LEFT JOIN ag ON p.vec_id = ag.qid CROSS JOIN sc),
 vr AS (SELECT nb.qid, sum(nb.w * power(nb.s1 - mn.idw_mean, 2)) / any_value(mn.safe) AS var FROM nb JOIN mn ON nb.qid = mn.qid GROUP BY nb.qid)
-SELECT mn.qid AS vec_id, mn.idw_mean, sqrt(greatest(vr.var, 0.0)) AS idw_std, mn.idw_dist FROM mn JOIN vr ON mn.qid = vr.qid""")
+SELECT mn.qid AS vec_id, mn.idw_mean, sqrt(greatest(vr.var, 0.0)) AS idw_std, mn.idw_dist FROM mn LEFT JOIN vr ON mn.qid = vr.qid""")
 def q_knn_idw_impute(spark, sf):
     p = views.pts(spark, sf)
-    refs = _pts_subsample(spark, sf, 20)
+    refs = _pts_subsample(spark, sf, 60)
     return SPT.knn_idw_impute(refs, p.select("vec_id", "x", "y", "grp"), "grp", "vec_id", "x", "y", "s1",
                               "vec_id", "x", "y", "grp", k=20)
 

@@ -29,7 +29,7 @@ dd AS (SELECT doc_id, pred FROM (SELECT *, row_number() OVER (PARTITION BY doc_i
 
 @register("reconcile_submission", dbl=["pred"], sql=f"""
 WITH {PREDS_SQL},
-fb AS (SELECT avg(pred) AS fb FROM dd),
+fb AS (SELECT avg(m) AS fb FROM (SELECT source, avg(quality) AS m FROM docs WHERE is_train GROUP BY source) AS _t),
 j AS (SELECT d.doc_id, dd.pred AS p0 FROM documents AS d LEFT JOIN dd ON d.doc_id = dd.doc_id),
 o AS (SELECT doc_id, coalesce(p0, fb) AS pred, p0 IS NULL AS filled FROM j CROSS JOIN fb)
 SELECT doc_id, pred, filled, (SELECT count(*) FROM o) AS n_expected, (SELECT count(*) FILTER (WHERE filled) FROM o) AS n_missing,
@@ -39,7 +39,9 @@ SELECT doc_id, pred, filled, (SELECT count(*) FROM o) AS n_expected, (SELECT cou
 FROM o""")
 def q_reconcile_submission(spark, sf):
     exp = load(spark, sf, "documents", ["doc_id"])
-    return PB.reconcile_submission(exp, _preds(spark, sf), "doc_id", "pred", ["src"])
+    train = views.docs(spark, sf).filter("is_train")
+    return PB.reconcile_submission(exp, _preds(spark, sf), "doc_id", "pred", ["src"],
+                                   PB.global_fallback(train, "source", "quality"))
 
 
 @register("global_fallback", dbl=["fallback"], sql="""

@@ -30,14 +30,14 @@ def _with_known_count(s):
 
 @register("zone_fraction", dbl=["zone_pos", "frac", "frac2", "sqrt_frac"], sql="""
 WITH s AS (SELECT *, count(*) FILTER (WHERE known) OVER (PARTITION BY entity) AS nk FROM seq)
-SELECT entity, i, (i + 1) / n AS zone_pos, (i - nk) / greatest(n - nk - 1, 1) AS frac,
+SELECT entity, i, (i - nk + 1) / (n - nk) AS zone_pos, (i - nk) / greatest(n - nk - 1, 1) AS frac,
        ((i - nk) / greatest(n - nk - 1, 1)) * ((i - nk) / greatest(n - nk - 1, 1)) AS frac2,
        sqrt((i - nk) / greatest(n - nk - 1, 1)) AS sqrt_frac
 FROM s WHERE NOT known""")
 def q_zone_fraction(spark, sf):
     s = _with_known_count(_seq(spark, sf)).filter("NOT known")
     frac = (F.col("i") - F.col("nk")) / F.greatest(F.col("n") - F.col("nk") - 1, F.lit(1))
-    return s.select("entity", "i", ((F.col("i") + 1) / F.col("n")).alias("zone_pos"), frac.alias("frac"),
+    return s.select("entity", "i", ((F.col("i") - F.col("nk") + 1) / (F.col("n") - F.col("nk"))).alias("zone_pos"), frac.alias("frac"),
                     (frac * frac).alias("frac2"), F.sqrt(frac).alias("sqrt_frac"))
 
 
@@ -124,12 +124,18 @@ LAGS = (1, 5, 15, 30)
 
 
 @register("lag_lead_filled", dbl=[f"{d}{k}" for k in LAGS for d in ("lag", "lead")], sql="""
-SELECT entity, i, """ + ",\n".join(
-    f"coalesce(lag(sig, {k}) OVER (PARTITION BY entity ORDER BY i), first_value(sig) OVER (PARTITION BY entity ORDER BY i)) AS lag{k}, "
-    f"coalesce(lead(sig, {k}) OVER (PARTITION BY entity ORDER BY i), last_value(sig) OVER (PARTITION BY entity ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS lead{k}"
-    for k in LAGS) + " FROM seq")
+WITH f AS (SELECT entity, i, n,
+  first_value(CASE WHEN sig_gap IS NOT NULL THEN i END IGNORE NULLS) OVER nx AS ni, first_value(sig_gap IGNORE NULLS) OVER nx AS nv,
+  last_value(CASE WHEN sig_gap IS NOT NULL THEN i END IGNORE NULLS) OVER pv AS pi, last_value(sig_gap IGNORE NULLS) OVER pv AS pv
+  FROM seq WINDOW nx AS (PARTITION BY entity ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                  pv AS (PARTITION BY entity ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT r.entity, r.i, """ + ",\n".join(
+    f"(SELECT CASE WHEN s.ni <= r.n - 1 - {k} THEN s.nv END FROM f AS s WHERE s.entity = r.entity AND s.i = greatest(r.i - {k}, 0)) AS lag{k}, "
+    f"(SELECT CASE WHEN s.pi >= {k} THEN s.pv END FROM f AS s WHERE s.entity = r.entity AND s.i = least(r.i + {k}, r.n - 1)) AS lead{k}"
+    for k in LAGS) + " FROM f AS r")
 def q_lag_lead_filled(spark, sf):
-    return Q.lag_lead_filled(_seq(spark, sf).select("entity", "i", "sig"), "entity", "i", "sig", LAGS).drop("sig")
+    s = _seq(spark, sf).select("entity", "i", "n", "sig_gap")
+    return Q.lag_lead_filled(s, "entity", "i", "sig_gap", LAGS, n="n").drop("sig_gap", "n")
 
 
 @register("diff_1_2", dbl=["d1", "d2"], sql="""
@@ -169,24 +175,28 @@ def q_linear_extrapolate(spark, sf):
     return e.select("entity", "i", (base + F.col("s_all") * dpos).alias("ext_all"), (base + F.col("s_50") * dpos).alias("ext_50"))
 
 
-@register("window_tensor", dbl=["cs_sig", "cs_k"], digits=3, sql="""
-WITH w AS (SELECT entity, i, n,
-  list(sig) OVER (PARTITION BY entity ORDER BY i ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS ws,
-  list(k) OVER (PARTITION BY entity ORDER BY i ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS wk,
-  first_value(sig) OVER (PARTITION BY entity ORDER BY i) AS fs, first_value(k) OVER (PARTITION BY entity ORDER BY i) AS fk,
-  last_value(sig) OVER (PARTITION BY entity ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS ls,
-  last_value(k) OVER (PARTITION BY entity ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS lk FROM seq),
-p AS (SELECT entity, i,
-  list_concat(list_transform(range(greatest(20 - i, 0)), lambda z: fs), ws, list_transform(range(greatest(i + 20 - (n - 1), 0)), lambda z: ls)) AS ts,
-  list_concat(list_transform(range(greatest(20 - i, 0)), lambda z: fk), wk, list_transform(range(greatest(i + 20 - (n - 1), 0)), lambda z: lk)) AS tk FROM w)
-SELECT entity, i, list_sum(list_transform(ts, lambda x, j: x * j)) AS cs_sig, list_sum(list_transform(tk, lambda x, j: x * j)) AS cs_k FROM p""")
+TENSOR = ("sig", "k", "sig_gap", "pos", "prior")
+_FRAME = "PARTITION BY entity ORDER BY i ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING"
+_ALL = "PARTITION BY entity ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+
+
+@register("window_tensor", dbl=[f"cs_{c}" for c in TENSOR], digits=3, sql="""
+WITH w AS (SELECT entity, i, n, """ + ",\n".join(
+    f"list({c}) OVER ({_FRAME}) AS w_{c}, first_value({c}) OVER ({_ALL}) AS f_{c}, last_value({c}) OVER ({_ALL}) AS l_{c}" for c in TENSOR) + """ FROM seq),
+p AS (SELECT entity, i, """ + ",\n".join(
+    f"list_concat(list_transform(range(greatest(20 - i, 0)), lambda z: f_{c}), w_{c}, list_transform(range(greatest(i + 20 - (n - 1), 0)), lambda z: l_{c})) AS t_{c}"
+    for c in TENSOR) + """ FROM w)
+SELECT entity, i, CAST(len(t_sig) AS INTEGER) AS width, """ + ",\n".join(
+    f"list_sum(list_transform(t_{c}, lambda x, j: coalesce(x, 0.0) * j)) AS cs_{c}" for c in TENSOR) + " FROM p")
 def q_window_tensor(spark, sf):
-    s = _seq(spark, sf).select("entity", "i", "n", "sig", "k")
-    t = Q.window_tensor(s, "entity", "i", "n", ["sig", "k"], 20)
+    s = _seq(spark, sf).select("entity", "i", "n", *TENSOR)
+    t = Q.window_tensor(s, "entity", "i", "n", TENSOR, 20)
 
     def checksum(a):
-        return F.aggregate(F.zip_with(a, F.sequence(F.lit(1), F.size(a)), lambda x, j: x * j), F.lit(0.0), lambda acc, v: acc + v)
-    return t.select("entity", "i", checksum(F.col("tensor")[0]).alias("cs_sig"), checksum(F.col("tensor")[1]).alias("cs_k"))
+        weighted = F.zip_with(a, F.sequence(F.lit(1), F.size(a)), lambda x, j: F.coalesce(x, F.lit(0.0)) * j)
+        return F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
+    return t.select("entity", "i", F.size(F.col("tensor")[0]).alias("width"),
+                    *[checksum(F.col("tensor")[j]).alias(f"cs_{c}") for j, c in enumerate(TENSOR)])
 
 
 @register("entity_arrays", dbl=["sig_5", "sig_last"], sql="""

@@ -8,6 +8,7 @@ absent (unit tests, local runs) do we create one under the system temp dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,13 +48,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    A cluster sets ``spark.checkpoint.dir`` to a shared path; we only create a
-    local folder when it is unset (tests, single-machine runs).
+    A cluster sets ``spark.checkpoint.dir`` to a shared path.  Where it is unset a
+    temporary folder serves a ``local[...]`` session (tests, single machine); any
+    other master is refused, because its executors would not see the folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +113,9 @@ def append_run_log(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame
     try:
         prev = spark.read.schema(RUN_LOG_SCHEMA).option("header", True).csv(path)
         start = prev.agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("_m"))
-    except Exception:  # noqa: BLE001 - first write: nothing to append to
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":       # only a missing log is a first write
+            raise
         start = spark.createDataFrame([(-1,)], "_m long")
     from pyspark.sql import Window
     w = Window.orderBy("run_date", "message")  # rows of one append call (small)
@@ -121,6 +124,3 @@ def append_run_log(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame
     new.write.mode("append").option("header", True).csv(path)
     return spark.read.schema(RUN_LOG_SCHEMA).option("header", True).csv(path).orderBy("seq")
 
-
-def exists(path: str) -> bool:
-    return os.path.exists(path)

@@ -43,8 +43,9 @@ def test_collapse_rules_and_nulls(spark):
 def test_reconcile_duplicate_missing_extra(spark):
     exp = spark.createDataFrame([(i,) for i in range(5)], "id long")
     preds = spark.createDataFrame([(0, 1.0, 0), (0, 9.0, 1), (1, 3.0, 0), (7, 5.0, 0)], "id long, p double, src long")
-    out = PB.reconcile_submission(exp, preds, "id", "p", ["src"]).orderBy("id").collect()
-    assert [r["p"] for r in out] == [1.0, 3.0, 3.0, 3.0, 3.0]       # first by src; missing -> mean of deduped (1,3,5)
+    train = spark.createDataFrame([(6.5,)], "fallback double")
+    out = PB.reconcile_submission(exp, preds, "id", "p", ["src"], train).orderBy("id").collect()
+    assert [r["p"] for r in out] == [1.0, 3.0, 6.5, 6.5, 6.5]       # first by src; missing -> the training fallback
     r0 = out[0]
     assert (r0["n_expected"], r0["n_missing"], r0["n_extra"], r0["n_dupes"], r0["ok"]) == (5, 3, 1, 1, True)
 

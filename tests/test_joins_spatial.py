@@ -74,14 +74,17 @@ def test_subseq_match_sse_numpy(spark):
                                "entity long, e long, tid string, prior double, s double")
     ref = spark.createDataFrame([("t", float(a), float(b)) for a, b in zip(tx, ty)], "tid string, x double, y double")
     got = MT.subseq_match_sse(ev, ref, "entity", "e", "tid", "prior", "s", half=5, search=8.0).orderBy("e").toPandas()
-    filled = np.interp(np.arange(n), np.flatnonzero(~np.isnan(sig)), sig[~np.isnan(sig)])
-    for i in range(n):
-        lo, hi = max(0, i - 5), min(n, i + 6)
-        loc = filled[lo:hi]
-        a, b = np.searchsorted(tx, prior[i] - 8.0), np.searchsorted(tx, prior[i] + 8.0)
-        seg_y, seg_x = ty[a:b], tx[a:b]
-        win = np.lib.stride_tricks.sliding_window_view(seg_y, len(loc))
-        sse = ((win - loc) ** 2).sum(1)
-        best = int(np.argmin(sse))
-        assert abs(got.loc[i, "match_x"] - seg_x[best + i - lo]) < 1e-9
-        assert abs(got.loc[i, "err"] - sse[best] / len(loc)) < 1e-9
+    known = [j for j in range(n) if not np.isnan(sig[j])]
+    smooth = np.interp(range(n), known, sig[known])
+    for row in range(n):
+        near = [j for j in range(n) if abs(j - row) <= 5]
+        options = []
+        for start in range(len(tx)):
+            stretch = range(start, start + len(near))
+            if stretch[-1] >= len(tx) or not (prior[row] - 8.0 <= tx[start] and tx[stretch[-1]] < prior[row] + 8.0):
+                continue
+            cost = sum((ty[r] - smooth[j]) ** 2 for r, j in zip(stretch, near))
+            options.append((cost, start))
+        cost, start = min(options)
+        assert abs(got.loc[row, "match_x"] - tx[start + near.index(row)]) < 1e-9
+        assert abs(got.loc[row, "err"] - cost / len(near)) < 1e-9
