@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 from stratum.session import scratch_path
 
 
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit finaliser (multiply and xor-shift), elementwise."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """The named columns of a driver table (pruned at the scan)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
@@ -66,18 +75,77 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit finaliser (multiply and xor-shift), elementwise."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
+_BASE = 0x9E3779B97F4A7C15
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_VALUES[65:91] = _VALUES[97:123]                       # A-Z count as a-z
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[32, *range(9, 14)]] = False
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """base^i and base^-i modulo 2^64 for i < n, kept between calls."""
+    if len(_powers[0]) < n:
+        size = 1 << int(n - 1).bit_length()
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, np.uint64(base), np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps)
+    return _powers
+
+
+def _pieces(body: bytes, size: int):
+    """``body`` in pieces of about ``size`` bytes, cut before white space only."""
+    while len(body) > size:
+        m = _SPACE.search(body, size)
+        if m is None:
+            break
+        yield body[:m.start()]
+        body = body[m.start():]
+    yield body
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_hashes(bodies: list[bytes], slab: int = 1 << 20):
+    """Yields (number of the first body, word hashes, words of each body) for runs of ``bodies``.
+
+    Words are maximal runs of bytes other than [\\x20\\x09-\\x0D], with A-Z read as
+    a-z.  A word's hash is a difference of running polynomial sums, so a run of
+    about ``slab`` bytes takes a handful of array operations; longer texts are
+    hashed piece by piece and come alone.
+    """
+    def hashed(parts: list[bytes]):
+        data = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+        up, down = _power_tables(len(data) + 1)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * up[:len(data)])])
+            on = np.diff(np.concatenate([[False], _IS_WORD[data], [False]]).astype(np.int8))
+            start, end = np.flatnonzero(on == 1), np.flatnonzero(on == -1)
+            h = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+        bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        return h, np.diff(np.searchsorted(start, bounds))
+
+    first, size, run = 0, 0, []
+    for i, body in enumerate(bodies):
+        if run and size + len(body) > slab:
+            yield first, *hashed(run)
+            run, size = [], 0
+        if not run:
+            first = i
+        if len(body) > slab:
+            h = np.concatenate([hashed([p])[0] for p in _pieces(body, slab)])
+            yield i, h, np.array([len(h)])
+            continue
+        run.append(body)
+        size += len(body) + 1
+    if run:
+        yield first, *hashed(run)
+
 
 def heavy_values(df: DataFrame, col: str, support: float) -> DataFrame:
     """Candidates for the values of ``col`` that fill over ``support`` of the rows.

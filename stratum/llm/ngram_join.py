@@ -15,14 +15,13 @@ together with everything in its scheme.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import (ASCII_LOWER, WORDS, WordHashes, connected_components, heavy_values, mix64, stored)
+from stratum.llm.common import connected_components, heavy_values, mix64, stored, word_hashes
 
 BAND_RATIO = 1.6
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -35,19 +34,27 @@ class Rule:
         if not 0 < num <= den:
             raise ValueError("the threshold must lie in (0, 1]")
         self.words, self.num, self.den = words, num, den
-        self.pattern: re.Pattern = WORDS
-
-    def shingles(self, text: str | None, hashes: WordHashes) -> np.ndarray:
-        """Sorted distinct shingle hashes; fewer words than a shingle count as one; none without words."""
-        words = self.pattern.findall(text.translate(ASCII_LOWER)) if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        h = hashes.array(words)
-        k = min(self.words, len(h))
-        s = np.full(len(h) - k + 1, k, np.uint64)
-        for j in range(k):
-            s = s * _C + h[j:len(h) - k + 1 + j]
-        return np.unique(mix64(s))
+
+    def shingles(self, bodies: list[bytes]) -> list[np.ndarray]:
+        """For each text its sorted distinct shingle hashes; fewer words than a shingle count as one; none without words."""
+        out: list[np.ndarray] = [np.empty(0, np.uint64)] * len(bodies)
+        k = self.words
+        for first, h, counts in word_hashes(bodies):
+            with np.errstate(over="ignore"):
+                s = np.full(max(0, len(h) - k + 1), k, np.uint64)
+                for j in range(k):
+                    s = s * _C + h[j:j + len(s)]
+                s = mix64(s)
+                ends = np.cumsum(counts)
+                for i, (lo, hi) in enumerate(zip((ends - counts).tolist(), ends.tolist()), first):
+                    if hi - lo >= k:
+                        out[i] = np.unique(s[lo:hi - k + 1])
+                    elif hi > lo:
+                        one = np.full(1, hi - lo, np.uint64)
+                        for x in h[lo:hi]:
+                            one = one * _C + x
+                        out[i] = mix64(one)
+        return out
 
     def difference(self, size: int, top: int) -> int:
         """The most shingles in which a linked pair can differ that holds a set of this size, the larger up to ``top``."""
@@ -149,11 +156,9 @@ def sign(rule: Rule, elements: np.ndarray, band: int, scheme: tuple[int, int, in
 
 
 def _set_keys(batches, rule: Rule):
-    hashes = WordHashes()
     for b in batches:
         rows = []
-        for text in b["text"]:
-            e = rule.shingles(text, hashes)
+        for e in rule.shingles(b["body"].tolist()):
             rows.append((len(e), int(mix64(e).sum(dtype=np.uint64).astype(np.int64)),
                          int(mix64(e ^ _C).sum(dtype=np.uint64).astype(np.int64))))
         n, k1, k2 = zip(*rows) if rows else ((), (), ())
@@ -163,11 +168,10 @@ def _set_keys(batches, rule: Rule):
 
 def _signatures(batches, rule, edges, schemes, only, seed, hot):
     """(sig, doc_id): signatures of every set but repeated hot ones; -1 - scheme where a set stays uncovered."""
-    hashes, starts = WordHashes(), np.array(edges)
+    starts = np.array(edges)
     for b in batches:
         sigs, ids, counts = [], [], []
-        for doc_id, text in zip(b["doc_id"], b["text"]):
-            e = rule.shingles(text, hashes)
+        for doc_id, e in zip(b["doc_id"], rule.shingles(b["body"].tolist())):
             if not len(e):
                 continue
             if hot:
@@ -278,7 +282,7 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
     """
     rule = rule or Rule()
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
     keyed = stored(rows.mapInPandas(lambda it: _set_keys(it, rule), "doc_id long, n_shingles long, k1 long, k2 long"),
                    "join-sets")
     named = keyed.where("n_shingles > 0")
@@ -297,7 +301,7 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
            .where("node IS NOT NULL").limit(int(2 / support)).collect()}
 
     pairs, only, seed, waiting = None, None, 0, None
-    texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = rows.where("doc_id IS NOT NULL")
     while True:
         signed = stored(texts.mapInPandas(
             lambda it, only=only, seed=seed: _signatures(it, rule, edges, schemes, only, seed, hot),
@@ -322,14 +326,14 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
                       .select(F.col("node"), F.col("component").alias("cluster")), "join-members")
 
     def elements(batches):
-        hashes = WordHashes()
         for b in batches:
             b = b.drop_duplicates()          # rows that repeat id and text
-            sets = [rule.shingles(t, hashes) for t in b["text"]]
+            sets = rule.shingles(b["body"].tolist())
             yield pd.DataFrame({"cluster": b["cluster"], "node": b["node"], "n": [len(s) for s in sets],
                                 "elements": [s.tobytes() for s in sets]})
 
-    members = stored(texts.join(clusters, texts["doc_id"] == clusters["node"]).select("cluster", "node", "text")
+    # always by shuffle: the texts move once, whatever the number of members
+    members = stored(texts.join(clusters.hint("merge"), texts["doc_id"] == clusters["node"]).select("cluster", "node", "body")
                      .mapInPandas(elements, "cluster long, node long, n long, elements binary"), "join-elements")
     sized = members.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_elements)).cast("int").alias("blocks"))
