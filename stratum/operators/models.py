@@ -8,13 +8,14 @@ of the per-fold validation predictions, keyed by the row id.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -135,37 +136,55 @@ def stacking(oof: DataFrame, cols: Sequence[str], label: str, fold: str, alpha:
     return oof.join(F.broadcast(wdf), fold).withColumn("stack_pred", pred).drop(*wdf.columns[1:])
 
 
-def kmeans_features(df: DataFrame, features: Sequence[str], fold: str, k: int, id_col: str, seed: int = 42) -> DataFrame:
-    """Per fold: scaler + KMeans fitted on the train fold, cluster and distance for the validation rows."""
+def scaling(df: DataFrame, features: Sequence[str], min_std: float = 1e-6) -> dict[str, tuple[float, float]]:
+    """feature -> (mean, population std; below ``min_std`` -> 1), one row of sums."""
+    row = df.agg(*[f(c).alias(f"{n}_{j}") for j, c in enumerate(features)
+                   for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    return {c: (float(row[f"m_{j}"] or 0.0), float(row[f"s_{j}"]) if (row[f"s_{j}"] or 0.0) >= min_std else 1.0)
+            for j, c in enumerate(features)}
+
+
+def standardised(df: DataFrame, stats: dict[str, tuple[float, float]], out: str = "__z") -> DataFrame:
+    return df.withColumn(out, array_to_vector(F.array(*[(F.col(c).cast("double") - m) / s for c, (m, s) in stats.items()])))
+
+
+def best_kmeans(z: DataFrame, k: int, seed: int, starts: int, max_iter: int):
+    """The k-means model of least cost over ``starts`` seeded starts on column __z, fitted side by side."""
+    def fit(s):
+        return KMeans(featuresCol="__z", predictionCol="cluster", k=k, seed=seed + s, maxIter=max_iter).fit(z)
+
+    with ThreadPoolExecutor(starts) as pool:      # each fit is many small jobs that leave the cluster idle
+        fits = list(pool.map(fit, range(starts)))
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
+def kmeans_features(df: DataFrame, features: Sequence[str], fold: str, k: int, id_col: str, seed: int = 42,
+                    starts: int = 5, max_iter: int = 20) -> DataFrame:
+    """Per fold: scaling and k-means fitted on the train rows; cluster and distance to its centre for
+    the train rows (part = train) and the held-out rows (part = valid)."""
     df = cut_lineage(df)
     outs = []
     for f in _fold_ids(df, fold):
-        tr, va = df.filter(F.col(fold) != f), df.filter(F.col(fold) == f)
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="__v"),
-                                StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True),
-                                KMeans(featuresCol="__z", predictionCol="cluster", k=k, seed=seed, maxIter=20)])
-        m = pipe.fit(tr)
-        centers = m.stages[-1].clusterCenters()
-        cdf = df.sparkSession.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centers)],
+        stats = scaling(df.filter(F.col(fold) != f), features)
+        z = standardised(df, stats).withColumn("part", F.when(F.col(fold) == f, "valid").otherwise("train"))
+        m = best_kmeans(z.filter("part = 'train'"), k, seed, starts, max_iter)
+        cdf = df.sparkSession.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())],
                                               "cluster int, __c array<double>")  # k rows
-        p = m.transform(va).join(F.broadcast(cdf), "cluster")
+        p = m.transform(z).join(F.broadcast(cdf), "cluster")
         dist = F.sqrt(F.aggregate(F.zip_with(vector_to_array("__z"), "__c", lambda a, b: (a - b) * (a - b)),
                                   F.lit(0.0), lambda s, v: s + v))
-        outs.append(p.select(id_col, fold, F.col("cluster").cast("long"), dist.alias("cluster_dist")))
+        outs.append(p.select(id_col, F.lit(f).cast("long").alias(fold), "part", F.col("cluster").cast("long"), dist.alias("cluster_dist")))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
     return out
 
 
-def elbow_scan(df: DataFrame, features: Sequence[str], ks=range(2, 16), seed: int = 42) -> DataFrame:
-    """KMeans inertia for each k on standardised features (population std)."""
-    va = VectorAssembler(inputCols=list(features), outputCol="__v").transform(df)
-    z = StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True).fit(va).transform(va).cache()
-    rows = []
-    for k in ks:
-        m = KMeans(featuresCol="__z", k=k, seed=seed, maxIter=20).fit(z)
-        rows.append((int(k), float(m.summary.trainingCost)))
+def elbow_scan(df: DataFrame, features: Sequence[str], ks=range(2, 16), seed: int = 42, starts: int = 5,
+               max_iter: int = 20) -> DataFrame:
+    """Least k-means inertia over ``starts`` starts for each k, on features scaled by mean and population std."""
+    z = standardised(df, scaling(df, features)).select("__z").cache()
+    rows = [(int(k), float(best_kmeans(z, k, seed, starts, max_iter).summary.trainingCost)) for k in ks]
     z.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double")
 
@@ -228,30 +247,31 @@ def native_importance(model: PipelineModel, transformed: DataFrame, features_col
 
 
 def assign_nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, label: str, cvec: str,
-                            max_centroids: int = 10000) -> DataFrame:
+                            block: int = 2000) -> DataFrame:
     """Nearest centroid label and Euclidean distance; ties -> smallest label.
 
-    The centroid set is a model output with a known bound (number of
-    clusters); it is checked and shipped as one broadcast array.
+    Any number of centroids: they are broadcast in blocks of about ``block``
+    (one block for an ordinary model), and each row keeps the best of the
+    blocks so far, so no row moves and no broadcast exceeds a block.
     """
-    n = centroids.count()
-    if n > max_centroids:
-        raise ValueError(f"{n} centroids exceed the broadcast bound {max_centroids}")
-    packed = centroids.agg(F.collect_list(F.struct(F.col(label).alias("lab"), F.col(cvec).alias("c"))).alias("_cs"))
-    j = df.crossJoin(F.broadcast(packed))
-    d = F.transform("_cs", lambda c: F.struct(
-        F.sqrt(F.aggregate(F.zip_with(F.col(vec), c["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)).alias("dist"),
-        c["lab"].alias("lab")))
-    best = F.array_min(d)
-    return j.withColumn("_b", best).select(*df.columns, F.col("_b.lab").alias("nearest_label"), F.col("_b.dist").alias("centroid_dist"))
+    blocks = max(1, -(-centroids.count() // block))
+    out = df.withColumn("_b", F.lit(None).cast(f"struct<dist:double,lab:{dict(centroids.dtypes)[label]}>"))
+    for k in range(blocks):
+        part = centroids.filter(F.pmod(F.xxhash64(label), F.lit(blocks)) == k)
+        packed = part.agg(F.collect_list(F.struct(F.col(label).alias("lab"), F.col(cvec).alias("c"))).alias("_cs"))
+        d = F.transform("_cs", lambda c: F.struct(
+            F.sqrt(F.aggregate(F.zip_with(F.col(vec), c["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)).alias("dist"),
+            c["lab"].alias("lab")))
+        out = out.crossJoin(F.broadcast(packed)).withColumn("_b", F.least(F.col("_b"), F.array_min(d))).drop("_cs")
+    return out.select(*df.columns, F.col("_b.lab").alias("nearest_label"), F.col("_b.dist").alias("centroid_dist"))
 
 
 def param_search(df: DataFrame, features: Sequence[str], target: str, group: str, candidates: Sequence[int],
                  seed: int = 42) -> DataFrame:
     """Cheap 3-fold grouped score for each candidate k, best confirmed with 5 folds.
 
-    Score: RMSE of a linear model on the features plus one-hot KMeans cluster
-    (scaler and KMeans fitted on the train fold only).  Returns the run table.
+    Score: RMSE of a linear model on the features plus one-hot k-means cluster
+    (scaling and k-means fitted on the train fold only).  Returns the run table.
     """
     from stratum.operators.splits import random_group_kfold
 
@@ -261,9 +281,9 @@ def param_search(df: DataFrame, features: Sequence[str], target: str, group: str
         errs = []
         for f in range(n_folds):
             tr, va = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
+            stats = scaling(tr, features)
+            tr, va = standardised(tr, stats), standardised(va, stats)
             pipe = Pipeline(stages=[
-                VectorAssembler(inputCols=list(features), outputCol="__v"),
-                StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True),
                 KMeans(featuresCol="__z", predictionCol="__cl", k=k, seed=seed, maxIter=20),
                 OneHotEncoder(inputCol="__cl", outputCol="__clv", dropLast=False, handleInvalid="keep"),
                 VectorAssembler(inputCols=["__z", "__clv"], outputCol="__f"),

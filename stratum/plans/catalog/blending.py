@@ -81,25 +81,23 @@ def q_signal_disagreement(spark, sf):
     return e.select("entity", "i", "pred_vs_last_sig", "pred_vs_prior", "last_sig_vs_prior")
 
 
-def _savgol_sql(window=17, deg=3):
-    vals = []
-    for wl in range(deg + 2, window + 1, 1):
-        if wl % 2 == 0:
-            continue
-        H = B.savgol_hat(wl, deg)
-        for r in range(wl):
-            for j in range(wl):
-                vals.append(f"({wl}, {r}, {j}, {float(H[r, j])!r})")
+def _savgol_sql(window=17):
+    """The least-squares cubic of every window from its moments: on centred positions t the even
+    and odd coefficients separate into two 2 x 2 systems."""
     return f"""
 WITH {EVAL_SQL},
 e AS (SELECT entity, i, pred, row_number() OVER (PARTITION BY entity ORDER BY i) - 1 AS e, count(*) OVER (PARTITION BY entity) AS ne FROM ef),
 w AS (SELECT *, CASE WHEN least({window}, ne) % 2 = 0 THEN least({window}, ne) - 1 ELSE least({window}, ne) END AS wl FROM e),
 st AS (SELECT *, least(greatest(e - (wl - 1) // 2, 0), ne - wl) AS s0 FROM w),
-cf AS (SELECT * FROM (VALUES {", ".join(vals)}) AS t(wl, r, j, c)),
-sm AS (SELECT a.entity, a.i, sum(cf.c * b.pred) AS smooth FROM st AS a JOIN cf ON cf.wl = a.wl AND cf.r = a.e - a.s0
-       JOIN e AS b ON b.entity = a.entity AND b.e = a.s0 + cf.j GROUP BY a.entity, a.i)
-SELECT st.entity, st.i, CASE WHEN st.wl >= {deg + 2} THEN sm.smooth ELSE st.pred END AS smooth
-FROM st LEFT JOIN sm ON st.entity = sm.entity AND st.i = sm.i"""
+pt AS (SELECT a.entity, a.i, a.wl, a.pred, a.e - a.s0 - (a.wl - 1) / 2.0 AS t0, b.e - a.s0 - (a.wl - 1) / 2.0 AS t, b.pred AS y
+       FROM st AS a JOIN e AS b ON b.entity = a.entity AND b.e BETWEEN a.s0 AND a.s0 + a.wl - 1),
+mo AS (SELECT entity, i, any_value(wl) AS wl, any_value(pred) AS pred, any_value(t0) AS t0, CAST(count(*) AS DOUBLE) AS c0, sum(t * t) AS c2,
+              sum(power(t, 4)) AS c4, sum(power(t, 6)) AS c6, sum(y) AS m0, sum(t * y) AS m1, sum(t * t * y) AS m2, sum(t * t * t * y) AS m3
+       FROM pt GROUP BY entity, i)
+SELECT entity, i, CASE WHEN wl < 5 THEN pred ELSE
+         (c4 * m0 - c2 * m2) / (c0 * c4 - c2 * c2) + (c0 * m2 - c2 * m0) / (c0 * c4 - c2 * c2) * t0 * t0
+         + (c6 * m1 - c4 * m3) / (c2 * c6 - c4 * c4) * t0 + (c2 * m3 - c4 * m1) / (c2 * c6 - c4 * c4) * power(t0, 3) END AS smooth
+FROM mo"""
 
 
 @register("savgol_smooth", dbl=["smooth"], sql=_savgol_sql())

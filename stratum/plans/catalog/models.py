@@ -50,9 +50,10 @@ def q_gbt_classify_cv(spark, sf):
 
 @register("final_fit_predict", dbl=["prediction"])
 def q_final_fit_predict(spark, sf):
-    s = views.seq(spark, sf)
-    tr, te = s.filter("known"), s.filter("NOT known")
-    return MD.final_fit_predict(tr, te, "sig", ["pos", "k", "sig_gap"], [], ["entity", "i"], task="regression")
+    # the out-of-fold features: nothing in them is computed from the label of the row;
+    # the entities of the first fold play the test set
+    e = _oof(spark, sf)
+    return MD.final_fit_predict(e.filter("fold <> 0"), e.filter("fold = 0"), "sig", OOF_FEATURES, [], ["entity", "i"], task="regression")
 
 
 def _oof(spark, sf):
@@ -83,19 +84,27 @@ def q_stacking(spark, sf):
     return MD.stacking(p.join(folds, "entity"), ["m_last", "m_mean", "m_ols"], "sig", "fold", alpha=1.0)
 
 
-PTS_F = ["x", "y", "s1", "s2", "s3", "s4", "s5", "s6"]
+EMB_DIMS = 64
+EMB_F = [f"e{j}" for j in range(EMB_DIMS)]
+
+
+def emb_points(spark, sf):
+    """Embeddings as one column per dimension, with the label as group."""
+    e = load(spark, sf, "embeddings", ["vec_id", "label", "embedding"])
+    return e.select("vec_id", F.col("label").cast("long").alias("grp"),
+                    *[F.col("embedding")[j].cast("double").alias(c) for j, c in enumerate(EMB_F)])
 
 
 @register("kmeans_features", dbl=["cluster_dist"])
 def q_kmeans_features(spark, sf):
-    p = views.pts(spark, sf)
+    p = emb_points(spark, sf)
     folds = SP.group_kfold(p, "grp", 5).select("grp", "fold")
-    return MD.kmeans_features(p.join(folds, "grp"), PTS_F, "fold", 4, "vec_id")
+    return MD.kmeans_features(p.join(folds, "grp"), EMB_F, "fold", 4, "vec_id")
 
 
 @register("elbow_scan", dbl=["inertia"], digits=3)
 def q_elbow_scan(spark, sf):
-    return MD.elbow_scan(views.pts(spark, sf), PTS_F, range(2, 16))
+    return MD.elbow_scan(emb_points(spark, sf), EMB_F, range(2, 16))
 
 
 def binned_sse_curve(spark, sf, ks=range(2, 16)):
@@ -146,8 +155,8 @@ def q_assign_nearest_centroid(spark, sf):
 
 @register("param_search", dbl=["rmse"])
 def q_param_search(spark, sf):
-    p = views.pts(spark, sf)
-    return MD.param_search(p, ["x", "y", "s2", "s3", "s4", "s5", "s6"], "s1", "grp", [2, 4, 6])
+    p = emb_points(spark, sf)
+    return MD.param_search(p, [c for c in EMB_F if c != "e2"], "e2", "grp", [2, 4, 6])
 
 
 def _fitted_doc_model(spark, sf):
