@@ -32,31 +32,37 @@ def boundary_row(df: DataFrame, entity: str, idx: str, cols: Sequence[str], know
 
 
 def known_position(df: DataFrame, entity: str, idx: str, known: Column, desc: bool = False,
-                   out: str = "_j") -> DataFrame:
+                   out: str = "_j", n_known: str | None = None) -> DataFrame:
     """0-based position among the entity's known rows (ascending or descending).
 
-    A two-level running count (``sequence.running_count``): no window ever
-    holds a whole entity.
+    ``n_known`` names a column with the number of known rows where these are
+    the first rows of the entity: then the position is arithmetic on ``idx``.
+    Otherwise it is a two-level running count (``sequence.running_count``).
+    Either way no window holds a whole entity.
     """
-    from stratum.operators.sequence import running_count
+    if n_known:
+        pos = F.col(n_known) - 1 - F.col(idx) if desc else F.col(idx)
+        return df.filter(known).withColumn(out, pos)
+    from stratum.operators.sequence import join_by_key, running_count
     c = running_count(df, entity, idx, known, "_kc").filter(known)
     if not desc:
         return c.withColumn(out, F.col("_kc") - 1).drop("_kc")
     nk = c.groupBy(entity).agg(F.count(F.lit(1)).alias("_nk"))
-    return c.join(nk, entity).withColumn(out, F.col("_nk") - F.col("_kc")).drop("_kc", "_nk")
+    return join_by_key(c, nk, [entity]).withColumn(out, F.col("_nk") - F.col("_kc")).drop("_kc", "_nk")
 
 
-def tail_steps(df: DataFrame, entity: str, idx: str, known: Column, k: int, cols: Sequence[str]) -> DataFrame:
+def tail_steps(df: DataFrame, entity: str, idx: str, known: Column, k: int, cols: Sequence[str],
+               n_known: str | None = None) -> DataFrame:
     """Steps (differences) between consecutive rows of the last ``k`` known rows."""
-    tail = known_position(df, entity, idx, known, desc=True).filter(F.col("_j") < k)
+    tail = known_position(df, entity, idx, known, desc=True, n_known=n_known).filter(F.col("_j") < k)
     w = Window.partitionBy(entity).orderBy(idx)
     return tail.select(entity, idx, *[(F.col(c) - F.lag(c).over(w)).alias(f"d_{c}") for c in cols])
 
 
 def tail_rate(df: DataFrame, entity: str, idx: str, known: Column, y: str, z: str, axis: str,
-              k: int = 30, min_valid: int = 3, out: str = "tail_rate") -> DataFrame:
+              k: int = 30, min_valid: int = 3, out: str = "tail_rate", n_known: str | None = None) -> DataFrame:
     """Median of (dy + dz) / daxis over steps with daxis > 0 among the last k known rows."""
-    st = tail_steps(df, entity, idx, known, k, [y, z, axis])
+    st = tail_steps(df, entity, idx, known, k, [y, z, axis], n_known)
     ok = F.col(f"d_{axis}") > 0
     g = st.groupBy(entity).agg(
         F.count(F.when(ok, F.lit(1))).alias("_nv"),
@@ -65,14 +71,14 @@ def tail_rate(df: DataFrame, entity: str, idx: str, known: Column, y: str, z: st
 
 
 def group_velocity_ols(df: DataFrame, entity: str, idx: str, known: Column, y: str, z: str, axis: str,
-                       min_steps: int = 10) -> DataFrame:
+                       min_steps: int = 10, n_known: str | None = None) -> DataFrame:
     """OLS of dy/daxis on dz/daxis over known steps with daxis > 0.
 
     Returns beta, icpt and the residual std (floored at 0.001); fewer than
     ``min_steps`` valid steps -> (-1, 0, 0.1).
     """
     from stratum.operators.sequence import halo_blocks, own_rows
-    kn = halo_blocks(known_position(df, entity, idx, known), "_j", 1)
+    kn = halo_blocks(known_position(df, entity, idx, known, n_known=n_known), "_j", 1)
     w = Window.partitionBy(entity, "_blk").orderBy("_j")
     st = kn.select(entity, "_own", (F.col(y) - F.lag(y).over(w)).alias("_dy"), (F.col(z) - F.lag(z).over(w)).alias("_dz"),
                    (F.col(axis) - F.lag(axis).over(w)).alias("_dm"))
@@ -94,14 +100,17 @@ def group_velocity_ols(df: DataFrame, entity: str, idx: str, known: Column, y: s
 
 
 def segment_offsets(df: DataFrame, entity: str, idx: str, known: Column, y: str, z: str, surface: str,
-                    tail: int = 50, growth: float = 0.02) -> DataFrame:
+                    tail: int = 50, growth: float = 0.02, n_known: str | None = None) -> DataFrame:
     """Offsets b = y + z - surface over the known zone.
 
     b_full: median; b_early/b_mid/b_late: medians of the first third, middle
     third and last ``tail`` rows; b_wls: exp(growth * j)-weighted mean.
     """
-    kn = known_position(df, entity, idx, known)
-    kn = kn.join(kn.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")), entity)
+    kn = known_position(df, entity, idx, known, n_known=n_known)
+    if n_known:
+        kn = kn.withColumn("_n", F.col(n_known))
+    else:
+        kn = kn.join(kn.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")), entity)
     kn = kn.withColumn("_b", F.col(y) + F.col(z) - F.col(surface))
     t1 = F.floor(F.col("_n") / 3)
     t2 = F.floor(F.col("_n") * 2 / 3)
@@ -125,9 +134,9 @@ def segment_offsets(df: DataFrame, entity: str, idx: str, known: Column, y: str,
 
 
 def candidate_path_offset(df: DataFrame, entity: str, idx: str, known: Column, y: str, z: str,
-                          surface: str) -> DataFrame:
+                          surface: str, n_known: str | None = None) -> DataFrame:
     """Path -z + surface + b_full for every row, plus known-zone residual RMSE and bias."""
-    off = segment_offsets(df, entity, idx, known, y, z, surface).select(entity, "b_full")
+    off = segment_offsets(df, entity, idx, known, y, z, surface, n_known=n_known).select(entity, "b_full")
     j = df.join(off, entity).withColumn("path", -F.col(z) + F.col(surface) + F.col("b_full"))
     res = F.when(known, F.col(y) - F.col("path"))
     stats = j.groupBy(entity).agg(F.sqrt(F.avg(res * res)).alias("path_rmse"), F.avg(res).alias("path_bias"))

@@ -118,7 +118,7 @@ SELECT entity, CASE WHEN count(CASE WHEN dm > 0 THEN 1 END) >= 3
                     THEN median(CASE WHEN dm > 0 THEN (dy + dz) / dm END) ELSE 0.0 END AS tail_rate
 FROM d GROUP BY entity""")
 def q_tail_rate(spark, sf):
-    return A.tail_rate(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "pos")
+    return A.tail_rate(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "pos", n_known="nkn")
 
 
 @register("group_slope", dbl=["slope_all", "slope_50"], sql="""
@@ -131,7 +131,7 @@ FROM kn GROUP BY entity""")
 def q_group_slope(spark, sf):
     s = views.seq(spark, sf)
     every = R.group_slope(s.filter("known"), "entity", "pos", "sig", "slope_all")
-    last50 = A.known_position(s, "entity", "i", F.col("known"), desc=True).filter(F.col("_j") < 50)
+    last50 = A.known_position(s, "entity", "i", F.col("known"), desc=True, n_known="nkn").filter(F.col("_j") < 50)
     return every.join(R.group_slope(last50, "entity", "pos", "sig", "slope_50"), "entity")
 
 
@@ -147,7 +147,7 @@ SELECT entity, CASE WHEN n >= 10 THEN beta0 ELSE -1.0 END AS beta,
        CASE WHEN n >= 10 THEN greatest(sqrt(greatest(vtt - beta0 * czt, 0.0)), 0.001) ELSE 0.1 END AS zsig
 FROM b""")
 def q_group_velocity_ols(spark, sf):
-    return A.group_velocity_ols(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "pos")
+    return A.group_velocity_ols(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "pos", n_known="nkn")
 
 
 SEGMENT_SQL = """
@@ -166,7 +166,7 @@ so AS (SELECT entity, b_full, CASE WHEN n // 3 > 0 THEN early ELSE b_full END AS
 @register("segment_offsets", dbl=["b_full", "b_early", "b_mid", "b_late", "b_wls"],
           sql=f"WITH {SEGMENT_SQL} SELECT * FROM so")
 def q_segment_offsets(spark, sf):
-    return A.segment_offsets(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "prior")
+    return A.segment_offsets(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "prior", n_known="nkn")
 
 
 @register("candidate_path_offset", dbl=["path", "path_rmse", "path_bias"], sql=f"""
@@ -176,7 +176,7 @@ st AS (SELECT entity, sqrt(avg(CASE WHEN known THEN (sig - path) * (sig - path)
               avg(CASE WHEN known THEN sig - path END) AS path_bias FROM p GROUP BY entity)
 SELECT p.entity, p.i, p.path, st.path_rmse, st.path_bias FROM p JOIN st ON p.entity = st.entity""")
 def q_candidate_path_offset(spark, sf):
-    r = A.candidate_path_offset(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "prior")
+    r = A.candidate_path_offset(views.seq(spark, sf), "entity", "i", F.col("known"), "sig", "k", "prior", n_known="nkn")
     return r.select("entity", "i", "path", "path_rmse", "path_bias")
 
 

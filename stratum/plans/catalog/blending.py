@@ -9,7 +9,6 @@ from stratum.operators import blending as B
 from stratum.operators import splits as SP
 from stratum.operators import tabular as T
 from stratum.operators.aggregates import boundary_row
-from stratum.operators.sequence import row_index
 from stratum.plans import views
 from stratum.plans.catalog.baseline import OLS_SQL
 from stratum.plans.registry import register
@@ -22,8 +21,7 @@ def eval_frame(spark, sf):
     s = views.seq(spark, sf)
     ols = regression.group_ols_2(s, "entity", "pos", "k", "y_in", "known", "pred")
     b = boundary_row(s, "entity", "i", ["pos", "k", "sig"], F.col("known"))
-    nk = s.groupBy("entity").agg(F.count_if("known").alias("nk"))
-    return ols.join(b, "entity").join(nk, "entity")
+    return ols.join(b, "entity").withColumn("nk", F.col("nkn"))
 
 
 EVAL_SQL = OLS_SQL + """,
@@ -102,9 +100,8 @@ FROM mo"""
 
 @register("savgol_smooth", dbl=["smooth"], sql=_savgol_sql())
 def q_savgol_smooth(spark, sf):
-    e = eval_frame(spark, sf).select("entity", "i", "pred")
-    e = row_index(e, "entity", ["i"], "e")
-    e = e.join(e.groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entity")
+    e = eval_frame(spark, sf).select("entity", "i", "pred", (F.col("i") - F.col("nkn")).alias("e"),
+                                     (F.col("n") - F.col("nkn")).alias("ne"))
     return B.savgol_smooth(e, "entity", "e", "ne", "pred", "smooth", 17, 3).select("entity", "i", "smooth")
 
 

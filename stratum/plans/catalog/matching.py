@@ -166,8 +166,7 @@ def q_prefix_rmse(spark, sf):
 # ---- sub-sequence matching -----------------------------------------------------------------------
 
 def _eval_positions(spark, sf):
-    ev = _eval(spark, sf).select("entity", "i", "tid", "prior", "sig_gap")
-    return row_index(ev, "entity", ["i"], "e")
+    return _eval(spark, sf).select("entity", "i", "tid", "prior", "sig_gap", (F.col("i") - F.col("nkn")).alias("e"))
 
 
 SSE_SQL = """
@@ -251,8 +250,8 @@ ncc AS (SELECT ev.entity, ev.i, coalesce(bt.lab, ll.lastlab) AS ncc_label, coale
 @register("subseq_match_ncc", dbl=["ncc_label", "ncc_score"], sql=f"WITH {_ncc_sql(HW)} SELECT * FROM ncc")
 def q_subseq_match_ncc(spark, sf):
     s = views.seq(spark, sf)
-    kn = row_index(s.filter("known").select("entity", "i", "sig", "prior"), "entity", ["i"], "kp")
-    ev = row_index(s.filter("NOT known").select("entity", "i", "sig"), "entity", ["i"], "ep")
+    kn = s.filter("known").select("entity", "i", "sig", "prior", F.col("i").alias("kp"))
+    ev = s.filter("NOT known").select("entity", "i", "sig", (F.col("i") - F.col("nkn")).alias("ep"))
     r = MT.subseq_match_ncc(kn, ev, "entity", "kp", "ep", "sig", "sig", "prior", half=HW, stride=3)
     return r.select("entity", "i", "ncc_label", "ncc_score")
 
@@ -322,9 +321,8 @@ def q_knn_plane_impute(spark, sf):
 
 def _pts_subsample(spark, sf, m=60):
     p = views.pts(spark, sf)
-    p = row_index(p, "grp", ["vec_id"], "j")
-    n = p.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    return Q.even_subsample(p.join(n, "grp"), "grp", "j", "n", m)
+    p = row_index(p, "grp", ["vec_id"], "j", chunk=F.floor(F.col("vec_id") / 4096), count_col="n")
+    return Q.even_subsample(p, "grp", "j", "n", m)
 
 
 @register("knn_idw_impute", dbl=["idw_mean", "idw_std", "idw_dist"], sql="""

@@ -59,10 +59,8 @@ def q_final_fit_predict(spark, sf):
 def _oof(spark, sf):
     """The global model's per-row features on the eval zone: position, depth proxy, the per-entity
     linear prior, distance from the known boundary, eval-zone fraction and known-zone size."""
-    from stratum.operators.sequence import row_index
     e = eval_frame(spark, sf).withColumn("since", F.col("pos") - F.col("last_pos")).withColumn("nk", F.col("nk").cast("double"))
-    e = row_index(e, "entity", ["i"], "_e", count_col="_ne")
-    e = e.withColumn("zone_frac", (F.col("_e") + 1) / F.col("_ne")).drop("_e", "_ne")
+    e = e.withColumn("zone_frac", (F.col("i") - F.col("nkn") + 1) / (F.col("n") - F.col("nkn")))
     folds = SP.group_kfold(views.seq(spark, sf), "entity", 5).select("entity", "fold")
     return e.join(folds, "entity")
 

@@ -23,11 +23,6 @@ def q_row_in_group(spark, sf):
     return _seq(spark, sf).select("entity", "event_id", "i")
 
 
-def _with_known_count(s):
-    nk = s.groupBy("entity").agg(F.count_if("known").alias("nk"))
-    return s.join(nk, "entity")
-
-
 @register("zone_fraction", dbl=["zone_pos", "frac", "frac2", "sqrt_frac"], sql="""
 WITH s AS (SELECT *, count(*) FILTER (WHERE known) OVER (PARTITION BY entity) AS nk FROM seq)
 SELECT entity, i, (i - nk + 1) / (n - nk) AS zone_pos, (i - nk) / greatest(n - nk - 1, 1) AS frac,
@@ -35,7 +30,7 @@ SELECT entity, i, (i - nk + 1) / (n - nk) AS zone_pos, (i - nk) / greatest(n - n
        sqrt((i - nk) / greatest(n - nk - 1, 1)) AS sqrt_frac
 FROM s WHERE NOT known""")
 def q_zone_fraction(spark, sf):
-    s = _with_known_count(_seq(spark, sf)).filter("NOT known")
+    s = _seq(spark, sf).filter("NOT known").withColumnRenamed("nkn", "nk")
     frac = (F.col("i") - F.col("nk")) / F.greatest(F.col("n") - F.col("nk") - 1, F.lit(1))
     return s.select("entity", "i", ((F.col("i") - F.col("nk") + 1) / (F.col("n") - F.col("nk"))).alias("zone_pos"), frac.alias("frac"),
                     (frac * frac).alias("frac2"), F.sqrt(frac).alias("sqrt_frac"))
@@ -167,7 +162,7 @@ FROM seq AS s JOIN sl ON s.entity = sl.entity WHERE NOT s.known""")
 def q_linear_extrapolate(spark, sf):
     s = _seq(spark, sf)
     every = R.group_slope(s.filter("known"), "entity", "pos", "sig", "s_all")
-    last50 = A.known_position(s, "entity", "i", F.col("known"), desc=True).filter(F.col("_j") < 50)
+    last50 = A.known_position(s, "entity", "i", F.col("known"), desc=True, n_known="nkn").filter(F.col("_j") < 50)
     sl = every.join(R.group_slope(last50, "entity", "pos", "sig", "s_50"), "entity").join(_boundary(s), "entity")
     e = s.filter("NOT known").join(sl, "entity")
     base = F.col("last_sig")

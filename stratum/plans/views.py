@@ -26,9 +26,10 @@ def hours_since_epoch(ts: str) -> F.Column:
 def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity sequence view.
 
-    Columns: entity, event_id, i, n, pos, k, sig, sig_gap, known, y_in, tid, prior.
-    ``known`` is the first 70 % of each entity (``10*i < 7*n``); ``y_in`` is
-    the label masked to the known zone (null defines the eval zone).
+    Columns: entity, event_id, i, n, nkn, pos, k, sig, sig_gap, known, y_in, tid, prior.
+    ``known`` is the first 70 % of each entity (``10*i < 7*n``), a prefix of ``nkn``
+    rows, so positions in either zone need no window; ``y_in`` is the label
+    masked to the known zone (null defines the eval zone).
     """
     ev = load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     ev = ev.select(
@@ -43,7 +44,7 @@ def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     # two-level numbering: chunks are calendar days of the order key
     ev = row_index(ev, "entity", ["ts", "event_id"], "i", chunk=F.to_date("ts"), count_col="n")
     known = (F.col("i") * 10) < (F.col("n") * 7)
-    return ev.select("entity", "event_id", "i", "n", "pos", "k", "sig", "sig_gap",
+    return ev.select("entity", "event_id", "i", "n", F.floor((F.col("n") * 7 + 9) / 10).alias("nkn"), "pos", "k", "sig", "sig_gap",
                      known.alias("known"), F.when(known, F.col("sig")).alias("y_in"),
                      "tid", "prior")
 
