@@ -47,7 +47,23 @@ def op9(spark, sf_dir):
     return exact_dedup.copy_decisions(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query("op6_ngram_join")
+@query("op6_ngram_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, md5(array_to_string(s, chr(10))) AS k FROM sh),
+e AS (SELECT doc_id, unnest(s) AS g FROM sh),
+pr AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e AS a JOIN e AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y, ny.k AS ky, nx.k AS kx FROM pr JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
+      WHERE 100 * c >= 90 * (nx.n_shingles + ny.n_shingles - c)),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id),
+d AS (SELECT x, count(DISTINCT ky) AS n_links FROM l WHERE kx <> ky GROUP BY x)
+SELECT n.doc_id, n.n_shingles, c.component_id, coalesce(d.n_links, 0) AS n_links
+FROM n JOIN c ON c.doc_id = n.doc_id LEFT JOIN d ON d.x = n.doc_id
+""")
 def op6(spark, sf_dir):
     return ngram_join.join_components(table(spark, sf_dir, "documents", "doc_id", "text"), ngram_join.Rule(3, 90, 100))
 
