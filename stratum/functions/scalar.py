@@ -16,7 +16,7 @@ __all__ = [
     "split_id_row", "file_stem_id", "safe_div", "clip", "map_values", "collapse_listed",
     "collapse_unlisted", "bin_right_closed", "bin_searchsorted_right", "finite", "bool_flag",
     "round_percent", "array_dot", "array_l2_norm", "array_l2_distance", "array_znorm",
-    "to_double_array", "array_moments", "parse_spec_field", "warmup_damp", "trust_weight", "hold_mix",
+    "to_double_array", "array_moments", "parse_spec_field",
 ]
 
 # The name pattern used to pull a title out of "Last, Title. First".
@@ -180,18 +180,3 @@ def parse_spec_field(spec, key: str, default: float = 0.0) -> Column:
     val = F.try_element_at(parts, (pos + 1).cast("int")).cast("double")
     return F.when(pos > 0, F.coalesce(val, F.lit(default))).otherwise(F.lit(default))
 
-
-def warmup_damp(delta, dist, tau: float = 85.0) -> Column:
-    """delta * (1 - exp(-max(d, 0) / tau)); tau <= 1e-6 leaves delta unchanged."""
-    if tau <= 1e-6:
-        return col_(delta)
-    return col_(delta) * (F.lit(1.0) - F.exp(-F.greatest(col_(dist), F.lit(0.0)) / F.lit(tau)))
-
-
-def trust_weight(n, denom: float = 200.0, cap: float = 0.6) -> Column:
-    return F.least(F.greatest(col_(n) / F.lit(denom), F.lit(0.0)), F.lit(cap))
-
-
-def hold_mix(base, alt, last, beam_w, hold_w) -> Column:
-    mixed = (F.lit(1.0) - col_(beam_w)) * col_(base) + col_(beam_w) * col_(alt)
-    return (F.lit(1.0) - col_(hold_w)) * mixed + col_(hold_w) * col_(last)

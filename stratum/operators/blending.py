@@ -240,18 +240,18 @@ def _solve_rows(sums: DataFrame, key: str, deg: int) -> DataFrame:
         det = s0 * s2 - s1 * s1
         c1 = (s0 * t1 - s1 * t0) / det
         return sums.select(key, ((t0 - c1 * s1) / s0).alias("c0"), c1.alias("c1"))
-    schema = f"{key} long, " + ", ".join(f"c{j} double" for j in range(k))
+    schema = sums.select(key).schema
+    for j in range(k):
+        schema = schema.add(f"c{j}", "double")
 
     def solve(it):
         import pandas as pd
         for pdf in it:
-            out = {key: pdf[key].values}
-            A = np.stack([np.stack([pdf[f"_p{i + j}"].values for j in range(k)], -1) for i in range(k)], -2)
-            b = np.stack([pdf[f"_q{i}"].values for i in range(k)], -1)
-            sol = np.stack([np.linalg.lstsq(A[r], b[r], rcond=None)[0] for r in range(len(pdf))]) if len(pdf) else np.zeros((0, k))
-            for j in range(k):
-                out[f"c{j}"] = sol[:, j] if len(pdf) else np.array([], dtype=float)
-            yield pd.DataFrame(out)
+            a = np.stack([np.stack([pdf[f"_p{i + j}"].to_numpy() for j in range(k)], -1) for i in range(k)], -2)
+            b = np.stack([pdf[f"_q{i}"].to_numpy() for i in range(k)], -1)
+            # one stacked pseudo-inverse: the least-squares solution also where a system is singular
+            sol = (np.linalg.pinv(a, rcond=np.finfo(float).eps * k) @ b[..., None])[..., 0]
+            yield pd.DataFrame({key: pdf[key].to_numpy(), **{f"c{j}": sol[:, j] for j in range(k)}})
     return sums.select(key, *[f"_p{j}" for j in range(2 * deg + 1)], *[f"_q{j}" for j in range(k)]).mapInPandas(solve, schema)
 
 

@@ -79,10 +79,6 @@ def intersect_ids(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.select(key).intersect(b.select(key))
 
 
-def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
-    return [c for c in a.columns if c in set(b.columns)]
-
-
 def prompt_text_join(turns: DataFrame, conv: str, turn: str, text: str, first_turn: int = 0) -> DataFrame:
     """Attach the first-turn text of each conversation to every turn of it."""
     prompts = turns.filter(F.col(turn) == first_turn).select(conv, F.col(text).alias("prompt_text"))

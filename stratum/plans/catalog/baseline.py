@@ -46,7 +46,7 @@ def q_group_ols_2(spark, sf_dir):
     return prior_predictions(spark, sf_dir).select("entity", "i", "pred")
 
 
-@register("entity_rmse", dbl=["rmse"], bench=True, sql=f"""
+@register("entity_rmse", dbl=["rmse"], sql=f"""
 WITH {OLS_SQL} SELECT entity, sqrt(avg((sig - pred) * (sig - pred))) AS rmse, count(*) AS n_rows
 FROM pr GROUP BY entity""")
 def q_entity_rmse(spark, sf_dir):

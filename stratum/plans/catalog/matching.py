@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratum.operators import aggregates as A
 from stratum.operators import matching as MT
 from stratum.operators import sequence as Q
 from stratum.operators import spatial as SPT
@@ -13,7 +14,6 @@ from stratum.plans.registry import register
 
 # The reference's anchor offset grids (feature offsets around an anchor).
 ANCH_OFFS = [-80, -40, -20, -10, -5, 0, 5, 10, 20, 40, 80]
-BEAM_OFFS = [-40, -20, -10, -5, -3, 0, 3, 5, 10, 20, 40]
 SC_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]
 
 W = 10.0        # search half-width on the template axis at this data scale
@@ -216,7 +216,7 @@ def q_median_gate(spark, sf):
     return MT.median_gate(_sse(spark, sf), "entity", "err", "match_x", "prior", "pred").select("entity", "i", "pred")
 
 
-HW = 8
+HALF_WIDTHS = (8, 15, 25)      # fixed values: the three scales of the search
 
 
 def _ncc_sql(hw: int) -> str:
@@ -247,13 +247,26 @@ ncc AS (SELECT ev.entity, ev.i, coalesce(bt.lab, ll.lastlab) AS ncc_label, coale
         FROM ev LEFT JOIN bt ON ev.entity = bt.entity AND ev.i = bt.i LEFT JOIN ll ON ev.entity = ll.entity)"""
 
 
-@register("subseq_match_ncc", dbl=["ncc_label", "ncc_score"], sql=f"WITH {_ncc_sql(HW)} SELECT * FROM ncc")
+_NCC_W = {h: f"exp(3.0 * n{h}.ncc_score)" for h in HALF_WIDTHS}
+
+
+@register("subseq_match_ncc", dbl=[f"{c}_{h}" for h in HALF_WIDTHS for c in ("label", "score")] + ["ensemble"], sql=(
+    "WITH " + ",\n".join(f"n{h} AS (WITH {_ncc_sql(h)} SELECT * FROM ncc)" for h in HALF_WIDTHS)
+    + f"\nSELECT n{HALF_WIDTHS[0]}.entity, n{HALF_WIDTHS[0]}.i, "
+    + ", ".join(f"n{h}.ncc_label AS label_{h}, n{h}.ncc_score AS score_{h}" for h in HALF_WIDTHS)
+    + ", (" + " + ".join(f"n{h}.ncc_label * {w}" for h, w in _NCC_W.items()) + ") / (" + " + ".join(_NCC_W.values()) + " + 1e-9) AS ensemble"
+    + f" FROM n{HALF_WIDTHS[0]} " + " ".join(
+        f"JOIN n{h} ON n{h}.entity = n{HALF_WIDTHS[0]}.entity AND n{h}.i = n{HALF_WIDTHS[0]}.i" for h in HALF_WIDTHS[1:])))
 def q_subseq_match_ncc(spark, sf):
     s = views.seq(spark, sf)
     kn = s.filter("known").select("entity", "i", "sig", "prior", F.col("i").alias("kp"))
     ev = s.filter("NOT known").select("entity", "i", "sig", (F.col("i") - F.col("nkn")).alias("ep"))
-    r = MT.subseq_match_ncc(kn, ev, "entity", "kp", "ep", "sig", "sig", "prior", half=HW, stride=3)
-    return r.select("entity", "i", "ncc_label", "ncc_score")
+    out = None
+    for h in HALF_WIDTHS:
+        r = MT.subseq_match_ncc(kn, ev, "entity", "kp", "ep", "sig", "sig", "prior", half=h, stride=3)
+        r = r.select("entity", "i", F.col("ncc_label").alias(f"label_{h}"), F.col("ncc_score").alias(f"score_{h}"))
+        out = r if out is None else out.join(r, ["entity", "i"])
+    return A.score_weighted_blend(out, [f"label_{h}" for h in HALF_WIDTHS], [f"score_{h}" for h in HALF_WIDTHS], 3.0, "ensemble")
 
 
 # ---- guarded override -------------------------------------------------------------------------

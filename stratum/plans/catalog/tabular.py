@@ -266,12 +266,12 @@ def q_split_id(spark, sf):
 
 
 @register("file_stem_id", sql="""
-WITH p AS (SELECT event_id, '/data/train/' || CAST(user_id AS VARCHAR) || '__horizontal_well.csv' AS path FROM events)
+WITH p AS (SELECT event_id, '/data/train/' || CAST(user_id AS VARCHAR) || '__signal.csv' AS path FROM events)
 SELECT event_id, split_part(string_split(path, '/')[-1], '__', 1) AS stem FROM p""")
 def q_file_stem_id(spark, sf):
     e = _t(spark, sf, "events", ["event_id", "user_id"])
     e = e.select("event_id", F.concat(F.lit("/data/train/"), F.col("user_id").cast("string"),
-                                      F.lit("__horizontal_well.csv")).alias("path"))
+                                      F.lit("__signal.csv")).alias("path"))
     return e.select("event_id", S.file_stem_id("path").alias("stem"))
 
 

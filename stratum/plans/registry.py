@@ -9,7 +9,6 @@ negative zero from flipping between engines).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,17 +25,16 @@ class Entry:
     sql: str | None = None
     dbl: tuple[str, ...] = field(default_factory=tuple)
     digits: int = 6
-    bench: bool = False
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None = None, dbl=(), digits: int = 6, bench: bool = False):
+def register(name: str, sql: str | None = None, dbl=(), digits: int = 6):
     def deco(fn):
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), digits, bench)
+        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), digits)
         return fn
     return deco
 
@@ -69,9 +67,3 @@ def load_all() -> dict[str, Entry]:
     from stratum.plans import catalog  # noqa: F401
     return REGISTRY
 
-
-_WORD = re.compile(r"[A-Za-z_]+")
-
-
-def used_words(sql: str) -> set[str]:
-    return set(_WORD.findall(sql))
