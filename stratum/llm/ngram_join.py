@@ -155,15 +155,25 @@ def sign(rule: Rule, elements: np.ndarray, band: int, scheme: tuple[int, int, in
     return np.unique(np.concatenate(out)) >> np.uint64(1)
 
 
+SKETCH_BITS = 1024
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """Parities of the set's shingles over SKETCH_BITS slots: two sketches never differ in more bits than their sets
+    differ in shingles."""
+    slots = (elements >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def _set_keys(batches, rule: Rule):
     for b in batches:
         rows = []
         for e in rule.shingles(b["body"].tolist()):
             rows.append((len(e), int(mix64(e).sum(dtype=np.uint64).astype(np.int64)),
-                         int(mix64(e ^ _C).sum(dtype=np.uint64).astype(np.int64))))
-        n, k1, k2 = zip(*rows) if rows else ((), (), ())
+                         int(mix64(e ^ _C).sum(dtype=np.uint64).astype(np.int64)), sketch(e)))
+        n, k1, k2, bits = zip(*rows) if rows else ((), (), (), ())
         yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": np.array(n, np.int64),
-                            "k1": np.array(k1, np.int64), "k2": np.array(k2, np.int64)})
+                            "k1": np.array(k1, np.int64), "k2": np.array(k2, np.int64), "sketch": list(bits)})
 
 
 def _signatures(batches, rule, edges, schemes, only, seed, hot):
@@ -209,6 +219,79 @@ def _runs(batches, keys: list[str]):
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
+def _buckets(batches):
+    """(sig, doc_id, n) of the signatures that two documents or more share, from rows sorted by signature.
+
+    A run streams through: rows wait only until a second document shows up,
+    and from then on leave with every batch.
+    """
+    last_sig, last_doc, met = None, None, False
+    for b in batches:
+        sig, doc = b["sig"].to_numpy(), b["doc_id"].to_numpy()
+        if not len(sig):
+            continue
+        head = np.concatenate([[True], sig[1:] != sig[:-1]])
+        carried = last_sig is not None and sig[0] == last_sig
+        run = np.cumsum(head) - 1
+        first = doc[head][run]
+        if carried:
+            first = np.where(run == 0, last_doc, first)
+        mixed = np.zeros(run[-1] + 1, bool)
+        np.logical_or.at(mixed, run, doc != first)
+        keep = mixed[run]
+        if carried:
+            keep |= (run == 0) & met
+            if mixed[0] and not met:          # the document that waited since an earlier batch
+                yield pd.DataFrame({"sig": [last_sig], "doc_id": [last_doc]})
+        yield pd.DataFrame({"sig": sig[keep], "doc_id": doc[keep]})
+        ends_carried = carried and run[-1] == 0
+        met = bool(mixed[-1]) or (ends_carried and met)
+        last_sig, last_doc = sig[-1], last_doc if ends_carried else first[-1]
+
+
+class _Forest:
+    """Union-find over 0..n-1."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        p = self.parent
+        while p[x] != x:
+            p[x] = p[p[x]]
+            x = p[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+
+
+def _meet(batches, rule: Rule):
+    """(a, b): a forest of the pairs of one bucket, or of two blocks of it, that size and sketch allow to be linked."""
+    for g in _runs(batches, ["bucket", "i", "j"]):
+        g = g.drop_duplicates(["node"])
+        if len(g) < 2:
+            continue
+        i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
+        ids, sizes = g["node"].to_numpy(), g["n_shingles"].to_numpy()
+        bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
+        block = g["block"].to_numpy()
+        yours = np.flatnonzero(block == j)
+        forest = _Forest(len(ids))
+        for x in np.flatnonzero(block == i).tolist():
+            apart = np.bitwise_count(bits[yours] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            small, large = np.minimum(sizes[yours], sizes[x]), np.maximum(sizes[yours], sizes[x])
+            ok = (apart * (rule.den + rule.num) <= (small + large) * (rule.den - rule.num)) & (small * rule.den >= large * rule.num)
+            for y in yours[ok].tolist():
+                if y != x:
+                    forest.join(x, y)
+        top = np.array([forest.find(x) for x in range(len(ids))])
+        on = np.flatnonzero(top != np.arange(len(ids)))
+        if len(on):
+            yield pd.DataFrame({"a": ids[on], "b": ids[top[on]]})
+
+
 def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """Sizes of the intersections of every left with every right set, by blocks of a 0/1 matrix product."""
     both = left + right
@@ -247,20 +330,32 @@ def _verify(batches, rule):
         np.add.at(links, mine[a], 1)
         if i != j:
             np.add.at(links, yours[b], 1)
-        parent = list(range(len(ids)))
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
+        forest = _Forest(len(ids))
         for x, y in zip(mine[a].tolist(), yours[b].tolist()):
-            x, y = find(x), find(y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
+            forest.join(x, y)
         on = np.flatnonzero(links)
-        yield pd.DataFrame({"node": ids[on], "parent": ids[[find(x) for x in on.tolist()]], "links": links[on]})
+        yield pd.DataFrame({"node": ids[on], "parent": ids[[forest.find(x) for x in on.tolist()]], "links": links[on]})
+
+
+def _shared(signed: DataFrame, support: float) -> DataFrame:
+    """The rows (sig, doc_id) whose signature two documents or more have.
+
+    Misra-Gries counters name the signatures that may fill over ``support`` of
+    the rows; their rows stay where they are.  All others meet in one shuffle
+    and stream past in order.
+    """
+    hot = F.broadcast(heavy_values(signed, "sig", support))
+    cold = (signed.join(hot, "sig", "left_anti").repartition("sig").sortWithinPartitions("sig")
+            .mapInPandas(_buckets, "sig long, doc_id long"))
+    return signed.join(hot, "sig", "left_semi").unionByName(cold)
+
+
+def _in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Deals the members of every group (``key``, with column blocks) to the tasks of all pairs of its blocks."""
+    return (rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+            .repartition(key, "i", "j").sortWithinPartitions(key, "i", "j"))
 
 
 def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "doc_id", text_col: str = "text",
@@ -269,9 +364,11 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
 
     Equal sets collapse to one node, named by their smallest doc_id, so copies
     cost one narrow row each (heavy-hitter sets leave map-side).  Nodes that
-    share a signature form a cluster; a cluster's sets are compared exactly, in
-    blocks of bounded size, and only a forest of its links is returned, so
-    neither the pairs of a group nor the group itself ever meet in one task.
+    share a signature, and that their sizes and parity sketches allow to be
+    linked, form clusters; a cluster's sets are compared exactly.  Buckets and
+    clusters are dealt out in blocks of bounded size, and only a forest of
+    their links leaves a task, so neither the pairs of a group nor the group
+    itself ever meet in one place.
     ``n_links`` counts the other distinct sets that a row's set links with.
 
     Null, empty and wordless texts have no shingles, link with nothing and are
@@ -283,8 +380,7 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
     rule = rule or Rule()
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
-    keyed = stored(rows.mapInPandas(lambda it: _set_keys(it, rule), "doc_id long, n_shingles long, k1 long, k2 long"),
-                   "join-sets")
+    keyed = stored(rows.mapInPandas(lambda it: _set_keys(it, rule), "doc_id long, n_shingles long, k1 long, k2 long, sketch binary"), "join-sets")
     named = keyed.where("n_shingles > 0")
     nodes = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
 
@@ -300,16 +396,14 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
            named.join(F.broadcast(heavy), "k1", "left_semi").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
            .where("node IS NOT NULL").limit(int(2 / support)).collect()}
 
-    pairs, only, seed, waiting = None, None, 0, None
+    members, only, seed, waiting = None, None, 0, None
     texts = rows.where("doc_id IS NOT NULL")
     while True:
         signed = stored(texts.mapInPandas(
             lambda it, only=only, seed=seed: _signatures(it, rule, edges, schemes, only, seed, hot),
             "sig long, doc_id long"), "join-signatures")
-        sigs = signed.where("sig >= 0")
-        met = sigs.groupBy("sig").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-        found = sigs.join(met.select("sig", "low"), "sig").where("doc_id > low").select("doc_id", "low").distinct()
-        pairs = found if pairs is None else pairs.unionByName(found)
+        found = _shared(signed.where("sig >= 0"), support)
+        members = found if members is None else members.unionByName(found)
         left = signed.where("sig < 0")
         waiting = stored(left if waiting is None else waiting.join(left, ["sig", "doc_id"], "left_semi"), "join-waiting")
         only = {-1 - r["sig"] for r in waiting.select("sig").distinct().collect()}
@@ -319,11 +413,19 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
         if seed > 99:
             raise RuntimeError("some sets found no cover under 100 seeds")
 
-    by_doc = named.join(nodes, ["k1", "k2"]).where("doc_id IS NOT NULL").select("doc_id", "node").distinct()
-    a, b = by_doc.toDF("doc_id", "a"), by_doc.toDF("low", "b")
-    apart = stored(pairs.distinct().join(a, "doc_id").join(b, "low").where("a <> b").select("a", "b").distinct(), "join-met")
-    clusters = stored(connected_components(apart, "join-clusters")
-                      .select(F.col("node"), F.col("component").alias("cluster")), "join-members")
+    # buckets with the same documents are one: each is kept under one signature
+    members = stored(members, "join-members")
+    buckets = (members.groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                          F.bit_xor(F.xxhash64("doc_id")).alias("x")).where("lo < hi")
+               .groupBy("n", "lo", "hi", "x").agg(F.min("sig").alias("bucket"))
+               .select("bucket", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks")))
+    by_doc = (named.where("doc_id IS NOT NULL").join(nodes, ["k1", "k2"])
+              .select("doc_id", "node", "n_shingles", "sketch").dropDuplicates(["doc_id", "node"]))
+    placed = members.join(buckets, members["sig"] == buckets["bucket"]).join(by_doc, "doc_id")
+    near = stored(_in_blocks(placed.select("bucket", "blocks", "node", "n_shingles", "sketch"), "bucket")
+                  .mapInPandas(lambda it: _meet(it, rule), "a long, b long").distinct(), "join-near")
+    clusters = stored(connected_components(near, "join-clusters")
+                      .select(F.col("node"), F.col("component").alias("cluster")), "join-clusters")
 
     def elements(batches):
         for b in batches:
@@ -333,16 +435,11 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
                                 "elements": [s.tobytes() for s in sets]})
 
     # always by shuffle: the texts move once, whatever the number of members
-    members = stored(texts.join(clusters.hint("merge"), texts["doc_id"] == clusters["node"]).select("cluster", "node", "body")
+    sets = stored(texts.join(clusters.hint("merge"), texts["doc_id"] == clusters["node"]).select("cluster", "node", "body")
                      .mapInPandas(elements, "cluster long, node long, n long, elements binary"), "join-elements")
-    sized = members.groupBy("cluster").agg(
+    sized = sets.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_elements)).cast("int").alias("blocks"))
-    dealt = (members.join(sized, "cluster")
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "node", "elements"))
-    forest = stored(dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    forest = stored(_in_blocks(sets.join(sized, "cluster").select("cluster", "blocks", "node", "elements"), "cluster")
                     .mapInPandas(lambda it: _verify(it, rule), "node long, parent long, links long"), "join-forest")
     linked = connected_components(forest.select(F.col("node").alias("a"), F.col("parent").alias("b")), "join-linked")
     degree = forest.groupBy("node").agg(F.sum("links").alias("n_links"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from stratum.llm import ngram_join as N
@@ -92,3 +93,25 @@ def test_nulls_repeats_empty_tables_and_other_columns(spark):
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 3, 3, 8]
     assert N.join_components(df.limit(0)).count() == 0
+
+
+def test_streamed_buckets_keep_every_shared_signature():
+    rng = random.Random(4)
+    rows = sorted((rng.randrange(12), rng.randrange(4)) for _ in range(60)) + [(50, 1), (50, 1), (51, 2), (52, 3), (52, 4)]
+    docs = {}
+    for s, d in rows:
+        docs.setdefault(s, set()).add(d)
+    want = {(s, d) for s, d in rows if len(docs[s]) > 1}
+    for size in (1, 2, 3, 7, 100):
+        batches = [pd.DataFrame(rows[i:i + size], columns=["sig", "doc_id"]) for i in range(0, len(rows), size)]
+        got = {(int(s), int(d)) for out in N._buckets(iter([*batches, batches[0].iloc[:0]])) for s, d in zip(out["sig"], out["doc_id"])}
+        assert got == want
+
+
+def test_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < .9], rng.integers(0, 2**63, 20, dtype=np.uint64) * np.uint64(2)]))
+        bits = np.bitwise_count(np.frombuffer(N.sketch(a), np.uint8) ^ np.frombuffer(N.sketch(b), np.uint8)).sum()
+        assert bits <= len(np.setxor1d(a, b))
