@@ -80,40 +80,44 @@ def fit(docs: DataFrame, max_n: int = 4, docs_per_lang: int = 6_000, max_words:
 
 
 class Scorer(dict):
-    """word -> row of a growing score matrix, remembered up to ``limit`` words."""
+    """word -> rows of the model's matrix that score it, remembered up to ``limit`` words."""
 
     def __init__(self, model: dict, limit: int = 200_000):
         super().__init__()
-        self.units, self.max_n, self.limit = model["units"], model["max_n"], limit
-        self.k, self.floor = len(model["langs"]), model["floor"]
-        self.rows = np.empty((4096, self.k), np.float32)
-        self.used = 0
+        self.max_n, self.limit = model["max_n"], limit
+        self.at: list[dict[str, int]] = [{} for _ in range(self.max_n + 1)]
+        rows = []
+        for (n, unit), row in model["units"].items():
+            self.at[n][unit] = len(rows)
+            rows.append(row)
+        rows.append(np.full(len(model["langs"]), model["floor"], np.float32))
+        self.rows = np.array(rows, np.float64)
+
+    def __missing__(self, w: str) -> tuple[int, ...]:
+        """Known words by their own frequency, else the longest n-grams of which any is known, else the floor."""
+        known = self.at[0].get(w)
+        hits: list[int] = [] if known is None else [known]
+        n = min(self.max_n, len(w) + 2)
+        while not hits and n:
+            at = self.at[n]
+            hits = [at[g] for g in _grams(w, n) if g in at]
+            n -= 1
+        if len(self) >= self.limit:
+            self.clear()
+        out = self[w] = tuple(hits) or (len(self.rows) - 1,)
+        return out
 
     def word(self, w: str) -> np.ndarray:
-        """Known words by their own frequency, else the longest n-grams of which any is known."""
-        row = self.units.get((0, w))
-        if row is not None:
-            return row
-        for n in range(min(self.max_n, len(w) + 2), 0, -1):
-            hits = [r for g in _grams(w, n) if (r := self.units.get((n, g))) is not None]
-            if hits:
-                return np.mean(hits, axis=0)
-        return np.full(self.k, self.floor, np.float32)
-
-    def __missing__(self, w: str) -> int:
-        if self.used == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[self.used] = self.word(w)
-        self[w] = at = self.used
-        self.used += 1
-        return at
+        return self.rows[list(self[w])].mean(axis=0)
 
     def mean(self, words: list[str]) -> np.ndarray:
-        if self.used >= self.limit:      # only between texts, so rows stay valid within one
-            self.clear()
-            self.used = 0
-        idx = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.rows[idx].mean(axis=0, dtype=np.float64)
+        """The mean over words of their score, each word's being the mean of its rows."""
+        at, weight = [], []
+        for w, times in Counter(words).items():
+            hits = self[w]
+            at.extend(hits)
+            weight.extend([times / len(hits)] * len(hits))
+        return np.array(weight) @ self.rows[at] / len(words)
 
 
 def predict_one(scorer: Scorer, langs: list[str], text: str | None, evidence: int = 30) -> tuple[str, float]:
