@@ -91,7 +91,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 8_000, negatives: i
     chosen = marks.where(hash_fraction(F.col("doc_id"), F.lit("toxic")) < rate).select(
         F.col("doc_id").alias("id"), (F.col("label") > 0).cast("int").alias("label"), (1.0 / rate).alias("weight"))
     lowest = min(1.0 / s for s in share.values())
-    rows = (docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id"))
+    # about positives + negatives ids, whatever the corpus: broadcast, so that the texts stay where they are
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
             .select("text", "label", (F.col("weight") / lowest).alias("weight"),
                     F.pmod(F.xxhash64("id", F.lit("order")), F.lit(1000003)).alias("k")))
     parts = stored(rows.repartition(shards, F.col("k") % shards)
