@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +13,8 @@ from stratum.llm.common import fresh, stored
 
 AXES = ("source", "lang", "topic")
 MISSING = "(none)"
+#: Raking that shrinks a cell without end, under targets that no weights can meet together, stops at this share: a double that is neither 0 nor lost.
+LEAST = 1e-200
 
 
 def topic(text: Column) -> Column:
@@ -68,7 +72,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = 50,
             factor = (new.groupBy(a).agg(F.sum("fitted").alias("have")).join(goal, a, "left")
                       .select(a, F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("have"))
                               .otherwise(0.0).alias("factor")))
-            new = new.join(factor, a).withColumn("fitted", F.col("fitted") * F.col("factor")).drop("factor")
+            new = new.join(factor, a).withColumn("fitted", F.when((F.col("fitted") > 0) & (F.col("factor") > 0), F.greatest(
+                F.col("fitted") * F.col("factor"), F.lit(LEAST))).otherwise(0.0)).drop("factor")
         new = stored(new, "mix-sweep")
         moved = new.agg(F.sum(F.abs(F.col("fitted") - F.col("before"))).alias("d")).first()["d"] or 0.0
         cur = new.drop("before")
@@ -77,25 +82,43 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = 50,
     return cur
 
 
-def sampling_rate(fitted: DataFrame, budget: float, steps: int = 64, rounds: int = 4) -> float:
+def sampling_rate(fitted: DataFrame, budget: float, steps: int = 64, tolerance: float = 1e-12) -> float:
     """The factor lambda for which cells sampled with min(1, lambda * fitted / tokens) are expected to give ``budget`` tokens.
 
-    Found by narrowing an interval: each round evaluates ``steps`` values in
-    one aggregation that returns a single row.
+    The expected tokens are a concave, piecewise linear function of lambda.
+    Each round evaluates it, with its slope, at ``steps`` values that rise by
+    equal factors, since lambda may span hundreds of decades, in one
+    aggregation that returns a row for each.  The tangent at the largest value
+    under the budget and the chord to the smallest one above it then narrow
+    the interval; between two neighbouring cells both give the exact solution.
     """
     per = fitted.where("fitted > 0 AND tokens > 0")
-    r = per.agg(F.min(F.col("tokens") / F.col("fitted")).alias("lo"), F.max(F.col("tokens") / F.col("fitted")).alias("hi"),
-                F.sum("tokens").alias("t")).first()
-    if r["t"] is None:
+    r = per.agg(F.max(F.col("tokens") / F.col("fitted")).alias("hi"), F.sum("tokens").alias("t"), F.sum("fitted").alias("w")).first()
+    if r["t"] is None or budget <= 0:
         return 0.0
+    most = min(float(r["hi"]), sys.float_info.max)
     if budget >= r["t"]:
-        return float(r["hi"])
-    lo, hi = 0.0, float(r["hi"])
-    for _ in range(rounds):
-        tries = [lo + (hi - lo) * (i + 1) / steps for i in range(steps)]
-        got = per.agg(*[F.sum(F.least(F.col("tokens"), F.col("fitted") * x)).alias(f"s{i}") for i, x in enumerate(tries)]).first()
-        under = [x for i, x in enumerate(tries) if got[i] <= budget]
-        lo, hi = max([lo, *under]), min([hi, *[x for i, x in enumerate(tries) if got[i] > budget]])
+        return most
+    near = tolerance * budget
+    lo, hi, over = budget / r["w"], most, 0.0          # at lo at most the budget comes out; what comes out at hi is not known yet
+    while lo < hi * (1 - tolerance):
+        ratio = math.log(hi) - math.log(lo)
+        tries = [lo, *(min(hi, lo * math.exp(ratio * (i + 1) / steps)) for i in range(steps - 1))]
+        tried = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("x")) for i, x in enumerate(tries)])).alias("try")
+        got = {r["i"]: r for r in per.select("tokens", "fitted", tried).select("tokens", "fitted", "try.i", (F.col("fitted") * F.col("try.x")).alias("m"))
+               .groupBy("i").agg(F.sum(F.least("tokens", "m")).alias("sum"),
+                                 F.sum(F.when(F.col("m") < F.col("tokens"), F.col("fitted")).otherwise(0.0)).alias("slope")).collect()}
+        under = max((i for i in range(steps) if got[i]["sum"] <= budget + near), default=0)
+        at, have, slope = tries[under], got[under]["sum"], got[under]["slope"]
+        if have >= budget - near or slope <= 0:
+            return at
+        if under + 1 < steps:
+            hi, over = tries[under + 1], got[under + 1]["sum"]
+        tangent = at + (budget - have) / slope
+        chord = at + (hi - at) * ((budget - have) / (over - have)) if over > have else hi
+        if not lo < tangent < hi:                         # no double lies between
+            return min(max(tangent, lo), hi)
+        lo, hi = tangent, min(hi, chord)
     return lo
 
 

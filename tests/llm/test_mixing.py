@@ -43,6 +43,29 @@ def test_rate_meets_the_budget(spark):
         assert np.minimum(t, rate * w).sum() == pytest.approx(share * t.sum(), rel=1e-4)
 
 
+def test_rate_meets_the_budget_beside_nearly_empty_cells(spark):
+    rng = np.random.default_rng(7)
+    t, w = rng.integers(1, 1000, 40).astype(float), rng.dirichlet(np.ones(40))
+    for tiny in (1e-12, 1e-300):
+        v = np.where(np.arange(40) % 4 == 0, w * tiny, w)
+        df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(t, v)], "tokens double, fitted double")
+        for share in (0.3, 0.99):
+            rate = M.sampling_rate(df, share * t.sum())
+            assert np.minimum(t, rate * v).sum() == pytest.approx(share * t.sum(), rel=1e-9)
+    assert M.sampling_rate(df, 0.0) == 0.0
+
+
+def test_rate_meets_the_budget_under_targets_that_no_weights_meet(spark):
+    # s0 holds l0 only and wants more than l0 may have, so the cell (s1, l0) shrinks with every sweep
+    t = np.array([[700.0, 0], [400, 900]]).reshape(2, 2, 1)
+    goals = {"source": [("s0", 0.7), ("s1", 0.3)], "lang": [("l0", 0.1), ("l1", 0.9)]}
+    fitted = M.rake(cells_of(spark, t), {a: spark.createDataFrame(g, "value string, share double") for a, g in goals.items()}, max_sweeps=9, tolerance=0.0)
+    rows = fitted.collect()
+    w, n = np.array([r["fitted"] for r in rows]), np.array([r["tokens"] for r in rows])
+    rate = M.sampling_rate(fitted, 0.5 * n.sum())
+    assert 0 < w.min() < 1e-9 and np.minimum(n, rate * w).sum() == pytest.approx(0.5 * n.sum(), rel=1e-9)
+
+
 def test_mix_is_calibrated_and_keeps_every_row(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = M.mix(docs, budget_share=0.4).collect()
