@@ -13,12 +13,24 @@ from pyspark.sql import functions as F
 from stratum.llm.common import WordHashes, fresh, mix64, stored
 
 TOKENS = re.compile(r"\w+")
+#: Scripts written without spaces between words (Thai to Khmer, Tai, Balinese, Javanese, kana, Chinese characters): each character is a token.
+UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u1950-\u19cf\u1a20-\u1a7c\u1b00-\u1b4b"
+            "\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\ua980-\ua9c0\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+MIXED = re.compile(f"[{UNSPACED}]|[^\\W{UNSPACED}]+")
 #: Spaced seeds: positions with 0 are ignored, so a substituted token there does not hide the window.
 MASKS = ("111011001011", "110110111001", "101100111101", "111100010111")
+#: Items under this many tokens are also searched whole: a substitution in them may leave no run of ``min_overlap`` tokens.
+SHORT = 16
 
 
 def tokens(text: str | None) -> list[str]:
-    return TOKENS.findall(text.lower()) if text else []
+    """Runs of word characters in lower case; where a script has no spaces, its characters."""
+    if not text:
+        return []
+    plain = text.isascii() or not ANY_UNSPACED.search(text)
+    return (TOKENS if plain else MIXED).findall(text.lower())
 
 
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
@@ -33,46 +45,95 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix64(h)
 
 
-def _masks_for(n: int, min_tokens: int) -> list[str]:
-    """The masks of an item of ``n`` tokens: the spaced ones, or the whole item when it is shorter than they are."""
-    if n >= len(MASKS[0]):
-        return list(MASKS)
-    return ["1" * n] if n >= min_tokens else []
+def tolerated(n: int) -> int:
+    """Substituted tokens that a whole item of ``n`` tokens may hold: one in five, as 12 equal tokens may pay for 3."""
+    return n // 5
+
+
+def parts_of(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the parts of a short item; the tolerated substitutions leave at least one of them whole."""
+    cuts = [n * k // (tolerated(n) + 1) for k in range(tolerated(n) + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+class _Seeds:
+    """Sorted seed hashes with (item, position), and a bit table in front."""
+
+    def __init__(self, seeds: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]], bits: int):
+        self.masks = sorted({x[0] for x in seeds})
+        h, item, pos = (np.concatenate([x[k] for x in seeds]) if seeds else np.empty(0, t)
+                        for k, t in ((1, np.uint64), (2, np.int64), (3, np.int64)))
+        order = np.argsort(h, kind="stable")
+        self.keys, self.item, self.pos = h[order], item[order], pos[order]
+        self.shift = np.uint64(64 - bits)
+        self.front = np.zeros(1 << bits, bool)
+        self.front[(self.keys >> self.shift).astype(np.int64)] = True
+
+    def hits(self, words: np.ndarray, at_once: int = 1 << 16):
+        """Arrays (item, item position, text position) of the seeds shared with ``words``, about ``at_once`` at a time."""
+        for mask in self.masks:
+            h = seed_hashes(words, mask)
+            at = np.flatnonzero(self.front[(h >> self.shift).astype(np.int64)])
+            lo, hi = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
+            at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            group = np.cumsum(n) // at_once
+            for g in np.unique(group):
+                a, b = np.searchsorted(group, g, "left"), np.searchsorted(group, g, "right")
+                each = n[a:b]
+                row = np.repeat(lo[a:b] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                yield self.item[row], self.pos[row], np.repeat(at[a:b], each)
 
 
 class Index:
-    """Seeds of a block of test items: sorted hashes with (item, position, mask), and a bit table in front."""
+    """Seeds of a block of test items: sorted hashes with (item, position), and a bit table in front.
+
+    Items of as many tokens as the masks have get the spaced seeds of every
+    window.  Items under ``SHORT`` tokens, also those, are searched whole,
+    seeded by ``parts_of``.
+    """
 
     def __init__(self, items: list[tuple[int, str]], min_tokens: int, bits: int = 20):
         hashes, self.items = WordHashes(), []
-        parts, self.lengths = [], set()
+        spaced, whole = [], []
         for item_id, text in items:
             w = hashes.array(tokens(text))
-            k = len(self.items)
+            k, n = len(self.items), len(w)
             self.items.append((item_id, w))
-            for mask in _masks_for(len(w), min_tokens):
-                h = seed_hashes(w, mask)
-                self.lengths.add(mask)
-                parts.append(np.rec.fromarrays([h, np.full(len(h), k), np.arange(len(h))], names="h,item,pos"))
-        self.table = np.concatenate(parts) if parts else np.rec.fromarrays(
-            [np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)], names="h,item,pos")
-        self.table = self.table[np.argsort(self.table["h"], kind="stable")]
-        self.keys = np.ascontiguousarray(self.table["h"])
-        self.shift = np.uint64(64 - bits)
-        self.front = np.zeros(1 << bits, bool)
-        self.front[(self.keys >> self.shift).astype(np.int64)] = True
-        self.masks = sorted(self.lengths)
+            if n < max(1, min_tokens):
+                continue
+            if n >= len(MASKS[0]):
+                for mask in MASKS:
+                    h = seed_hashes(w, mask)
+                    spaced.append((mask, h, np.full(len(h), k), np.arange(len(h))))
+            if n < SHORT:
+                for at, size in parts_of(n):
+                    whole.append(("1" * size, seed_hashes(w[at:at + size], "1" * size), np.array([k]), np.array([at])))
+        self.spaced, self.whole = _Seeds(spaced, bits), _Seeds(whole, bits)
+        self.sizes = np.array([len(w) for _, w in self.items], np.int64)
+        self.padded = np.zeros((len(self.items), SHORT), np.uint64)      # short items only
+        for k, (_, w) in enumerate(self.items):
+            if len(w) < SHORT:
+                self.padded[k, :len(w)] = w
 
     def hits(self, words: np.ndarray):
-        """(item, item position, text position) of every seed shared with ``words``."""
-        for mask in self.masks:
-            h = seed_hashes(words, mask)
-            at = np.flatnonzero(self.front[(h >> self.shift).astype(np.int64)])
-            if len(at):
-                lo, hi = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
-                for p, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
-                    for row in self.table[a:b]:
-                        yield int(row["item"]), int(row["pos"]), int(p)
+        """(item, item position, text position) of every spaced seed shared with ``words``."""
+        for item, pos, p in self.spaced.hits(words):
+            yield from zip(item.tolist(), pos.tolist(), p.tolist())
+
+    def whole_copies(self, words: np.ndarray):
+        """(item, equal tokens, first text position) of copies of whole short items, with their tolerated substitutions."""
+        for item, pos, p in self.whole.hits(words):
+            start, size = p - pos, self.sizes[item]
+            on = (start >= 0) & (start + size <= len(words))
+            if not on.any():
+                continue
+            item, start = np.unique(np.stack([item[on], start[on]]), axis=1)
+            size = self.sizes[item]
+            equal = np.zeros(len(item), np.int64)
+            for j in range(int(size.max())):
+                equal += (j < size) & (words[np.minimum(start + j, len(words) - 1)] == self.padded[item, j])
+            ok = equal >= size - tolerated(size)
+            yield from zip(item[ok].tolist(), equal[ok].tolist(), start[ok].tolist())
 
 
 def best_overlap(item: np.ndarray, words: np.ndarray, shift: int, penalty: int = 3) -> tuple[int, int, int]:
@@ -103,6 +164,11 @@ def overlaps(index: Index, words: np.ndarray, min_overlap: int) -> list[tuple[in
         old = best.get(item_id, (item_id, 0, 0, 0))
         if n >= min(min_overlap, len(w)) and (n, -start) > (old[1], -old[2]):
             best[item_id] = (item_id, n, start, end)
+    for k, n, start in index.whole_copies(words):
+        item_id, w = index.items[k]
+        old = best.get(item_id, (item_id, 0, 0, 0))
+        if (n, -start) > (old[1], -old[2]):
+            best[item_id] = (item_id, n, start, start + len(w))
     return sorted(best.values())
 
 
@@ -135,7 +201,7 @@ def _finder(shared, min_overlap: int, min_tokens: int):
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text", min_overlap: int = 12, min_tokens: int = 8,
+                  item_col: str = "item_id", item_text: str = "text", min_overlap: int = 12, min_tokens: int = 1,
                   block_tokens: int = 1_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, item_ids, n_matched, spans.
 
@@ -148,9 +214,12 @@ def find_overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", te
 
     The items go to the tasks in blocks of about ``block_tokens`` tokens, each
     a broadcast of fixed bound with a pass of its own, all treated alike.
-    Null or empty texts match nothing; null or empty items, and items under
-    ``min_tokens`` tokens, which ordinary prose holds by chance, are not
-    searched.  Items with a null id are reported as -1.  No row is dropped,
+    Items under 16 tokens are also searched whole and count when at most one
+    token in five is substituted, so those under 5 tokens only word for word.
+    Short items that ordinary prose holds by chance are reported like all others;
+    a caller who wants them left out sets ``min_tokens``.  Tokens are words, and
+    characters in scripts without spaces.  Null or empty texts match nothing;
+    null items and items without any token are not searched.  Items with a null id are reported as -1.  No row is dropped,
     repeated rows stay repeated, and other columns are ignored.
     """
     rows = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("body"))
@@ -179,7 +248,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", te
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", min_overlap: int = 12,
-                      min_tokens: int = 8, block_tokens: int = 1_000_000) -> DataFrame:
+                      min_tokens: int = 1, block_tokens: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows that hold a passage of a test item, same columns.
 
     The rule of ``find_overlaps`` as a filter: map-side only, no row moves.

@@ -87,3 +87,45 @@ def test_nulls_repeats_empty_tables_and_other_columns(spark):
     assert clean.columns == docs.columns and sorted(r["doc_id"] for r in clean.collect()) == [2, 3]
     assert D.find_overlaps(docs.limit(0), tests).count() == 0
     assert D.drop_contaminated(docs, tests.limit(0)).count() == 5
+
+
+def find(item, text):
+    h = D.WordHashes()
+    return [(f[0], f[1]) for f in D.overlaps(D.Index([(7, item)], 1), h.array(D.tokens(text)), 12)]
+
+
+def test_short_items_are_searched_whole():
+    rng = random.Random(3)
+    around = " ".join(words(rng, 30))
+    for n in range(1, 16):
+        item = words(rng, n)
+        assert find(" ".join(item), f"{around} {' '.join(item)} {around}") == [(7, n)], n
+        for p in range(n):
+            copy = [*item[:p], "zzz", *item[p + 1:]]
+            found = find(" ".join(item), f"{around} {' '.join(copy)} {around}")
+            assert found == ([(7, n - 1)] if n >= 5 else []), (n, p)
+        assert find(" ".join(item), around) == []
+
+
+def test_two_and_three_substitutions_in_short_items():
+    rng = random.Random(5)
+    for n in range(10, 16):
+        item = words(rng, n)
+        for a in range(n):
+            for b in range(a):
+                copy = ["zzz" if k in (a, b) else x for k, x in enumerate(item)]
+                assert find(" ".join(item), "u " + " ".join(copy) + " v") == [(7, n - 2)], (n, a, b)
+
+
+def test_scripts_without_spaces_are_read_by_character():
+    for item in ("下列哪一个城市是中华人民共和国的首都并且位于华北平原", "にほんのしゅとはどこですか", "เมืองหลวงของประเทศไทยคือเมืองใด"):
+        assert len(D.tokens(item)) >= 12
+        assert find(item, f"abc {item} def") and not find(item, item[:4])
+        assert find(item, item[:6] + "ㄅ" + item[7:])
+    assert D.tokens("GPT4是a_b模型 Été") == ["gpt4", "是", "a_b", "模", "型", "été"]
+
+
+def test_every_short_item_is_found_by_default(spark):
+    docs = spark.createDataFrame([(1, "so it is forty two indeed"), (2, "nothing here")], "doc_id long, text string")
+    tests = spark.createDataFrame([(9, "Forty two")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_ids"]) for r in D.find_overlaps(docs, tests).collect()) == [(1, [9]), (2, [])]
