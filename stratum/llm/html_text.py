@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea select title xmp noembed noframes".split())
-NEVER_TEXT = frozenset("head nav footer aside form button dialog menu label fieldset figcaption".split())
+RAW = frozenset("script style noscript template iframe svg textarea select title xmp noembed noframes".split())
+NEVER_TEXT = frozenset("head nav footer aside form button menu annotation annotation-xml".split())
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td "
                    "tfoot th thead tr ul").split())
@@ -45,10 +45,10 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?|\Z", re.I) for t in RAW}
 class Node:
     """An element: its tag, children (nodes and strings in page order), and the sums over its subtree."""
 
-    __slots__ = ("tag", "parent", "children", "other", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "children", "other", "marked", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
 
     def __init__(self, tag: str, parent: Node | None, other: bool = False):
-        self.tag, self.parent, self.other, self.children = tag, parent, other, []
+        self.tag, self.parent, self.other, self.children, self.marked = tag, parent, other, [], 0.0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.density_sum = 0.0
 
@@ -63,21 +63,50 @@ def _is_other(tag: str, attrs: str, parent: Node) -> bool:
                 return False
             p = p.parent
         return True
+    if tag == "dialog" and not any(name.lower() == "open" for name, *_ in ATTR.findall(attrs)):
+        return True           # not shown, like what is hidden
     if not attrs or tag in ("html", "body"):
         return False
     for name, a, b, c in ATTR.findall(attrs):
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and "true" in (a, b, c)):
             return True
-        if name in ("class", "id", "role") and tag != "main":
+        if name == "style" and "display:none" in (a or b or c).replace(" ", "").lower():
+            return True
+    return False
+
+
+def _marked(tag: str, attrs: str) -> float:
+    """The share of the page's prose up to which a node is furniture by its class, id or role; 0 without such a word.
+
+    A whole class word says more than a part of one ("category-social",
+    "side-by-side"); an article is furniture by whole words only.
+    """
+    if not attrs or tag in ("html", "body", "main"):
+        return 0.0
+    whole, part = (0.5, 0.0) if tag == "article" else (0.9, 0.5)
+    share = 0.0
+    for name, a, b, c in ATTR.findall(attrs):
+        if name.lower() in ("class", "id", "role"):
             for word in entities.unescape(a or b or c).split():
                 m = OTHER.search(word)
                 # "with-sidebar" is a layout, and an "entry-header" holds the article's title
                 if m and not LAYOUT.match(word) and not (m[1].lower() in ("header", "head") and ARTICLE.search(word)):
-                    return True
-        if name == "style" and "display:none" in (a or b or c).replace(" ", "").lower():
-            return True
-    return False
+                    share = max(share, whole if m[0] == word else part)
+    return share
+
+
+def _settle(root: Node) -> None:
+    """Decides which marked nodes are furniture: those that do not hold most of the page's prose (text outside links)."""
+    nodes, prose = _order(root), {}
+    if not any(x.marked for x in nodes):
+        return
+    for node in reversed(nodes):
+        prose[node] = 0 if node.other or node.tag == "a" else sum(
+            len("".join(x.split())) if isinstance(x, str) else prose[x] for x in node.children)
+    for node in nodes:            # parents first
+        if node.tag != "main" and node.parent is not None and not node.other:
+            node.other = node.parent.other or (node.marked > 0 and prose[node] <= node.marked * prose[root])
 
 
 def parse(page: str) -> Node:
@@ -117,9 +146,12 @@ def parse(page: str) -> Node:
             cur.children.append(Node(tag, cur, True))
             continue
         node = Node(tag, cur, tag != "main" and (cur.other or _is_other(tag, m[3], cur)))
+        if not node.other:
+            node.marked = _marked(tag, m[3])
         cur.children.append(node)
         if tag not in VOID and not (m[3].rstrip().endswith("/") and tag not in BLOCK):
             cur = node
+    _settle(root)
     return root
 
 

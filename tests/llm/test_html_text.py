@@ -31,6 +31,25 @@ def test_article_without_furniture(html):
     assert H.main_text(html) == WANT
 
 
+@pytest.mark.parametrize("html", [
+    page(f"{NAV}<article class='post category-social'>{ARTICLE}</article><div class='sidebar'><p>Side text</p></div>"),
+    page(f"{NAV}<article class='post tag-search'>{ARTICLE}<div class='post-comments'><p>First!</p></div></article>"),
+    page(f"{NAV}<div class='side-by-side'>{ARTICLE}</div><div class='social-share'><p>Share this</p></div>"),
+    page(f"{NAV}<div class='overlay'>{ARTICLE}</div>"),
+    page(f"<main>{ARTICLE}<article class='comment'><p>Nice post!</p></article><dialog><p>Closed</p></dialog></main>"),
+])
+def test_class_words_do_not_remove_the_article(html):
+    assert H.main_text(html) == WANT
+
+
+def test_everything_shown_inside_the_article_is_kept():
+    html = page(f"{NAV}<article>{ARTICLE}<figure><img src=x><figcaption>A caption</figcaption></figure><p><label>Term</label> one</p>"
+                "<fieldset><p>Boxed</p></fieldset><dialog open><p>Said</p></dialog>"
+                "<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be</p>"
+                "<p><object data=y>fallback</object> <canvas>drawn</canvas></p></article>")
+    assert H.main_text(html) == "\n".join([WANT, "A caption", "Term one", "Boxed", "Said", "Let x=1 be", "fallback drawn"])
+
+
 def test_references_white_space_and_blocks():
     html = page("<article><h1>A &amp; B</h1><p>one\n  <b>two</b>\tthree<br>four &lt;x&gt; &#233;&#x41;</p><ul><li>i<li>ii</ul></article>")
     assert H.main_text(html) == "A & B\none two three four <x> éA\ni\nii"
