@@ -350,6 +350,19 @@ def _shared(signed: DataFrame, support: float) -> DataFrame:
     return signed.join(hot, "sig", "left_semi").unionByName(cold)
 
 
+def _different(members: DataFrame) -> DataFrame:
+    """(n, bucket): the rows of each bucket of (sig, doc_id) with two documents or more, one signature for equal buckets.
+
+    Hashes of the documents are summed in two halves, which no number of rows
+    overflows; documents that repeat do not cancel as in an exclusive or.
+    """
+    h = F.xxhash64("doc_id")
+    return (members.groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                       F.sum(F.shiftrightunsigned(h, 32)).alias("x"),
+                                       F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("y")).where("lo < hi")
+            .groupBy("n", "lo", "hi", "x", "y").agg(F.min("sig").alias("bucket")).select("n", "bucket"))
+
+
 def _in_blocks(rows: DataFrame, key: str) -> DataFrame:
     """Deals the members of every group (``key``, with column blocks) to the tasks of all pairs of its blocks."""
     return (rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -415,10 +428,7 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
 
     # buckets with the same documents are one: each is kept under one signature
     members = stored(members, "join-members")
-    buckets = (members.groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                          F.bit_xor(F.xxhash64("doc_id")).alias("x")).where("lo < hi")
-               .groupBy("n", "lo", "hi", "x").agg(F.min("sig").alias("bucket"))
-               .select("bucket", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks")))
+    buckets = _different(members).select("bucket", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks"))
     by_doc = (named.where("doc_id IS NOT NULL").join(nodes, ["k1", "k2"])
               .select("doc_id", "node", "n_shingles", "sketch").dropDuplicates(["doc_id", "node"]))
     placed = members.join(buckets, members["sig"] == buckets["bucket"]).join(by_doc, "doc_id")

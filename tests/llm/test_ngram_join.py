@@ -115,3 +115,22 @@ def test_sketches_never_differ_more_than_their_sets():
         b = np.unique(np.concatenate([a[rng.random(len(a)) < .9], rng.integers(0, 2**63, 20, dtype=np.uint64) * np.uint64(2)]))
         bits = np.bitwise_count(np.frombuffer(N.sketch(a), np.uint8) ^ np.frombuffer(N.sketch(b), np.uint8)).sum()
         assert bits <= len(np.setxor1d(a, b))
+
+
+def test_buckets_of_repeated_rows_stay_apart(spark):
+    groups = {3: [1, 5, 9], 4: [1, 6, 9], 5: [1, 5, 9], 6: [1, 2], 7: [4]}
+    members = spark.createDataFrame([(sig, d) for sig, docs in groups.items() for d in docs * 2], "sig long, doc_id long")
+    assert sorted((r["bucket"], r["n"]) for r in N._different(members).collect()) == [(3, 6), (4, 6), (6, 4)]
+
+
+def test_repeated_rows_leave_the_components_as_they_are(spark):
+    rng, rows = random.Random(21), []
+    for g in range(40):
+        body = [f"g{g}w{rng.randrange(10 ** 6)}" for _ in range(30)]
+        for k in range(5):
+            copy = body if k < 2 else [w if rng.random() > 0.02 else f"x{rng.randrange(10 ** 6)}" for w in body]
+            rows.append((10 * g + k, " ".join(copy)))
+    one, two = (spark.createDataFrame(x, "doc_id long, text string") for x in (rows, rows * 2))
+    rule = N.Rule(3, 70, 100)
+    got = [{(r["doc_id"], r["component_id"], r["n_links"]) for r in N.join_components(d, rule).collect()} for d in (one, two)]
+    assert got[0] == got[1]
