@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import chat, decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets, suffix_dedup, toxicity
+from stratum.llm import bpe, chat, decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, secrets, suffix_dedup, toxicity
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op10(spark, sf_dir):
 @query("op2_suffix_dedup")
 def op2(spark, sf_dir):
     return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query("op12_bpe")
+def op12(spark, sf_dir):
+    import public_tokenizers
+    return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))

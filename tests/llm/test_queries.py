@@ -21,8 +21,8 @@ TYPES = {"n_chars": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spa
          "group_size": "bigint", "kept": "boolean"}
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12]
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.split("_")[0] in CONTRACT))
