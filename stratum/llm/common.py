@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.session import scratch_path
@@ -157,6 +157,43 @@ def heavy_values(df: DataFrame, col: str, support: float) -> DataFrame:
     return found.select(F.explode("v_freqItems").alias(col)).where(F.col(col).isNotNull()).distinct()
 
 
+def ranked(df: DataFrame, group: list[str], order: list[Column], label: str, index: str = "idx", size: str = "n") -> DataFrame:
+    """``df`` stored, with each row's 0-based place (``index``) in its ``group`` by ``order`` and the group's row count (``size``).
+
+    Rows are sorted over range partitions, so a group that holds most of the
+    table spreads over tasks.  Only the counts per (partition, group) are
+    summed up: as many rows as there are partitions and groups.  Nulls in
+    ``group`` form one group.
+    """
+    keys = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    rows = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), label)
+    rows = rows.withColumn("_key", F.struct(F.shiftright("_at", 33).alias("pid"), F.struct(F.lit(0), *group).alias("g")))
+    counts = rows.groupBy("_key").agg(F.min("_at").alias("first"), F.count("*").alias("c"))
+    whole = Window.partitionBy("_key.g")
+    before = F.sum("c").over(whole.orderBy("_key.pid").rowsBetween(Window.unboundedPreceding, -1))
+    base = stored(counts.select("_key", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("_base"),
+                                F.sum("c").over(whole).alias(size)), f"{label}-places")
+    if base.count() <= 100_000:                          # a row a partition and group: small enough for every task
+        base = F.broadcast(base)
+    return rows.join(base, "_key").withColumn(index, F.col("_at") + F.col("_base")).drop("_key", "_at", "_base")
+
+
+def heavy_join(rows: DataFrame, to: DataFrame, keys: list[str], counts: DataFrame, hot: int = 256) -> DataFrame:
+    """``rows`` left-joined with ``to``, whose ``keys`` are unique; ``counts`` says how many rows (c) have each key.
+
+    Keys that more than 1/``hot`` of the rows have, fewer than ``hot`` of them,
+    are broadcast, so their rows stay where they are; the others are joined by
+    shuffle, where no key weighs more than that.
+    """
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    often = counts.where(F.col("c") * hot > total).select(*keys)
+    few = to.join(F.broadcast(often), keys, "left_semi").withColumn("_often", F.lit(True))
+    split = rows.join(F.broadcast(few), keys, "left")
+    new = [c for c in to.columns if c not in keys]
+    rest = split.where("_often IS NULL").drop("_often", *new).join(to, keys, "left")
+    return split.where("_often").drop("_often").unionByName(rest)
+
+
 def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node each node of ``edges`` (a, b) is connected to.
 

@@ -14,15 +14,17 @@ CONTRACT = {
     "op6": ("documents", ["doc_id", "n_shingles", "component_id"]),
     "op7": ("documents", ["doc_id"]),
     "op8": ("documents", ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]),
+    "op12": ("documents", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
+    "op13": ("documents", ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]),
     "op9": ("documents", ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]),
 }
 TYPES = {"n_chars": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "held_out": "boolean", "score": "double",
          "predicted": "int", "n_shingles": "bigint", "component_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint",
-         "group_size": "bigint", "kept": "boolean"}
+         "group_size": "bigint", "kept": "boolean", "n_tokens": "bigint", "verified": "boolean"}
 
 
 def test_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.split("_")[0] in CONTRACT))
