@@ -1,9 +1,9 @@
 """Per-entity statistics over sequences and candidate sets.
 
 Everything here is a grouped aggregate or a narrow projection: no entity is
-materialised as a Python object.  Exact medians use Spark's ``median``
-(holistic: one group's values meet in one task) and are confined to bounded
-subsets where possible (tails, thirds of the known zone).
+materialised as a Python object.  Exact medians go through
+``quantiles.grouped_medians``; Spark's holistic ``median`` is left to subsets
+of fixed size (the last k rows of an entity).
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.quantiles import grouped_medians
+from stratum.session import cut_lineage
+
 
 def entity_summary(df: DataFrame, entity: str, cols: Sequence[str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -111,19 +114,20 @@ def segment_offsets(df: DataFrame, entity: str, idx: str, known: Column, y: str,
         kn = kn.withColumn("_n", F.col(n_known))
     else:
         kn = kn.join(kn.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")), entity)
-    kn = kn.withColumn("_b", F.col(y) + F.col(z) - F.col(surface))
+    # narrow and stored: the weighted mean and the medians' two passes read it
+    kn = cut_lineage(kn.select(entity, "_j", "_n", (F.col(y) + F.col(z) - F.col(surface)).alias("_b")))
     t1 = F.floor(F.col("_n") / 3)
     t2 = F.floor(F.col("_n") * 2 / 3)
     j = F.col("_j")
     late = F.exp(F.lit(growth) * (j - (F.col("_n") - 1)))
-    g = kn.groupBy(entity).agg(
-        F.first("_n").alias("_n"),
-        F.median("_b").alias("b_full"),
-        F.median(F.when(j >= F.greatest(F.col("_n") - tail, F.lit(0)), F.col("_b"))).alias("_late"),
-        F.median(F.when(j < F.greatest(t1, F.lit(1)), F.col("_b"))).alias("_early"),
-        F.median(F.when((j >= t1) & (j < F.greatest(t1 + 1, t2)), F.col("_b"))).alias("_mid"),
-        # relative to the last row: the same ratio, and no weight exceeds 1
-        (F.sum(late * F.col("_b")) / F.sum(late)).alias("b_wls"))
+    # relative to the last row: the same ratio, and no weight exceeds 1
+    g = kn.groupBy(F.struct(entity).alias("_e")).agg(F.max("_n").alias("_n"), (F.sum(late * F.col("_b")) / F.sum(late)).alias("b_wls"))
+    med = grouped_medians(kn, [entity], {
+        "b_full": "_b",
+        "_late": F.when(j >= F.greatest(F.col("_n") - tail, F.lit(0)), F.col("_b")),
+        "_early": F.when(j < F.greatest(t1, F.lit(1)), F.col("_b")),
+        "_mid": F.when((j >= t1) & (j < F.greatest(t1 + 1, t2)), F.col("_b"))})
+    g = med.join(g, F.struct(entity) == F.col("_e"))
     n_ = F.col("_n")
     return g.select(
         entity, "b_full",

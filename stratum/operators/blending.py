@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.matching import interp_lookup
+from stratum.operators.quantiles import grouped_medians
 from stratum.operators.sequence import DEFAULT_BLOCK, halo_blocks, own_rows
 from stratum.session import cut_lineage
 
@@ -255,13 +256,12 @@ def _solve_rows(sums: DataFrame, key: str, deg: int) -> DataFrame:
     return sums.select(key, *[f"_p{j}" for j in range(2 * deg + 1)], *[f"_q{j}" for j in range(k)]).mapInPandas(solve, schema)
 
 
-def _fit_round(d: DataFrame, key: str, s: str, y: str, w: Column | None, deg: int) -> DataFrame:
+def _fit_coefficients(d: DataFrame, key: str, s: str, y: str, w: Column | None, deg: int) -> DataFrame:
+    """(key, c0 .. c_deg): the weighted least-squares polynomial of y on s per key, from power sums."""
     ww = w if w is not None else F.lit(1.0)
     aggs = [F.sum(ww * F.pow(F.col(s), j)).alias(f"_p{j}") for j in range(2 * deg + 1)]
     aggs += [F.sum(ww * F.pow(F.col(s), j) * F.col(y)).alias(f"_q{j}") for j in range(deg + 1)]
-    coef = _solve_rows(d.groupBy(key).agg(*aggs), key, deg)
-    fit = sum(F.col(f"c{j}") * F.pow(F.col(s), j) for j in range(deg + 1))
-    return d.drop(*[c for c in d.columns if c.startswith("c") and c[1:].isdigit()]).join(coef, key).withColumn("_fit", fit)
+    return _solve_rows(d.groupBy(key).agg(*aggs), key, deg)
 
 
 def robust_poly_project(df: DataFrame, entity: str, s: str, y: str, out: str, deg: int = 4, rounds: int = 4,
@@ -272,8 +272,10 @@ def robust_poly_project(df: DataFrame, entity: str, s: str, y: str, out: str, de
     (1 / (1 + (r / (2 * 1.4826 * MAD)))^2)^2 — the square because residual
     weights apply to unsquared residuals.  Output = raw_share * y +
     (1 - raw_share) * fit; entities with fewer than deg + 2 rows (or failing
-    ``eligible``) keep y.  Each round's fit is a grouped aggregation plus a
-    per-entity median; lineage is cut every round at scale via checkpoint().
+    ``eligible``) keep y.
+
+    The rows are stored once, narrow.  What a round hands on is one row per
+    entity, coefficients and MAD; residuals are recomputed from it.
     """
     n = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
     d = df.join(n, entity)
@@ -281,18 +283,19 @@ def robust_poly_project(df: DataFrame, entity: str, s: str, y: str, out: str, de
     if eligible is not None:
         ok = ok & eligible
     d = d.withColumn("_ok", ok)
-    fitd = cut_lineage(d.filter("_ok"))
-    cur = _fit_round(fitd, entity, s, y, None, deg)
+    base = cut_lineage(d.filter("_ok").select(entity, F.col(s).alias("_s"), F.col(y).alias("_y")))
+    fit = sum(F.col(f"c{j}") * F.pow(F.col("_s"), j) for j in range(deg + 1))
+    state = cut_lineage(_fit_coefficients(base, entity, "_s", "_y", None, deg))
     for _ in range(rounds):
-        # each round reads the previous one twice (fit + median): cut lineage so
-        # the plan stays linear in the number of rounds
-        cur = cut_lineage(cur.withColumn("_res", F.col(y) - F.col("_fit")))
-        mad = cur.groupBy(entity).agg(F.median(F.abs("_res")).alias("_mad"))
-        cur = cur.drop("_fit").join(mad, entity)
+        res = base.join(state, entity).select(entity, "_s", "_y", (F.col("_y") - fit).alias("_res"))
+        mad = grouped_medians(res, [entity], {"_mad": F.abs("_res")})
+        state = cut_lineage(state.join(mad, entity))
         sc = F.col("_mad") * 1.4826 + F.lit(1e-6)
-        w1 = F.lit(1.0) / (F.lit(1.0) + F.pow(F.col("_res") / (F.lit(2.0) * sc), 2))
-        cur = _fit_round(cur.withColumn("_w", w1 * w1).drop("_mad", "_res"), entity, s, y, F.col("_w"), deg).drop("_w")
-    res = cur.withColumn(out, F.lit(raw_share) * F.col(y) + F.lit(1.0 - raw_share) * F.col("_fit"))
+        w1 = F.lit(1.0) / (F.lit(1.0) + F.pow((F.col("_y") - fit) / (F.lit(2.0) * sc), 2))
+        weighted = base.join(state, entity).withColumn("_w", w1 * w1).select(entity, "_s", "_y", "_w")
+        state = cut_lineage(_fit_coefficients(weighted, entity, "_s", "_y", F.col("_w"), deg))
+    fitted = d.filter("_ok").join(state, entity).withColumn("_s", F.col(s))
+    res = fitted.withColumn(out, F.lit(raw_share) * F.col(y) + F.lit(1.0 - raw_share) * fit)
     keep = [c for c in df.columns] + [out]
     skipped = d.filter(~F.col("_ok")).withColumn(out, F.col(y))
     return res.select(*keep).unionByName(skipped.select(*keep))

@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.scalar import let, znorm_fixed
+from stratum.operators.quantiles import grouped_medians
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
+from stratum.session import cut_lineage
 
 
 def _cpu_partitions(df: DataFrame) -> int:
@@ -216,8 +218,12 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
 
 
 def median_gate(df: DataFrame, entity: str, err: str, cand: str, prior: str, out: str, slack: float = 1.5) -> DataFrame:
-    """Accept a match when err <= slack * the entity's median valid err, else keep the prior."""
-    med = df.groupBy(entity).agg(F.median(err).alias("_med"))
+    """Accept a match when err <= slack * the entity's median valid err, else keep the prior.
+
+    ``df`` is stored first: the match behind it is computed once, not once per pass.
+    """
+    df = cut_lineage(df)
+    med = grouped_medians(df, [entity], {"_med": err})
     j = df.join(med, entity, "left")
     keep = F.col(err).isNotNull() & (F.col(err) <= F.col("_med") * F.lit(slack))
     return j.withColumn(out, F.when(keep, F.col(cand)).otherwise(F.col(prior))).drop("_med")

@@ -1,10 +1,14 @@
-"""Error metrics and rankings (all algebraic aggregates)."""
+"""Error metrics and rankings: algebraic aggregates, two-pass medians and range scans."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.quantiles import grouped_medians
+from stratum.operators.scan import range_scan
+from stratum.session import cut_lineage
+
 
 def sq_err(y: str, p: str):
     return F.pow(F.col(y) - F.col(p), 2)
@@ -17,10 +21,13 @@ def entity_rmse(df: DataFrame, entity: str, y: str, p: str) -> DataFrame:
 
 def pooled_rmse(df: DataFrame, entity: str, y: str, p: str) -> DataFrame:
     """Pooled RMSE over all rows, median of per-entity RMSE, counts."""
-    per = entity_rmse(df, entity, y, p)
-    pooled = df.agg(F.sqrt(F.avg(sq_err(y, p))).alias("rmse"), F.count(F.lit(1)).alias("n_rows"))
-    med = per.agg(F.median("rmse").alias("median_entity_rmse"), F.count(F.lit(1)).alias("n_entities"))
-    return pooled.crossJoin(med)  # 1 x 1 rows
+    # sums per entity, stored: the pooled figure and the median's two passes read a row per entity
+    per = cut_lineage(df.groupBy(entity).agg(F.sum(sq_err(y, p)).alias("_ss"), F.count(sq_err(y, p)).alias("_m"),
+                                             F.count(F.lit(1)).alias("_n")))
+    pooled = per.agg(F.sqrt(F.sum("_ss") / F.nullif(F.sum("_m"), F.lit(0))).alias("rmse"), F.sum("_n").alias("n_rows"),
+                     F.count(F.lit(1)).alias("n_entities"))
+    med = grouped_medians(per, [], {"median_entity_rmse": F.sqrt(F.col("_ss") / F.nullif(F.col("_m"), F.lit(0)))})
+    return pooled.crossJoin(med).select("rmse", "n_rows", "median_entity_rmse", "n_entities")  # 1 x 1 rows
 
 
 def best_worst_k(per_entity: DataFrame, entity: str, score: str, k: int = 5) -> DataFrame:
@@ -39,15 +46,11 @@ def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
 def running_share(per_entity: DataFrame, entity: str, err: str) -> DataFrame:
     """Entities by error desc: cumulative share of squared error vs share of entities.
 
-    The input has one row per entity and the running sum needs a single global
-    order; it runs on the small per-entity table (one row per entity).
+    Rank and running sum come from a range scan, so the number of entities may be large.
     """
-    w = Window.orderBy(F.col(err).desc(), F.col(entity).asc())
-    cum = w.rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy()
     sq = F.pow(F.col(err), 2)
-    return per_entity.select(
-        entity, err,
-        F.row_number().over(w).cast("long").alias("rank"),
-        (F.row_number().over(w) / F.count(F.lit(1)).over(tot)).alias("entity_share"),
-        (F.sum(sq).over(cum) / F.sum(sq).over(tot)).alias("sq_err_share"))
+    s = range_scan(per_entity.select(entity, err), [], [F.col(err).desc(), F.col(entity).asc()], "_i", "_n", {"_cum": sq})
+    total = s.agg(F.sum(sq).alias("_tot"))               # one row
+    return s.crossJoin(F.broadcast(total)).select(
+        entity, err, (F.col("_i") + 1).alias("rank"), ((F.col("_i") + 1) / F.col("_n")).alias("entity_share"),
+        (F.col("_cum") / F.col("_tot")).alias("sq_err_share"))

@@ -1,8 +1,10 @@
 """Table profiles: one aggregation pass per table, unpivoted with ``stack``.
 
-Distinct counts are exact by default (``countDistinct``); pass
-``approx=True`` on very large tables to switch to HyperLogLog sketches,
-which merge map-side and keep the pass shuffle-light.
+Exact distinct counts of all columns take one narrow shuffle: cells become
+(column number, 128-bit value digest), repeated cells fall away map-side, and
+what is left is counted.  Rows are never copied whole per column, as several
+``countDistinct`` in one aggregate would.  Pass ``approx=True`` to switch to
+HyperLogLog sketches, whose size does not depend on the number of values.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from stratum.operators.quantiles import grouped_quantiles
+
 
 def _stack(df: DataFrame, names: Sequence[str], cols_per: Sequence[Sequence[str]], out: Sequence[str]) -> DataFrame:
     parts = []
@@ -23,14 +27,21 @@ def _stack(df: DataFrame, names: Sequence[str], cols_per: Sequence[Sequence[str]
     return df.selectExpr(expr)
 
 
-def _ndistinct(c: str, approx: bool):
-    return F.approx_count_distinct(c) if approx else F.countDistinct(c)
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """(column_name, n_unique): distinct non-null values per column; a column without any has 0."""
+    if approx:
+        agg = df.agg(*[F.approx_count_distinct(c).cast("long").alias(f"u_{c}") for c in cols])
+        return _stack(agg, cols, [[f"u_{c}"] for c in cols], ["column_name", "n_unique"])
+    cells = F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("c"), F.xxhash64(c).alias("h1"),
+                                                            F.xxhash64(F.lit("second"), c).alias("h2"))) for i, c in enumerate(cols)])
+    seen = df.select(F.explode(cells).alias("cell")).where("cell IS NOT NULL").select("cell.*").distinct()
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "c int, column_name string")     # a row per column
+    return (names.join(seen.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "c", "left")
+            .select("column_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_unique")))
 
 
 def distinct_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    cols = df.columns
-    agg = df.agg(*[_ndistinct(c, approx).cast("long").alias(f"u_{c}") for c in cols])
-    return _stack(agg, cols, [[f"u_{c}"] for c in cols], ["column_name", "n_unique"])
+    return distinct_counts(df, df.columns, approx)
 
 
 TYPE_NAMES = {Ty.LongType: "long", Ty.IntegerType: "int", Ty.DoubleType: "double", Ty.StringType: "string",
@@ -47,15 +58,14 @@ def profile_table(df: DataFrame, approx: bool = False) -> DataFrame:
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
-        aggs += [_ndistinct(c, approx).cast("long").alias(f"u_{c}"),
-                 F.count_if(F.col(c).isNull()).cast("long").alias(f"m_{c}")]
+        aggs.append(F.count_if(F.col(c).isNull()).cast("long").alias(f"m_{c}"))
     agg = df.agg(*aggs)
     types = {f.name: type_name(f.dataType) for f in df.schema.fields}
     parts = []
     for c in cols:
-        parts += [f"'{c}'", f"'{types[c]}'", f"`u_{c}`", f"`m_{c}`"]
-    st = agg.selectExpr("_n", f"stack({len(cols)}, {', '.join(parts)}) as (column_name, dtype, n_unique, missing)")
-    return st.select("column_name", "dtype", "n_unique", "missing",
+        parts += [f"'{c}'", f"'{types[c]}'", f"`m_{c}`"]
+    st = agg.selectExpr("_n", f"stack({len(cols)}, {', '.join(parts)}) as (column_name, dtype, missing)")
+    return st.join(distinct_counts(df, cols, approx), "column_name").select("column_name", "dtype", "n_unique", "missing",
                      F.round(F.col("missing") * 100.0 / F.col("_n"), 2).alias("missing_pct"))
 
 
@@ -85,17 +95,16 @@ def quality_flags(df: DataFrame, numeric: Sequence[str], other: Sequence[str], s
     """Per column: |adjusted skew| > 1.5, missing share > 5 %, non-numeric n_unique > 30."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in numeric:
-        aggs += [adjusted_skewness(c).alias(f"s_{c}"), F.count_if(F.col(c).isNull()).alias(f"m_{c}"),
-                 F.countDistinct(c).alias(f"u_{c}")]
+        aggs += [adjusted_skewness(c).alias(f"s_{c}"), F.count_if(F.col(c).isNull()).alias(f"m_{c}")]
     for c in other:
-        aggs += [F.lit(None).cast("double").alias(f"s_{c}"), F.count_if(F.col(c).isNull()).alias(f"m_{c}"),
-                 F.countDistinct(c).alias(f"u_{c}")]
+        aggs += [F.lit(None).cast("double").alias(f"s_{c}"), F.count_if(F.col(c).isNull()).alias(f"m_{c}")]
     agg = df.agg(*aggs)
     cols = list(numeric) + list(other)
     parts = []
     for c in cols:
-        parts += [f"'{c}'", "true" if c in numeric else "false", f"`s_{c}`", f"`m_{c}`", f"`u_{c}`"]
-    st = agg.selectExpr("_n", f"stack({len(cols)}, {', '.join(parts)}) as (column_name, is_numeric, skew, missing, n_unique)")
+        parts += [f"'{c}'", "true" if c in numeric else "false", f"`s_{c}`", f"`m_{c}`"]
+    st = agg.selectExpr("_n", f"stack({len(cols)}, {', '.join(parts)}) as (column_name, is_numeric, skew, missing)")
+    st = st.join(distinct_counts(df, cols), "column_name")
     return st.select(
         "column_name", "skew",
         (F.col("is_numeric") & (F.abs(F.col("skew")) > skew_limit)).alias("skewed"),
@@ -135,8 +144,7 @@ def rate_by_category(df: DataFrame, cat: str, target: str, z: float = 1.96) -> D
 
 def box_stats_by_class(df: DataFrame, cls: str, c: str) -> DataFrame:
     """Quartiles and 1.5*IQR whiskers per class (whisker = most extreme value within the fence)."""
-    q = df.groupBy(cls).agg(F.percentile(c, 0.25).alias("q1"), F.median(c).alias("q2"),
-                            F.percentile(c, 0.75).alias("q3"))
+    q = grouped_quantiles(df, [cls], {"q1": (c, 0.25), "q2": (c, 0.5), "q3": (c, 0.75)})
     j = df.join(q, cls)
     iqr = F.col("q3") - F.col("q1")
     lo = F.min(F.when(F.col(c) >= F.col("q1") - 1.5 * iqr, F.col(c)))

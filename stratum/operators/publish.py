@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.scalar import finite
+from stratum.operators.quantiles import grouped_quantiles
 
 
 def dedupe_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -112,9 +113,9 @@ def blend_report(df: DataFrame, a: str, b: str, baseline: str, weights: Sequence
     """Per weight w of blend = w*a + (1-w)*b: rows, mean, std (ddof 1), RMSE vs baseline, p95 |diff|."""
     x = cross_weights(df, weights).withColumn("_p", F.col("w") * F.col(a) + (1 - F.col("w")) * F.col(b))
     d = F.col("_p") - F.col(baseline)
-    return x.groupBy("w").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("_p").alias("mean"),
-                              F.stddev_samp("_p").alias("std"), F.sqrt(F.avg(d * d)).alias("rmse_vs_base"),
-                              F.percentile(F.abs(d), 0.95).alias("p95_abs_diff"))
+    stats = x.groupBy("w").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("_p").alias("mean"),
+                               F.stddev_samp("_p").alias("std"), F.sqrt(F.avg(d * d)).alias("rmse_vs_base"))
+    return stats.join(grouped_quantiles(x, ["w"], {"p95_abs_diff": (F.abs(d), 0.95)}), "w")
 
 
 def run_leaderboard(runs: DataFrame, keys: Sequence[str], score: str, higher_is_better: bool = True) -> DataFrame:

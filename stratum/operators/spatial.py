@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.quantiles import grouped_medians
 from stratum.session import cut_lineage
 
 
@@ -137,8 +138,7 @@ def knn_plane_impute(points: DataFrame, queries: DataFrame, entity: str, x: str,
     of the centroid surfaces.  Also returns the nearest distance.
     """
     pts = points.select(entity, x, y, *surfaces).dropna()
-    cen = pts.groupBy(entity).agg(F.median(x).alias("_cx"), F.median(y).alias("_cy"),
-                                  *[F.median(s).alias(f"_c_{s}") for s in surfaces])
+    cen = grouped_medians(pts, [entity], {"_cx": x, "_cy": y, **{f"_c_{s}": s for s in surfaces}})
     sc = scale_of(cen, "_cx", "_cy")
     cen = cen.crossJoin(F.broadcast(sc)).withColumn("_u", F.col("_cx") / F.col("_sx")).withColumn("_v", F.col("_cy") / F.col("_sy"))
     qs = queries.crossJoin(F.broadcast(sc)).withColumn("_u", F.col(qx) / F.col("_sx")).withColumn("_v", F.col(qy) / F.col("_sy"))

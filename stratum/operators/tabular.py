@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions import scalar as S
+from stratum.operators.quantiles import grouped_medians
+from stratum.operators.scan import range_scan
 
 
 def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -49,17 +51,12 @@ def collapse_infrequent(df: DataFrame, c: str, n: int, out: str | None = None, t
 
 
 def ordinal_encode(df: DataFrame, c: str, out: str) -> DataFrame:
-    """Category -> 0-based code in sorted value order.
+    """Category -> 0-based code in sorted value order; null has no code.
 
-    The ranking runs on the distinct values only (a small table), not on the
-    rows, so the global order never pulls the data into a single task.
+    The ranking runs on the distinct values, over range partitions, so a
+    column with very many of them is numbered by all tasks.
     """
-    from stratum.operators.sequence import row_index
-    codes = df.select(c).distinct().filter(F.col(c).isNotNull()).withColumn("_all", F.lit(0))
-    # dense rank = row number over the distinct values; string values are numbered in
-    # two levels (chunk = 2-character prefix, monotone in the sort order)
-    is_str = dict(df.dtypes)[c] == "string"
-    codes = row_index(codes, "_all", [c], out, chunk=F.substring(c, 1, 2) if is_str else None).drop("_all")
+    codes = range_scan(df.select(c).distinct().filter(F.col(c).isNotNull()), [], [F.col(c).asc()], out)
     return df.join(codes, c, "left")
 
 
@@ -91,7 +88,7 @@ def share_per_member(df: DataFrame, amount: str, size: str, out: str) -> DataFra
 
 def group_median_fill(df: DataFrame, key: str, c: str, out: str | None = None) -> DataFrame:
     """Null -> median of its group, computed over all rows of the group."""
-    med = df.groupBy(key).agg(F.median(c).alias("_med"))
+    med = grouped_medians(df, [key], {"_med": c})
     res = df.join(med, df[key].eqNullSafe(med[key]), "left").drop(med[key])
     return res.withColumn(out or c, F.coalesce(F.col(c), F.col("_med"))).drop("_med")
 
@@ -99,8 +96,8 @@ def group_median_fill(df: DataFrame, key: str, c: str, out: str | None = None) -
 def train_median_fill(df: DataFrame, key: str, c: str, is_train: str, out: str | None = None) -> DataFrame:
     """Null -> group median over train rows only; unseen group -> global train median."""
     tr = df.filter(F.col(is_train))
-    med = tr.groupBy(key).agg(F.median(c).alias("_gmed"))
-    glob = tr.agg(F.median(c).alias("_all"))  # one row
+    med = grouped_medians(tr, [key], {"_gmed": c})
+    glob = grouped_medians(tr, [], {"_all": c})  # one row
     res = df.join(med, key, "left").crossJoin(F.broadcast(glob))
     return (res.withColumn(out or c, F.coalesce(F.col(c), F.col("_gmed"), F.col("_all")))
             .drop("_gmed", "_all"))
@@ -121,7 +118,7 @@ def mode_fill(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
 def simple_impute(train: DataFrame, apply_to: DataFrame, numeric: Sequence[str],
                   categorical: Sequence[str]) -> DataFrame:
     """Median for numerics and most-frequent for categoricals, fitted on ``train``."""
-    fitted = train.agg(*[F.median(c).alias(f"_fit_{c}") for c in numeric]) if numeric else None
+    fitted = grouped_medians(train, [], {f"_fit_{c}": c for c in numeric}) if numeric else None
     res = apply_to
     if fitted is not None:
         res = res.crossJoin(F.broadcast(fitted))

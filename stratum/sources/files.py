@@ -117,10 +117,10 @@ def append_run_log(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame
         if e.getCondition() != "PATH_NOT_FOUND":       # only a missing log is a first write
             raise
         start = spark.createDataFrame([(-1,)], "_m long")
-    from pyspark.sql import Window
-    w = Window.orderBy("run_date", "message")  # rows of one append call (small)
-    new = rows.crossJoin(F.broadcast(start)).select(
-        (F.col("_m") + F.row_number().over(w)).cast("long").alias("seq"), "run_date", "message", "score", "status")
+    from stratum.operators.scan import range_scan
+    placed = range_scan(rows.select("run_date", "message", "score", "status"), [], [F.col("run_date").asc(), F.col("message").asc()], "_i")
+    new = placed.crossJoin(F.broadcast(start)).select(
+        (F.col("_m") + F.col("_i") + 1).cast("long").alias("seq"), "run_date", "message", "score", "status")
     new.write.mode("append").option("header", True).csv(path)
     return spark.read.schema(RUN_LOG_SCHEMA).option("header", True).csv(path).orderBy("seq")
 

@@ -34,3 +34,19 @@ def test_seq_view_reads_only_needed_columns(spark):
     from stratum.plans import views
     text = views.seq(spark, SF).select("entity", "i")._jdf.queryExecution().executedPlan().toString()
     assert "props" not in text and "event_type" not in text
+
+
+MEDIANS = ["box_stats_by_class", "blend_report", "group_median_fill", "train_median_fill", "simple_impute", "pooled_rmse", "median_gate",
+           "segment_offsets", "knn_plane_impute"]
+
+
+@pytest.mark.parametrize("name", MEDIANS)
+def test_no_holistic_percentile(spark, name):
+    """Medians and percentiles of data-sized groups go through bounded summaries, not through one map per group."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert " median(" not in plan and " percentile(" not in plan
+
+
+@pytest.mark.parametrize("name", ["distinct_profile", "profile_table", "classify_columns", "quality_flags"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in _plan(E.queries()[name](spark, SF))
