@@ -1,124 +1,150 @@
-"""Exact k-nearest-neighbour joins by grid blocking, and the imputers built on them.
-
-No all-pairs join: reference points are bucketed into square cells (size
-chosen from the reference density so a 3x3 block holds about 9k points),
-each query probes the cells within a ring of radius R around its own cell,
-and a query is final once its k-th distance is within R cells (nothing
-outside the ring can be closer).  Queries that are not final get the radius
-their k-th distance requires (exact on the next round) or, if fewer than k
-points were seen, a doubled radius.  Rounds stop when no query is pending;
-the ring is capped at the reference extent, so the result is always exact.
+"""Exact k-nearest-neighbour joins over a count-balanced tile tree, and the imputers built on them.
+
+No all-pairs join and no fixed grid.  Reference points are cut by rank, not by
+distance: slabs of equal row count along u, tiles of ``cap`` points along v in
+each slab (both by a range scan).  Only occupied tiles exist, a dense spot has
+many small ones, and a far point only stretches the one that holds it.  Sixteen
+consecutive tiles form a node of the next level, down to one root group.
+Queries are tiled the same way, and the join descends the tree level by level
+with pairs (query tile, node): of a query tile's nodes those survive whose
+least distance is at most a bound within which ``k`` eligible references are
+sure to lie.  The surviving leaves hold every neighbour, so the result is exact
+whatever the layout, and the pairs per query tile stay about constant.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.quantiles import grouped_medians
+from stratum.operators.scan import BROADCAST_ROWS, range_scan
 from stratum.session import cut_lineage
 
+FAN = 16
+QUERY_TILE = 64
 
-def _ref_stats(refs: DataFrame, u: str, v: str, k: int, cell: float | None) -> DataFrame:
-    st = refs.agg(F.min(u).alias("_u0"), F.max(u).alias("_u1"), F.min(v).alias("_v0"), F.max(v).alias("_v1"),
-                  F.count(F.lit(1)).alias("_nr"))
-    du, dv = F.col("_u1") - F.col("_u0"), F.col("_v1") - F.col("_v0")
-    if cell is not None:
-        c = F.lit(float(cell))
-    else:
-        area = F.greatest(du, F.lit(1e-12)) * F.greatest(dv, F.lit(1e-12))
-        c = F.sqrt(area * F.lit(float(k)) / F.greatest(F.col("_nr"), F.lit(1)))
-        c = F.when((du <= 0) & (dv <= 0), F.lit(1.0)).otherwise(F.greatest(c, F.greatest(du, dv) * 1e-6))
-    return st.withColumn("_cell", c)
 
+def _tiles(df: DataFrame, group: Sequence[str], u: str, v: str, cap: int, out: str) -> DataFrame:
+    """Numbers tiles of up to ``cap`` rows per group: equal slabs along u, equal runs along v inside a slab."""
+    tiles = F.ceil(F.col("_nu") / cap)
+    column = F.ceil(tiles / F.ceil(F.sqrt(tiles)))                       # tiles a slab
+    a = range_scan(df, group, [F.col(u).asc(), F.col(v).asc()], "_iu", "_nu").withColumn("_column", column)
+    a = a.withColumn("_slab", F.floor(F.col("_iu") / (F.col("_column") * cap))).drop("_iu", "_nu")
+    b = range_scan(a, [*group, "_slab"], [F.col(v).asc(), F.col(u).asc()], "_iv")
+    return b.withColumn(out, F.col("_slab") * F.col("_column") + F.floor(F.col("_iv") / cap)).drop("_slab", "_column", "_iv")
+
+
+def _valid(u: str, v: str) -> Column:
+    return F.col(u).isNotNull() & F.col(v).isNotNull() & ~F.isnan(u) & ~F.isnan(v)
 
-def knn_grid(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu: str, qv: str, ru: str, rv: str,
-             qgrp: str | None = None, rgrp: str | None = None, exclude_self_id: bool = False,
-             cell: float | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """k nearest reference rows per query: (qid, rid, dist, rank, *carry).
 
-    ``qgrp``/``rgrp`` exclude references of the query's own group; ties in
-    distance are broken by ``rid``.  ``carry`` lists reference columns to
-    return with each neighbour.
+def _few_per_spot(r: DataFrame, k: int, grouped: bool) -> DataFrame:
+    """References at one and the same spot that can be among k neighbours: the smallest ids.
+
+    They tie in distance, so of a group only its first k count, and of a spot,
+    since one group may be excluded, only the first 2k of what is left.
     """
-    stats = _ref_stats(refs.select(F.col(ru).alias("_ru"), F.col(rv).alias("_rv")), "_ru", "_rv", k, cell)
-    stats = stats.select("_cell", "_u0", "_u1", "_v0", "_v1")
-    rsel = [F.col(rid).alias("_rid"), F.col(ru).alias("_ru"), F.col(rv).alias("_rv")]
-    if rgrp:
-        rsel.append(F.col(rgrp).alias("_rgrp"))
-    rsel += [F.col(c) for c in carry]
-    r = refs.select(*rsel).crossJoin(F.broadcast(stats))  # stats: one row
-    r = r.withColumn("_cu", F.floor(F.col("_ru") / F.col("_cell"))).withColumn("_cv", F.floor(F.col("_rv") / F.col("_cell")))
-    r = r.drop("_cell", "_u0", "_u1", "_v0", "_v1")
-    qsel = [F.col(qid).alias("_qid"), F.col(qu).alias("_qu"), F.col(qv).alias("_qv")]
-    if qgrp:
-        qsel.append(F.col(qgrp).alias("_qgrp"))
-    q = queries.select(*qsel).crossJoin(F.broadcast(stats))
-    q = q.withColumn("_qcu", F.floor(F.col("_qu") / F.col("_cell"))).withColumn("_qcv", F.floor(F.col("_qv") / F.col("_cell")))
-    # ring radius that covers the whole reference box from this query's cell
-    reach = F.greatest(F.abs(F.col("_qu") - F.col("_u0")), F.abs(F.col("_qu") - F.col("_u1")),
-                       F.abs(F.col("_qv") - F.col("_v0")), F.abs(F.col("_qv") - F.col("_v1")))
-    q = q.withColumn("_rmax", (F.ceil(reach / F.col("_cell")) + 1).cast("long"))
-    # first ring: reach at least the reference box (queries outside it skip empty rounds)
-    gap = F.greatest(F.col("_u0") - F.col("_qu"), F.col("_qu") - F.col("_u1"), F.col("_v0") - F.col("_qv"),
-                     F.col("_qv") - F.col("_v1"), F.lit(0.0))
-    q = q.withColumn("_R0", F.greatest(F.lit(1), (F.ceil(gap / F.col("_cell")) + 1).cast("long")))
-    q = q.drop("_u0", "_u1", "_v0", "_v1")
-    # references a query can ever reach (all minus the excluded ones): once all
-    # of them are seen, or k are seen within the ring, the query is final
-    ntot = refs.agg(F.count(F.lit(1)).alias("_ntot"))
-    q = q.crossJoin(F.broadcast(ntot))
-    excl = F.lit(0)
-    if qgrp and rgrp:
-        gcnt = refs.groupBy(F.col(rgrp).alias("_qgrp")).agg(F.count(F.lit(1)).alias("_ng"))
-        q = q.join(gcnt, "_qgrp", "left")
-        excl = F.coalesce(F.col("_ng"), F.lit(0))
+    if grouped:
+        w = Window.partitionBy("_ru", "_rv", "_rgrp").orderBy("_rid")
+        r = r.withColumn("_t", F.row_number().over(w)).filter(F.col("_t") <= k).drop("_t")
+    w = Window.partitionBy("_ru", "_rv").orderBy("_rid")
+    return r.withColumn("_t", F.row_number().over(w)).filter(F.col("_t") <= (2 * k if grouped else k)).drop("_t")
+
+
+def _levels(r: DataFrame, fan: int) -> list[DataFrame]:
+    """Node tables from the tiles up: _node, box, _cnt, _top and _topgrp (the largest group's rows and name)."""
+    box = [F.min("_u0").alias("_u0"), F.max("_u1").alias("_u1"), F.min("_v0").alias("_v0"), F.max("_v1").alias("_v1")]
+    cells = (r.select("_rb", "_rgrp", F.col("_ru").alias("_u0"), F.col("_ru").alias("_u1"), F.col("_rv").alias("_v0"), F.col("_rv").alias("_v1"))
+             .groupBy(F.col("_rb").alias("_node"), "_rgrp").agg(F.count(F.lit(1)).alias("_c"), *box))
+    out = []
+    while True:
+        cells = cut_lineage(cells)
+        most = F.max(F.struct(F.col("_c"), F.col("_rgrp")))
+        nodes = cells.groupBy("_node").agg(F.sum("_c").alias("_cnt"), most.alias("_m"), *box)
+        out.append(cut_lineage(nodes.select("_node", "_cnt", F.col("_m._c").alias("_top"), F.col("_m._rgrp").alias("_topgrp"),
+                                            "_u0", "_u1", "_v0", "_v1")))
+        if (out[-1].agg(F.max("_node")).first()[0] or 0) < fan:
+            return out
+        cells = cells.groupBy(F.floor(F.col("_node") / fan).alias("_node"), "_rgrp").agg(F.sum("_c").alias("_c"), *box)
+
+
+def _survivors(pairs: DataFrame, need: int) -> DataFrame:
+    """Pairs of query tiles (or queries) and nodes that can hold a neighbour, with the tile's ``_bound``."""
+    def gap(axis):
+        return F.greatest(F.col(f"_q{axis}0") - F.col(f"_{axis}1"), F.col(f"_{axis}0") - F.col(f"_q{axis}1"), F.lit(0.0))
+
+    def reach(axis):
+        return F.greatest(F.col(f"_q{axis}1") - F.col(f"_{axis}0"), F.col(f"_{axis}1") - F.col(f"_q{axis}0"))
+
+    own = F.coalesce(F.col("_topgrp") == F.col("_qgrp"), F.lit(False))
+    # rows of the query's own group in a node: known for its largest group, else at most the rest or the largest
+    barred = F.when(F.col("_qgrp").isNull(), F.lit(0)).when(own, F.col("_top")).otherwise(F.least("_top", F.col("_cnt") - F.col("_top")))
+    p = pairs.withColumns({"_least": F.sqrt(gap("u") * gap("u") + gap("v") * gap("v")),
+                           "_most": F.sqrt(reach("u") * reach("u") + reach("v") * reach("v")),
+                           "_sure": F.col("_cnt") - barred})
+    p = p.filter(~(own & (F.col("_top") == F.col("_cnt"))))
+    w = Window.partitionBy("_qk")
+    upto = F.sum("_sure").over(w.orderBy("_most", "_node").rowsBetween(Window.unboundedPreceding, 0))
+    p = p.withColumn("_upto", upto)
+    p = p.withColumn("_bound", F.coalesce(F.min(F.when(F.col("_upto") >= need, F.col("_most"))).over(w), F.lit(float("inf"))))
+    return p.filter(F.col("_least") <= F.col("_bound"))
+
+
+def knn_candidates(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu: str, qv: str, ru: str, rv: str,
+                   qgrp: str | None = None, rgrp: str | None = None, exclude_self_id: bool = False, cap: int | None = None,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """(_qid, _rid, dist, *carry): few pairs per query, among them its k nearest references."""
+    grouped, need = bool(qgrp and rgrp), k + (1 if exclude_self_id else 0)
+    cap = cap or max(2 * need, 16)
+    r = refs.select(F.col(rid).alias("_rid"), F.col(ru).cast("double").alias("_ru"), F.col(rv).cast("double").alias("_rv"),
+                    (F.col(rgrp) if grouped else F.lit(None).cast("int")).alias("_rgrp"), *carry).filter(_valid("_ru", "_rv"))
+    r = _tiles(_few_per_spot(r, need, grouped), [], "_ru", "_rv", cap, "_rb")
+    q = queries.select(F.col(qid).alias("_qid"), F.col(qu).cast("double").alias("_qu"), F.col(qv).cast("double").alias("_qv"),
+                       (F.col(qgrp) if grouped else F.lit(None).cast("int")).alias("_qgrp")).filter(_valid("_qu", "_qv"))
+    # a tile of queries has one group: what is barred for one of its rows is barred for all
+    q = _tiles(q, ["_qgrp"] if grouped else [], "_qu", "_qv", QUERY_TILE, "_qt").withColumn("_qk", F.struct("_qgrp", "_qt")).drop("_qt")
+    tiles = q.groupBy("_qk").agg(F.min("_qu").alias("_qu0"), F.max("_qu").alias("_qu1"), F.min("_qv").alias("_qv0"), F.max("_qv").alias("_qv1"))
+    tiles = tiles.withColumn("_qgrp", F.col("_qk._qgrp"))
+    levels = _levels(r, FAN)
+    keep = ["_qk", "_qgrp", "_qu0", "_qu1", "_qv0", "_qv1"]
+    pairs = tiles.crossJoin(F.broadcast(levels[-1]))                     # at most FAN nodes
+    for i in range(len(levels) - 1, 0, -1):
+        up = cut_lineage(_survivors(pairs, need).select(*keep, F.col("_node").alias("_up")))
+        nodes = levels[i - 1].withColumn("_up", F.floor(F.col("_node") / FAN))
+        pairs = up.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "_up")
+    box = ["_cnt", "_top", "_topgrp", "_u0", "_u1", "_v0", "_v1"]
+    leaves = _survivors(pairs, need).select(F.col("_qk").alias("_tile"), "_node", *box)
+    # the same once more for single queries, so that the width of a query tile does not count
+    each = q.withColumnRenamed("_qk", "_tile").join(leaves, "_tile").withColumns(
+        {"_qk": F.col("_qid"), "_qu0": F.col("_qu"), "_qu1": F.col("_qu"), "_qv0": F.col("_qv"), "_qv1": F.col("_qv")})
+    near = _survivors(each, need).select("_qid", "_qu", "_qv", "_qgrp", F.col("_node").alias("_rb"), "_bound")
+    du, dv = F.col("_qu") - F.col("_ru"), F.col("_qv") - F.col("_rv")
+    cand = near.join(r, "_rb").withColumn("dist", F.sqrt(du * du + dv * dv)).filter(F.col("dist") <= F.col("_bound"))
+    if grouped:
+        cand = cand.filter(F.col("_qgrp").isNull() | ~F.col("_rgrp").eqNullSafe(F.col("_qgrp")))
     if exclude_self_id:
-        ids = refs.select(F.col(rid).alias("_qid")).distinct().withColumn("_self", F.lit(1))
-        q = q.join(ids, "_qid", "left")
-        excl = excl + F.coalesce(F.col("_self"), F.lit(0))
-    q = q.withColumn("_avail", F.col("_ntot") - excl).drop("_ntot", "_ng", "_self")
-    # both inputs are read once per round: materialise them once
-    r = cut_lineage(r)
-    q = cut_lineage(q)
-    pending = q.withColumn("_R", F.least(F.col("_R0"), F.col("_rmax"))).drop("_R0")
-    q = q.drop("_R0")
-    done = []
-    while True:  # until no query is pending: a radius grows every round and ends at _rmax
-        ring = F.sequence(-F.col("_R"), F.col("_R"))
-        probe = (pending.withColumn("_dx", F.explode(ring)).withColumn("_dy", F.explode(ring))
-                 .withColumn("_cu", F.col("_qcu") + F.col("_dx")).withColumn("_cv", F.col("_qcv") + F.col("_dy"))
-                 .drop("_dx", "_dy"))
-        cand = probe.join(r, ["_cu", "_cv"])
-        if qgrp and rgrp:
-            cand = cand.filter(~F.col("_rgrp").eqNullSafe(F.col("_qgrp")) | F.col("_qgrp").isNull())
-        if exclude_self_id:
-            cand = cand.filter(F.col("_rid") != F.col("_qid"))
-        du, dv = F.col("_qu") - F.col("_ru"), F.col("_qv") - F.col("_rv")
-        cand = cand.withColumn("dist", F.sqrt(du * du + dv * dv))
-        w = Window.partitionBy("_qid").orderBy("dist", "_rid")
-        # materialise each round's k-best (bounded: k rows per pending query) in the
-        # shared checkpoint folder, so the status check, the next round and the
-        # final union never recompute earlier rounds
-        top = cut_lineage(cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
-        summ = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_found"), F.max("dist").alias("_dk"))
-        st = pending.join(summ, "_qid", "left").withColumn("_found", F.coalesce("_found", F.lit(0)))
-        final = (((F.col("_found") >= k) & (F.col("_dk") <= F.col("_R") * F.col("_cell")))
-                 | (F.col("_found") >= F.col("_avail")) | (F.col("_R") >= F.col("_rmax")))
-        fin_ids = st.filter(final).select("_qid")
-        done.append(top.join(fin_ids, "_qid", "left_semi"))
-        nxt = st.filter(~final).withColumn(
-            "_R", F.least(F.greatest(F.col("_R") + 1, F.when(F.col("_found") >= k, F.ceil(F.col("_dk") / F.col("_cell")))
-                                     .otherwise(F.col("_R") * 2)), F.col("_rmax")).cast("long"))
-        pending = nxt.select(*q.columns, "_R")
-        if pending.isEmpty():
-            break
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(F.col("_qid").alias(qid), F.col("_rid").alias(rid), "dist", F.col("rank").cast("long"), *carry)
+        cand = cand.filter(F.col("_rid") != F.col("_qid"))
+    return cand.select("_qid", "_rid", "dist", *carry)
+
+
+def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, qu: str, qv: str, ru: str, rv: str,
+             qgrp: str | None = None, rgrp: str | None = None, exclude_self_id: bool = False, cap: int | None = None,
+             carry: Sequence[str] = ()) -> DataFrame:
+    """k nearest reference rows per query: (qid, rid, dist, rank, *carry).
+
+    ``qgrp``/``rgrp`` exclude references of the query's own group (a query
+    without a group excludes none); ties in distance are broken by ``rid``.
+    ``carry`` lists reference columns to return with each neighbour.  Rows with a
+    null or NaN coordinate have and are no neighbours; query and reference ids
+    are unique.  ``cap`` is the number of points a tile holds.
+    """
+    cand = knn_candidates(queries, refs, k, qid, rid, qu, qv, ru, rv, qgrp, rgrp, exclude_self_id, cap, carry)
+    w = Window.partitionBy("_qid").orderBy("dist", "_rid")
+    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return top.select(F.col("_qid").alias(qid), F.col("_rid").alias(rid), "dist", F.col("rank").cast("long").alias("rank"), *carry)
 
 
 def scale_of(df: DataFrame, x: str, y: str, min_std: float = 1e-3) -> DataFrame:
@@ -143,7 +169,7 @@ def knn_plane_impute(points: DataFrame, queries: DataFrame, entity: str, x: str,
     cen = cen.crossJoin(F.broadcast(sc)).withColumn("_u", F.col("_cx") / F.col("_sx")).withColumn("_v", F.col("_cy") / F.col("_sy"))
     qs = queries.crossJoin(F.broadcast(sc)).withColumn("_u", F.col(qx) / F.col("_sx")).withColumn("_v", F.col(qy) / F.col("_sy"))
     carry = ["_cx", "_cy"] + [f"_c_{s}" for s in surfaces]
-    nb = knn_grid(qs, cen, k, qid, entity, "_u", "_v", "_u", "_v", qgrp, entity if qgrp else None, carry=carry)
+    nb = knn_join(qs, cen, k, qid, entity, "_u", "_v", "_u", "_v", qgrp, entity if qgrp else None, carry=carry)
     w = F.lit(1.0) / (F.col("dist") + F.lit(1e-3))
     xn, yn = F.col("_cx"), F.col("_cy")
     aggs = [F.sum(w * xn * xn).alias("_sxx"), F.sum(w * xn * yn).alias("_sxy"), F.sum(w * xn).alias("_sx1"),
@@ -188,7 +214,7 @@ def knn_idw_impute(refs: DataFrame, queries: DataFrame, entity: str, rid: str, x
     sc = scale_of(r, x, y)
     r = r.crossJoin(F.broadcast(sc)).withColumn("_u", F.col(x) / F.col("_sx")).withColumn("_v", F.col(y) / F.col("_sy"))
     qs = queries.crossJoin(F.broadcast(sc)).withColumn("_u", F.col(qx) / F.col("_sx")).withColumn("_v", F.col(qy) / F.col("_sy"))
-    nb = knn_grid(qs, r, k, qid, "_ref_id", "_u", "_v", "_u", "_v", qgrp, entity if qgrp else None, carry=[value])
+    nb = knn_join(qs, r, k, qid, "_ref_id", "_u", "_v", "_u", "_v", qgrp, entity if qgrp else None, carry=[value])
     w = F.lit(1.0) / (F.col("dist") + F.lit(1e-3))
     g = nb.groupBy(qid).agg(F.sum(w).alias("_sw"), F.sum(w * F.col(value)).alias("_swa"), F.min("dist").alias("idw_dist"))
     mean = r.agg(F.avg(value).alias("_gm"))

@@ -369,7 +369,7 @@ SELECT qid AS vec_id, rid AS nbr_id, dist, rank FROM (
   FROM pts AS q JOIN pts AS r ON q.vec_id <> r.vec_id) AS t WHERE rank <= 5""")
 def q_top_k_per_key(spark, sf):
     p = views.pts(spark, sf).select("vec_id", "x", "y")
-    nb = SPT.knn_grid(p, p.select(F.col("vec_id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry")), 5,
+    nb = SPT.knn_join(p, p.select(F.col("vec_id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry")), 5,
                       "vec_id", "rid", "x", "y", "rx", "ry", exclude_self_id=True)
     return nb.select("vec_id", F.col("rid").alias("nbr_id"), "dist", "rank")
 
@@ -382,5 +382,5 @@ SELECT qid AS vec_id, rid AS nbr_id, dist FROM (
 def q_self_exclude(spark, sf):
     p = views.pts(spark, sf).select("vec_id", "x", "y", "grp")
     r = p.select(F.col("vec_id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("grp").alias("rgrp"))
-    nb = SPT.knn_grid(p, r, 1, "vec_id", "rid", "x", "y", "rx", "ry", qgrp="grp", rgrp="rgrp")
+    nb = SPT.knn_join(p, r, 1, "vec_id", "rid", "x", "y", "rx", "ry", qgrp="grp", rgrp="rgrp")
     return nb.select("vec_id", F.col("rid").alias("nbr_id"), "dist")

@@ -1,6 +1,7 @@
 """Range / as-of / nearest joins and the grid KNN against brute force on small inputs."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators import matching as MT
@@ -39,15 +40,15 @@ def test_range_nearest_edges(spark):
     assert [r["out"] for r in got] == [3.0, 3.2, 50.0, 1.0, 7.0]
 
 
-def test_knn_grid_matches_brute_force(spark):
+def test_knn_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     pts = rng.normal(size=(300, 2)) * [3.0, 0.5]
-    pts[:20] += 40.0  # a far cluster forces ring growth
+    pts[:20] += 40.0  # a far cluster
     grp = rng.integers(0, 4, 300)
     rows = [(i, float(x), float(y), int(g)) for i, ((x, y), g) in enumerate(zip(pts, grp))]
     df = spark.createDataFrame(rows, "id long, x double, y double, g long")
     r = df.select(F.col("id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("g").alias("rg"))
-    got = SPT.knn_grid(df, r, 7, "id", "rid", "x", "y", "rx", "ry", qgrp="g", rgrp="rg").toPandas()
+    got = SPT.knn_join(df, r, 7, "id", "rid", "x", "y", "rx", "ry", qgrp="g", rgrp="rg").toPandas()
     for qi in [0, 5, 25, 150, 299]:
         d = np.hypot(pts[:, 0] - pts[qi, 0], pts[:, 1] - pts[qi, 1])
         cand = [j for j in np.lexsort((np.arange(300), d)) if grp[j] != grp[qi]][:7]
@@ -55,13 +56,88 @@ def test_knn_grid_matches_brute_force(spark):
         assert mine == cand
 
 
-def test_knn_grid_exclude_self_and_few_refs(spark):
+def test_knn_exclude_self_and_few_refs(spark):
     df = spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 0.0), (2, 5.0, 5.0)], "id long, x double, y double")
     r = df.select(F.col("id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"))
-    got = SPT.knn_grid(df, r, 5, "id", "rid", "x", "y", "rx", "ry", exclude_self_id=True).toPandas()
+    got = SPT.knn_join(df, r, 5, "id", "rid", "x", "y", "rx", "ry", exclude_self_id=True).toPandas()
     assert sorted(got.groupby("id").size().tolist()) == [2, 2, 2]  # fewer refs than k: all others
 
 
+def _layout(name, n, rng):
+    """Point sets that break a fixed grid, with the groups they come in."""
+    pts, grp = rng.normal(size=(n, 2)) * [3.0, 0.5], rng.integers(0, 4, n)
+    if name == "far_reference":
+        pts[0] = [1e9, -1e9]
+    elif name == "dense_spot":
+        pts[: n // 2] = rng.normal(size=(n // 2, 2)) * 1e-6 + 7.0
+    elif name == "one_spot":
+        pts[: n // 2] = [2.0, 2.0]
+    elif name == "groups_apart":
+        pts += grp[:, None] * 50.0
+    elif name == "line":
+        pts[:, 1] = 1.0
+    return pts, grp
+
+
+LAYOUTS = ["plain", "far_reference", "dense_spot", "one_spot", "groups_apart", "line"]
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("grouped", [True, False])
+def test_knn_layouts(spark, name, grouped):
+    """Brute-force agreement, ties by id included; one query lies far away, one has no coordinates, one no group."""
+    n, k = 700, 6
+    rng = np.random.default_rng(11)
+    pts, grp = _layout(name, n, rng)
+    q = [(i, float(x), float(y), int(g)) for i, ((x, y), g) in enumerate(zip(pts, grp))]
+    q += [(n, 1e7, 3e7, 1), (n + 1, None, 0.0, 1), (n + 2, float("nan"), 0.0, 1), (n + 3, 0.1, 0.1, None)]
+    df = spark.createDataFrame(q, "id long, x double, y double, g long").repartition(3)
+    r = df.filter("id < 700").select(F.col("id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("g").alias("rg"))
+    kw = dict(qgrp="g", rgrp="rg") if grouped else dict(exclude_self_id=True)
+    got = SPT.knn_join(df, r, k, "id", "rid", "x", "y", "rx", "ry", cap=16, **kw).toPandas()
+    got = {i: list(zip(g["rid"], g["dist"])) for i, g in got.sort_values("rank").groupby("id")}
+    assert n + 1 not in got and n + 2 not in got
+    for i, x, y, g in q:
+        if x is None or np.isnan(x):
+            continue
+        du, dv = x - pts[:, 0], y - pts[:, 1]
+        d = np.sqrt(du * du + dv * dv)
+        ok = (np.ones(n, bool) if g is None else grp != g) if grouped else np.arange(n) != i
+        want = [j for j in np.lexsort((np.arange(n), d)) if ok[j]][:k]
+        assert [j for j, _ in got[i]] == want, i
+        assert np.allclose([x for _, x in got[i]], d[want])
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_knn_probes_stay_few(spark, name):
+    """Candidates per query stay few as points grow, whatever their layout."""
+    mean = []
+    for n in (800, 3200):
+        pts, grp = _layout(name, n, np.random.default_rng(5))
+        rows = [(i, float(x), float(y), int(g)) for i, ((x, y), g) in enumerate(zip(pts, grp))]
+        rows += [(n, 1e7, 3e7, 1)]
+        df = spark.createDataFrame(rows, "id long, x double, y double, g long")
+        r = df.select(F.col("id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("g").alias("rg"))
+        cand = SPT.knn_candidates(df, r, 5, "id", "rid", "x", "y", "rx", "ry", "g", "rg", cap=16)
+        per = [x["count"] for x in cand.groupBy("_qid").count().collect()]
+        mean.append(sum(per) / n)
+    # a far cluster shows its edge: the square root of its tiles
+    assert mean[1] < 200 and mean[1] < 2 * mean[0] + 20
+
+
+def test_knn_several_levels(spark):
+    """More than sixteen tiles of tiles: the descent passes through inner nodes."""
+    rng = np.random.default_rng(2)
+    pts = rng.random((6000, 2))
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
+    r = df.select(F.col("id").alias("rid"), F.col("x").alias("rx"), F.col("y").alias("ry"))
+    got = SPT.knn_join(df.filter("id % 50 = 0"), r, 3, "id", "rid", "x", "y", "rx", "ry", exclude_self_id=True, cap=4).toPandas()
+    for i, g in got.groupby("id"):
+        d = np.hypot(pts[:, 0] - pts[i, 0], pts[:, 1] - pts[i, 1])
+        d[i] = np.inf
+        assert g.sort_values("rank")["rid"].tolist() == np.argsort(d, kind="stable")[:3].tolist()
+
+
 def test_subseq_match_sse_numpy(spark):
     rng = np.random.default_rng(5)
     tx = np.round(np.arange(0, 60, 0.5), 2)
