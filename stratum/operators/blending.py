@@ -304,7 +304,7 @@ def robust_poly_project(df: DataFrame, entity: str, s: str, y: str, out: str, de
 # ---- guarded override ----------------------------------------------------------------------------
 
 def guarded_override(rows: DataFrame, ref: DataFrame, entity: str, axis: str, label: str, known: str, blend: str,
-                     out: str, width: float, min_valid: int = 100, min_compare: int = 50,
+                     out: str, min_valid: int = 100, min_compare: int = 50,
                      max_rmse: float = 1.0) -> DataFrame:
     """Replace ``blend`` by the reference copy's value (interpolated by axis) only where it is verified.
 
@@ -314,7 +314,7 @@ def guarded_override(rows: DataFrame, ref: DataFrame, entity: str, axis: str, la
     overridden.  Adds ``verdict`` (OK / SKIP + reason) per entity.
     """
     rg = ref.groupBy(entity).agg(F.count(F.lit(1)).alias("_nv"), F.min("x").alias("_lo"), F.max("x").alias("_hi"))
-    ph = interp_lookup(rows, ref, entity, F.col(axis), "x", "y", "_phys", width).join(rg, entity, "left")
+    ph = interp_lookup(rows, ref, entity, F.col(axis), "x", "y", "_phys").join(rg, entity, "left")
     inr = F.col(axis).between(F.col("_lo"), F.col("_hi"))
     cmp = F.col(known) & inr
     d = F.col("_phys") - F.col(label)

@@ -1,18 +1,11 @@
 """Range, nearest, interpolated as-of and sub-sequence joins against reference curves.
 
 Spark plans a range predicate as a nested loop or as an equi-join plus a
-residual filter, so every operator here adds an equi-key: the reference
-curve is cut into buckets of a fixed width and indexed once per
-(key, bucket).  A query only meets the bucket rows it can possibly need:
-
-* ``bucket_index`` holds per (key, bucket) the bucket's sorted points, the
-  points of the bucket and both neighbours (for ±width range searches), and
-  the nearest point before / after the bucket (carried across empty buckets
-  on the small index table) for bracketing lookups.
-* The index has one row per (key, bucket) whatever the number of queries; it
-  is joined on the equi-key and adaptive execution broadcasts it when its
-  measured size allows, otherwise the join stays sort-merge with skew
-  splitting on hot keys.
+residual filter, so every operator here adds an equi-key: the reference curve is
+cut into pieces of a fixed number of points (``curves``), a query finds the
+numbers of the pieces it needs and meets just those.  Ranges of any width take as
+many pieces as they hold points, one row each, reduced per query; no array grows
+with the curve.
 """
 
 from __future__ import annotations
@@ -23,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.scalar import let, znorm_fixed
+from stratum.operators.curves import POINTS, bracket, curve_pieces, interpolated, locate, with_row_id
 from stratum.operators.quantiles import grouped_medians
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
 from stratum.session import cut_lineage
@@ -39,91 +33,66 @@ def _values(col: str, frame) -> Column:
     return F.transform(F.collect_list(F.struct(F.col(col).alias("v"))).over(frame), lambda s: s["v"])
 
 
-def bucket_index(ref: DataFrame, key: str, x: str, y: str, width: float) -> DataFrame:
-    """Per (key, bucket): _pts, _nbr (buckets b-1..b+1), _cin / _cout carries, _lo / _hi bucket range."""
-    t = (ref.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-         .withColumn("_b", F.floor(F.col("x") / F.lit(float(width)))))
-    pts = t.groupBy("_key", "_b").agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("_pts"))
-    rng = t.groupBy("_key").agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    allb = rng.select("_key", "_lo", "_hi", F.explode(F.sequence(F.col("_lo") - 1, F.col("_hi") + 1)).alias("_b"))
-    idx = allb.join(pts, ["_key", "_b"], "left").withColumn("_pts", F.coalesce("_pts", F.array().cast("array<struct<x:double,y:double>>")))
-    w = Window.partitionBy("_key").orderBy("_b")
-    last_pt = F.try_element_at("_pts", F.lit(-1))
-    first_pt = F.try_element_at("_pts", F.lit(1))
-    idx = idx.select(
-        "_key", "_b", "_lo", "_hi", "_pts",
-        F.concat(F.coalesce(F.lag("_pts").over(w), F.array().cast("array<struct<x:double,y:double>>")), "_pts",
-                 F.coalesce(F.lead("_pts").over(w), F.array().cast("array<struct<x:double,y:double>>"))).alias("_nbr"),
-        F.last(F.when(F.size("_pts") > 0, last_pt), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
-        F.first(F.when(F.size("_pts") > 0, first_pt), ignorenulls=True).over(
-            w.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"))
-    return idx.withColumnRenamed("_key", key)
-
-
-def _brackets(df: DataFrame, index: DataFrame, key: str, q: Column, width: float) -> DataFrame:
-    """Attach _LR = struct(L, R): the nearest reference point at or below / at or above q.
-
-    Both brackets are computed in one let-bound struct, so each bucket filter
-    runs once per row however often the caller reads L and R.
-    """
-    rng = index.select(key, "_lo", "_hi").distinct()
-    # greatest and least skip nulls: a null (or NaN) query must not be clamped into a bucket
-    d = df.withColumn("_q", F.nullif(q.cast("double"), F.lit(float("nan")))).join(rng, key, "left")
-    d = d.withColumn("_b", F.when(F.col("_q").isNotNull(), F.least(
-        F.greatest(F.floor(F.col("_q") / F.lit(float(width))), F.col("_lo")), F.col("_hi"))))
-    j = d.join(index.select(key, "_b", "_pts", "_cin", "_cout"), [key, "_b"], "left")
-
-    def brackets(pts):
-        below = F.filter(pts, lambda p: p["x"] <= F.col("_q"))
-        above = F.filter(pts, lambda p: p["x"] >= F.col("_q"))
-        return F.struct(F.coalesce(F.try_element_at(below, F.lit(-1)), F.col("_cin")).alias("L"),
-                        F.coalesce(F.try_element_at(above, F.lit(1)), F.col("_cout")).alias("R"))
-    j = j.withColumn("_LR", let(F.col("_pts"), brackets))
-    return j.drop("_pts", "_cin", "_cout", "_lo", "_hi", "_b")
-
-
 def interp_lookup(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str, ref_y: str, out: str,
-                  width: float, index: DataFrame | None = None) -> DataFrame:
+                  pieces: DataFrame | None = None) -> DataFrame:
     """Piecewise-linear y(q) from the reference curve of the same key; flat outside its range."""
-    index = index if index is not None else bucket_index(ref, key, ref_x, ref_y, width)
-    j = _brackets(df, index, key, q, width)
-
-    def value(lr):
-        xl, yl, xr, yr = lr["L"]["x"], lr["L"]["y"], lr["R"]["x"], lr["R"]["y"]
-        return (F.when(lr["L"].isNull(), yr).when(lr["R"].isNull(), yl).when(xr == xl, yl)
-                .otherwise((yr - yl) / (xr - xl) * (F.col("_q") - xl) + yl))
-    return j.withColumn(out, let(F.col("_LR"), value)).drop("_LR", "_q")
+    pieces = pieces if pieces is not None else curve_pieces(ref, key, ref_x, ref_y)
+    j = _on_piece(df, pieces, key, q)
+    return j.withColumn(out, F.when(F.col("_q").isNotNull(), interpolated(F.col("_q")))).select(*_others(df, out), out)
 
 
-def nearest_key(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str, ref_y: str, out_x: str, out_y: str,
-                width: float) -> DataFrame:
+def nearest_key(df: DataFrame, ref: DataFrame, key: str, q: Column, ref_x: str, ref_y: str, out_x: str, out_y: str) -> DataFrame:
     """Nearest reference x to q (equal distance -> the lower x) and its y."""
-    index = bucket_index(ref, key, ref_x, ref_y, width)
-    j = _brackets(df, index, key, q, width)
+    j = _on_piece(df, curve_pieces(ref, key, ref_x, ref_y), key, q)
 
     def pick(lr):
         dl, dr = F.abs(lr["L"]["x"] - F.col("_q")), F.abs(lr["R"]["x"] - F.col("_q"))
         return F.when(lr["R"].isNull() | (lr["L"].isNotNull() & (dl <= dr)), lr["L"]).otherwise(lr["R"])
-    j = j.withColumn("_pick", let(F.col("_LR"), pick))
-    return j.withColumn(out_x, F.col("_pick.x")).withColumn(out_y, F.col("_pick.y")).drop("_LR", "_q", "_pick")
+    j = j.withColumn("_pick", F.when(F.col("_q").isNotNull(), let(bracket(F.col("_q")), pick)))
+    return j.withColumn(out_x, F.col("_pick.x")).withColumn(out_y, F.col("_pick.y")).select(*_others(df, out_x, out_y), out_x, out_y)
+
+
+def _others(df: DataFrame, *out: str) -> list[str]:
+    return [c for c in df.columns if c not in out]
+
+
+def _on_piece(df: DataFrame, pieces: DataFrame, key: str, q: Column) -> DataFrame:
+    """Rows with ``_q`` (NaN as null) and the columns of the piece it falls in."""
+    d = locate(with_row_id(df.withColumn("_q", F.nullif(q.cast("double"), F.lit(float("nan"))))), pieces, key, [F.col("_q")])
+    return d.withColumn("_p", F.col("_ps")[0]).join(pieces, [key, "_p"], "left")
 
 
 def interp_offsets(df: DataFrame, ref: DataFrame, key: str, row_id: Sequence[str], sig: str,
-                   anchors: dict[str, tuple[Column, Sequence[float]]], ref_x: str, ref_y: str, width: float) -> DataFrame:
-    """For each anchor and offset o: sig - interp(anchor + o); one column per (anchor, offset)."""
-    names, structs = [], []
-    for a, (col, offs) in anchors.items():
-        for o in offs:
-            n = f"{a}_{'m' if o < 0 else 'p'}{abs(int(o))}"
-            names.append(n)
-            structs.append(F.struct(F.lit(n).alias("name"), (col + F.lit(float(o))).alias("q")))
-    ex = df.select(*row_id, key, sig, F.explode(F.array(*structs)).alias("_a"))
-    ex = ex.select(*row_id, key, sig, F.col("_a.name").alias("_name"), F.col("_a.q").alias("_aq"))
-    lk = interp_lookup(ex, ref, key, F.col("_aq"), ref_x, ref_y, "_v", width)
-    lk = lk.withColumn("_d", F.col(sig) - F.col("_v"))
-    return lk.groupBy(*row_id).pivot("_name", names).agg(F.first("_d"))
+                   anchors: dict[str, tuple[Column, Sequence[float]]], ref_x: str, ref_y: str) -> DataFrame:
+    """For each anchor and offset o: sig - interp(anchor + o); one column per (anchor, offset).
+
+    All offsets of a row are searched at once and the row meets each piece that
+    any of them falls in, usually a few, once; the values found on different
+    pieces are put together by ``max`` (all but one are null).
+    """
+    names = [f"{a}_{'m' if o < 0 else 'p'}{abs(int(o))}" for a, (_, offs) in anchors.items() for o in offs]
+    at = {a: f"_a{i}" for i, a in enumerate(anchors)}
+    d = with_row_id(df.select(*row_id, key, sig, *[c.cast("double").alias(at[a]) for a, (c, _) in anchors.items()]))
+    qs = [F.col(at[a]) + F.lit(float(o)) for a, (_, offs) in anchors.items() for o in offs]
+    pieces = curve_pieces(ref, key, ref_x, ref_y)
+    d = locate(d, pieces, key, qs)
+    need = d.withColumn("_p", F.explode_outer(F.array_distinct(F.filter("_ps", lambda p: p.isNotNull())))).join(pieces, [key, "_p"], "left")
+    values = [F.when(F.col("_ps")[i] == F.col("_p"), interpolated(q)).alias(n) for i, (n, q) in enumerate(zip(names, qs))]
+    met = need.select("_id", *row_id, sig, *values)
+    met = met.groupBy("_id", *row_id, sig).agg(*[F.max(n).alias(n) for n in names])
+    return met.select(*row_id, *[(F.col(sig) - F.col(n)).alias(n) for n in names])
+
+
+def _ranged(df: DataFrame, pieces: DataFrame, key: str, lo: Column, hi: Column, hi_strict: bool) -> DataFrame:
+    """Rows once per piece that may hold points from ``lo`` up to ``hi``, with the piece's columns."""
+    d = locate(df, pieces, key, [lo, hi], [True, hi_strict])
+    span = F.when(F.col("_ps")[0].isNotNull() & F.col("_ps")[1].isNotNull(), F.sequence(F.col("_ps")[0], F.greatest(F.col("_ps")[0], F.col("_ps")[1])))
+    return d.withColumn("_p", F.explode(span)).drop("_ps").join(pieces, [key, "_p"])
+
+
+def _long_enough(ref: DataFrame, key: str, least: int) -> DataFrame:
+    keep = ref.groupBy(key).agg(F.count(F.lit(1)).alias("_nr")).filter(F.col("_nr") >= least).select(key)
+    return ref.join(keep, key, "left_semi")
 
 
 def range_nearest(df: DataFrame, ref: DataFrame, key: str, p: str, g: str, out: str, w: float,
@@ -134,24 +103,20 @@ def range_nearest(df: DataFrame, ref: DataFrame, key: str, p: str, g: str, out:
     than ``min_ref`` points -> p unchanged.
     """
     r = ref.select(key, ref_x, ref_y).dropna()
-    if min_ref > 1:
-        r = r.join(r.groupBy(key).agg(F.count(F.lit(1)).alias("_nr")).filter(F.col("_nr") >= min_ref).select(key),
-                   key, "left_semi")
-    index = bucket_index(r, key, ref_x, ref_y, w).select(key, "_b", "_nbr")
-    d = df.withColumn("_b", F.floor(F.col(p) / F.lit(float(w))))
-    j = d.join(index, [key, "_b"], "left")
+    pieces = curve_pieces(_long_enough(r, key, min_ref) if min_ref > 1 else r, key, ref_x, ref_y)
+    d = with_row_id(df)
     lo, hi = F.col(p) - F.lit(float(w)), F.col(p) + F.lit(float(w))
-    cand = F.filter(F.coalesce("_nbr", F.array().cast("array<struct<x:double,y:double>>")),
-                    lambda pt: (pt["x"] >= lo) & (pt["x"] <= hi))
-    best = F.array_min(F.transform(cand, lambda pt: F.struct(F.abs(pt["y"] - F.col(g)).alias("d"), pt["x"].alias("x"))))
-    res = F.when(F.col(g).isNull(), F.col(p)).otherwise(F.coalesce(best["x"], F.col(p)))
-    return j.withColumn(out, res).drop("_b", "_nbr")
+    asked = d.filter(F.col(g).isNotNull()).select("_id", key, lo.alias("_lo"), hi.alias("_hi"), F.col(g).alias("_g"))
+    met = _ranged(asked, pieces, key, F.col("_lo"), F.col("_hi"), False)
+    cand = F.filter("_pts", lambda pt: (pt["x"] >= F.col("_lo")) & (pt["x"] <= F.col("_hi")))
+    best = F.array_min(F.transform(cand, lambda pt: F.struct(F.abs(pt["y"] - F.col("_g")).alias("d"), pt["x"].alias("x"))))
+    best = met.select("_id", best.alias("_b")).filter("_b IS NOT NULL").groupBy("_id").agg(F.min("_b").alias("_b"))
+    return (d.join(best, "_id", "left").withColumn(out, F.coalesce(F.col("_b.x"), F.col(p))).select(*_others(df, out), out))
 
 
-def asof_cross_copy(df: DataFrame, other: DataFrame, key: str, axis: str, value: str, out: str,
-                    width: float) -> DataFrame:
+def asof_cross_copy(df: DataFrame, other: DataFrame, key: str, axis: str, value: str, out: str) -> DataFrame:
     """Value of another copy of the same entity, interpolated by axis (not by row index)."""
-    return interp_lookup(df, other, key, F.col(axis), axis, value, out, width)
+    return interp_lookup(df, other, key, F.col(axis), axis, value, out)
 
 
 # ---- sub-sequence matching ---------------------------------------------------------------------
@@ -176,45 +141,35 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     fr = Window.partitionBy(entity, "_blk").orderBy(pos).rowsBetween(-half, half)
     h = h.withColumn("_loc", _values("_g", fr)).withColumn("_nn", F.count("_g").over(fr))
     h = h.withColumn("_cnt", F.count(F.lit(1)).over(fr))
-    win = own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int"))
-    r = ref.select(key, "x", "y").dropna()
-    r = r.join(r.groupBy(key).agg(F.count(F.lit(1)).alias("_nr")).filter(F.col("_nr") >= min_ref).select(key),
-               key, "left_semi")
-    index = bucket_index(r, key, "x", "y", search).select(key, "_b", "_nbr")
-    j = win.withColumn("_b", F.floor(F.col(prior) / F.lit(float(search)))).join(index, [key, "_b"], "left")
-    lo, hi = F.col(prior) - F.lit(float(search)), F.col(prior) + F.lit(float(search))
-    seg = F.filter(F.coalesce("_nbr", F.array().cast("array<struct<x:double,y:double>>")),
-                   lambda pt: (pt["x"] >= lo) & (pt["x"] < hi))
-    j = j.withColumn("_seg", seg).withColumn("_L", F.size("_loc"))
-    # Exchange with an explicit partition count: (1) an optimisation barrier, so the
-    # segment array is computed once per row instead of being inlined into the SSE
-    # lambda, and (2) the CPU-heavy rows are spread over tasks (AQE does not coalesce
-    # a repartition with an explicit count; byte-size coalescing would pack them into one)
-    j = j.repartition(_cpu_partitions(j), entity, pos)
-    ok = (F.col("_L") >= 3) & (F.col("_nn") == F.col("_cnt")) & (F.size("_seg") >= F.col("_L"))
-
-    # the segment is bound once as a lambda variable ("let seg = ..."), so the
-    # array filter runs once per row even where the optimiser inlines columns
-    def best_of(seg):
+    # narrow rows, stored: the search reads those with a whole window, the result all of them
+    win = with_row_id(own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g"))
+    ok = win.filter((F.size("_loc") >= 3) & (F.col("_nn") == F.col("_cnt")))
+    w = F.lit(float(search))
+    ok = ok.select("_id", key, "_loc", "_off", F.size("_loc").alias("_L"), (F.col(prior) - w).alias("_lo"), (F.col(prior) + w).alias("_hi"))
+    points = max(POINTS, 2 * half)
+    r = _long_enough(ref.select(key, "x", "y").dropna(), key, min_ref)
+    pieces = curve_pieces(r, key, "x", "y", points, tail=2 * half)
+    met = _ranged(ok, pieces, key, F.col("_lo"), F.col("_hi"), True)
+
+    # a window that starts on this piece runs on into its tail; bound as a lambda variable, so it is built once a row
+    def best_of(ext):
         def sse_at(s):
-            terms = F.transform(F.sequence(F.lit(0), F.col("_L") - 1),
-                                lambda t: F.pow(seg[s + t]["y"] - F.col("_loc")[t], 2))
-            return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-
-        def key_of(v):
-            return F.round(v, sse_digits) if sse_digits is not None else v
-
-        starts = F.sequence(F.lit(0), F.size(seg) - F.col("_L"))
-        scored = F.transform(starts, lambda s: F.struct(sse_at(s).alias("raw"), s.alias("s")))
-        win_best = F.array_min(F.transform(scored, lambda c: F.struct(key_of(c["raw"]).alias("key"), c["s"].alias("s"),
-                                                                      c["raw"].alias("sse"))))
-        return F.transform(F.array(win_best),
-                           lambda wb: F.struct(wb.alias("b"), seg[wb["s"] + F.col("_off")]["x"].alias("x")))[0]
-
-    best = F.transform(F.array(F.col("_seg")), best_of)[0]
-    j = j.withColumn("_best", F.when(ok, best))
-    j = j.withColumn("match_x", F.col("_best.x")).withColumn("err", F.col("_best.b.sse") / F.col("_L"))
-    return j.drop("_g", "_loc", "_nn", "_cnt", "_off", "_b", "_nbr", "_seg", "_L", "_best")
+            return F.aggregate(F.zip_with(F.slice(ext, s + 1, F.col("_L")), F.col("_loc"), lambda a, b: F.pow(a["y"] - b, 2)),
+                               F.lit(0.0), lambda a, b: a + b)
+
+        def whole(s):
+            return (F.get(ext, s)["x"] >= F.col("_lo")) & (F.get(ext, s + F.col("_L") - 1)["x"] < F.col("_hi"))
+
+        starts = F.filter(F.sequence(F.lit(0), F.size("_pts") - 1), lambda s: F.coalesce(whole(s), F.lit(False)))
+        scored = F.transform(starts, lambda s: let(sse_at(s), lambda v: F.struct(
+            (F.round(v, sse_digits) if sse_digits is not None else v).alias("key"), (F.col("_p") * points + s).alias("s"), v.alias("sse"),
+            F.get(ext, s + F.col("_off"))["x"].alias("x"))))
+        return F.array_min(scored)
+
+    best = met.select("_id", let(F.concat("_pts", "_after"), best_of).alias("_b")).filter("_b IS NOT NULL")
+    best = best.groupBy("_id").agg(F.min("_b").alias("_b"))
+    j = win.join(best, "_id", "left").withColumn("match_x", F.col("_b.x")).withColumn("err", F.col("_b.sse") / F.size("_loc"))
+    return j.drop("_id", "_loc", "_nn", "_cnt", "_off", "_b")
 
 
 def median_gate(df: DataFrame, entity: str, err: str, cand: str, prior: str, out: str, slack: float = 1.5) -> DataFrame:

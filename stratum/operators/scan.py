@@ -40,20 +40,20 @@ def range_scan(df: DataFrame, group: Sequence[str], order: Sequence[Column], ind
     sums = dict(sums or {})
     keys = [*[F.col(g).asc_nulls_first() for g in group], *order]
     rows = df.withColumns({f"_s_{n}": c for n, c in sums.items()}) if sums else df
-    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
-    rows = _stored(rows, "range-scan").withColumn("_key", F.struct(F.shiftright("_at", 33).alias("pid"), F.struct(F.lit(0), *group).alias("g")))
-    counts = rows.groupBy("_key").agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("c"),
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_scan_at", F.monotonically_increasing_id())
+    rows = _stored(rows, "range-scan").withColumn("_scan_key", F.struct(F.shiftright("_scan_at", 33).alias("pid"), F.struct(F.lit(0), *group).alias("g")))
+    counts = rows.groupBy("_scan_key").agg(F.min("_scan_at").alias("first"), F.count(F.lit(1)).alias("c"),
                                       *[F.sum(f"_s_{n}").alias(f"t_{n}") for n in sums])
-    whole = Window.partitionBy("_key.g")                   # one row per partition that the group reaches
-    before = whole.orderBy("_key.pid").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("_key", (F.coalesce(F.sum("c").over(before), F.lit(0)) - F.col("first")).alias("_base"),
-                         F.sum("c").over(whole).alias("_size"), *[F.sum(f"t_{n}").over(before).alias(f"_b_{n}") for n in sums])
+    whole = Window.partitionBy("_scan_key.g")                   # one row per partition that the group reaches
+    before = whole.orderBy("_scan_key.pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("_scan_key", (F.coalesce(F.sum("c").over(before), F.lit(0)) - F.col("first")).alias("_scan_base"),
+                         F.sum("c").over(whole).alias("_scan_size"), *[F.sum(f"t_{n}").over(before).alias(f"_b_{n}") for n in sums])
     base = _stored(base, "range-scan-prefix")
     if base.count() <= BROADCAST_ROWS:
         base = F.broadcast(base)
-    out = rows.join(base, "_key").withColumn(index, F.col("_at") + F.col("_base"))
+    out = rows.join(base, "_scan_key").withColumn(index, F.col("_scan_at") + F.col("_scan_base"))
     if sums:
-        inside = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+        inside = Window.partitionBy("_scan_key").orderBy("_scan_at").rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumns({n: F.coalesce(F.col(f"_b_{n}"), F.lit(0)) + F.coalesce(F.sum(f"_s_{n}").over(inside), F.lit(0)) for n in sums})
-    cols = [*df.columns, index, *([F.col("_size").alias(size)] if size else []), *sums]
+    cols = [*df.columns, index, *([F.col("_scan_size").alias(size)] if size else []), *sums]
     return out.select(*cols)

@@ -12,12 +12,13 @@ from stratum.operators.sequence import row_index
 from stratum.plans import views
 from stratum.plans.registry import register
 
-# The reference's anchor offset grids (feature offsets around an anchor).
-ANCH_OFFS = [-80, -40, -20, -10, -5, 0, 5, 10, 20, 40, 80]
-SC_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]
+# The four grids of offsets around an anchor.
+LAST_OFFS = [-80, -40, -20, -10, -5, 0, 5, 10, 20, 40, 80]       # around the last known label
+BEAM_OFFS = [-40, -20, -10, -5, -3, 0, 3, 5, 10, 20, 40]         # around the decoded path
+SELF_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]           # around the self-match
+CLOUD_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]          # around the weighted candidates
 
 W = 10.0        # search half-width on the template axis at this data scale
-IW = 1.0        # bucket width for interpolation lookups
 
 
 def _eval(spark, sf):
@@ -49,7 +50,7 @@ SELECT entity, i, CASE WHEN xl IS NULL THEN yr WHEN xr IS NULL THEN yl WHEN xr =
                        ELSE (yr - yl) / (xr - xl) * (q - xl) + yl END AS tv FROM ir""")
 def q_interp_lookup(spark, sf):
     s = views.seq(spark, sf).select("entity", "i", "tid", "prior")
-    return MT.interp_lookup(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "tv", IW).select("entity", "i", "tv")
+    return MT.interp_lookup(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "tv").select("entity", "i", "tv")
 
 
 @register("nearest_key", dbl=["near_x", "near_y"], sql=f"""
@@ -58,39 +59,37 @@ SELECT entity, i, CASE WHEN xr IS NULL OR (xl IS NOT NULL AND abs(xl - q) <= abs
                   CASE WHEN xr IS NULL OR (xl IS NOT NULL AND abs(xl - q) <= abs(xr - q)) THEN yl ELSE yr END AS near_y FROM ir""")
 def q_nearest_key(spark, sf):
     s = views.seq(spark, sf).select("entity", "i", "tid", "prior")
-    return MT.nearest_key(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "near_x", "near_y", IW).select(
+    return MT.nearest_key(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "near_x", "near_y").select(
         "entity", "i", "near_x", "near_y")
 
 
-def _offset_names():
-    out = []
-    for a, offs in (("a", ANCH_OFFS), ("b", SC_OFFS)):
-        for o in offs:
-            out.append((f"{a}_{'m' if o < 0 else 'p'}{abs(o)}", a, o))
-    return out
+# anchor -> (offsets, SQL): the last known prior, the curve's nearest point to the prior, the prior, halfway between last and prior
+ANCHORS = {"last": (LAST_OFFS, "lk.lp"), "beam": (BEAM_OFFS, "nk.nx"), "self": (SELF_OFFS, "s.prior"), "cloud": (CLOUD_OFFS, "(s.prior + lk.lp) / 2")}
+_OFF = [(f"{a}_{'m' if o < 0 else 'p'}{abs(o)}", a, o) for a, (offs, _) in ANCHORS.items() for o in offs]
 
 
-_OFF = _offset_names()
-
-
-@register("interp_offsets", dbl=[n for n, _, _ in _OFF], sql="""
-WITH lk AS (SELECT entity, arg_max(prior, i) AS lp FROM seq WHERE known GROUP BY entity),
+@register("interp_offsets", dbl=[n for n, _, _ in _OFF], sql=f"""
+WITH {INTERP_SQL},
+nk AS (SELECT entity, i, CASE WHEN xr IS NULL OR (xl IS NOT NULL AND abs(xl - q) <= abs(xr - q)) THEN xl ELSE xr END AS nx FROM ir),
+lk AS (SELECT entity, arg_max(prior, i) AS lp FROM seq WHERE known GROUP BY entity),
 o AS (SELECT * FROM (VALUES """ + ", ".join(f"('{n}', '{a}', {float(o)})" for n, a, o in _OFF) + """) AS t(name, anchor, off)),
-iq AS (SELECT s.entity, s.i, s.tid, s.sig, o.name, CASE WHEN o.anchor = 'a' THEN s.prior ELSE lk.lp END + o.off AS q
-       FROM seq AS s JOIN lk ON s.entity = lk.entity CROSS JOIN o),
-il AS (SELECT iq.*, t.x AS xl, t.y AS yl FROM iq ASOF LEFT JOIN tmpl AS t ON iq.tid = t.tid AND iq.q >= t.x),
-ir AS (SELECT il.*, t.x AS xr, t.y AS yr FROM il ASOF LEFT JOIN tmpl AS t ON il.tid = t.tid AND il.q <= t.x),
+oq AS (SELECT s.entity, s.i, s.tid, s.sig, o.name, CASE o.anchor """ + " ".join(f"WHEN '{a}' THEN {e}" for a, (_, e) in ANCHORS.items()) + """ END + o.off AS q
+       FROM seq AS s JOIN lk ON s.entity = lk.entity JOIN nk ON s.entity = nk.entity AND s.i = nk.i CROSS JOIN o),
+ol AS (SELECT oq.*, t.x AS xl, t.y AS yl FROM oq ASOF LEFT JOIN tmpl AS t ON oq.tid = t.tid AND oq.q >= t.x),
+oo AS (SELECT ol.*, t.x AS xr, t.y AS yr FROM ol ASOF LEFT JOIN tmpl AS t ON ol.tid = t.tid AND ol.q <= t.x),
 v AS (SELECT entity, i, name, sig - CASE WHEN xl IS NULL THEN yr WHEN xr IS NULL THEN yl WHEN xr = xl THEN yl
-                                   ELSE (yr - yl) / (xr - xl) * (q - xl) + yl END AS d FROM ir)
+                                   ELSE (yr - yl) / (xr - xl) * (q - xl) + yl END AS d FROM oo)
 SELECT entity, i, """ + ", ".join(f"max(CASE WHEN name = '{n}' THEN d END) AS {n}" for n, _, _ in _OFF) + """
 FROM v GROUP BY entity, i""")
 def q_interp_offsets(spark, sf):
     from stratum.operators.aggregates import boundary_row
     s = views.seq(spark, sf)
+    t = views.tmpl(spark, sf)
     lp = boundary_row(s, "entity", "i", ["prior"], F.col("known")).select("entity", "last_prior")
-    s = s.join(lp, "entity").select("entity", "i", "tid", "sig", "prior", "last_prior")
-    anchors = {"a": (F.col("prior"), ANCH_OFFS), "b": (F.col("last_prior"), SC_OFFS)}
-    return MT.interp_offsets(s, views.tmpl(spark, sf), "tid", ["entity", "i"], "sig", anchors, "x", "y", IW)
+    s = MT.nearest_key(s.select("entity", "i", "tid", "sig", "prior"), t, "tid", F.col("prior"), "x", "y", "near_x", "near_y")
+    s = s.join(lp, "entity")
+    at = {"last": F.col("last_prior"), "beam": F.col("near_x"), "self": F.col("prior"), "cloud": (F.col("prior") + F.col("last_prior")) / 2}
+    return MT.interp_offsets(s, t, "tid", ["entity", "i"], "sig", {a: (at[a], offs) for a, (offs, _) in ANCHORS.items()}, "x", "y")
 
 
 def _copies(spark, sf):
@@ -106,7 +105,7 @@ SELECT entity, i, CASE WHEN xl IS NULL THEN yr WHEN xr IS NULL THEN yl WHEN xr =
                        ELSE (yr - yl) / (xr - xl) * (pos - xl) + yl END AS other_sig FROM r""")
 def q_asof_cross_copy(spark, sf):
     even, odd = _copies(spark, sf)
-    return MT.asof_cross_copy(even.select("entity", "i", "pos"), odd, "entity", "pos", "sig", "other_sig", 24.0).select(
+    return MT.asof_cross_copy(even.select("entity", "i", "pos"), odd, "entity", "pos", "sig", "other_sig").select(
         "entity", "i", "other_sig")
 
 
@@ -114,7 +113,7 @@ def q_asof_cross_copy(spark, sf):
 
 def _known_vs_template(spark, sf):
     s = views.seq(spark, sf).filter("known").select("entity", "i", "tid", "prior", "sig_gap")
-    return MT.interp_lookup(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "tw", IW)
+    return MT.interp_lookup(s, views.tmpl(spark, sf), "tid", F.col("prior"), "x", "y", "tw")
 
 
 KVT_SQL = """
@@ -291,7 +290,7 @@ def q_guarded_override(spark, sf):
     tr = odd.select("entity", F.col("pos").alias("x"),
                     (F.col("pos") + F.col("k") * F.when(F.col("entity") % 4 == 0, 1.0).otherwise(0.001)).alias("y"))
     te = even.select("entity", "i", "pos", "known", "prior", F.col("pos").alias("label"))
-    r = guarded_override(te, tr, "entity", "pos", "label", "known", "prior", "pred", width=24.0,
+    r = guarded_override(te, tr, "entity", "pos", "label", "known", "prior", "pred",
                          min_valid=20, min_compare=10, max_rmse=1.0)
     return r.filter("NOT known").select("entity", "i", "pred", "verdict")
 

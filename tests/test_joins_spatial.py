@@ -19,14 +19,14 @@ def test_interp_lookup_matches_numpy(spark):
     ref, xs, ys = _curve(spark)
     qs = [-3.0, 0.0, 0.25, 1.0, 2.0, 3.4, 7.1, 11.0, 12.0, 40.0]
     q = spark.createDataFrame([(i, "a", v) for i, v in enumerate(qs)], "id long, tid string, q double")
-    got = MT.interp_lookup(q, ref, "tid", F.col("q"), "x", "y", "v", width=1.0).orderBy("id").collect()
+    got = MT.interp_lookup(q, ref, "tid", F.col("q"), "x", "y", "v").orderBy("id").collect()
     assert np.allclose([r["v"] for r in got], np.interp(qs, xs, ys))
 
 
 def test_nearest_key_ties_go_low(spark):
     ref, xs, _ = _curve(spark)
     q = spark.createDataFrame([(0, "a", 2.0), (1, "a", 0.75), (2, "a", -1.0), (3, "a", 99.0)], "id long, tid string, q double")
-    got = MT.nearest_key(q, ref, "tid", F.col("q"), "x", "y", "nx", "ny", width=1.0).orderBy("id").collect()
+    got = MT.nearest_key(q, ref, "tid", F.col("q"), "x", "y", "nx", "ny").orderBy("id").collect()
     assert [r["nx"] for r in got] == [1.0, 0.5, 0.0, 12.0]  # 2.0 is 1.0 from both 1.0 and 3.0 -> lower
 
 

@@ -76,9 +76,9 @@ def test_savgol_smooths_from_the_right_neighbours(spark, block):
 def test_null_queries_find_nothing(spark):
     ref = spark.createDataFrame([("a", float(i), 10.0 * i) for i in range(1, 6)], "k string, x double, y double")
     q = spark.createDataFrame([(0, "a", None), (1, "a", float("nan")), (2, "a", 2.5), (3, None, 2.0)], "id long, k string, q double")
-    got = [r["v"] for r in MT.interp_lookup(q, ref, "k", F.col("q"), "x", "y", "v", 1.0).orderBy("id").collect()]
+    got = [r["v"] for r in MT.interp_lookup(q, ref, "k", F.col("q"), "x", "y", "v").orderBy("id").collect()]
     assert got == [None, None, 25.0, None]
-    near = [(r["nx"], r["ny"]) for r in MT.nearest_key(q, ref, "k", F.col("q"), "x", "y", "nx", "ny", 1.0).orderBy("id").collect()]
+    near = [(r["nx"], r["ny"]) for r in MT.nearest_key(q, ref, "k", F.col("q"), "x", "y", "nx", "ny").orderBy("id").collect()]
     assert near == [(None, None), (None, None), (2.0, 20.0), (None, None)]
 
 

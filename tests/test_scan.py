@@ -43,6 +43,6 @@ def test_running_share_needs_no_global_window(spark):
     per = spark.range(40).select(F.col("id").alias("entity"), (F.col("id") % 7).cast("double").alias("rmse"))
     out = running_share(per, "entity", "rmse")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in plan or "_key" in plan
+    assert "Window" not in plan or "_scan_key" in plan
     rows = out.orderBy("rank").collect()
     assert rows[0]["rmse"] == 6.0 and rows[-1]["sq_err_share"] == pytest.approx(1.0) and rows[-1]["entity_share"] == 1.0
