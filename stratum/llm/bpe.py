@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import gc
 import heapq
 import json
 import re
@@ -25,8 +26,8 @@ from stratum.llm.common import fresh
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A text is worked through in slices of about so many characters, and results leave a task in batches of about so many ids.
 SLICE, BATCH_IDS = 1 << 20, 1 << 22
-#: Remembered pieces per task, and the longest of them.
-CACHE, CACHE_CHARS = 500_000, 64
+#: A worker remembers up to twice so many pieces, none longer than the second number.
+CACHE, CACHE_CHARS = 200_000, 64
 
 
 class Kinds(dict):
@@ -73,7 +74,7 @@ class Vocabulary:
 
 
 class Tokenizer:
-    """Encodes texts to ids and back, with up to ``CACHE`` word pieces remembered."""
+    """Encodes texts; word pieces are remembered in two generations, so that frequent ones stay."""
 
     def __init__(self, vocabulary: Vocabulary):
         letters, tokens = byte_letters(), vocabulary.tokens
@@ -89,10 +90,8 @@ class Tokenizer:
         ascii_pattern = PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
         self.pattern = re.compile(ascii_pattern, re.ASCII)
         self.kinds, self.gap = Kinds(), regex.compile(r"(?<=\S)\s")
-        byte_of = {c: b for b, c in enumerate(letters)}
-        self.bytes = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
-                      for t, i in [*tokens.items(), *self.added.items()]}
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of one piece.
@@ -136,13 +135,15 @@ class Tokenizer:
 
     def piece(self, text: str) -> bytes:
         """The ids of one piece as packed 32-bit integers."""
-        ids = self.cache.get(text)
+        ids = self.young.get(text)
         if ids is None:
-            ids = array("i", self.merge(text.encode("utf-8", "surrogatepass"))).tobytes()
+            ids = self.old.get(text)
+            if ids is None:
+                ids = array("i", self.merge(text.encode("utf-8", "surrogatepass"))).tobytes()
             if len(text) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[text] = ids
+                if len(self.young) >= CACHE:
+                    self.young, self.old = {}, self.young
+                self.young[text] = ids
         return ids
 
     def slices(self, text: str) -> Iterator[str]:
@@ -167,6 +168,15 @@ class Tokenizer:
                     out.append(b"".join(map(self.piece, self.pieces(s))))
         return np.frombuffer(b"".join(out), np.int32)
 
+
+class Decoder:
+    """Turns ids back into text."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
+        self.bytes = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
+                      for t, i in [*vocabulary.tokens.items(), *vocabulary.added.items()]}
+
     def decode(self, ids: np.ndarray) -> str:
         """Concatenated vocabulary strings, as UTF-8; broken bytes become U+FFFD and unknown ids nothing."""
         reader, out, known = codecs.getincrementaldecoder("utf-8")("replace"), [], self.bytes
@@ -178,7 +188,14 @@ class Tokenizer:
 @lru_cache(maxsize=2)
 def tokenizer(vocabulary: Vocabulary) -> Tokenizer:
     """One tokenizer per worker process and vocabulary: what it remembers serves later tasks too."""
-    return Tokenizer(vocabulary)
+    made = Tokenizer(vocabulary)
+    gc.freeze()                                      # its tables need no looking through at every collection
+    return made
+
+
+@lru_cache(maxsize=2)
+def decoder(vocabulary: Vocabulary) -> Decoder:
+    return Decoder(vocabulary)
 
 
 def shared(spark: SparkSession, path: str):
@@ -186,16 +203,18 @@ def shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary.read(path))
 
 
-def encode(docs: DataFrame, vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, vocabulary, text_col: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the array column ``out`` (int): the token ids of each whole text, by ``vocabulary`` from ``shared``.
 
+    ``keep`` names the columns of ``docs`` to carry along (all of them if None).
+
     One map-side step: no row moves, none is dropped, repeated rows stay
     repeated.  Null and empty texts have no ids.  Other columns pass through;
     one named like ``out`` is replaced.  A text is worked through in slices cut
     at white space, so beside the text and its ids a task holds one slice's
     pieces; one run without white space is one slice.
     """
-    keep = [c for c in docs.columns if c.lower() != out.lower()]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
     text = fresh(keep, "_text")
     rows = docs.select(*keep, F.col(text_col).alias(text))
 
@@ -233,7 +252,7 @@ def decode(rows: DataFrame, vocabulary, ids_col: str = "ids", out: str = "decode
     schema = rows.select(*keep).schema.add(out, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(vocabulary.value)
+        tok = decoder(vocabulary.value)
         none = np.zeros(0, np.int32)
         for b in batches:
             col = b.column(ids_col)
@@ -261,8 +280,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 of its encoded and decoded again text; rules as in ``encode``."""
     vocabulary = shared(docs.sparkSession, path)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ids = encode(rows, vocabulary).select("doc_id", "ids")
-    both = decode(ids, vocabulary)
+    both = decode(encode(rows, vocabulary, keep=["doc_id"]), vocabulary)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
