@@ -79,6 +79,18 @@ def halo_blocks(df: DataFrame, idx: str, halo: int, block: int = DEFAULT_BLOCK)
             .drop("_home"))
 
 
+def block_of(idx: str, block: int = DEFAULT_BLOCK) -> Column:
+    """The number of the block that a row belongs to; its metadata says how blocks were cut."""
+    return F.floor(F.col(idx) / block).cast("long").alias("_blk", metadata={"idx": idx, "block": block})
+
+
+def with_block(df: DataFrame, idx: str, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``df`` with ``_blk``; a stored sequence that is cut this way already keeps its partitioning."""
+    if "_blk" in df.columns and df.schema["_blk"].metadata == {"idx": idx, "block": block}:
+        return df
+    return df.withColumn("_blk", block_of(idx, block))
+
+
 def bounded_window(entity: str, idx: str, lo: int, hi: int) -> Window:
     """Row frame [lo, hi] around each row inside a halo block."""
     return Window.partitionBy(entity, "_blk").orderBy(idx).rowsBetween(lo, hi)
@@ -198,7 +210,7 @@ def neighbours(df: DataFrame, entity: str, idx: str, value: str, block: int = DE
     Two-level scan: per-block first/last non-null, carried across blocks on
     the small per-block table, then a within-block scan.  Adds _pi,_pv,_ni,_nv.
     """
-    d = df.withColumn("_blk", F.floor(F.col(idx) / block))
+    d = with_block(df, idx, block)
     nn = F.when(F.col(value).isNotNull(), F.struct(F.col(idx).alias("i"), F.col(value).alias("v")))
     per = d.groupBy(entity, "_blk").agg(F.max(nn).alias("_bl"), F.min(nn).alias("_bf"))
     bw = Window.partitionBy(entity).orderBy("_blk")
@@ -270,7 +282,7 @@ def running_count(df: DataFrame, entity: str, idx: str, flag: Column, out: str,
     Per-block totals are prefix-summed on the small per-block table; the
     within-block running sum adds that carry.
     """
-    d = df.withColumn("_blk", F.floor(F.col(idx) / block)).withColumn("_f", flag.cast("long"))
+    d = with_block(df, idx, block).withColumn("_f", flag.cast("long"))
     per = d.groupBy(entity, "_blk").agg(F.sum("_f").alias("_bs"))
     bw = Window.partitionBy(entity).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(entity, "_blk", F.coalesce(F.sum("_bs").over(bw), F.lit(0)).alias("_carry"))

@@ -214,7 +214,7 @@ def _candidates(spark, sf):
 CAND_SQL = """cand AS (SELECT o_custkey, -abs(o_totalprice - 250000.0) / 50000.0 AS score, o_totalprice / 1000.0 AS pred FROM orders)"""
 
 
-@register("likelihood_weighted_mean", dbl=["w_scale_3", "w_scale_5", "w_scale_8", "w_scale_12", "w_mean"], sql=f"""
+@register("likelihood_weighted_mean", stored=True, dbl=["w_scale_3", "w_scale_5", "w_scale_8", "w_scale_12", "w_mean"], sql=f"""
 WITH {CAND_SQL},
 j AS (SELECT o_custkey, pred, score - max(score) OVER (PARTITION BY o_custkey) AS ln FROM cand)
 SELECT o_custkey,
@@ -225,7 +225,7 @@ def q_likelihood_weighted_mean(spark, sf):
     return A.likelihood_weighted_mean(_candidates(spark, sf), "o_custkey", "score", "pred")
 
 
-@register("ensemble_quality", dbl=["best_per_n", "score_spread", "pred_std"], sql=f"""
+@register("ensemble_quality", stored=True, dbl=["best_per_n", "score_spread", "pred_std"], sql=f"""
 WITH {CAND_SQL}
 SELECT o_custkey, max(score) / count(*) AS best_per_n, stddev_pop(score) AS score_spread, stddev_pop(pred) AS pred_std
 FROM cand GROUP BY o_custkey""")
@@ -233,7 +233,7 @@ def q_ensemble_quality(spark, sf):
     return A.ensemble_quality(_candidates(spark, sf), "o_custkey", "score", "pred")
 
 
-@register("score_weighted_blend", dbl=["blend"], sql="""
+@register("score_weighted_blend", stored=True, dbl=["blend"], sql="""
 SELECT vec_id, (s1 * exp(3.0 * s4) + s2 * exp(3.0 * s5) + s3 * exp(3.0 * s6))
                / (exp(3.0 * s4) + exp(3.0 * s5) + exp(3.0 * s6) + 1e-9) AS blend FROM pts""")
 def q_score_weighted_blend(spark, sf):

@@ -64,7 +64,7 @@ def q_pooled_rmse(spark, sf_dir):
     return metrics.pooled_rmse(prior_predictions(spark, sf_dir), "entity", "sig", "pred")
 
 
-@register("best_worst_k", dbl=["rmse"], sql=f"""
+@register("best_worst_k", stored=True, dbl=["rmse"], sql=f"""
 WITH {OLS_SQL},
 per AS (SELECT entity, round(sqrt(avg((sig - pred) * (sig - pred))) + 1e-9, 6) AS rmse FROM pr GROUP BY entity)
 (SELECT 'best' AS side, entity, rmse FROM per ORDER BY rmse ASC, entity ASC LIMIT 5)

@@ -31,12 +31,12 @@ ef AS (SELECT s.entity, s.i, s.pos, s.k, s.sig, s.prior, pr.pred, lk.last_pos, l
        FROM seq AS s JOIN pr ON s.entity = pr.entity AND s.i = pr.i JOIN lk ON s.entity = lk.entity)"""
 
 
-@register("linear_blend", dbl=["blend"], sql=f"WITH {EVAL_SQL} SELECT entity, i, 0.3 * pred + 0.7 * last_sig AS blend FROM ef")
+@register("linear_blend", stored=True, dbl=["blend"], sql=f"WITH {EVAL_SQL} SELECT entity, i, 0.3 * pred + 0.7 * last_sig AS blend FROM ef")
 def q_linear_blend(spark, sf):
     return B.linear_blend(eval_frame(spark, sf), ["pred", "last_sig"], [0.3, 0.7], "blend").select("entity", "i", "blend")
 
 
-@register("hold_mix", dbl=["mixed"], sql=f"""
+@register("hold_mix", stored=True, dbl=["mixed"], sql=f"""
 WITH {EVAL_SQL},
 g AS (SELECT entity, CAST(sum(CAST(NOT known AS BIGINT)) AS DOUBLE) AS n_eval,
              coalesce(max(CASE WHEN NOT known THEN k END) - min(CASE WHEN NOT known THEN k END), 0.0) AS z_span FROM seq GROUP BY entity),
@@ -58,7 +58,7 @@ def q_hold_mix(spark, sf):
     return B.hold_mix(e, "prior", "pred", "last_sig", F.col("bw"), F.col("hw"), "mixed").select("entity", "i", "mixed")
 
 
-@register("warmup_damp", dbl=["damped"], sql=f"""
+@register("warmup_damp", stored=True, dbl=["damped"], sql=f"""
 WITH {EVAL_SQL} SELECT entity, i, last_sig + (pred - last_sig) * (1.0 - exp(-greatest(pos - last_pos, 0.0) / 85.0)) AS damped FROM ef""")
 def q_warmup_damp(spark, sf):
     e = eval_frame(spark, sf).withColumn("_delta", F.col("pred") - F.col("last_sig")).withColumn("_d", F.col("pos") - F.col("last_pos"))
@@ -66,13 +66,13 @@ def q_warmup_damp(spark, sf):
     return e.select("entity", "i", (F.col("last_sig") + F.col("_damp")).alias("damped"))
 
 
-@register("trust_hybrid", dbl=["hybrid"], sql=f"""
+@register("trust_hybrid", stored=True, dbl=["hybrid"], sql=f"""
 WITH {EVAL_SQL} SELECT entity, i, (1.0 - least(greatest(nk / 200.0, 0.0), 0.6)) * prior + least(greatest(nk / 200.0, 0.0), 0.6) * last_sig AS hybrid FROM ef""")
 def q_trust_hybrid(spark, sf):
     return B.trust_hybrid(eval_frame(spark, sf), "prior", "last_sig", "nk", "hybrid").select("entity", "i", "hybrid")
 
 
-@register("signal_disagreement", dbl=["pred_vs_last_sig", "pred_vs_prior", "last_sig_vs_prior"], sql=f"""
+@register("signal_disagreement", stored=True, dbl=["pred_vs_last_sig", "pred_vs_prior", "last_sig_vs_prior"], sql=f"""
 WITH {EVAL_SQL} SELECT entity, i, pred - last_sig AS pred_vs_last_sig, pred - prior AS pred_vs_prior, last_sig - prior AS last_sig_vs_prior FROM ef""")
 def q_signal_disagreement(spark, sf):
     e = B.signal_disagreement(eval_frame(spark, sf), ["pred", "last_sig", "prior"])
@@ -98,7 +98,7 @@ SELECT entity, i, CASE WHEN wl < 5 THEN pred ELSE
 FROM mo"""
 
 
-@register("savgol_smooth", dbl=["smooth"], sql=_savgol_sql())
+@register("savgol_smooth", stored=True, dbl=["smooth"], sql=_savgol_sql())
 def q_savgol_smooth(spark, sf):
     e = eval_frame(spark, sf).select("entity", "i", "pred", (F.col("i") - F.col("nkn")).alias("e"),
                                      (F.col("n") - F.col("nkn")).alias("ne"))
@@ -136,12 +136,12 @@ q{rnd + 1} AS (SELECT r.entity, r.i, r.s, r.u, power(1.0 / (1.0 + power(r.res /
     return ",\n".join(parts)
 
 
-@register("robust_poly_project", dbl=["projected"])
+@register("robust_poly_project", stored=True, dbl=["projected"])
 def q_robust_poly_project(spark, sf):
     return _projected(spark, sf, 4)
 
 
-@register("robust_poly_project_linear", dbl=["projected"], sql=f"""
+@register("robust_poly_project_linear", stored=True, dbl=["projected"], sql=f"""
 WITH {EVAL_SQL},
 en AS (SELECT entity, max(pos) AS end_pos FROM seq GROUP BY entity),
 pin0 AS (SELECT ef.*, (ef.pos - ef.last_pos) / greatest(en.end_pos - ef.last_pos, 1e-6) AS s, ef.pred + ef.k - (ef.last_sig + ef.last_k) AS u,
@@ -185,7 +185,7 @@ def q_heldout_blend_rmse(spark, sf):
     return B.heldout_blend_rmse(li.join(f, "l_suppkey"), SIGNALS, "y", "fold", "nnls")
 
 
-@register("paired_repeat_test", dbl=["mean_diff", "std_diff", "t_stat"], sql=f"""
+@register("paired_repeat_test", stored=True, dbl=["mean_diff", "std_diff", "t_stat"], sql=f"""
 WITH {EVAL_SQL},
 g AS (SELECT DISTINCT user_id FROM events), rp AS (SELECT range AS rep FROM range(10)),
 rf AS (SELECT rep, user_id AS entity, (row_number() OVER (PARTITION BY rep ORDER BY md5('42|' || CAST(rep AS VARCHAR) || '|' || CAST(user_id AS VARCHAR))) - 1) % 5 AS fold
@@ -208,7 +208,7 @@ def q_paired_repeat_test(spark, sf):
 
 # ---- model-output tables -------------------------------------------------------------------------
 
-@register("oof_matrix", dbl=["sig", "m_last", "m_mean", "m_ols"], sql=f"""
+@register("oof_matrix", stored=True, dbl=["sig", "m_last", "m_mean", "m_ols"], sql=f"""
 WITH {EVAL_SQL},
 mn AS (SELECT entity, avg(sig) AS mean_sig FROM seq WHERE known GROUP BY entity)
 SELECT ef.entity, ef.i, ef.sig, ef.last_sig AS m_last, mn.mean_sig AS m_mean, ef.pred AS m_ols FROM ef JOIN mn ON ef.entity = mn.entity""")
@@ -218,7 +218,7 @@ def q_oof_matrix(spark, sf):
     return p.withColumnsRenamed({"last": "m_last", "mean": "m_mean", "ols": "m_ols"})
 
 
-@register("model_bag", dbl=["bagged"], sql=f"""
+@register("model_bag", stored=True, dbl=["bagged"], sql=f"""
 WITH {EVAL_SQL},
 mn AS (SELECT entity, avg(sig) AS mean_sig FROM seq WHERE known GROUP BY entity)
 SELECT ef.entity, ef.i, (ef.pred + ef.last_sig + mn.mean_sig) / 3 AS bagged FROM ef JOIN mn ON ef.entity = mn.entity""")
@@ -227,7 +227,7 @@ def q_model_bag(spark, sf):
     return ev.groupBy("entity", "i").agg(F.avg("p").alias("bagged"))
 
 
-@register("residual_target", dbl=["residual", "restored"], sql=f"""
+@register("residual_target", stored=True, dbl=["residual", "restored"], sql=f"""
 WITH {EVAL_SQL} SELECT entity, i, sig - last_sig AS residual, last_sig + (pred - last_sig) AS restored FROM ef""")
 def q_residual_target(spark, sf):
     e = eval_frame(spark, sf)
@@ -247,7 +247,7 @@ PROBA_SQL = """pb AS (SELECT doc_id, quality, least(n_chars / 5000.0, 1.0) AS p_
                  toxic * 0.3 + 0.5 AS p_tox FROM docs WHERE is_train)"""
 
 
-@register("voting", dbl=["proba"], sql=f"""
+@register("voting", stored=True, dbl=["proba"], sql=f"""
 WITH {PROBA_SQL} SELECT doc_id, (p_len + p_lang + p_tox) / 3 AS proba, CAST((p_len + p_lang + p_tox) / 3 >= 0.5 AS INTEGER) AS label FROM pb""")
 def q_voting(spark, sf):
     p = _probas(spark, sf)
@@ -258,7 +258,7 @@ def q_voting(spark, sf):
 LABEL_METRICS = ("accuracy", "f1", "precision", "recall")
 
 
-@register("label_vs_probability", dbl=["value"], sql=f"""
+@register("label_vs_probability", stored=True, dbl=["value"], sql=f"""
 WITH {PROBA_SQL}, m AS (SELECT * FROM (VALUES ('accuracy'), ('log_loss')) AS t(metric))
 SELECT doc_id, metric, CASE WHEN metric IN ('accuracy', 'f1', 'precision', 'recall')
                             THEN CAST((p_len + p_lang + p_tox) / 3 >= 0.5 AS DOUBLE) ELSE (p_len + p_lang + p_tox) / 3 END AS value

@@ -68,7 +68,7 @@ ANCHORS = {"last": (LAST_OFFS, "lk.lp"), "beam": (BEAM_OFFS, "nk.nx"), "self": (
 _OFF = [(f"{a}_{'m' if o < 0 else 'p'}{abs(o)}", a, o) for a, (offs, _) in ANCHORS.items() for o in offs]
 
 
-@register("interp_offsets", dbl=[n for n, _, _ in _OFF], sql=f"""
+@register("interp_offsets", stored=True, dbl=[n for n, _, _ in _OFF], sql=f"""
 WITH {INTERP_SQL},
 nk AS (SELECT entity, i, CASE WHEN xr IS NULL OR (xl IS NOT NULL AND abs(xl - q) <= abs(xr - q)) THEN xl ELSE xr END AS nx FROM ir),
 lk AS (SELECT entity, arg_max(prior, i) AS lp FROM seq WHERE known GROUP BY entity),
@@ -97,7 +97,7 @@ def _copies(spark, sf):
     return s.filter(F.col("i") % 2 == 0), s.filter(F.col("i") % 2 == 1)
 
 
-@register("asof_cross_copy", dbl=["other_sig"], sql="""
+@register("asof_cross_copy", stored=True, dbl=["other_sig"], sql="""
 WITH e AS (SELECT entity, i, pos FROM seq WHERE i % 2 = 0), o AS (SELECT entity, pos AS x, sig AS y FROM seq WHERE i % 2 = 1),
 l AS (SELECT e.*, o.x AS xl, o.y AS yl FROM e ASOF LEFT JOIN o ON e.entity = o.entity AND e.pos >= o.x),
 r AS (SELECT l.*, o.x AS xr, o.y AS yr FROM l ASOF LEFT JOIN o ON l.entity = o.entity AND l.pos <= o.x)
@@ -199,14 +199,14 @@ def _sse(spark, sf):
                                half=5, search=W, sse_digits=5)
 
 
-@register("subseq_match_sse", dbl=["match_x", "err"], sql=f"""
+@register("subseq_match_sse", stored=True, dbl=["match_x", "err"], sql=f"""
 WITH {SSE_SQL} SELECT ev.entity, ev.i, mt.match_x, mt.err FROM ev LEFT JOIN mt ON ev.entity = mt.entity AND ev.i = mt.i""")
 def q_subseq_match_sse(spark, sf):
     # every eval row; match_x / err are null where no window could be matched
     return _sse(spark, sf).select("entity", "i", "match_x", "err")
 
 
-@register("median_gate", dbl=["pred"], sql=f"""
+@register("median_gate", stored=True, dbl=["pred"], sql=f"""
 WITH {SSE_SQL},
 md AS (SELECT entity, median(err) AS med FROM mt GROUP BY entity)
 SELECT ev.entity, ev.i, CASE WHEN mt.err IS NOT NULL AND mt.err <= md.med * 1.5 THEN mt.match_x ELSE ev.prior END AS pred
@@ -249,7 +249,7 @@ ncc AS (SELECT ev.entity, ev.i, coalesce(bt.lab, ll.lastlab) AS ncc_label, coale
 _NCC_W = {h: f"exp(3.0 * n{h}.ncc_score)" for h in HALF_WIDTHS}
 
 
-@register("subseq_match_ncc", dbl=[f"{c}_{h}" for h in HALF_WIDTHS for c in ("label", "score")] + ["ensemble"], sql=(
+@register("subseq_match_ncc", stored=True, dbl=[f"{c}_{h}" for h in HALF_WIDTHS for c in ("label", "score")] + ["ensemble"], sql=(
     "WITH " + ",\n".join(f"n{h} AS (WITH {_ncc_sql(h)} SELECT * FROM ncc)" for h in HALF_WIDTHS)
     + f"\nSELECT n{HALF_WIDTHS[0]}.entity, n{HALF_WIDTHS[0]}.i, "
     + ", ".join(f"n{h}.ncc_label AS label_{h}, n{h}.ncc_score AS score_{h}" for h in HALF_WIDTHS)
@@ -270,7 +270,7 @@ def q_subseq_match_ncc(spark, sf):
 
 # ---- guarded override -------------------------------------------------------------------------
 
-@register("guarded_override", dbl=["pred"], sql="""
+@register("guarded_override", stored=True, dbl=["pred"], sql="""
 WITH tr AS (SELECT entity, pos AS x, pos + k * CASE WHEN entity % 4 = 0 THEN 1.0 ELSE 0.001 END AS y FROM seq WHERE i % 2 = 1),
 te AS (SELECT entity, i, pos, known, prior FROM seq WHERE i % 2 = 0),
 rg AS (SELECT entity, count(*) AS nv, min(x) AS lo, max(x) AS hi FROM tr GROUP BY entity),

@@ -68,12 +68,12 @@ def _oof(spark, sf):
 OOF_FEATURES = ["pos", "k", "pred", "last_sig", "since", "zone_frac", "nk"]
 
 
-@register("gbt_regress_oof", dbl=["sig", "oof_pred"])
+@register("gbt_regress_oof", stored=True, dbl=["sig", "oof_pred"])
 def q_gbt_regress_oof(spark, sf):
     return MD.gbt_regress_oof(_oof(spark, sf), "sig", OOF_FEATURES, "fold", ["entity", "i"])
 
 
-@register("stacking", dbl=["sig", "m_last", "m_mean", "m_ols", "stack_pred"])
+@register("stacking", stored=True, dbl=["sig", "m_last", "m_mean", "m_ols", "stack_pred"])
 def q_stacking(spark, sf):
     ev = views.eval_predictions(spark, sf)
     p = ev.groupBy("entity", "i", "sig").pivot("model", ["last", "mean", "ols"]).agg(F.first("p"))

@@ -99,21 +99,21 @@ def q_blend_report(spark, sf):
     return PB.blend_report(li, "a", "b", "base", [0.0, 0.3, 0.55, 0.7, 1.0])
 
 
-@register("run_leaderboard", dbl=["best_score"], sql="""
+@register("run_leaderboard", stored=True, dbl=["best_score"], sql="""
 SELECT stage, variant, model_family, min(cv_mean) AS best_score, count(*) AS n_runs FROM runs
 WHERE cv_mean IS NOT NULL GROUP BY stage, variant, model_family""")
 def q_run_leaderboard(spark, sf):
     return PB.run_leaderboard(views.runs(spark, sf), ["stage", "variant", "model_family"], "cv_mean", higher_is_better=False)
 
 
-@register("score_trajectory", dbl=["best_score", "running_best"], sql="""
+@register("score_trajectory", stored=True, dbl=["best_score", "running_best"], sql="""
 WITH p AS (SELECT loop, min(cv_mean) AS best_score FROM runs GROUP BY loop)
 SELECT loop, best_score, min(best_score) OVER (ORDER BY loop ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_best FROM p""")
 def q_score_trajectory(spark, sf):
     return PB.score_trajectory(views.runs(spark, sf), "loop", "cv_mean", higher_is_better=False)
 
 
-@register("finalist_gap", dbl=["cv", "holdout", "gap"], sql="""
+@register("finalist_gap", stored=True, dbl=["cv", "holdout", "gap"], sql="""
 WITH f AS (SELECT variant, avg(cv_mean) AS cv, avg(holdout_score) AS holdout FROM runs GROUP BY variant)
 SELECT variant, cv, holdout, cv - holdout AS gap,
        rank() OVER (ORDER BY round(holdout + 1e-9, 6) ASC, round(cv + 1e-9, 6) ASC, variant) AS holdout_rank,
@@ -124,7 +124,7 @@ def q_finalist_gap(spark, sf):
     return PB.finalist_gap(r, "variant", "cv", "holdout", higher_is_better=False)
 
 
-@register("fold_score_table", dbl=["m_last", "m_mean", "m_ols"], sql="""
+@register("fold_score_table", stored=True, dbl=["m_last", "m_mean", "m_ols"], sql="""
 SELECT fold, max(CASE WHEN model = 'last' THEN rmse END) AS m_last, max(CASE WHEN model = 'mean' THEN rmse END) AS m_mean,
        max(CASE WHEN model = 'ols' THEN rmse END) AS m_ols FROM fold_scores GROUP BY fold""")
 def q_fold_score_table(spark, sf):

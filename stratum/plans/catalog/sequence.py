@@ -213,7 +213,7 @@ def q_even_subsample(spark, sf):
     return Q.even_subsample(s, "entity", "i", "n", 60).select("entity", "i")
 
 
-@register("running_share", dbl=["rmse", "entity_share", "sq_err_share"], sql=f"""
+@register("running_share", stored=True, dbl=["rmse", "entity_share", "sq_err_share"], sql=f"""
 WITH {OLS_SQL},
 per AS (SELECT entity, sqrt(avg((sig - pred) * (sig - pred))) AS rmse FROM pr GROUP BY entity)
 SELECT entity, rmse, row_number() OVER (ORDER BY rmse DESC, entity) AS rank,

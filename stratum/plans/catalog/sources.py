@@ -104,7 +104,7 @@ def q_sink_fanout(spark, sf):
     return back.groupBy("w").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("blend").alias("mean_blend"))
 
 
-@register("append_run_log", dbl=["score"], sql="""
+@register("append_run_log", stored=True, dbl=["score"], sql="""
 WITH r AS (SELECT 'loop-' || CAST(loop AS VARCHAR) AS run_date, variant || ' ' || model_family || ' ' || stage AS message,
                   cv_mean AS score, 'complete' AS status, loop < 3 AS first_batch FROM runs)
 SELECT CAST(row_number() OVER (ORDER BY first_batch DESC, run_date, message) - 1 AS BIGINT) AS seq, run_date, message, score, status FROM r""")

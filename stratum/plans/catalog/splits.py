@@ -54,7 +54,7 @@ def q_leakage_check(spark, sf):
     return SP.leakage_check(assign, "user_id", "fold")
 
 
-@register("cv_summary", dbl=["rmse", "cv_mean", "cv_std"], sql="""
+@register("cv_summary", stored=True, dbl=["rmse", "cv_mean", "cv_std"], sql="""
 SELECT fold, rmse, avg(rmse) OVER () AS cv_mean, stddev_pop(rmse) OVER () AS cv_std FROM fold_scores WHERE model = 'ols'""")
 def q_cv_summary(spark, sf):
     fs = views.fold_scores(spark, sf).filter(F.col("model") == "ols")

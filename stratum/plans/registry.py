@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.plans import oracle_views
+from stratum.plans import oracle_views, views
 
 
 @dataclass
@@ -25,16 +25,18 @@ class Entry:
     sql: str | None = None
     dbl: tuple[str, ...] = field(default_factory=tuple)
     digits: int = 6
+    stored: bool = False
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None = None, dbl=(), digits: int = 6):
+def register(name: str, sql: str | None = None, dbl=(), digits: int = 6, stored: bool = False):
+    """``stored``: the query reads the sequence more than once, so it is written once first."""
     def deco(fn):
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), digits)
+        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), digits, stored)
         return fn
     return deco
 
@@ -47,7 +49,10 @@ def _round_cols(df: DataFrame, cols, digits) -> DataFrame:
 
 def spark_query(e: Entry) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _round_cols(e.build(spark, sf_dir), e.dbl, e.digits)
+        if not e.stored:
+            return _round_cols(e.build(spark, sf_dir), e.dbl, e.digits)
+        with views.stored_views():
+            return _round_cols(e.build(spark, sf_dir), e.dbl, e.digits)
     run.__name__ = e.name
     return run
 

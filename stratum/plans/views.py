@@ -8,10 +8,15 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.sequence import row_index
+from stratum.operators.sequence import block_of, row_index
+from stratum.session import scratch_path
 from stratum.sources.tables import load
 
 EPOCH = "2024-01-01 00:00:00"
@@ -23,8 +28,48 @@ def hours_since_epoch(ts: str) -> F.Column:
     return F.timestamp_diff("MICROSECOND", start, F.col(ts).cast("timestamp_ntz")) / F.lit(3.6e9)
 
 
-def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entity sequence view.
+_stored: ContextVar[dict | None] = ContextVar("stored", default=None)
+
+
+@contextmanager
+def stored_views():
+    """Inside, ``seq`` is written once and every branch of a query reads the stored copy."""
+    token = _stored.set({})
+    try:
+        yield
+    finally:
+        _stored.reset(token)
+
+
+def store_sequence(df: DataFrame, entity: str, idx: str) -> DataFrame:
+    """``df`` as a table bucketed and sorted by (entity, block of ``idx``): scans by block need no exchange.
+
+    A long entity has many blocks, so it fills many buckets.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stratum_sequence_{uuid.uuid4().hex}"
+    (df.withColumn("_blk", block_of(idx)).repartition(n, entity, "_blk").write.bucketBy(n, entity, "_blk").sortBy(entity, "_blk", idx)
+     .option("path", scratch_path(spark, name)).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def seq(spark: SparkSession, sf_dir: str, blocks: bool = False) -> DataFrame:
+    """Entity sequence view, stored once per query inside ``stored_views``.
+
+    ``blocks`` keeps the block column of the stored table, by which scans over
+    ``i`` find their rows already together.
+    """
+    held = _stored.get()
+    if held is None:
+        return _seq(spark, sf_dir)
+    if sf_dir not in held:
+        held[sf_dir] = store_sequence(_seq(spark, sf_dir), "entity", "i")
+    return held[sf_dir] if blocks else held[sf_dir].drop("_blk")
+
+
+def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence, numbered.
 
     Columns: entity, event_id, i, n, nkn, pos, k, sig, sig_gap, known, y_in, tid, prior.
     ``known`` is the first 70 % of each entity (``10*i < 7*n``), a prefix of ``nkn``

@@ -50,3 +50,30 @@ def test_no_holistic_percentile(spark, name):
 @pytest.mark.parametrize("name", ["distinct_profile", "profile_table", "classify_columns", "quality_flags"])
 def test_distinct_counts_copy_no_rows(spark, name):
     assert "Expand" not in _plan(E.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["savgol_smooth", "median_gate", "guarded_override", "subseq_match_ncc"])
+def test_sequence_is_stored_once(spark, name, monkeypatch):
+    """All branches of a query read one stored sequence: ``events`` is scanned twice, to count and to number its rows."""
+    import re
+    from stratum.plans import views
+    plans, store = [], views.store_sequence
+
+    def watched(df, *a):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, *a)
+    monkeypatch.setattr(views, "store_sequence", watched)
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plans) == 1 and len(re.findall(r"Relation \[event_id", plans[0])) == 2
+    assert "Relation [event_id" not in plan or "stratum_sequence" in plan
+
+
+def test_stored_blocks_need_no_exchange(spark):
+    """A window over the blocks of a stored sequence finds its rows together."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from stratum.plans import views
+    with views.stored_views():
+        s = views.seq(spark, SF, blocks=True)
+    out = s.select("entity", "_blk", "i", F.sum("sig").over(Window.partitionBy("entity", "_blk").orderBy("i")).alias("c"))
+    assert "Exchange" not in _plan(out)
