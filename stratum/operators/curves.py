@@ -54,8 +54,15 @@ def curve_pieces(ref: DataFrame, key: str, x: str, y: str, points: int = POINTS,
                                   F.coalesce("_after", F.array().cast(f"array<{POINT}>")).alias("_after")))
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """``df`` stored with a unique number per row (``_id``)."""
+def with_row_id(df: DataFrame, spread: bool = False) -> DataFrame:
+    """``df`` stored with a unique number per row (``_id``).
+
+    ``spread`` deals the rows out evenly first: for work that costs much more
+    time than its bytes suggest, which adaptive execution would pack into few tasks.
+    """
+    if spread:
+        spark = df.sparkSession
+        df = df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
     return cut_lineage(df.withColumn("_id", F.monotonically_increasing_id()))
 
 
@@ -63,7 +70,8 @@ def locate(df: DataFrame, pieces: DataFrame, key: str, values: Sequence[Column],
     """Adds ``_ps``: for each of ``values`` the number of the last piece that starts at or before it (``strict``: before it).
 
     Values before the whole curve get its first piece; null or NaN values and
-    keys without a curve get null.  ``df`` has a unique stored ``_id``.
+    keys without a curve get null.  Without a unique stored ``_id`` in ``df`` one
+    is added where the second way needs it.
     """
     strict = list(strict or [False] * len(values))
     qs = F.array(*[F.nullif(v.cast("double"), F.lit(float("nan"))) for v in values])
@@ -77,6 +85,8 @@ def locate(df: DataFrame, pieces: DataFrame, key: str, values: Sequence[Column],
             at = last_true(F.size(s), lambda k: F.get(s, k) < v if strict[i] else F.get(s, k) <= v, n)
             return F.when(v.isNotNull() & s.isNotNull(), F.greatest(at, F.lit(0)).cast("long"))
         return d.withColumn("_ps", F.array(*[number(i) for i in range(len(values))])).drop("_key", "_starts", "_qs")
+    if "_id" not in df.columns:
+        df = with_row_id(df)
     # one order over starts and values: of equal ones the starts come first, unless the value wants those before it only
     asked = df.select("_id", F.col(key).alias("_key"), F.posexplode(qs).alias("_n", "_v")).filter("_v IS NOT NULL")
     late = F.array(*[F.lit(0 if s else 2) for s in strict])[F.col("_n")]

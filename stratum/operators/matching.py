@@ -59,7 +59,7 @@ def _others(df: DataFrame, *out: str) -> list[str]:
 
 def _on_piece(df: DataFrame, pieces: DataFrame, key: str, q: Column) -> DataFrame:
     """Rows with ``_q`` (NaN as null) and the columns of the piece it falls in."""
-    d = locate(with_row_id(df.withColumn("_q", F.nullif(q.cast("double"), F.lit(float("nan"))))), pieces, key, [F.col("_q")])
+    d = locate(df.withColumn("_q", F.nullif(q.cast("double"), F.lit(float("nan")))), pieces, key, [F.col("_q")])
     return d.withColumn("_p", F.col("_ps")[0]).join(pieces, [key, "_p"], "left")
 
 
@@ -73,7 +73,7 @@ def interp_offsets(df: DataFrame, ref: DataFrame, key: str, row_id: Sequence[str
     """
     names = [f"{a}_{'m' if o < 0 else 'p'}{abs(int(o))}" for a, (_, offs) in anchors.items() for o in offs]
     at = {a: f"_a{i}" for i, a in enumerate(anchors)}
-    d = with_row_id(df.select(*row_id, key, sig, *[c.cast("double").alias(at[a]) for a, (c, _) in anchors.items()]))
+    d = with_row_id(df.select(*row_id, key, sig, *[c.cast("double").alias(at[a]) for a, (c, _) in anchors.items()]), spread=True)
     qs = [F.col(at[a]) + F.lit(float(o)) for a, (_, offs) in anchors.items() for o in offs]
     pieces = curve_pieces(ref, key, ref_x, ref_y)
     d = locate(d, pieces, key, qs)
@@ -105,7 +105,7 @@ def range_nearest(df: DataFrame, ref: DataFrame, key: str, p: str, g: str, out:
     """
     r = ref.select(key, ref_x, ref_y).dropna()
     pieces = curve_pieces(_long_enough(r, key, min_ref) if min_ref > 1 else r, key, ref_x, ref_y)
-    d = with_row_id(df)
+    d = with_row_id(df, spread=True)
     lo, hi = F.col(p) - F.lit(float(w)), F.col(p) + F.lit(float(w))
     asked = d.filter(F.col(g).isNotNull()).select("_id", key, lo.alias("_lo"), hi.alias("_hi"), F.col(g).alias("_g"))
     met = _ranged(asked, pieces, key, F.col("_lo"), F.col("_hi"), False)
@@ -143,7 +143,7 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     h = h.withColumn("_loc", _values("_g", fr)).withColumn("_nn", F.count("_g").over(fr))
     h = h.withColumn("_cnt", F.count(F.lit(1)).over(fr))
     # narrow rows, stored: the search reads those with a whole window, the result all of them
-    win = with_row_id(own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g"))
+    win = with_row_id(own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g"), spread=True)
     ok = win.filter((F.size("_loc") >= 3) & (F.col("_nn") == F.col("_cnt")))
     w = F.lit(float(search))
     ok = ok.select("_id", key, "_loc", "_off", F.size("_loc").alias("_L"), (F.col(prior) - w).alias("_lo"), (F.col(prior) + w).alias("_hi"))
