@@ -25,13 +25,20 @@ CLOSES = {**dict.fromkeys(BLOCK - {"html", "body"}, frozenset(["p"])), "li": fro
           "option": frozenset(["option"])}
 #: An omitted end tag is not looked for beyond these.
 SCOPE = frozenset("html body div article section main aside nav header footer ul ol dl table form blockquote".split())
-#: Words in class, id or role that mark what is not the article.
-OTHER = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|breadcrumbs?|cookies?|consent|gdpr|notice|alert|"
-                   r"comments?|disqus|repl(?:y|ies)|footer|foot|header|masthead|menu|nav|navbar|navigation|topbar|toolbar|"
-                   r"pagination|pager|popup|modal|overlay|related|recommend\w*|share|sharing|social|sidebar|side|widgets?|"
-                   r"subscribe|newsletter|signup|login|search|skip|tags|contentinfo|complementary|sr-only|hidden)(?=$|[\s_-])", re.I)
-ARTICLE = re.compile(r"(?:^|[_-])(article|content|main|post|story|entry|body|text)(?=$|[_-])", re.I)
-LAYOUT = re.compile(r"(?:with|has|no|without|hide|show)[_-]", re.I)
+#: Words in class, id or role that mark what is not the article.  Reader comments and teasers of other
+#: pages always are; the second kind unless it holds the article element; the third by its share of the page's prose.
+COMMENTS = frozenset("comment comments disqus reply replies respond related recommended recommendations recommendation".split())
+FURNITURE = frozenset(("ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion breadcrumb "
+                       "breadcrumbs cookie cookies consent gdpr notice newsletter subscribe footer masthead menu nav navbar navigation "
+                       "pagination pager sidebar share sharing social contentinfo complementary").split())
+PERHAPS = frozenset("alert banner foot header hidden login modal overlay popup search side signup skip tags toolbar topbar widget widgets".split())
+#: What such words are joined with in the usual names of furniture; with any other part the name means something else.
+JOINED = frozenset(("area article articles bar block blocks body bottom box buttons button card cards center column container count "
+                    "entry feed fixed form global group holder icons inner item items left links link list main message messages "
+                    "module outer page panel post posts primary reader right row secondary section sections site slot small sticky "
+                    "stories story text thread title top unit user wrap wrapper").split())
+#: Inside an article, text elements are content whatever their class.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl li dt dd table tbody tr td th figure figcaption span b i em strong code".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
                  r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)", re.S)
@@ -45,10 +52,11 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?|\Z", re.I) for t in RAW}
 class Node:
     """An element: its tag, children (nodes and strings in page order), and the sums over its subtree."""
 
-    __slots__ = ("tag", "parent", "children", "other", "marked", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "children", "other", "marked", "chars", "tags", "link_chars", "link_tags", "density", "density_sum",
+                 "inside")
 
     def __init__(self, tag: str, parent: Node | None, other: bool = False):
-        self.tag, self.parent, self.other, self.children, self.marked = tag, parent, other, [], 0.0
+        self.tag, self.parent, self.other, self.children, self.marked, self.inside = tag, parent, other, [], 0, False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.density_sum = 0.0
 
@@ -76,37 +84,62 @@ def _is_other(tag: str, attrs: str, parent: Node) -> bool:
     return False
 
 
-def _marked(tag: str, attrs: str) -> float:
-    """The share of the page's prose up to which a node is furniture by its class, id or role; 0 without such a word.
+def _marked(tag: str, attrs: str) -> int:
+    """What a node's class, id or role says: 3 reader comments or teasers, 2 furniture, 1 perhaps furniture, 0 nothing.
 
-    A whole class word says more than a part of one ("category-social",
-    "side-by-side"); an article is furniture by whole words only.
+    A name counts if all its parts are such words or what they are usually
+    joined with ("comments-area", "cookie-notice"), so "related-work",
+    "share-price" or "side-by-side" say nothing.
     """
     if not attrs or tag in ("html", "body", "main"):
-        return 0.0
-    whole, part = (0.5, 0.0) if tag == "article" else (0.9, 0.5)
-    share = 0.0
+        return 0
+    mark = 0
     for name, a, b, c in ATTR.findall(attrs):
         if name.lower() in ("class", "id", "role"):
-            for word in entities.unescape(a or b or c).split():
-                m = OTHER.search(word)
-                # "with-sidebar" is a layout, and an "entry-header" holds the article's title
-                if m and not LAYOUT.match(word) and not (m[1].lower() in ("header", "head") and ARTICLE.search(word)):
-                    share = max(share, whole if m[0] == word else part)
-    return share
+            for word in entities.unescape(a or b or c).lower().split():
+                if word == "sr-only":
+                    return 2
+                kinds = [3 if x in COMMENTS else 2 if x in FURNITURE else 1 if x in PERHAPS else 0 if x in JOINED else -1
+                         for x in re.split(r"[-_]+", word) if x]
+                # an "entry-header" holds the article's title
+                if kinds and min(kinds) >= 0 and not ("header" in word and ARTICLE.search(word)):
+                    mark = max(mark, *kinds)
+    return mark
 
 
 def _settle(root: Node) -> None:
-    """Decides which marked nodes are furniture: those that do not hold most of the page's prose (text outside links)."""
-    nodes, prose = _order(root), {}
+    """Decides which marked nodes are furniture; a thread of comments or a notice stays one however long it is."""
+    nodes, prose, linked, controls, holds = _order(root), {}, {}, {}, {}
     if not any(x.marked for x in nodes):
         return
     for node in reversed(nodes):
-        prose[node] = 0 if node.other or node.tag == "a" else sum(
-            len("".join(x.split())) if isinstance(x, str) else prose[x] for x in node.children)
+        inner = [x for x in node.children if not isinstance(x, str)]
+        text = sum(len("".join(x.split())) for x in node.children if isinstance(x, str))
+        off = node.other
+        linked[node] = 0 if off else sum(linked[x] for x in inner) + (text if node.tag == "a" else 0)
+        prose[node] = 0 if off or node.tag == "a" else text + sum(prose[x] for x in inner)
+        controls[node] = node.tag in ("form", "button", "input", "select", "textarea") or any(controls[x] for x in inner)
+        # the largest amount of prose in one article or main element that is not itself marked
+        own = prose[node] if node.tag in ("article", "main") and not node.marked and not off else 0
+        holds[node] = max([own, *(holds[x] for x in inner)])
     for node in nodes:            # parents first
-        if node.tag != "main" and node.parent is not None and not node.other:
-            node.other = node.parent.other or (node.marked > 0 and prose[node] <= node.marked * prose[root])
+        up = node.parent
+        if up is None:
+            continue
+        node.inside = up.inside or up.tag in ("article", "main")
+        if node.tag == "main" or node.other:
+            continue
+        if up.other:
+            node.other = True
+        elif node.marked == 3:
+            node.other = True
+        elif node.marked == 2:
+            node.other = max(holds[node], prose[node] if node.tag == "article" else 0) * 2 <= prose[root]
+        elif node.marked == 1 and node.inside:
+            node.other = node.tag not in TEXT and (controls[node] or linked[node] > prose[node])
+        elif node.marked == 1:
+            share = 0.5 if node.tag == "article" else 0.9
+            node.other = holds[node] * 2 <= prose[root] and prose[node] <= share * prose[root]
 
 
 def parse(page: str) -> Node:

@@ -42,6 +42,24 @@ def test_class_words_do_not_remove_the_article(html):
     assert H.main_text(html) == WANT
 
 
+@pytest.mark.parametrize("name", ["comments", "comments-area", "comment-list", "post-comments", "disqus_thread", "cookie-notice", "sidebar",
+                                  "related-posts", "newsletter-box"])
+@pytest.mark.parametrize("times", [1, 10, 100])
+@pytest.mark.parametrize("box", ["<article class=story>{}</article>", "<div class=story>{}</div>"])
+def test_furniture_never_wins_by_its_length(name, times, box):
+    """A thread, notice or sidebar up to a hundred times as long as the article."""
+    other = "".join(f"<p>Somebody else writes at length here, as always, entry {i}.</p>" for i in range(5 * times))
+    assert H.main_text(page(f"{NAV}{box.format(ARTICLE)}<section class='{name}'>{other}</section>")) == WANT
+
+
+@pytest.mark.parametrize("part", [
+    "<section class='related-work'><p>{}</p></section>", "<p class=alert>{}</p>", "<div class='hidden-gem'><p>{}</p></div>",
+    "<p class='side-note'>{}</p>", "<div class='share-price'><p>{}</p></div>", "<h2 id='search-results'>{}</h2>", "<p id='login-flow'>{}</p>",
+    "<div class='banner'><p>{}</p></div>", "<ul class=tags><li>{}</li></ul>", "<div class='advertising-history'><p>{}</p></div>"])
+def test_words_inside_the_article_remove_nothing(part):
+    assert H.main_text(page(f"{NAV}<article>{ARTICLE}{part.format(PARA.format(9))}</article>")) == WANT + "\n" + PARA.format(9)
+
+
 def test_everything_shown_inside_the_article_is_kept():
     html = page(f"{NAV}<article>{ARTICLE}<figure><img src=x><figcaption>A caption</figcaption></figure><p><label>Term</label> one</p>"
                 "<fieldset><p>Boxed</p></fieldset><dialog open><p>Said</p></dialog>"
