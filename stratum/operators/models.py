@@ -7,6 +7,7 @@ of the per-fold validation predictions, keyed by the row id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,10 +18,11 @@ from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIn
                                 VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators import tabular as T
+from stratum.operators.scan import range_scan
 from stratum.session import cut_lineage
 
 
@@ -205,29 +207,46 @@ def knee_point(curve: DataFrame, x: str, y: str) -> DataFrame:
     return j.crossJoin(best).select(x, y, "dist", (F.col(x) == F.col("_knee")).alias("is_knee"))
 
 
+def permuted(place: Column, n: int, seed: Column, rounds: int = 4) -> Column:
+    """A seeded bijection on 0 .. n-1, evaluated for one place by itself: no sort and no table of the permutation.
+
+    A Feistel network mixes the two digits of the place in base a = ceil(sqrt(n)).
+    It permutes a * a numbers; one that comes out at n or above goes in again,
+    which follows its cycle back into the range.
+    """
+    a = max(1, math.isqrt(max(n, 1) - 1) + 1)
+    keys = F.array(*[F.lit(k) for k in range(rounds)])
+
+    def once(x: Column) -> Column:
+        start = F.struct(F.floor(x / a).cast("long").alias("l"), F.pmod(x, F.lit(a)).cast("long").alias("r"))
+        return F.aggregate(keys, start, lambda s, k: F.struct(
+            s["r"].alias("l"), F.pmod(s["l"] + F.pmod(F.xxhash64(seed, k, s["r"]), F.lit(a)), F.lit(a)).cast("long").alias("r")),
+            lambda s: s["l"] * a + s["r"])
+    outside = 1 - n / (a * a)                             # so many steps that none stays outside, but for one in 2^64
+    steps = 1 if outside <= 0 else math.ceil(64 * math.log(2) / -math.log(outside))
+    x = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), once(place), lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    return F.when(x < n, x).otherwise(F.raise_error(F.lit("permutation did not return")).cast("long"))
+
+
 def permutation_importance(model: PipelineModel, holdout: DataFrame, label: str, id_col: str, features: Sequence[str],
                            repeats: int = 10, seed: int = 42) -> DataFrame:
     """Mean accuracy drop when one feature is shuffled among the holdout rows (``repeats`` seeded shuffles).
 
-    All (feature, repeat) copies are built in one plan: the holdout is
-    crossed with the small (feature, repeat) grid, every copy ranks its rows
-    by id and by a seeded md5, and the donor at the same rank supplies the
-    shuffled value.  One transform scores every copy.
+    Rows are numbered once; a keyed bijection names each row's donor in each
+    repeat.  Only the donors' feature values move, once per repeat; the copy
+    with one feature replaced is made next to the model that scores it.
     """
-    from stratum.operators.splits import _position
-    spark = holdout.sparkSession
-    grid = spark.createDataFrame([(f, r) for f in features for r in range(repeats)], "_feature string, _rep int")
-    x = holdout.crossJoin(F.broadcast(grid)).withColumn("_copy", F.concat_ws("|", "_feature", F.col("_rep").cast("string")))
-    base = _position(x, "_copy", F.col(id_col).cast("string"), "_p")
-    donor_val = F.coalesce(*[F.when(F.col("_feature") == f, F.col(f).cast("string")) for f in features])
-    donors = _position(x.select("_copy", id_col, donor_val.alias("_dv")), "_copy",
-                       F.md5(F.concat(F.lit(f"{seed}|"), F.col("_copy"), F.lit("|"), F.col(id_col).cast("string"))), "_p")
-    j = base.join(donors.select("_copy", "_p", "_dv"), ["_copy", "_p"])
-    types = dict(holdout.dtypes)
-    j = j.withColumns({f: F.when(F.col("_feature") == f, F.col("_dv").cast(types[f])).otherwise(F.col(f)) for f in features})
+    rows = range_scan(holdout, [], [F.col(id_col).asc()], "_p")
+    n = rows.count()
+    donor = {f: f"_d_{i}" for i, f in enumerate(features)}
+    given = rows.select(F.col("_p").alias("_q"), *[F.col(f).alias(d) for f, d in donor.items()])
+    asked = rows.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    asked = asked.withColumn("_q", permuted(F.col("_p"), n, F.concat(F.lit(f"{seed}|"), F.col("_rep").cast("string"))))
+    x = asked.join(given, "_q").withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    x = x.withColumns({f: F.when(F.col("_feature") == f, F.col(d)).otherwise(F.col(f)) for f, d in donor.items()})
     acc = F.avg((F.col("prediction") == F.col(label)).cast("double"))
     base_acc = model.transform(holdout).agg(acc.alias("base_acc"))
-    perm = model.transform(j.drop("_dv", "_p", "_copy")).groupBy("_feature", "_rep").agg(acc.alias("_acc"))
+    perm = model.transform(x.drop("_q", "_p", *donor.values())).groupBy("_feature", "_rep").agg(acc.alias("_acc"))
     drop = F.col("base_acc") - F.col("_acc")
     return (perm.crossJoin(base_acc).groupBy(F.col("_feature").alias("feature"), "base_acc")
             .agg(F.avg(drop).alias("mean_drop"), F.stddev_pop(drop).alias("std_drop")))

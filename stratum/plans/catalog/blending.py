@@ -228,12 +228,16 @@ def q_model_bag(spark, sf):
 
 
 @register("residual_target", stored=True, dbl=["residual", "restored"], sql=f"""
-WITH {EVAL_SQL} SELECT entity, i, sig - last_sig AS residual, last_sig + (pred - last_sig) AS restored FROM ef""")
+WITH {EVAL_SQL},
+r AS (SELECT entity, i, entity % 5 AS fold, sig - last_sig AS residual, pos - last_pos AS reach, last_sig FROM ef),
+m AS (SELECT f.fold, regr_slope(r.residual, r.reach) AS b, regr_intercept(r.residual, r.reach) AS a
+      FROM r JOIN (SELECT DISTINCT fold FROM r) AS f ON r.fold <> f.fold GROUP BY f.fold)
+SELECT r.entity, r.i, r.residual, r.last_sig + m.a + m.b * r.reach AS restored FROM r LEFT JOIN m USING (fold)""")
 def q_residual_target(spark, sf):
-    e = eval_frame(spark, sf)
-    # learn y - last_known; a model's residual prediction is added back (here the prior's residual)
-    return e.select("entity", "i", (F.col("sig") - F.col("last_sig")).alias("residual"),
-                    (F.col("last_sig") + (F.col("pred") - F.col("last_sig"))).alias("restored"))
+    # the target is y - last_known; what is learned of it on the other folds' entities is added back
+    e = eval_frame(spark, sf).select("entity", "i", "last_sig", (F.col("entity") % 5).alias("fold"),
+                                     (F.col("sig") - F.col("last_sig")).alias("residual"), (F.col("pos") - F.col("last_pos")).alias("reach"))
+    return B.learned_residual(e, "fold", "residual", "reach", "last_sig", "restored").select("entity", "i", "residual", "restored")
 
 
 def _probas(spark, sf):

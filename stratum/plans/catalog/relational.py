@@ -103,7 +103,9 @@ def q_union_tagged(spark, sf):
     lab = load(spark, sf, "labels", ["doc_id", "quality"])
     tr = d.join(lab, "doc_id")
     te = d.join(lab, "doc_id", "left_anti")
-    return J.union_tagged(tr, te).select("doc_id", "quality", "_src")
+    # the union and back: the parts that come out of the tagged table are the ones that went in
+    tr, te = J.split_tagged(J.union_tagged(tr, te))
+    return tr.select("doc_id", "quality", F.lit("tr").alias("_src")).unionByName(te.select("doc_id", "quality", F.lit("te").alias("_src")))
 
 
 @register("union_entities", dbl=["sig"], sql="SELECT entity, i, sig FROM seq")

@@ -52,22 +52,23 @@ def q_scan_paired(spark, sf):
 
 
 @register("scan_tolerant", sql="""
-SELECT event_type = 'error' AS is_corrupt, count(*) AS n_rows,
-       CAST(sum(CASE WHEN event_type <> 'error' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END) AS BIGINT) AS sum_k
-FROM events GROUP BY 1""")
+SELECT CAST(user_id AS VARCHAR) AS entity, count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_corrupt,
+       CAST(sum(CASE WHEN event_type <> 'error' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END) AS BIGINT) AS sum_k,
+       CASE WHEN count(*) FILTER (event_type = 'error') > 0 THEN 'corrupt' END AS failure
+FROM events GROUP BY user_id
+UNION ALL SELECT 'never-written', 0, 0, NULL, 'missing'""")
 def q_scan_tolerant(spark, sf):
-    from pyspark.sql import types as T
     path = FS.fresh_dir(spark, "events-json")
-    e = load(spark, sf, "events", ["event_id", "event_type", "props"])
+    e = load(spark, sf, "events", ["event_id", "user_id", "event_type", "props"])
     # error events are written as truncated JSON: the reader must quarantine, not fail
     line = F.when(F.col("event_type") == "error", F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "k": ')))\
         .otherwise(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "k": '),
                             F.get_json_object("props", "$.k"), F.lit("}")))
-    e.select(line.alias("value")).write.mode("overwrite").text(path)
-    sch = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType())])
-    r = FS.scan_tolerant_json(spark, path, sch)
-    return r.groupBy(F.col("_corrupt").isNotNull().alias("is_corrupt")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.when(F.col("_corrupt").isNull(), F.col("k"))).cast("long").alias("sum_k"))
+    rows = e.select(line.alias("value"), F.col("user_id").alias("entity"))
+    rows.repartition("entity").write.mode("overwrite").partitionBy("entity").text(path)
+    wanted = rows.select(F.col("entity").cast("string")).distinct().union(spark.createDataFrame([("never-written",)], "entity string"))
+    r = FS.scan_entities_tolerant(spark, path, "event_id long, k long", "entity")
+    return FS.entity_failures(r, wanted, "entity", "k").select("entity", "n_rows", "n_corrupt", F.col("total").alias("sum_k"), "failure")
 
 
 @register("scan_limit_entities", sql="""

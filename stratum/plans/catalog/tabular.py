@@ -307,12 +307,12 @@ SELECT a.vec_id,
        list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS dot_next,
        sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS l2_next,
        (a.v[1] - list_avg(a.v)) / sqrt(list_sum(list_transform(a.v, lambda x: (x - list_avg(a.v)) * (x - list_avg(a.v)))) / len(a.v)) AS z0
-FROM e AS a JOIN e AS b ON b.vec_id = a.vec_id + 1""")
+FROM e AS a LEFT JOIN e AS b ON b.vec_id = a.vec_id + 1""")
 def q_array_dot_norm(spark, sf):
     e = _t(spark, sf, "embeddings", ["vec_id", "embedding"]).select("vec_id", S.to_double_array("embedding").alias("v"))
     b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("w"))
     m, sd = S.array_moments("v")
-    j = e.join(b, "vec_id").withColumn("_m", m).withColumn("_sd", sd)
+    j = e.join(b, "vec_id", "left").withColumn("_m", m).withColumn("_sd", sd)
     return j.select("vec_id", S.array_l2_norm("v").alias("norm"), S.array_dot("v", "w").alias("dot_next"),
                     S.array_l2_distance("v", "w").alias("l2_next"),
                     S.array_znorm("v", F.col("_m"), F.col("_sd"))[0].alias("z0"))

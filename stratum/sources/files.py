@@ -71,6 +71,32 @@ def scan_tolerant_json(spark: SparkSession, path: str, schema: T.StructType, cor
             .json(path))
 
 
+def scan_entities_tolerant(spark: SparkSession, path: str, schema: T.StructType | str, entity: str, corrupt_col: str = "_corrupt") -> DataFrame:
+    """JSON files of one folder per entity (``entity=...``): rows that cannot be parsed are kept in ``corrupt_col``.
+
+    Files that cannot be read at all give no rows instead of failing the job;
+    ``entity_failures`` names their entities.
+    """
+    base = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    sch = T.StructType([*base.fields, T.StructField(corrupt_col, T.StringType()), T.StructField(entity, T.StringType())])
+    return (spark.read.schema(sch).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+            .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("basePath", path).json(path))
+
+
+def entity_failures(rows: DataFrame, wanted: DataFrame, entity: str, value: str, corrupt_col: str = "_corrupt") -> DataFrame:
+    """Per wanted entity: n_rows, n_corrupt, the ``total`` of ``value`` over sound rows, and why it failed (null if it did not).
+
+    ``missing``: no readable row at all (no file, an empty or an unreadable one); ``corrupt``: some rows could not be parsed.
+    """
+    bad = F.col(corrupt_col).isNotNull()
+    seen = rows.groupBy(F.col(entity).alias("_e")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_corrupt"), F.sum(F.when(~bad, F.col(value))).cast("long").alias("total"))
+    j = wanted.select(entity).join(seen, F.col(entity) == F.col("_e"), "left")
+    n, c = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_corrupt", F.lit(0))
+    return j.select(entity, n.cast("long").alias("n_rows"), c.cast("long").alias("n_corrupt"), "total",
+                    F.when(n == 0, "missing").when(c > 0, "corrupt").alias("failure"))
+
+
 def quarantine_report(df: DataFrame, corrupt_col: str = "_corrupt") -> DataFrame:
     """Rows parsed vs quarantined.  A data column is referenced too: Spark refuses
     queries over raw JSON/CSV that read only the corrupt-record column."""

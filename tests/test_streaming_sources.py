@@ -32,3 +32,22 @@ def test_tolerant_json(spark):
     r = FS.scan_tolerant_json(spark, path, T.StructType([T.StructField("a", T.LongType())]))
     rep = {x["is_corrupt"]: x["n_rows"] for x in FS.quarantine_report(r).collect()}
     assert rep == {False: 2, True: 1}
+
+
+def test_failed_entities_are_named(spark, tmp_path):
+    """A truncated, an empty, an unreadable and a missing file are reported; the sound ones are read."""
+    def write(entity, name, data):
+        d = tmp_path / f"entity={entity}"
+        d.mkdir(exist_ok=True)
+        (d / name).write_bytes(data)
+    write("good", "a.json", b'{"event_id": 1, "k": 4}\n{"event_id": 2, "k": 5}\n')
+    write("truncated", "a.json", b'{"event_id": 1, "k": 7}\n{"event_id": 2, "k"')
+    write("empty", "a.json", b"")
+    write("unreadable", "a.json.gz", b"\x1f\x8b\x08 this is no gzip stream")
+    write("both", "a.json", b'{"event_id": 1, "k": 1}\n')
+    write("both", "b.json.gz", b"\x1f\x8b\x08 nor is this")
+    wanted = spark.createDataFrame([(e,) for e in ("good", "truncated", "empty", "unreadable", "both", "absent")], "entity string")
+    rows = FS.scan_entities_tolerant(spark, str(tmp_path), "event_id long, k long", "entity")
+    got = {r["entity"]: tuple(r)[1:] for r in FS.entity_failures(rows, wanted, "entity", "k").collect()}
+    assert got == {"good": (2, 0, 9, None), "truncated": (2, 1, 7, "corrupt"), "empty": (0, 0, None, "missing"),
+                   "unreadable": (0, 0, None, "missing"), "both": (1, 0, 1, None), "absent": (0, 0, None, "missing")}
