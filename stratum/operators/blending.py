@@ -118,7 +118,11 @@ def nnls_blend(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 
 def ridge_weights(row, cols, alpha: float, positive: bool = False):
-    """Standardised ridge with intercept from the Gram sums (population std)."""
+    """Ridge with an unpenalised intercept from the Gram sums.
+
+    Plain: on standardised signals (population std, below 1e-6 taken as 1).
+    ``positive``: on the raw signals, with weights of at least zero.
+    """
     n = row["n"]
     k = len(cols)
     A, b = _mats(row, cols)
@@ -126,12 +130,14 @@ def ridge_weights(row, cols, alpha: float, positive: bool = False):
     my = row["sy"] / n
     C = A / n - np.outer(mx, mx)
     cy = b / n - mx * my
+    if positive:
+        coef = nnls_solve(C * n + alpha * np.eye(k), cy * n)
+        return coef, float(my - mx @ coef)
     sd = np.sqrt(np.maximum(np.diag(C), 0.0))
     sd = np.where(sd < 1e-6, 1.0, sd)
     Cz = C / np.outer(sd, sd) * n + alpha * np.eye(k)
     cz = cy / sd * n
-    beta = nnls_solve(Cz, cz) if positive else np.linalg.solve(Cz, cz)
-    coef = beta / sd
+    coef = np.linalg.solve(Cz, cz) / sd
     return coef, float(my - mx @ coef)
 
 

@@ -125,17 +125,26 @@ def oof_rmse(oof: DataFrame, label: str, pred: str, fold: str) -> DataFrame:
 
 
 def stacking(oof: DataFrame, cols: Sequence[str], label: str, fold: str, alpha: float = 1.0) -> DataFrame:
-    """Non-negative ridge meta-model on the OOF matrix, validated with the same folds."""
+    """Non-negative ridge meta-model on the raw OOF matrix.
+
+    Adds stack_pred (weights from the other folds), fold_rmse (its error on the
+    row's fold), overall_rmse, and refit_pred (weights from all rows, the model
+    that goes on).  One pass adds up the Gram sums per fold; the solves are on
+    fixed-size matrices.
+    """
     from stratum.operators.blending import gram, ridge_weights
     per = gram(oof, cols, label, fold).collect()  # k rows of fixed size
     tot = {c: sum(r[c] for r in per) for c in per[0].asDict() if c != fold}
+    whole, whole_icpt = ridge_weights(tot, cols, alpha, positive=True)
     rows = []
     for r in per:
         coef, icpt = ridge_weights({c: tot[c] - r[c] for c in tot}, cols, alpha, positive=True)
         rows.append((r[fold], *[float(v) for v in coef], float(icpt)))
     wdf = oof.sparkSession.createDataFrame(rows, [fold, *[f"w_{c}" for c in cols], "w_icpt"])
     pred = sum(F.col(c) * F.col(f"w_{c}") for c in cols) + F.col("w_icpt")
-    return oof.join(F.broadcast(wdf), fold).withColumn("stack_pred", pred).drop(*wdf.columns[1:])
+    refit = sum(F.col(c) * F.lit(float(v)) for c, v in zip(cols, whole)) + F.lit(float(whole_icpt))
+    out = oof.join(F.broadcast(wdf), fold).withColumn("stack_pred", pred).drop(*wdf.columns[1:]).withColumn("refit_pred", refit)
+    return out.join(F.broadcast(oof_rmse(out, label, "stack_pred", fold)), fold)
 
 
 def scaling(df: DataFrame, features: Sequence[str], min_std: float = 1e-6) -> dict[str, tuple[float, float]]:

@@ -168,17 +168,80 @@ def _li_signals(spark, sf):
 SIGNALS = ["s_qty", "s_disc", "s_tax"]
 
 
-@register("nnls_blend", dbl=["weight"])
+LI_SQL = """li AS (SELECT l_suppkey, l_quantity * 950.0 AS s1, l_extendedprice * (1 - l_discount) AS s2, l_extendedprice * (1 + l_tax) AS s3,
+                  l_extendedprice AS y FROM lineitem)"""
+GRAM_SQL = ", ".join(f"sum(s{i} * s{j}) AS g{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3) if i <= j) + ", " + ", ".join(
+    f"sum(s{i} * y) AS b{i}" for i in (1, 2, 3))
+CENTRED_SQL = ", ".join(f"count(*) * covar_pop(s{i}, s{j}) AS g{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3) if i <= j) + ", " + ", ".join(
+    f"count(*) * covar_pop(s{i}, y) AS b{i}" for i in (1, 2, 3))
+
+
+def _g(i: int, j: int) -> str:
+    return f"g{min(i, j)}{max(i, j)}"
+
+
+def _solved(used: tuple[int, ...]) -> list[str]:
+    """Cramer's rule for the normal equations of some of the three signals; the others have weight 0."""
+    def det(m: list[list[str]]) -> str:
+        if len(m) == 1:
+            return m[0][0]
+        return "(" + " ".join(f"{'+' if c % 2 == 0 else '-'} {m[0][c]} * {det([r[:c] + r[c + 1:] for r in m[1:]])}" for c in range(len(m))) + ")"
+    rows = [[_g(i, j) for j in used] for i in used]
+    return [f"{det([r[:used.index(k)] + [f'b{i}'] + r[used.index(k) + 1:] for r, i in zip(rows, used)])} / {det(rows)}" if k in used else "0.0"
+            for k in (1, 2, 3)]
+
+
+def nonnegative_sql(src: str, keys: str = "") -> str:
+    """Least squares with weights of at least zero, by trying every subset of the signals: the best one that has no negative weight."""
+    lead = f"{keys}, " if keys else ""
+    subsets = [tuple(k for k in (1, 2, 3) if m >> (k - 1) & 1) for m in range(8)]
+    tried = " UNION ALL ".join(f"SELECT {src}.*, {w[0]} AS w1, {w[1]} AS w2, {w[2]} AS w3 FROM {src}" for w in map(_solved, subsets))
+    loss = " + ".join(f"{'' if i == j else '2 * '}w{i} * w{j} * {_g(i, j)}" for i in (1, 2, 3) for j in (1, 2, 3) if i <= j) + "".join(
+        f" - 2 * w{i} * b{i}" for i in (1, 2, 3))
+    return (f"SELECT {lead}w1, w2, w3 FROM (SELECT *, row_number() OVER ({'PARTITION BY ' + keys if keys else ''} ORDER BY {loss}) AS r "
+            f"FROM ({tried}) AS t WHERE w1 >= 0 AND w2 >= 0 AND w3 >= 0) AS u WHERE r = 1")
+
+
+@register("nnls_blend", dbl=["weight"], sql=f"""
+WITH {LI_SQL}, g AS (SELECT {GRAM_SQL} FROM li), w AS ({nonnegative_sql("g")})
+""" + " UNION ALL ".join(f"SELECT '{c}' AS signal, w{i} AS weight FROM w" for i, c in enumerate(SIGNALS, 1)))
 def q_nnls_blend(spark, sf):
     return B.nnls_blend(_li_signals(spark, sf), SIGNALS, "y")
 
 
-@register("ridge_blend", dbl=["weight"])
-def q_ridge_blend(spark, sf):
-    return B.ridge_blend(_li_signals(spark, sf), SIGNALS, "y", alpha=1.66, positive=True)
+ALPHA = 1.66
+MEANS_SQL = ", ".join(f"avg(s{i}) AS m{i}" for i in (1, 2, 3)) + ", avg(y) AS my, " + ", ".join(f"stddev_pop(s{i}) AS d{i}" for i in (1, 2, 3))
 
 
-@register("heldout_blend_rmse", dbl=["fold_rmse", "pooled_rmse"] + [f"w_{c}" for c in SIGNALS] + ["w_icpt"])
+@register("ridge_blend", dbl=["weight"], sql=f"""
+WITH {LI_SQL}, c AS (SELECT {CENTRED_SQL}, {MEANS_SQL} FROM li),
+z AS (SELECT m1, m2, m3, my, d1, d2, d3, {", ".join(f"{_g(i, j)} / (d{i} * d{j}) {'+ ' + str(ALPHA) if i == j else ''} AS {_g(i, j)}"
+                                                     for i in (1, 2, 3) for j in (1, 2, 3) if i <= j)},
+             {", ".join(f"b{i} / d{i} AS b{i}" for i in (1, 2, 3))} FROM c),
+s AS (SELECT {", ".join(f"{e} / d{i} AS w{i}" for i, e in enumerate(_solved((1, 2, 3)), 1))} FROM z),
+p AS (SELECT {", ".join(f"{_g(i, j)} {'+ ' + str(ALPHA) if i == j else ''} AS {_g(i, j)}" for i in (1, 2, 3) for j in (1, 2, 3) if i <= j)}, b1, b2, b3 FROM c),
+n AS ({nonnegative_sql("p")}),
+forms AS (SELECT 'standardised' AS form, * FROM s UNION ALL SELECT 'non-negative', * FROM n)
+""" + " UNION ALL ".join(f"SELECT form, '{x}' AS signal, w{i} AS weight FROM forms" for i, x in enumerate(SIGNALS, 1))
+    + " UNION ALL SELECT form, 'intercept', my - m1 * w1 - m2 * w2 - m3 * w3 FROM forms CROSS JOIN c")
+def q_ridge_blend(spark, sf):
+    li = _li_signals(spark, sf)
+    return (B.ridge_blend(li, SIGNALS, "y", alpha=ALPHA).select(F.lit("standardised").alias("form"), "signal", "weight")
+            .unionByName(B.ridge_blend(li, SIGNALS, "y", alpha=ALPHA, positive=True).select(F.lit("non-negative").alias("form"), "signal", "weight")))
+
+
+@register("heldout_blend_rmse", dbl=["fold_rmse", "pooled_rmse"] + [f"w_{c}" for c in SIGNALS] + ["w_icpt"], sql=f"""
+WITH {LI_SQL},
+gs AS (SELECT l_suppkey AS k, count(*) AS sz FROM li GROUP BY l_suppkey),
+gr AS (SELECT k, row_number() OVER (ORDER BY sz DESC, k) - 1 AS r FROM gs),
+gf AS (SELECT k, CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS fold FROM gr),
+lf AS (SELECT li.*, gf.fold FROM li JOIN gf ON li.l_suppkey = gf.k),
+g AS (SELECT f.fold, {GRAM_SQL} FROM lf JOIN (SELECT DISTINCT fold FROM gf) AS f ON lf.fold <> f.fold GROUP BY f.fold),
+w AS ({nonnegative_sql("g", "fold")}),
+e AS (SELECT lf.fold, sum(power(y - w1 * s1 - w2 * s2 - w3 * s3, 2)) AS sse, count(*) AS n FROM lf JOIN w ON lf.fold = w.fold GROUP BY lf.fold)
+SELECT w.fold, {", ".join(f"w{i} AS w_{c}" for i, c in enumerate(SIGNALS, 1))}, CAST(0 AS DOUBLE) AS w_icpt, sqrt(sse / n) AS fold_rmse,
+       sqrt(sum(sse) OVER () / sum(n) OVER ()) AS pooled_rmse
+FROM w JOIN e ON w.fold = e.fold""")
 def q_heldout_blend_rmse(spark, sf):
     li = _li_signals(spark, sf)
     f = SP.group_kfold(li, "l_suppkey", 5).select("l_suppkey", "fold")

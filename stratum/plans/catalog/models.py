@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from stratum.operators import models as MD
 from stratum.operators import splits as SP
 from stratum.plans import views
-from stratum.plans.catalog.blending import eval_frame
+from stratum.plans.catalog import splits as SPL
+from stratum.plans.catalog.blending import CENTRED_SQL, EVAL_SQL, MEANS_SQL, eval_frame, nonnegative_sql
 from stratum.plans.registry import register
+from stratum.session import cut_lineage
 from stratum.sources.tables import load
 
 NUM = ["n_chars", "n_words", "n_lines"]
@@ -73,13 +75,30 @@ def q_gbt_regress_oof(spark, sf):
     return MD.gbt_regress_oof(_oof(spark, sf), "sig", OOF_FEATURES, "fold", ["entity", "i"])
 
 
-@register("stacking", stored=True, dbl=["sig", "m_last", "m_mean", "m_ols", "stack_pred"])
+STACK_W = " + ".join(["{0}.w0", *[f"{{0}}.w{i} * s{i}" for i in (1, 2, 3)]])
+
+
+@register("stacking", stored=True, dbl=["sig", "m_last", "m_mean", "m_ols", "stack_pred", "refit_pred", "fold_rmse", "overall_rmse"], sql=f"""
+WITH {EVAL_SQL},
+mn AS (SELECT entity, avg(sig) AS mean_sig FROM seq WHERE known GROUP BY entity), {SPL.GROUP_KFOLD_SQL},
+o AS (SELECT ef.entity, ef.i, ef.sig AS y, ef.last_sig AS s1, mn.mean_sig AS s2, ef.pred AS s3, gf.fold
+      FROM ef JOIN mn ON ef.entity = mn.entity JOIN gf ON ef.entity = gf.g),
+c AS (SELECT f.fold, {CENTRED_SQL}, {MEANS_SQL} FROM o JOIN (SELECT DISTINCT fold FROM gf) AS f ON o.fold <> f.fold GROUP BY f.fold
+      UNION ALL SELECT -1, {CENTRED_SQL}, {MEANS_SQL} FROM o),
+p AS (SELECT fold, g11 + 1.0 AS g11, g22 + 1.0 AS g22, g33 + 1.0 AS g33, g12, g13, g23, b1, b2, b3 FROM c),
+w AS ({nonnegative_sql("p", "fold")}),
+x AS (SELECT w.*, my - m1 * w1 - m2 * w2 - m3 * w3 AS w0 FROM w JOIN c ON w.fold = c.fold),
+t AS (SELECT o.*, {STACK_W.format("x")} AS sp, {STACK_W.format("a")} AS rp FROM o JOIN x ON o.fold = x.fold CROSS JOIN (SELECT * FROM x WHERE fold = -1) AS a)
+SELECT entity, i, y AS sig, s1 AS m_last, s2 AS m_mean, s3 AS m_ols, fold, sp AS stack_pred, rp AS refit_pred,
+       sqrt(avg((y - sp) * (y - sp)) OVER (PARTITION BY fold)) AS fold_rmse, sqrt(avg((y - sp) * (y - sp)) OVER ()) AS overall_rmse
+FROM t""")
 def q_stacking(spark, sf):
     ev = views.eval_predictions(spark, sf)
     p = ev.groupBy("entity", "i", "sig").pivot("model", ["last", "mean", "ols"]).agg(F.first("p"))
     p = p.withColumnsRenamed({"last": "m_last", "mean": "m_mean", "ols": "m_ols"})
     folds = SP.group_kfold(views.seq(spark, sf), "entity", 5).select("entity", "fold")
-    return MD.stacking(p.join(folds, "entity"), ["m_last", "m_mean", "m_ols"], "sig", "fold", alpha=1.0)
+    # stored: the Gram sums, the scores and the result read it
+    return MD.stacking(cut_lineage(p.join(folds, "entity")), ["m_last", "m_mean", "m_ols"], "sig", "fold", alpha=1.0)
 
 
 EMB_DIMS = 64
