@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 
@@ -36,7 +37,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes what ``stored`` wrote for ``frames``; call it once everything computed from them is stored itself.
+
+    Later steps then start from those files, so no lost executor needs the
+    deleted ones.  The collections let Spark see that the shuffles behind them
+    have no reader left, and remove their files too.
+    """
+    for df in frames:
+        spark, path = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if frames:
+        gc.collect()
+        spark.range(1).count()              # the plan of the query run last is held until the next one
+        spark._jvm.System.gc()
 
 
 def fresh(taken, base: str) -> str:
@@ -221,7 +240,8 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) ->
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low2.select("a", F.col("m").alias("b"))))
-        cur = stored(oriented(small), label)
+        last, cur = cur, stored(oriented(small), label)
+        release(last)
         after = state(cur)
         if after == before:
             break

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import connected_components, heavy_values, mix64, stored, word_hashes
+from stratum.llm.common import connected_components, heavy_values, mix64, release, stored, word_hashes
 
 BAND_RATIO = 1.6
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -409,16 +409,18 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
            named.join(F.broadcast(heavy), "k1", "left_semi").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
            .where("node IS NOT NULL").limit(int(2 / support)).collect()}
 
-    members, only, seed, waiting = None, None, 0, None
+    members, only, seed, waiting, spent = None, None, 0, None, []
     texts = rows.where("doc_id IS NOT NULL")
     while True:
         signed = stored(texts.mapInPandas(
             lambda it, only=only, seed=seed: _signatures(it, rule, edges, schemes, only, seed, hot),
             "sig long, doc_id long"), "join-signatures")
+        spent.append(signed)
         found = _shared(signed.where("sig >= 0"), support)
         members = found if members is None else members.unionByName(found)
         left = signed.where("sig < 0")
         waiting = stored(left if waiting is None else waiting.join(left, ["sig", "doc_id"], "left_semi"), "join-waiting")
+        spent.append(waiting)
         only = {-1 - r["sig"] for r in waiting.select("sig").distinct().collect()}
         if not only:
             break
@@ -428,14 +430,20 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
 
     # buckets with the same documents are one: each is kept under one signature
     members = stored(members, "join-members")
+    del signed, found, left, waiting
+    release(*spent)
+    spent.clear()
     buckets = _different(members).select("bucket", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks"))
     by_doc = (named.where("doc_id IS NOT NULL").join(nodes, ["k1", "k2"])
               .select("doc_id", "node", "n_shingles", "sketch").dropDuplicates(["doc_id", "node"]))
     placed = members.join(buckets, members["sig"] == buckets["bucket"]).join(by_doc, "doc_id")
     near = stored(_in_blocks(placed.select("bucket", "blocks", "node", "n_shingles", "sketch"), "bucket")
                   .mapInPandas(lambda it: _meet(it, rule), "a long, b long").distinct(), "join-near")
+    del placed, buckets
+    release(members)
     clusters = stored(connected_components(near, "join-clusters")
                       .select(F.col("node"), F.col("component").alias("cluster")), "join-clusters")
+    release(near)
 
     def elements(batches):
         for b in batches:
@@ -451,6 +459,8 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_elements)).cast("int").alias("blocks"))
     forest = stored(_in_blocks(sets.join(sized, "cluster").select("cluster", "blocks", "node", "elements"), "cluster")
                     .mapInPandas(lambda it: _verify(it, rule), "node long, parent long, links long"), "join-forest")
+    del sized
+    release(sets)
     linked = connected_components(forest.select(F.col("node").alias("a"), F.col("parent").alias("b")), "join-linked")
     degree = forest.groupBy("node").agg(F.sum("links").alias("n_links"))
 
