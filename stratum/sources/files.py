@@ -7,7 +7,6 @@ use a fresh folder under the session's shared checkpoint location
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.errors import AnalysisException
