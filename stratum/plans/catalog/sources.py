@@ -34,7 +34,7 @@ def q_scan_entity_files(spark, sf):
     root = FS.fresh_dir(spark, "entity-files")
     e = load(spark, sf, "events", ["user_id", "event_id", "value"])
     # one folder per entity (``wid=<id>``); the reader takes the id from the path
-    e.withColumn("wid", F.col("user_id")).write.mode("overwrite").partitionBy("wid").option("header", True).csv(root)
+    FS.sink_entity_files(e.withColumn("wid", F.col("user_id")), root, "wid")
     r = FS.scan_entity_files(spark, root, ".csv", "user_id long, event_id long, value double",
                              entity_pattern=r"/wid=([^/]+)/")
     return r.select("entity", "event_id", "value")
@@ -65,7 +65,7 @@ def q_scan_tolerant(spark, sf):
         .otherwise(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "k": '),
                             F.get_json_object("props", "$.k"), F.lit("}")))
     rows = e.select(line.alias("value"), F.col("user_id").alias("entity"))
-    rows.repartition("entity").write.mode("overwrite").partitionBy("entity").text(path)
+    FS.sink_entity_files(rows, path, "entity", "text")
     wanted = rows.select(F.col("entity").cast("string")).distinct().union(spark.createDataFrame([("never-written",)], "entity string"))
     r = FS.scan_entities_tolerant(spark, path, "event_id long, k long", "entity")
     return FS.entity_failures(r, wanted, "entity", "k").select("entity", "n_rows", "n_corrupt", F.col("total").alias("sum_k"), "failure")

@@ -127,6 +127,27 @@ def sink_fanout(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> str:
     return path
 
 
+def sink_entity_files(df: DataFrame, path: str, entity: str, fmt: str = "csv", file_rows: int = 1 << 20) -> str:
+    """One folder per entity (``entity=<id>``), with one file unless the entity has more than ``file_rows`` rows.
+
+    The rows of an entity meet before they are written, else each task would
+    open a file per entity; those of a long entity are dealt out to several
+    tasks.  Tasks move their finished files into place themselves (commit
+    algorithm 2): algorithm 1 leaves that to the driver, file by file.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    long = df.groupBy(F.col(entity).alias("_e")).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > file_rows)
+    long = long.select("_e", F.ceil(F.col("_c") / file_rows).alias("_files"))    # at most one in file_rows of the rows
+    dealt = (df.withColumn("_part", F.spark_partition_id()).join(F.broadcast(long), F.col(entity) == F.col("_e"), "left")
+             .withColumn("_file", F.pmod("_part", F.coalesce("_files", F.lit(1)))))
+    # an explicit count: adaptive execution would pack very many small files by their few bytes into few tasks
+    w = dealt.repartition(n, entity, "_file").select(*df.columns).write.mode("overwrite").partitionBy(entity)
+    w = w.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
+    return path
+
+
 RUN_LOG_SCHEMA = "seq long, run_date string, message string, score double, status string"
 
 

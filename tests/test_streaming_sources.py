@@ -51,3 +51,27 @@ def test_failed_entities_are_named(spark, tmp_path):
     got = {r["entity"]: tuple(r)[1:] for r in FS.entity_failures(rows, wanted, "entity", "k").collect()}
     assert got == {"good": (2, 0, 9, None), "truncated": (2, 1, 7, "corrupt"), "empty": (0, 0, None, "missing"),
                    "unreadable": (0, 0, None, "missing"), "both": (1, 0, 1, None), "absent": (0, 0, None, "missing")}
+
+
+def test_entity_files_are_few(spark, tmp_path):
+    """One file per entity, however many tasks hold its rows; a long entity gets several."""
+    df = spark.range(0, 400, 1, 8).selectExpr("id % 5 AS wid", "id AS event_id")
+    df = df.unionByName(spark.createDataFrame([(None, 1000)], "wid long, event_id long"))
+    short, long = str(tmp_path / "short"), str(tmp_path / "long")
+    FS.sink_entity_files(df, short, "wid")
+    FS.sink_entity_files(df, long, "wid", file_rows=40)
+    files = {p: sum(n.endswith(".csv") for _, _, names in os.walk(p) for n in names) for p in (short, long)}
+    assert files[short] == 6 and files[long] > 6
+    for p in (short, long):
+        got = FS.scan_entity_files(spark, p, ".csv", "event_id long", entity_pattern=r"/wid=([^/]+)/")
+        want = [(str(i % 5), i) for i in range(400)] + [("__HIVE_DEFAULT_PARTITION__", 1000)]
+        assert sorted(map(tuple, got.select("entity", "event_id").collect())) == sorted(want)
+
+
+def test_tolerant_query_moves_no_file_on_the_driver(spark, monkeypatch):
+    """The query writes its entity files through the clustered sink."""
+    import __spark_entry__ as E
+    calls, sink = [], FS.sink_entity_files
+    monkeypatch.setattr(FS, "sink_entity_files", lambda *a: calls.append(a[2]) or sink(*a))
+    E.queries()["scan_tolerant"](spark, "/root/testdata/sf0.001")
+    assert calls == ["entity"]
