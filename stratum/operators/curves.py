@@ -13,8 +13,11 @@ put in one global order and each value counts the starts before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,44 @@ def curve_pieces(ref: DataFrame, key: str, x: str, y: str, points: int = POINTS,
                                   F.coalesce("_after", F.array().cast(f"array<{POINT}>")).alias("_after")))
 
 
+CURVE_POINTS = 1 << 19     # curves with up to so many points in all are broadcast whole (8 MB)
+Curves = dict              # key -> (x, y), sorted by x, then y
+
+
+def small_curves(ref: DataFrame, key: str, x: str, y: str) -> tuple[Broadcast | None, DataFrame]:
+    """The curves as broadcast ``Curves`` while they are measured as small, else None; and ``ref``, stored.
+
+    Points with a null or NaN coordinate are left out, as in ``curve_pieces``.
+    """
+    ref = cut_lineage(ref.select(key, x, y))
+    if dict(ref.dtypes)[key] not in ("string", "tinyint", "smallint", "int", "bigint") or ref.count() > CURVE_POINTS:
+        return None, ref
+    t = (ref.select(F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+         .filter(F.col("k").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x"))).toArrow().combine_chunks()
+    xs, ys = (t.column(c).to_numpy() for c in ("x", "y"))
+    curves = {}
+    for k, rows in groups_of(t.column("k")):
+        rows = rows[np.lexsort((ys[rows], xs[rows]))]
+        curves[k] = (xs[rows], ys[rows])
+    return ref.sparkSession.sparkContext.broadcast(curves), ref
+
+
+def groups_of(keys: pa.Array | pa.ChunkedArray) -> Iterator[tuple]:
+    """(key, its row numbers) for each key that is not null."""
+    d = (keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys).dictionary_encode()
+    code = d.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    ends = np.searchsorted(code[order], np.arange(len(d.dictionary) + 1))
+    for k, lo, hi in zip(d.dictionary.to_pylist(), ends, ends[1:]):
+        yield k, order[lo:hi]
+
+
+def deal_out(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly: for work that costs much more time than its bytes suggest."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def with_row_id(df: DataFrame, spread: bool = False) -> DataFrame:
     """``df`` stored with a unique number per row (``_id``).
 
@@ -61,8 +102,7 @@ def with_row_id(df: DataFrame, spread: bool = False) -> DataFrame:
     time than its bytes suggest, which adaptive execution would pack into few tasks.
     """
     if spread:
-        spark = df.sparkSession
-        df = df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+        df = deal_out(df)
     return cut_lineage(df.withColumn("_id", F.monotonically_increasing_id()))
 
 

@@ -11,13 +11,16 @@ with the curve.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.functions.scalar import let, znorm_fixed
-from stratum.operators.curves import POINTS, bracket, curve_pieces, interpolated, locate, with_row_id
+from stratum.operators.curves import POINTS, bracket, Curves, curve_pieces, deal_out, groups_of, interpolated, locate, small_curves, with_row_id
 from stratum.operators.quantiles import grouped_medians
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
 from stratum.session import cut_lineage
@@ -67,12 +70,21 @@ def interp_offsets(df: DataFrame, ref: DataFrame, key: str, row_id: Sequence[str
                    anchors: dict[str, tuple[Column, Sequence[float]]], ref_x: str, ref_y: str) -> DataFrame:
     """For each anchor and offset o: sig - interp(anchor + o); one column per (anchor, offset).
 
-    All offsets of a row are searched at once and the row meets each piece that
+    Curves that are measured as small are broadcast, and no row moves.  Else
+    all offsets of a row are searched at once and the row meets each piece that
     any of them falls in, usually a few, once; the values found on different
     pieces are put together by ``max`` (all but one are null).
     """
     names = [f"{a}_{'m' if o < 0 else 'p'}{abs(int(o))}" for a, (_, offs) in anchors.items() for o in offs]
     at = {a: f"_a{i}" for i, a in enumerate(anchors)}
+    curves, ref = small_curves(ref, key, ref_x, ref_y)
+    if curves is not None:
+        asked = df.select(*row_id, F.col(key).alias("_k"), F.col(sig).cast("double").alias("_s"),
+                          *[c.cast("double").alias(at[a]) for a, (c, _) in anchors.items()])
+        offsets = [(at[a], float(o)) for a, (_, offs) in anchors.items() for o in offs]
+        schema = T.StructType([*df.select(*row_id).schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+        ids = list(row_id)
+        return deal_out(asked).mapInArrow(lambda it: _differences(it, curves.value, ids, offsets, names), schema)
     d = with_row_id(df.select(*row_id, key, sig, *[c.cast("double").alias(at[a]) for a, (c, _) in anchors.items()]), spread=True)
     qs = [F.col(at[a]) + F.lit(float(o)) for a, (_, offs) in anchors.items() for o in offs]
     pieces = curve_pieces(ref, key, ref_x, ref_y)
@@ -84,6 +96,32 @@ def interp_offsets(df: DataFrame, ref: DataFrame, key: str, row_id: Sequence[str
     return met.select(*row_id, *[(F.col(sig) - F.col(n)).alias(n) for n in names])
 
 
+def _differences(batches: Iterator[pa.RecordBatch], curves: Curves, row_id: list[str], offsets: list[tuple[str, float]],
+                 names: list[str]) -> Iterator[pa.RecordBatch]:
+    """``row_id`` columns and, per (column, offset), _s - curve(column + offset); null where there is no curve or no place on it."""
+    for b in batches:
+        sig = b.column("_s").to_numpy(zero_copy_only=False)
+        known = b.column("_s").is_valid().to_numpy(zero_copy_only=False)
+        groups = [(rows, *curves[k]) for k, rows in groups_of(b.column("_k")) if k in curves]
+        at = {a: b.column(a).to_numpy(zero_copy_only=False) for a, _ in offsets}
+        out = []
+        for a, o in offsets:
+            v, ok = np.zeros(b.num_rows), np.zeros(b.num_rows, bool)
+            for rows, xs, ys in groups:
+                q = at[a][rows] + o
+                there = ~np.isnan(q)
+                rows, q = rows[there], q[there]
+                left = np.searchsorted(xs, q, "right") - 1
+                lo, hi = np.maximum(left, 0), np.minimum(left + 1, len(xs) - 1)
+                xl, yl, xr, yr = xs[lo], ys[lo], xs[hi], ys[hi]
+                flat = (left < 0) | (hi == left) | (xl == q)     # before the curve, after it, on a point of it
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    v[rows] = sig[rows] - np.where(flat, yl, (yr - yl) / (xr - xl) * (q - xl) + yl)
+                ok[rows] = True
+            out.append(pa.array(v, pa.float64(), mask=~(ok & known)))
+        yield pa.RecordBatch.from_arrays([*b.select(row_id).columns, *out], names=[*row_id, *names])
+
+
 def _ranged(df: DataFrame, pieces: DataFrame, key: str, lo: Column, hi: Column, hi_strict: bool) -> DataFrame:
     """Rows once per piece that may hold points from ``lo`` up to ``hi``, with the piece's columns."""
     d = locate(df, pieces, key, [lo, hi], [True, hi_strict])
@@ -134,7 +172,8 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     x in the half-open [prior - search, prior + search); the minimum-SSE start
     (first on ties) gives x at start + the row's offset in its window, and
     err = SSE / L.  Rows with fewer than L candidate points are not matched.
-    Returns ev columns plus match_x and err (null when unmatched).
+    Returns ev columns plus match_x and err (null when unmatched).  Curves that
+    are measured as small are broadcast, and the search moves no row.
     """
     min_ref = min_ref if min_ref is not None else 2 * half + 1
     filled = gap_interpolate(ev, entity, pos, sig, "_g", None, block)
@@ -143,13 +182,26 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     h = h.withColumn("_loc", _values("_g", fr)).withColumn("_nn", F.count("_g").over(fr))
     h = h.withColumn("_cnt", F.count(F.lit(1)).over(fr))
     # narrow rows, stored: the search reads those with a whole window, the result all of them
-    win = with_row_id(own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g"), spread=True)
-    ok = win.filter((F.size("_loc") >= 3) & (F.col("_nn") == F.col("_cnt")))
+    win = own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g")
+    whole_window = (F.size("_loc") >= 3) & (F.col("_nn") == F.col("_cnt"))
     w = F.lit(float(search))
+    curves, ref = small_curves(ref.select(key, "x", "y").dropna(), key, "x", "y")
+    if curves is not None:
+        asked = win.select(*ev.columns, F.col(key).alias("_k"), F.when(whole_window, F.col("_loc")).alias("_w"), "_off",
+                           (F.col(prior) - w).cast("double").alias("_lo"), (F.col(prior) + w).cast("double").alias("_hi"))
+        slack = 0.0 if sse_digits is None else 10.0 ** -sse_digits
+        schema = T.StructType([*ev.schema.fields, T.StructField("_near", T.ArrayType(MATCH)), T.StructField("_len", T.IntegerType())])
+        columns = ev.columns
+        near = deal_out(asked).mapInArrow(lambda it: _near_matches(it, curves.value, columns, min_ref, slack), schema)
+        best = F.array_min(F.transform("_near", lambda v: F.struct(
+            (F.round(v["sse"], sse_digits) if sse_digits is not None else v["sse"]).alias("key"), v["s"], v["sse"], v["x"])))
+        found = near.select(*ev.columns, best.alias("_b"), "_len")
+        return found.select(*ev.columns, F.col("_b.x").alias("match_x"), (F.col("_b.sse") / F.col("_len")).alias("err"))
+    win = with_row_id(win, spread=True)
+    ok = win.filter(whole_window)
     ok = ok.select("_id", key, "_loc", "_off", F.size("_loc").alias("_L"), (F.col(prior) - w).alias("_lo"), (F.col(prior) + w).alias("_hi"))
     points = max(POINTS, 2 * half)
-    r = _long_enough(ref.select(key, "x", "y").dropna(), key, min_ref)
-    pieces = curve_pieces(r, key, "x", "y", points, tail=2 * half)
+    pieces = curve_pieces(_long_enough(ref, key, min_ref), key, "x", "y", points, tail=2 * half)
     met = _ranged(ok, pieces, key, F.col("_lo"), F.col("_hi"), True)
 
     # a window that starts on this piece runs on into its tail; bound as a lambda variable, so it is built once a row
@@ -173,6 +225,57 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     return j.drop("_id", "_loc", "_nn", "_cnt", "_off", "_b")
 
 
+MATCH = T.StructType().add("s", "long").add("sse", "double").add("x", "double")
+SSE_CELLS = 1 << 18        # (row, start) pairs that are scored at once
+
+
+def _near_matches(batches: Iterator[pa.RecordBatch], curves: Curves, columns: list[str], min_ref: int, slack: float) -> Iterator[pa.RecordBatch]:
+    """``columns``, the starts whose squared error is within ``slack`` of the row's least one (of equal errors the first), and the window's length."""
+    for b in batches:
+        w = b.column("_w")
+        size = w.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values, begin = w.flatten().to_numpy(zero_copy_only=False), np.cumsum(size) - size
+        lo, hi = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_lo", "_hi"))
+        off = b.column("_off").to_numpy(zero_copy_only=False).astype(np.int64)
+        asked = (size > 0) & ~np.isnan(lo) & ~np.isnan(hi)
+        parts: list[tuple] = []
+        for k, members in groups_of(b.column("_k")):
+            xs, ys = curves.get(k, (None, None))
+            if xs is None or len(xs) < min_ref:
+                continue
+            for length in np.unique(size[members[asked[members]]]).tolist():
+                rows = members[asked[members] & (size[members] == length)]
+                first = np.searchsorted(xs, lo[rows], "left")
+                n = np.searchsorted(xs, hi[rows], "left") - length - first + 1
+                order = np.argsort(n, kind="stable")
+                order = order[n[order] > 0]
+                while len(order):                      # most starts first: what is left needs no more than these
+                    take = max(1, SSE_CELLS // int(n[order[-1]]))
+                    some, order = order[-take:], order[:-take]
+                    at = first[some][:, None] + np.arange(n[some].max())
+                    there = np.arange(at.shape[1]) < n[some][:, None]
+                    at = np.where(there, at, first[some][:, None])
+                    sse = np.zeros(at.shape)
+                    for j in range(length):
+                        sse += np.square(ys[at + j] - values[begin[rows[some]] + j][:, None])
+                    sse[np.isnan(sse)] = np.inf        # NaN counts as largest
+                    sse[~there] = np.inf
+                    r, c = np.nonzero((sse <= sse.min(axis=1)[:, None] + slack) & there)
+                    keep = np.lexsort((c, sse[r, c], r))
+                    r, c = r[keep], c[keep]
+                    e = sse[r, c]
+                    new = np.concatenate([[True], (r[1:] != r[:-1]) | (e[1:] != e[:-1])])
+                    r, c, e = r[new], c[new], e[new]
+                    s, row = at[r, c], rows[some][r]
+                    parts.append((row, s, e, xs[s + off[row]]))
+        row, s, e, x = (np.concatenate(z) for z in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        order = np.argsort(row, kind="stable")
+        ends = np.cumsum([0, *np.bincount(row, minlength=b.num_rows)])
+        found = pa.StructArray.from_arrays([pa.array(s[order], pa.int64()), pa.array(e[order]), pa.array(x[order])], names=["s", "sse", "x"])
+        yield pa.RecordBatch.from_arrays([*b.select(columns).columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
+                                          pa.array(size, pa.int32())], names=[*columns, "_near", "_len"])
+
+
 def median_gate(df: DataFrame, entity: str, err: str, cand: str, prior: str, out: str, slack: float = 1.5) -> DataFrame:
     """Accept a match when err <= slack * the entity's median valid err, else keep the prior.
 

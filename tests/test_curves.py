@@ -86,3 +86,35 @@ def test_offsets_meet_a_piece_once(spark, way):
         want = [i - np.interp(c + o, x[order] * 100, y[order]) for c in (5.0 * i, 50.0) for o in offs]
         assert np.allclose(list(rows[i])[1:], want)
     assert set(list(rows[50])[1:]) == {None} and rows[51]["u_p0"] is None and len(rows) == 22
+
+
+def _both_ways(monkeypatch, make):
+    """Sorted rows by broadcast curves and by joined pieces."""
+    from stratum.operators import curves as CV
+    out = []
+    for limit in (CV.CURVE_POINTS, 0):
+        monkeypatch.setattr(CV, "CURVE_POINTS", limit)
+        df = make()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert ("MapInArrow" in plan) == (limit > 0)
+        out.append(sorted(map(repr, df.collect())))
+    return out
+
+
+def test_offsets_by_broadcast_and_by_pieces(spark, monkeypatch):
+    ref = spark.createDataFrame([(f"k{i % 3}", float(i % 40), float(i * i % 17)) for i in range(150)]
+                                + [("k0", None, 1.0), ("k1", 5.0, None), ("k2", float("nan"), 2.0), (None, 1.0, 1.0)], "k string, x double, y double")
+    rows = [(i, f"k{i % 4}", None if i % 11 == 0 else i / 3, i / 2 - 10) for i in range(120)]
+    rows += [(200, None, 1.0, 1.0), (201, "k1", 1.0, None), (202, "k1", 1.0, float("nan")), (203, "k1", float("nan"), 3.0), (203, "k1", 1.0, 3.0)]
+    df = spark.createDataFrame(rows, "id long, k string, s double, p double")
+    offs = [-15.0, 0.0, 0.25, 30.0]
+    a, b = _both_ways(monkeypatch, lambda: MT.interp_offsets(df, ref, "k", ["id"], "s", {"u": (F.col("p"), offs[:2]), "v": (F.col("p") + 1, offs[2:])}, "x", "y"))
+    assert a == b and len(a) == len(rows)
+
+
+def test_window_match_by_broadcast_and_by_pieces(spark, monkeypatch):
+    ref = spark.createDataFrame([(f"k{i % 3}", float(i // 3) / 4, float(i // 12 % 5)) for i in range(240)] + [("few", 1.0, 1.0)], "k string, x double, y double")
+    rows = [(e, i, "few" if e == 3 else f"k{e}", None if i == 7 else 4.0 + i / 3, None if (i % 9 == 4 or e == 4) else float(i % 5) / 2) for e in range(6) for i in range(30)]
+    ev = spark.createDataFrame(rows, "entity long, e long, k string, prior double, s double")
+    a, b = _both_ways(monkeypatch, lambda: MT.subseq_match_sse(ev, ref, "entity", "e", "k", "prior", "s", half=3, search=4.0, sse_digits=5))
+    assert a == b and len(a) == len(rows) and any("match_x=None" not in r for r in a)
