@@ -17,6 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.scan import BROADCAST_ROWS
+from stratum.session import cut_lineage
+
 ACCURACY = 10_000
 
 
@@ -60,9 +63,9 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, t
         brackets.append(F.struct(F.when(small, F.col(f"_min{i}")).otherwise(a[k]).alias("lo"),
                                  F.when(small, F.col(f"_max{i}")).otherwise(a[k + 1]).alias("hi"),
                                  rank.alias("rank")).alias(f"_b{t}"))
-    fitted = fitted.select("_g", *brackets)
-
-    inside = rows.join(fitted, "_g")
+    # stored: one row per group; few groups go to the rows, so that a group's rows never meet in one task
+    fitted = cut_lineage(fitted.select("_g", *brackets))
+    inside = rows.join(F.broadcast(fitted) if fitted.count() <= BROADCAST_ROWS else fitted, "_g")
     cells = [F.struct(F.lit(t).alias("t"), F.col(f"_v{i}").alias("v"), F.col(f"_b{t}").alias("b")) for t, (_, i, _) in enumerate(parts)]
     cell = (inside.select("_g", F.explode(F.array(*cells)).alias("c")).where("c.v <= c.b.hi")
             .select("_g", F.col("c.t").alias("t"), F.when(F.col("c.v") >= F.col("c.b.lo"), F.col("c.v")).alias("x"),

@@ -59,3 +59,17 @@ def test_second_pass_moves_few_rows(spark):
     assert out.first()["m"] == pytest.approx(float(np.median([r["v"] for r in df.collect()])))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile(" not in plan.replace("approx_percentile(", "").replace("percentile_approx(", "") and "median(" not in plan
+
+
+def test_few_groups_are_not_shuffled(spark):
+    """Brackets of few groups go to the rows, whatever the broadcast threshold: no task reads a whole group."""
+    from stratum.operators.quantiles import grouped_medians
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = grouped_medians(spark.range(100).selectExpr("id % 2 AS g", "id AS v"), ["g"], {"m": "v"})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        assert sorted(map(tuple, out.collect())) == [(0, 49.0), (1, 50.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
