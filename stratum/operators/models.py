@@ -84,6 +84,7 @@ def gbt_classify_cv(df: DataFrame, label: str, numeric, categorical, fold: str,
 def final_fit_predict(train: DataFrame, test: DataFrame, label: str, numeric, categorical, id_cols: Sequence[str],
                       task: str = "classification", seed: int = 42, max_iter: int = 20, max_depth: int = 3) -> DataFrame:
     """Refit on every train row, predict the test rows, composite id ``a_b``."""
+    train, test = cut_lineage(train), cut_lineage(test)  # every stage of the fit rereads the rows
     trf, tef = fill_categoricals(train, test, categorical)
     est = (GBTClassifier if task == "classification" else GBTRegressor)(
         labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=max_depth, seed=seed)

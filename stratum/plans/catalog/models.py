@@ -50,7 +50,7 @@ def q_gbt_classify_cv(spark, sf):
     return MD.gbt_classify_cv(f, "quality", NUM, CAT, "fold")
 
 
-@register("final_fit_predict", dbl=["prediction"])
+@register("final_fit_predict", stored=True, dbl=["prediction"])
 def q_final_fit_predict(spark, sf):
     # the out-of-fold features: nothing in them is computed from the label of the row;
     # the entities of the first fold play the test set
