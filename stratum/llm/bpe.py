@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import codecs
 import gc
+import hashlib
 import heapq
 import json
 import re
@@ -51,16 +52,24 @@ def byte_letters() -> list[str]:
 
 @dataclass(frozen=True, eq=False)
 class Vocabulary:
-    """A vocabulary file's contents: a fixed public table, of bounded size whatever the corpus."""
+    """A vocabulary file's contents: a fixed public table, of bounded size whatever the corpus; equal if read from equal files."""
     tokens: dict[str, int]
     merges: list[tuple[str, str]]
     added: dict[str, int]
+    digest: str
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Vocabulary) and self.digest == other.digest
+
+    def __hash__(self) -> int:
+        return hash(self.digest)
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
         """Reads a byte-level BPE file; raises ValueError for a kind of tokenizer that works otherwise."""
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        with open(path, "rb") as f:
+            data = f.read()
+        spec = json.loads(data.decode("utf-8"))
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
         plain = (model.get("type", "BPE") == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel"
                  and pre.get("use_regex", True) and not pre.get("add_prefix_space")
@@ -70,7 +79,7 @@ class Vocabulary:
         if not plain or any(a.get(k) for a in added for k in ("single_word", "lstrip", "rstrip")):
             raise ValueError(f"{path}: not a plain byte-level BPE file")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        return cls(model["vocab"], merges, {a["content"]: a["id"] for a in added})
+        return cls(model["vocab"], merges, {a["content"]: a["id"] for a in added}, hashlib.sha256(data).hexdigest())
 
 
 class Tokenizer:
@@ -185,15 +194,15 @@ class Decoder:
         return "".join(out) + reader.decode(b"", True)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tokenizer(vocabulary: Vocabulary) -> Tokenizer:
-    """One tokenizer per worker process and vocabulary: what it remembers serves later tasks too."""
+    """One tokenizer per worker process: what it remembers serves later tasks and, with an equal vocabulary, later queries too."""
     made = Tokenizer(vocabulary)
     gc.freeze()                                      # its tables need no looking through at every collection
     return made
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def decoder(vocabulary: Vocabulary) -> Decoder:
     return Decoder(vocabulary)
 

@@ -120,3 +120,9 @@ def test_digests(spark, library):
 def test_other_kinds_of_files_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary.read(public.path("word_bpe_49k.json"))
+
+
+def test_one_tokenizer_for_equal_vocabularies():
+    """A worker that sees the same vocabulary again keeps one set of tables, not one per query."""
+    a, b = bpe.Vocabulary.read(PATH), bpe.Vocabulary.read(PATH)
+    assert a is not b and bpe.tokenizer(a) is bpe.tokenizer(b) and bpe.decoder(a) is bpe.decoder(b)
