@@ -50,11 +50,11 @@ def q_gbt_classify_cv(spark, sf):
     return MD.gbt_classify_cv(f, "quality", NUM, CAT, "fold")
 
 
-@register("final_fit_predict", stored=True, dbl=["prediction"])
+@register("final_fit_predict", dbl=["prediction"])
 def q_final_fit_predict(spark, sf):
     # the out-of-fold features: nothing in them is computed from the label of the row;
     # the entities of the first fold play the test set
-    e = _oof(spark, sf)
+    e = cut_lineage(_oof(spark, sf))  # train and test rows read it
     return MD.final_fit_predict(e.filter("fold <> 0"), e.filter("fold = 0"), "sig", OOF_FEATURES, [], ["entity", "i"], task="regression")
 
 
