@@ -28,15 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage with files that every executor sees, so a lost executor
-    costs one task and not the whole history.
+    costs one task and not the whole history.  The shuffles of the write go with
+    it (a setting of Spark 4.1; earlier versions wait for their garbage collector).
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out

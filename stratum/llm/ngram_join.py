@@ -15,6 +15,7 @@ together with everything in its scheme.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -155,14 +156,49 @@ def sign(rule: Rule, elements: np.ndarray, band: int, scheme: tuple[int, int, in
     return np.unique(np.concatenate(out)) >> np.uint64(1)
 
 
-SKETCH_BITS = 1024
+SKETCH_BITS, MOST_SKETCH_BITS = 1 << 10, 1 << 15
 
 
-def sketch(elements: np.ndarray) -> bytes:
-    """Parities of the set's shingles over SKETCH_BITS slots: two sketches never differ in more bits than their sets
-    differ in shingles."""
-    slots = (elements >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
-    return np.packbits((np.bincount(slots, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+def sketch(elements: np.ndarray, apart: int = 0) -> bytes:
+    """Parities of the set's shingles over slots: two sketches never differ in more bits than their sets differ in shingles.
+
+    There are over four slots for each of the ``apart`` shingles in which a
+    partner may differ, SKETCH_BITS at least: unrelated sets then differ in
+    about half the slots, twice what is allowed.  Sets too large for
+    MOST_SKETCH_BITS pass more often and are told apart by their shingles.
+    """
+    bits = min(MOST_SKETCH_BITS, max(SKETCH_BITS, 1 << (4 * apart).bit_length()))
+    slots = (elements & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """The sketch that the same set has with fewer slots."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def sketch_levels(sketches: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Words of each sketch, and for each such length the sketches of that length or more folded to it (else zeros)."""
+    rows = [np.frombuffer(x, np.uint64) for x in sketches]
+    words = np.array([len(r) for r in rows])
+    levels = {}
+    for n in np.unique(words).tolist():
+        levels[n] = np.zeros((len(rows), n), np.uint64)
+        for k in np.flatnonzero(words >= n).tolist():
+            levels[n][k] = _fold(rows[k], n) if words[k] > n else rows[k]
+    return words, levels
+
+
+def sketches_apart(words: np.ndarray, levels: dict[int, np.ndarray], x: int, others: np.ndarray) -> np.ndarray:
+    """In how many bits sketch x differs from each of the others, at the shorter length of the two."""
+    if len(levels) == 1:
+        bits = levels[int(words[x])]
+        return np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
+    out, at = np.zeros(len(others), np.int64), np.minimum(words[others], words[x])
+    for n, bits in levels.items():
+        on = at == n
+        out[on] = np.bitwise_count(bits[others[on]] ^ bits[x]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _set_keys(batches, rule: Rule):
@@ -170,7 +206,8 @@ def _set_keys(batches, rule: Rule):
         rows = []
         for e in rule.shingles(b["body"].tolist()):
             rows.append((len(e), int(mix64(e).sum(dtype=np.uint64).astype(np.int64)),
-                         int(mix64(e ^ _C).sum(dtype=np.uint64).astype(np.int64)), sketch(e)))
+                         int(mix64(e ^ _C).sum(dtype=np.uint64).astype(np.int64)),
+                         sketch(e, rule.difference(len(e), len(e)))))
         n, k1, k2, bits = zip(*rows) if rows else ((), (), (), ())
         yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": np.array(n, np.int64),
                             "k1": np.array(k1, np.int64), "k2": np.array(k2, np.int64), "sketch": list(bits)})
@@ -275,12 +312,12 @@ def _meet(batches, rule: Rule):
             continue
         i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
         ids, sizes = g["node"].to_numpy(), g["n_shingles"].to_numpy()
-        bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
+        words, levels = sketch_levels(g["sketch"].tolist())
         block = g["block"].to_numpy()
         yours = np.flatnonzero(block == j)
         forest = _Forest(len(ids))
         for x in np.flatnonzero(block == i).tolist():
-            apart = np.bitwise_count(bits[yours] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            apart = sketches_apart(words, levels, x, yours)
             small, large = np.minimum(sizes[yours], sizes[x]), np.maximum(sizes[yours], sizes[x])
             ok = (apart * (rule.den + rule.num) <= (small + large) * (rule.den - rule.num)) & (small * rule.den >= large * rule.num)
             for y in yours[ok].tolist():
@@ -363,14 +400,41 @@ def _different(members: DataFrame) -> DataFrame:
             .groupBy("n", "lo", "hi", "x", "y").agg(F.min("sig").alias("bucket")).select("n", "bucket"))
 
 
-def _in_blocks(rows: DataFrame, key: str) -> DataFrame:
-    """Deals the members of every group (``key``, with column blocks) to the tasks of all pairs of its blocks."""
-    return (rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+def _rounds(sizes: dict[int, int], copies: int = 2) -> list[tuple[int, int]]:
+    """Ranges of distances between blocks, from ``blocks`` of a group -> rows of such groups.
+
+    Blocks of a group stand in a ring, so each pair of them has one distance up
+    to half the ring.  What the pairs of a range read is at most ``copies``
+    times all rows, however many blocks a group has.
+    """
+    most, out, used = copies * sum(sizes.values()), [], 0
+    for d in range(max(sizes, default=0) // 2 + 1):
+        cost = sum(n * (1 if d == 0 or 2 * d == b else 2) for b, n in sizes.items() if 2 * d <= b)
+        if out and used + cost <= most:
+            out[-1], used = (out[-1][0], d + 1), used + cost
+        else:
+            out.append((d, d + 1))
+            used = cost
+    return out
+
+
+def _in_blocks(rows: DataFrame, key: str, low: int, high: int) -> DataFrame:
+    """Deals the members of every group (``key``, with column blocks) to the tasks of the pairs of its blocks at
+    distances from ``low`` to below ``high``."""
+    half = (F.col("blocks") / 2).cast("int")
+    return (rows.where(half >= low).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("apart", F.explode(F.sequence(F.lit(low), F.least(F.lit(high - 1), half))))
+            .withColumn("other", F.explode(F.array_distinct(F.array(F.expr("pmod(block + apart, blocks)"), F.expr("pmod(block - apart, blocks)")))))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "apart", "other")
             .repartition(key, "i", "j").sortWithinPartitions(key, "i", "j"))
 
 
+def _dealt(rows: DataFrame, groups: DataFrame, key: str) -> list[DataFrame]:
+    """``rows`` dealt to all pairs of blocks, in rounds to be stored one after the other; ``groups`` has (blocks, n) of each group."""
+    sizes = {r["blocks"]: int(r["n"]) for r in groups.groupBy("blocks").agg(F.sum("n").alias("n")).collect()}
+    return [_in_blocks(rows, key, low, high) for low, high in _rounds(sizes)]
+
+
 def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "doc_id", text_col: str = "text",
                     support: float = 0.001, block_sets: int = 512, block_elements: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
@@ -433,17 +497,17 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
     del signed, found, left, waiting
     release(*spent)
     spent.clear()
-    buckets = _different(members).select("bucket", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks"))
+    buckets = stored(_different(members).select("bucket", "n", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks")), "join-buckets")
     by_doc = (named.where("doc_id IS NOT NULL").join(nodes, ["k1", "k2"])
               .select("doc_id", "node", "n_shingles", "sketch").dropDuplicates(["doc_id", "node"]))
     placed = members.join(buckets, members["sig"] == buckets["bucket"]).join(by_doc, "doc_id")
-    near = stored(_in_blocks(placed.select("bucket", "blocks", "node", "n_shingles", "sketch"), "bucket")
-                  .mapInPandas(lambda it: _meet(it, rule), "a long, b long").distinct(), "join-near")
-    del placed, buckets
-    release(members)
-    clusters = stored(connected_components(near, "join-clusters")
+    near = [stored(dealt.mapInPandas(lambda it: _meet(it, rule), "a long, b long").distinct(), "join-near")
+            for dealt in _dealt(placed.select("bucket", "blocks", "node", "n_shingles", "sketch"), buckets, "bucket")]
+    del placed
+    release(members, buckets)
+    clusters = stored(connected_components(reduce(DataFrame.unionByName, near), "join-clusters")
                       .select(F.col("node"), F.col("component").alias("cluster")), "join-clusters")
-    release(near)
+    release(*near)
 
     def elements(batches):
         for b in batches:
@@ -456,9 +520,10 @@ def join_components(docs: DataFrame, rule: Rule | None = None, doc_col: str = "d
     sets = stored(texts.join(clusters.hint("merge"), texts["doc_id"] == clusters["node"]).select("cluster", "node", "body")
                      .mapInPandas(elements, "cluster long, node long, n long, elements binary"), "join-elements")
     sized = sets.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_elements)).cast("int").alias("blocks"))
-    forest = stored(_in_blocks(sets.join(sized, "cluster").select("cluster", "blocks", "node", "elements"), "cluster")
-                    .mapInPandas(lambda it: _verify(it, rule), "node long, parent long, links long"), "join-forest")
+        F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_elements)).cast("int").alias("blocks"), F.sum("n").alias("n"))
+    forest = reduce(DataFrame.unionByName, [
+        stored(dealt.mapInPandas(lambda it: _verify(it, rule), "node long, parent long, links long"), "join-forest")
+        for dealt in _dealt(sets.drop("n").join(sized, "cluster").select("cluster", "blocks", "node", "elements"), sized, "cluster")])
     del sized
     release(sets)
     linked = connected_components(forest.select(F.col("node").alias("a"), F.col("parent").alias("b")), "join-linked")

@@ -1,6 +1,7 @@
 """The n-gram Jaccard join against all pairs by brute force."""
 
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -134,3 +135,70 @@ def test_repeated_rows_leave_the_components_as_they_are(spark):
     rule = N.Rule(3, 70, 100)
     got = [{(r["doc_id"], r["component_id"], r["n_links"]) for r in N.join_components(d, rule).collect()} for d in (one, two)]
     assert got[0] == got[1]
+
+
+def test_sketches_tell_large_sets_apart():
+    rng, rule = np.random.default_rng(8), N.Rule(5, 80, 100)
+    sets = [np.unique(N.mix64(rng.integers(0, 2**63, n, dtype=np.uint64))) for n in (2400, 2500, 2900, 900, 5000)]
+    sets += [np.append(sets[4][100:], sets[0][:50]), np.append(sets[0], sets[1][:300])]
+    words, levels = N.sketch_levels([N.sketch(e, rule.difference(len(e), len(e))) for e in sets])
+    assert len(levels) > 2
+    for x, a in enumerate(sets):
+        apart = N.sketches_apart(words, levels, x, np.arange(len(sets)))
+        for y, b in enumerate(sets):
+            differ = len(np.setxor1d(a, b))
+            assert apart[y] <= differ
+            small, large = sorted((len(a), len(b)))
+            if small * rule.den >= large * rule.num and not rule.linked(len(np.intersect1d(a, b)), small, large) and differ > small:
+                assert apart[y] * (rule.den + rule.num) > (small + large) * (rule.den - rule.num)
+
+
+def test_large_unrelated_sets_form_no_cluster():
+    rng, rule = np.random.default_rng(12), N.Rule(5, 80, 100)
+    bits = [N.sketch(e, rule.difference(len(e), len(e))) for e in N.mix64(rng.integers(0, 2**63, (20, 4700), dtype=np.uint64))]
+    g = pd.DataFrame({"bucket": 1, "i": 0, "j": 0, "block": 0, "node": range(20), "n_shingles": 4700, "sketch": bits})
+    assert not list(N._meet(iter([g]), rule))
+
+
+def test_rounds_take_every_pair_of_blocks_once_and_bounded(spark):
+    blocks = {1: 1, 2: 2, 3: 3, 4: 4, 5: 9, 6: 16}
+    rows = [(key, b, node) for key, b in blocks.items() for node in range(12 * b)]
+    df = spark.createDataFrame(rows, "key long, blocks int, node long")
+    sizes = {b: 12 * b for b in blocks.values()}
+    rounds = N._rounds(sizes)
+    assert len(rounds) > 2 and [d for low, high in rounds for d in range(low, high)] == list(range(9))
+    met = []
+    for low, high in rounds:
+        dealt = N._in_blocks(df, "key", low, high).select("key", "i", "j", "block", "node").collect()
+        assert len(dealt) <= 2 * len(rows)
+        met += {(r["key"], r["i"], r["j"]) for r in dealt}
+        assert all(r["block"] in (r["i"], r["j"]) for r in dealt)
+    want = {(key, i, j) for key, b in blocks.items() for i in range(b) for j in range(i, b)}
+    assert len(met) == len(set(met)) and set(met) <= want
+    assert N._rounds({}) == [(0, 1)] and N._rounds({1: 50}) == [(0, 1)]
+
+
+def test_a_group_in_many_rounds_matches_brute_force(spark):
+    rng = random.Random(17)
+    rows = list(enumerate(family(rng, 45, 60, 0.02) + family(rng, 5, 60, 0.02)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 3, 70, 100)
+    found = N.join_components(df, N.Rule(3, 70, 100), block_sets=8, block_elements=600)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == want
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    from stratum.llm.common import stored
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+    before = files()
+    kept = stored(spark.range(2000).repartition(7, "id"), "test")
+    for _ in range(100):                     # Spark deletes them in the background
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and kept.count() == 2000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
