@@ -6,7 +6,7 @@ import math
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import fresh, stored
@@ -15,6 +15,8 @@ AXES = ("source", "lang", "topic")
 MISSING = "(none)"
 #: Raking that shrinks a cell without end, under targets that no weights can meet together, stops at this share: a double that is neither 0 nor lost.
 LEAST = 1e-200
+#: So many cells, counted, share one partition: summing them over an axis then takes no shuffle, and the driver plans no stage for it.
+FEW_CELLS = 100_000
 
 
 def topic(text: Column) -> Column:
@@ -33,6 +35,11 @@ def tokens(text: Column) -> Column:
     return (F.length(t) - F.length(F.replace(F.replace(t, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))) + 1).cast("double")
 
 
+def gathered(cells: DataFrame) -> DataFrame:
+    """``cells`` in one partition if they are few, else as they are."""
+    return cells.coalesce(1) if cells.count() <= FEW_CELLS else cells
+
+
 def tempered_targets(cells: DataFrame, axes: Sequence[str] = AXES, power: float = 0.5) -> dict[str, DataFrame]:
     """For each axis (value, share): shares of tokens raised to ``power`` and made to sum to 1.
 
@@ -42,44 +49,56 @@ def tempered_targets(cells: DataFrame, axes: Sequence[str] = AXES, power: float
     out = {}
     for a in axes:
         m = cells.groupBy(a).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("m"))
-        out[a] = stored(m.crossJoin(F.broadcast(m.agg(F.sum("m").alias("all"))))   # one row
-                        .select(F.col(a).alias("value"), (F.col("m") / F.col("all")).alias("share")), "mix-target")
+        total = m.agg(F.sum("m")).first()[0]
+        out[a] = stored(m.select(F.col(a).alias("value"), (F.col("m") / F.lit(total).cast("double")).alias("share")), "mix-target")
     return out
 
 
+def _have(cells: DataFrame, axis: str, few: bool) -> DataFrame:
+    """``cells`` with column ``have``, what is fitted to all cells of their value of ``axis``; null values drop out."""
+    if few:
+        return cells.withColumn("have", F.sum("fitted").over(Window.partitionBy(axis))).where(F.col(axis).isNotNull())
+    return cells.join(cells.groupBy(axis).agg(F.sum("fitted").alias("have")), axis)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = 50, tolerance: float = 1e-4) -> DataFrame:
     """Cells with column ``fitted``: their shares scaled in turn to every axis' target until none is off by ``tolerance``.
 
     ``targets`` maps an axis to (value, share).  Values without a target keep
     weight 0 and targets without any cell are left out, the rest of an axis
-    being scaled to sum to 1.  Each step is one aggregation with map-side
-    combine and a join on the axis value, on the table of cells and not of
-    documents; each sweep is written, so a lost executor repeats one sweep.
+    being scaled to sum to 1.  The goals are joined to the cells once.  Each
+    step is one aggregation with map-side combine and a join on the axis value,
+    on the table of cells and not of documents; up to FEW_CELLS cells lie in
+    one partition and are summed there by windows.  Each sweep is written, so
+    a lost executor repeats one sweep.
     Stops early when the sweep changed no cell's share of the total, which
     is where targets that no weights can meet together settle as well.
     """
-    total = cells.agg(F.sum("tokens").alias("all"))
-    cur = cells.crossJoin(F.broadcast(total)).withColumn("fitted", F.col("tokens") / F.col("all")).drop("all")
+    few = cells.count() <= FEW_CELLS
+    placed = (lambda df: df.coalesce(1)) if few else (lambda df: df)
+    cells = placed(cells)
+    total = cells.agg(F.sum("tokens")).first()[0]
+    cur = cells.withColumn("fitted", F.col("tokens") / F.lit(total).cast("double"))
     goals = {}
     for a, t in targets.items():
+        goals[a] = fresh(cur.columns, f"goal_{a}")
         here = t.join(cells.select(F.col(a).alias("value")).distinct(), "value")
-        goals[a] = stored(here.crossJoin(F.broadcast(here.agg(F.sum("share").alias("all"))))
-                          .select(F.col("value").alias(a), (F.col("share") / F.col("all")).alias("goal")), "mix-goal")
-    cur = stored(cur, "mix-start")
+        whole = here.agg(F.sum("share")).first()[0]
+        goal = here.select(F.col("value").alias(a), (F.col("share") / F.lit(whole).cast("double")).alias(goals[a]))
+        cur = cur.join(F.broadcast(goal) if few else goal, a, "left")
+    cur = placed(stored(cur, "mix-start"))
     for _ in range(max_sweeps):
         new = cur.withColumn("before", F.col("fitted"))
         for a, goal in goals.items():
-            factor = (new.groupBy(a).agg(F.sum("fitted").alias("have")).join(goal, a, "left")
-                      .select(a, F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("have"))
-                              .otherwise(0.0).alias("factor")))
-            new = new.join(factor, a).withColumn("fitted", F.when((F.col("fitted") > 0) & (F.col("factor") > 0), F.greatest(
-                F.col("fitted") * F.col("factor"), F.lit(LEAST))).otherwise(0.0)).drop("factor")
-        new = stored(new, "mix-sweep")
+            factor = F.when(F.col("have") > 0, F.coalesce(goal, F.lit(0.0)) / F.col("have")).otherwise(0.0)
+            new = _have(new, a, few).withColumn("fitted", F.when((F.col("fitted") > 0) & (factor > 0), F.greatest(
+                F.col("fitted") * factor, F.lit(LEAST))).otherwise(0.0)).drop("have")
+        new = placed(stored(new, "mix-sweep"))
         moved = new.agg(F.sum(F.abs(F.col("fitted") - F.col("before"))).alias("d")).first()["d"] or 0.0
         cur = new.drop("before")
         if moved < tolerance:
             break
-    return cur
+    return cur.drop(*goals.values())
 
 
 def sampling_rate(fitted: DataFrame, budget: float, steps: int = 64, tolerance: float = 1e-12) -> float:
@@ -147,8 +166,8 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget_sha
         key["source"]: F.coalesce(F.col("source").cast("string"), F.lit(MISSING)),
         key["lang"]: F.coalesce(F.col("lang").cast("string"), F.lit(MISSING)),
         key["topic"]: topic(F.col(text_col)), names["n_tokens"]: tokens(F.col(text_col))})
-    cells = stored(told.groupBy(*[F.col(c).alias(a) for a, c in key.items()])
-                   .agg(F.sum(names["n_tokens"]).alias("tokens")), "mix-cells")
+    cells = gathered(stored(told.groupBy(*[F.col(c).alias(a) for a, c in key.items()])
+                            .agg(F.sum(names["n_tokens"]).alias("tokens")), "mix-cells"))
     fitted = rake(cells, targets or tempered_targets(cells, power=power))
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     rate = sampling_rate(fitted, budget_share * total)

@@ -94,3 +94,39 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     assert same[0] == same[1]
     assert M.mix(df.limit(0)).count() == 0
     assert M.sample(df, budget_share=1.0).count() == 4
+
+
+def test_both_forms_of_the_sums_agree(spark, monkeypatch):
+    rows = [("s0", "l0", "t0", 5.0), ("s0", "l0", "t0", 5.0), ("s1", "l0", "t1", 7.0), ("s1", "l1", "t0", 1.0), ("s2", "l1", "t1", 4.0),
+            (None, "l0", "t0", 3.0), ("s0", None, "t1", 2.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    targets = {"source": [("s0", 0.5), ("s1", 0.5)], "lang": [("l0", 0.3), ("l1", 0.7), ("l9", 0.4)], "topic": [("t0", 0.5), ("t1", 0.5)]}
+    targets = {a: spark.createDataFrame(t, "value string, share double") for a, t in targets.items()}
+
+    def fitted():
+        out = M.rake(cells, targets, max_sweeps=6, tolerance=0.0)
+        assert sorted(out.columns) == ["fitted", "lang", "source", "tokens", "topic"]
+        return sorted((r["source"], r["lang"], r["topic"], r["tokens"], r["fitted"]) for r in out.collect())
+
+    few = fitted()
+    monkeypatch.setattr(M, "FEW_CELLS", 0)
+    many = fitted()
+    assert len(few) == 5 and [r[:4] for r in few] == [r[:4] for r in many]
+    assert [r[4] for r in few] == pytest.approx([r[4] for r in many], rel=1e-9)
+
+
+def test_sweeps_over_few_cells_take_two_jobs_each(spark):
+    rng = np.random.default_rng(3)
+    cells = cells_of(spark, rng.integers(1, 50, (3, 2, 2)).astype(float))
+    targets = {a: spark.createDataFrame([(f"{a[0]}{i}", float(x)) for i, x in enumerate(rng.dirichlet(np.ones(n)))], "value string, share double")
+               for a, n in zip(M.AXES, (3, 2, 2))}
+
+    def jobs(sweeps):
+        spark.sparkContext.setJobGroup(f"sweeps-{sweeps}", "")
+        try:
+            M.rake(cells, targets, max_sweeps=sweeps, tolerance=0.0)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"sweeps-{sweeps}"))
+
+    assert jobs(3) - jobs(1) <= 4
