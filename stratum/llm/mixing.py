@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import fresh, stored
+from stratum.llm.common import fresh, release, stored
 
 AXES = ("source", "lang", "topic")
 MISSING = "(none)"
@@ -70,7 +70,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = 50,
     step is one aggregation with map-side combine and a join on the axis value,
     on the table of cells and not of documents; up to FEW_CELLS cells lie in
     one partition and are summed there by windows.  Each sweep is written, so
-    a lost executor repeats one sweep.
+    a lost executor repeats one sweep, and the one before is deleted.
     Stops early when the sweep changed no cell's share of the total, which
     is where targets that no weights can meet together settle as well.
     """
@@ -86,14 +86,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = 50,
         whole = here.agg(F.sum("share")).first()[0]
         goal = here.select(F.col("value").alias(a), (F.col("share") / F.lit(whole).cast("double")).alias(goals[a]))
         cur = cur.join(F.broadcast(goal) if few else goal, a, "left")
-    cur = placed(stored(cur, "mix-start"))
+    kept = stored(cur, "mix-start")
+    cur = placed(kept)
     for _ in range(max_sweeps):
         new = cur.withColumn("before", F.col("fitted"))
         for a, goal in goals.items():
             factor = F.when(F.col("have") > 0, F.coalesce(goal, F.lit(0.0)) / F.col("have")).otherwise(0.0)
             new = _have(new, a, few).withColumn("fitted", F.when((F.col("fitted") > 0) & (factor > 0), F.greatest(
                 F.col("fitted") * factor, F.lit(LEAST))).otherwise(0.0)).drop("have")
-        new = placed(stored(new, "mix-sweep"))
+        last, kept = kept, stored(new, "mix-sweep")
+        new = placed(kept)
+        release(last)
         moved = new.agg(F.sum(F.abs(F.col("fitted") - F.col("before"))).alias("d")).first()["d"] or 0.0
         cur = new.drop("before")
         if moved < tolerance:
