@@ -19,6 +19,7 @@ SELF_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]           # around the se
 CLOUD_OFFS = [-30, -15, -8, -4, -2, 0, 2, 4, 8, 15, 30]          # around the weighted candidates
 
 W = 10.0        # search half-width on the template axis at this data scale
+REACH = 100.0   # search half-width of the window match: the operator's own
 
 
 def _eval(spark, sf):
@@ -168,7 +169,8 @@ def _eval_positions(spark, sf):
     return _eval(spark, sf).select("entity", "i", "tid", "prior", "sig_gap", (F.col("i") - F.col("nkn")).alias("e"))
 
 
-SSE_SQL = """
+def _sse_sql(w: float) -> str:
+    return f"""
 ev AS (SELECT entity, i, tid, prior, sig_gap, row_number() OVER (PARTITION BY entity ORDER BY i) - 1 AS e FROM seq WHERE NOT known),
 nb AS (SELECT *, last_value(CASE WHEN sig_gap IS NOT NULL THEN e END IGNORE NULLS) OVER (PARTITION BY entity ORDER BY e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pi,
   last_value(sig_gap IGNORE NULLS) OVER (PARTITION BY entity ORDER BY e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
@@ -183,7 +185,7 @@ tv AS (SELECT tid, x, y FROM tmpl WHERE x IS NOT NULL AND y IS NOT NULL),
 tk AS (SELECT tid FROM tv GROUP BY tid HAVING count(*) >= 11),
 sg AS (SELECT w.entity, w.i, w.loc, len(w.loc) AS L, w.off, t.x, t.y,
               row_number() OVER (PARTITION BY w.entity, w.i ORDER BY t.x) - 1 AS s, count(*) OVER (PARTITION BY w.entity, w.i) AS m
-       FROM wn AS w JOIN tv AS t ON t.tid = w.tid AND t.x >= w.prior - 10.0 AND t.x < w.prior + 10.0
+       FROM wn AS w JOIN tv AS t ON t.tid = w.tid AND t.x >= w.prior - {w} AND t.x < w.prior + {w}
        WHERE w.nn = w.cnt AND len(w.loc) >= 3 AND w.tid IN (SELECT tid FROM tk)),
 st AS (SELECT a.entity, a.i, a.s AS st, a.L, a.off,
               sum((b.y - a.loc[b.s - a.s + 1]) * (b.y - a.loc[b.s - a.s + 1])) AS sse
@@ -193,26 +195,26 @@ bs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, i ORDER
 mt AS (SELECT bs.entity, bs.i, sg.x AS match_x, bs.sse / bs.L AS err FROM bs JOIN sg ON sg.entity = bs.entity AND sg.i = bs.i AND sg.s = bs.st + bs.off)"""
 
 
-def _sse(spark, sf):
+def _sse(spark, sf, search: float):
     ev = _eval_positions(spark, sf)
     return MT.subseq_match_sse(ev, views.tmpl(spark, sf), "entity", "e", "tid", "prior", "sig_gap",
-                               half=5, search=W, sse_digits=5)
+                               half=5, search=search, sse_digits=5)
 
 
 @register("subseq_match_sse", stored=True, dbl=["match_x", "err"], sql=f"""
-WITH {SSE_SQL} SELECT ev.entity, ev.i, mt.match_x, mt.err FROM ev LEFT JOIN mt ON ev.entity = mt.entity AND ev.i = mt.i""")
+WITH {_sse_sql(REACH)} SELECT ev.entity, ev.i, mt.match_x, mt.err FROM ev LEFT JOIN mt ON ev.entity = mt.entity AND ev.i = mt.i""")
 def q_subseq_match_sse(spark, sf):
     # every eval row; match_x / err are null where no window could be matched
-    return _sse(spark, sf).select("entity", "i", "match_x", "err")
+    return _sse(spark, sf, REACH).select("entity", "i", "match_x", "err")
 
 
 @register("median_gate", stored=True, dbl=["pred"], sql=f"""
-WITH {SSE_SQL},
+WITH {_sse_sql(W)},
 md AS (SELECT entity, median(err) AS med FROM mt GROUP BY entity)
 SELECT ev.entity, ev.i, CASE WHEN mt.err IS NOT NULL AND mt.err <= md.med * 1.5 THEN mt.match_x ELSE ev.prior END AS pred
 FROM ev LEFT JOIN mt ON ev.entity = mt.entity AND ev.i = mt.i LEFT JOIN md ON ev.entity = md.entity""")
 def q_median_gate(spark, sf):
-    return MT.median_gate(_sse(spark, sf), "entity", "err", "match_x", "prior", "pred").select("entity", "i", "pred")
+    return MT.median_gate(_sse(spark, sf, W), "entity", "err", "match_x", "prior", "pred").select("entity", "i", "pred")
 
 
 HALF_WIDTHS = (8, 15, 25)      # fixed values: the three scales of the search

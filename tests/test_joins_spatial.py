@@ -161,3 +161,44 @@ def test_subseq_match_sse_numpy(spark):
         cost, start = min(options)
         assert abs(got.loc[row, "match_x"] - tx[start + near.index(row)]) < 1e-9
         assert abs(got.loc[row, "err"] - cost / len(near)) < 1e-9
+
+
+def test_subseq_match_sse_searches_100_on_either_side(spark, tmp_path):
+    """The query finds a stretch 50 to 60 away from the priors, and not a better one beyond 100; DuckDB agrees."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    import __spark_entry__ as E
+    from compare import same_result
+    n, known = 40, 28
+    value = [20.0 + (i * i * 3) % 17 for i in range(n)]
+    kind = ["error" if i == known + 4 else "view" for i in range(n)]
+    events = {"event_id": range(n), "ts": pa.array([i * 3_600_000_000 for i in range(n)], pa.timestamp("us")), "user_id": [0] * n,
+              "event_type": kind, "value": value, "props": ['{"k": 1}'] * n}
+    size = [1 + j * 7 % 5 for j in range(180)]
+    for e, v in enumerate(value[known:]):
+        size[60 + e] = int(v) + e % 2      # within reach of each row, with a small error
+        size[150 + e] = int(v)             # beyond it, without
+    part = {"p_partkey": range(180), "p_brand": ["Brand#1"] * 180, "p_retailprice": [900.0 + j for j in range(180)],
+            "p_size": pa.array(size, pa.int32()), "p_type": ["t"] * 180}
+    con = duckdb.connect()
+    for name, columns in (("events", events), ("part", part)):
+        pq.write_table(pa.table({c: v if isinstance(v, pa.Array) else pa.array(v) for c, v in columns.items()}), f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet')")
+    found = E.queries()["subseq_match_sse"](spark, str(tmp_path)).toArrow()
+    same_result(found, con.sql(E.oracle_sql()["subseq_match_sse"]).to_arrow_table())
+    got = {r["i"] - known: r for r in found.to_pylist()}
+    signal = value[known:]
+    signal[4] = (signal[3] + signal[5]) / 2
+    assert len(got) == len(signal)
+    for e in range(len(signal)):
+        prior = 900 + value[known + e] / 5
+        near = [j for j in range(len(signal)) if abs(j - e) <= 5]
+        options = []
+        for start in range(len(size) - len(near) + 1):
+            if prior - 100 <= 900 + start and 900 + start + len(near) - 1 < prior + 100:
+                options.append((sum((size[start + k] - signal[j]) ** 2 for k, j in enumerate(near)), start))
+        cost, start = min(options)
+        assert got[e]["match_x"] == 900 + start + near.index(e) == 960 + e
+        assert got[e]["err"] == pytest.approx(cost / len(near), abs=1e-6)
