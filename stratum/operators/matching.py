@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.scalar import let, znorm_fixed
-from stratum.operators.curves import POINTS, bracket, Curves, curve_pieces, deal_out, groups_of, interpolated, locate, small_curves, with_row_id
+from stratum.operators.curves import bracket, Curves, curve_pieces, deal_out, groups_of, interpolated, locate, small_curves, with_row_id
 from stratum.operators.quantiles import grouped_medians
 from stratum.operators.sequence import DEFAULT_BLOCK, gap_interpolate, halo_blocks, own_rows
 from stratum.session import cut_lineage
@@ -122,11 +122,16 @@ def _differences(batches: Iterator[pa.RecordBatch], curves: Curves, row_id: list
         yield pa.RecordBatch.from_arrays([*b.select(row_id).columns, *out], names=[*row_id, *names])
 
 
-def _ranged(df: DataFrame, pieces: DataFrame, key: str, lo: Column, hi: Column, hi_strict: bool) -> DataFrame:
-    """Rows once per piece that may hold points from ``lo`` up to ``hi``, with the piece's columns."""
+def _reached(df: DataFrame, pieces: DataFrame, key: str, lo: Column, hi: Column, hi_strict: bool) -> DataFrame:
+    """Rows once per piece that may hold points from ``lo`` up to ``hi``, with the piece's number ``_p``."""
     d = locate(df, pieces, key, [lo, hi], [True, hi_strict])
     span = F.when(F.col("_ps")[0].isNotNull() & F.col("_ps")[1].isNotNull(), F.sequence(F.col("_ps")[0], F.greatest(F.col("_ps")[0], F.col("_ps")[1])))
-    return d.withColumn("_p", F.explode(span)).drop("_ps").join(pieces, [key, "_p"])
+    return d.withColumn("_p", F.explode(span)).drop("_ps")
+
+
+def _ranged(df: DataFrame, pieces: DataFrame, key: str, lo: Column, hi: Column, hi_strict: bool) -> DataFrame:
+    """``_reached`` rows with the columns of the piece."""
+    return _reached(df, pieces, key, lo, hi, hi_strict).join(pieces, [key, "_p"])
 
 
 def _long_enough(ref: DataFrame, key: str, least: int) -> DataFrame:
@@ -173,7 +178,8 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     (first on ties) gives x at start + the row's offset in its window, and
     err = SSE / L.  Rows with fewer than L candidate points are not matched.
     Returns ev columns plus match_x and err (null when unmatched).  Curves that
-    are measured as small are broadcast, and the search moves no row.
+    are measured as small are broadcast, and the search moves no row; larger
+    ones are cut into pieces, and a row goes to each piece in its reach.
     """
     min_ref = min_ref if min_ref is not None else 2 * half + 1
     filled = gap_interpolate(ev, entity, pos, sig, "_g", None, block)
@@ -185,95 +191,143 @@ def subseq_match_sse(ev: DataFrame, ref: DataFrame, entity: str, pos: str, key:
     win = own_rows(h).withColumn("_off", F.least(F.col(pos), F.lit(half)).cast("int")).drop("_g")
     whole_window = (F.size("_loc") >= 3) & (F.col("_nn") == F.col("_cnt"))
     w = F.lit(float(search))
+    slack = 0.0 if sse_digits is None else 10.0 ** -sse_digits
+
+    def rated(v: Column) -> Column:
+        return F.struct((F.round(v["sse"], sse_digits) if sse_digits is not None else v["sse"]).alias("key"), v["s"], v["sse"], v["x"])
     curves, ref = small_curves(ref.select(key, "x", "y").dropna(), key, "x", "y")
     if curves is not None:
         asked = win.select(*ev.columns, F.col(key).alias("_k"), F.when(whole_window, F.col("_loc")).alias("_w"), "_off",
                            (F.col(prior) - w).cast("double").alias("_lo"), (F.col(prior) + w).cast("double").alias("_hi"))
-        slack = 0.0 if sse_digits is None else 10.0 ** -sse_digits
         schema = T.StructType([*ev.schema.fields, T.StructField("_near", T.ArrayType(MATCH)), T.StructField("_len", T.IntegerType())])
         columns = ev.columns
         near = deal_out(asked).mapInArrow(lambda it: _near_matches(it, curves.value, columns, min_ref, slack), schema)
-        best = F.array_min(F.transform("_near", lambda v: F.struct(
-            (F.round(v["sse"], sse_digits) if sse_digits is not None else v["sse"]).alias("key"), v["s"], v["sse"], v["x"])))
-        found = near.select(*ev.columns, best.alias("_b"), "_len")
+        found = near.select(*ev.columns, F.array_min(F.transform("_near", rated)).alias("_b"), "_len")
         return found.select(*ev.columns, F.col("_b.x").alias("match_x"), (F.col("_b.sse") / F.col("_len")).alias("err"))
     win = with_row_id(win, spread=True)
-    ok = win.filter(whole_window)
-    ok = ok.select("_id", key, "_loc", "_off", F.size("_loc").alias("_L"), (F.col(prior) - w).alias("_lo"), (F.col(prior) + w).alias("_hi"))
-    points = max(POINTS, 2 * half)
-    pieces = curve_pieces(_long_enough(ref, key, min_ref), key, "x", "y", points, tail=2 * half)
-    met = _ranged(ok, pieces, key, F.col("_lo"), F.col("_hi"), True)
-
-    # a window that starts on this piece runs on into its tail; bound as a lambda variable, so it is built once a row
-    def best_of(ext):
-        def sse_at(s):
-            return F.aggregate(F.zip_with(F.slice(ext, s + 1, F.col("_L")), F.col("_loc"), lambda a, b: F.pow(a["y"] - b, 2)),
-                               F.lit(0.0), lambda a, b: a + b)
-
-        def whole(s):
-            return (F.get(ext, s)["x"] >= F.col("_lo")) & (F.get(ext, s + F.col("_L") - 1)["x"] < F.col("_hi"))
-
-        starts = F.filter(F.sequence(F.lit(0), F.size("_pts") - 1), lambda s: F.coalesce(whole(s), F.lit(False)))
-        scored = F.transform(starts, lambda s: let(sse_at(s), lambda v: F.struct(
-            (F.round(v, sse_digits) if sse_digits is not None else v).alias("key"), (F.col("_p") * points + s).alias("s"), v.alias("sse"),
-            F.get(ext, s + F.col("_off"))["x"].alias("x"))))
-        return F.array_min(scored)
-
-    best = met.select("_id", let(F.concat("_pts", "_after"), best_of).alias("_b")).filter("_b IS NOT NULL")
-    best = best.groupBy("_id").agg(F.min("_b").alias("_b"))
+    ok = win.filter(whole_window).select("_id", key, F.col("_loc").alias("_w"), "_off", (F.col(prior) - w).cast("double").alias("_lo"),
+                                         (F.col(prior) + w).cast("double").alias("_hi"))
+    points = max(SSE_POINTS, 2 * half)
+    near = _piece_matches(ok, curve_pieces(_long_enough(ref, key, min_ref), key, "x", "y", points, tail=2 * half), key, points, slack)
+    best = near.groupBy("_id").agg(F.min(rated(F.struct(*MATCH.names))).alias("_b"))
     j = win.join(best, "_id", "left").withColumn("match_x", F.col("_b.x")).withColumn("err", F.col("_b.sse") / F.size("_loc"))
     return j.drop("_id", "_loc", "_nn", "_cnt", "_off", "_b")
 
 
 MATCH = T.StructType().add("s", "long").add("sse", "double").add("x", "double")
 SSE_CELLS = 1 << 18        # (row, start) pairs that are scored at once
+SSE_POINTS = 1 << 12       # points of a piece of a large curve
+SSE_ROWS = 1 << 16         # rows that meet a piece in one task, about
+
+
+class _Windows:
+    """The columns of a batch as arrays: each row's window (``size`` values from ``begin``), its place in it, and its reach."""
+
+    def __init__(self, b: pa.RecordBatch):
+        w = b.column("_w")
+        self.size = w.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.values, self.begin = w.flatten().to_numpy(zero_copy_only=False), np.cumsum(self.size) - self.size
+        self.lo, self.hi = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_lo", "_hi"))
+        self.off = b.column("_off").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.asked = (self.size > 0) & ~np.isnan(self.lo) & ~np.isnan(self.hi)
+
+
+def _near_starts(xs: np.ndarray, ys: np.ndarray, own: int, w: _Windows, members: np.ndarray, slack: float) -> Iterator[tuple]:
+    """(rows, starts, squared errors, x) of the starts before ``own`` within ``slack`` of the row's least error (of equal ones the first)."""
+    members = members[w.asked[members]]
+    for length in np.unique(w.size[members]).tolist():
+        rows = members[w.size[members] == length]
+        first = np.searchsorted(xs, w.lo[rows], "left")
+        n = np.minimum(np.searchsorted(xs, w.hi[rows], "left") - length + 1, own) - first
+        order = np.argsort(n, kind="stable")
+        order = order[n[order] > 0]
+        while len(order):                      # most starts first: what is left needs no more than these
+            take = max(1, SSE_CELLS // int(n[order[-1]]))
+            some, order = order[-take:], order[:-take]
+            at = first[some][:, None] + np.arange(n[some].max())
+            there = np.arange(at.shape[1]) < n[some][:, None]
+            at = np.where(there, at, first[some][:, None])
+            sse = np.zeros(at.shape)
+            for j in range(length):
+                sse += np.square(ys[at + j] - w.values[w.begin[rows[some]] + j][:, None])
+            sse[np.isnan(sse)] = np.inf        # NaN counts as largest
+            sse[~there] = np.inf
+            r, c = np.nonzero((sse <= sse.min(axis=1)[:, None] + slack) & there)
+            keep = np.lexsort((c, sse[r, c], r))
+            r, c = r[keep], c[keep]
+            e = sse[r, c]
+            new = np.concatenate([[True], (r[1:] != r[:-1]) | (e[1:] != e[:-1])])
+            r, c, e = r[new], c[new], e[new]
+            s, row = at[r, c], rows[some][r]
+            yield row, s, e, xs[s + w.off[row]]
+
+
+def _joined(parts: list[tuple]) -> tuple:
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    return tuple(np.concatenate(z) for z in zip(none, *parts))
 
 
 def _near_matches(batches: Iterator[pa.RecordBatch], curves: Curves, columns: list[str], min_ref: int, slack: float) -> Iterator[pa.RecordBatch]:
-    """``columns``, the starts whose squared error is within ``slack`` of the row's least one (of equal errors the first), and the window's length."""
+    """``columns``, the starts that ``_near_starts`` finds, and the window's length."""
     for b in batches:
-        w = b.column("_w")
-        size = w.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        values, begin = w.flatten().to_numpy(zero_copy_only=False), np.cumsum(size) - size
-        lo, hi = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_lo", "_hi"))
-        off = b.column("_off").to_numpy(zero_copy_only=False).astype(np.int64)
-        asked = (size > 0) & ~np.isnan(lo) & ~np.isnan(hi)
+        w = _Windows(b)
         parts: list[tuple] = []
         for k, members in groups_of(b.column("_k")):
             xs, ys = curves.get(k, (None, None))
-            if xs is None or len(xs) < min_ref:
-                continue
-            for length in np.unique(size[members[asked[members]]]).tolist():
-                rows = members[asked[members] & (size[members] == length)]
-                first = np.searchsorted(xs, lo[rows], "left")
-                n = np.searchsorted(xs, hi[rows], "left") - length - first + 1
-                order = np.argsort(n, kind="stable")
-                order = order[n[order] > 0]
-                while len(order):                      # most starts first: what is left needs no more than these
-                    take = max(1, SSE_CELLS // int(n[order[-1]]))
-                    some, order = order[-take:], order[:-take]
-                    at = first[some][:, None] + np.arange(n[some].max())
-                    there = np.arange(at.shape[1]) < n[some][:, None]
-                    at = np.where(there, at, first[some][:, None])
-                    sse = np.zeros(at.shape)
-                    for j in range(length):
-                        sse += np.square(ys[at + j] - values[begin[rows[some]] + j][:, None])
-                    sse[np.isnan(sse)] = np.inf        # NaN counts as largest
-                    sse[~there] = np.inf
-                    r, c = np.nonzero((sse <= sse.min(axis=1)[:, None] + slack) & there)
-                    keep = np.lexsort((c, sse[r, c], r))
-                    r, c = r[keep], c[keep]
-                    e = sse[r, c]
-                    new = np.concatenate([[True], (r[1:] != r[:-1]) | (e[1:] != e[:-1])])
-                    r, c, e = r[new], c[new], e[new]
-                    s, row = at[r, c], rows[some][r]
-                    parts.append((row, s, e, xs[s + off[row]]))
-        row, s, e, x = (np.concatenate(z) for z in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+            if xs is not None and len(xs) >= min_ref:
+                parts.extend(_near_starts(xs, ys, len(xs), w, members, slack))
+        row, s, e, x = _joined(parts)
         order = np.argsort(row, kind="stable")
         ends = np.cumsum([0, *np.bincount(row, minlength=b.num_rows)])
         found = pa.StructArray.from_arrays([pa.array(s[order], pa.int64()), pa.array(e[order]), pa.array(x[order])], names=["s", "sse", "x"])
         yield pa.RecordBatch.from_arrays([*b.select(columns).columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
-                                          pa.array(size, pa.int32())], names=[*columns, "_near", "_len"])
+                                          pa.array(w.size, pa.int32())], names=[*columns, "_near", "_len"])
+
+
+def _piece_matches(asked: DataFrame, pieces: DataFrame, key: str, points: int, slack: float) -> DataFrame:
+    """``_id`` and ``MATCH`` columns: of each piece in a row's reach the starts that ``_near_starts`` finds; stored.
+
+    The points of a piece and its rows stream through one task, the points
+    first, so none of them is copied per row; a piece that many rows reach goes to several tasks.
+    """
+    pieces = with_row_id(pieces).withColumnRenamed("_id", "_piece")
+    met = _reached(asked, pieces, key, F.col("_lo"), F.col("_hi"), True).join(pieces.select(key, "_p", "_piece"), [key, "_p"])
+    met = met.select("_piece", "_id", "_w", "_off", "_lo", "_hi")
+    tasks = met.groupBy("_piece").agg(F.ceil(F.count(F.lit(1)) / SSE_ROWS).alias("_tasks"))
+    rows = met.join(tasks, "_piece").withColumn("_task", F.pmod(F.xxhash64("_id"), "_tasks")).drop("_tasks")
+    pts = pieces.join(tasks, "_piece").withColumn("_task", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tasks") - 1)))
+    pts = pts.select("_piece", "_task", (F.col("_p") * points).alias("_from"), F.size("_pts").alias("_own"),
+                     F.posexplode(F.concat("_pts", "_after")).alias("_at", "_pt"))
+    both = pts.select("_piece", "_task", "_from", "_own", "_at", "_pt.x", "_pt.y").unionByName(rows, allowMissingColumns=True)
+    # an explicit count: adaptive execution would pack the scoring by its few bytes into few tasks
+    both = both.repartition(_cpu_partitions(both), "_piece", "_task").sortWithinPartitions("_piece", "_task", F.col("_at").asc_nulls_last())
+    return cut_lineage(both.mapInArrow(lambda it: _streamed_matches(it, slack), T.StructType([T.StructField("_id", T.LongType()), *MATCH.fields])))
+
+
+def _streamed_matches(batches: Iterator[pa.RecordBatch], slack: float) -> Iterator[pa.RecordBatch]:
+    """For rows that follow the points of their piece, those with ``_at``."""
+    xs, ys, own, start = np.zeros(0), np.zeros(0), 0, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        w = _Windows(b)
+        point = b.column("_at").is_valid().to_numpy(zero_copy_only=False)
+        opens = b.column("_at").fill_null(-1).to_numpy(zero_copy_only=False) == 0
+        x, y = (b.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+        cuts = np.flatnonzero(opens | np.concatenate([[True], point[1:] != point[:-1]]))
+        parts: list[tuple] = []
+        for lo, hi in zip(cuts, [*cuts[1:], b.num_rows]):
+            if not point[lo]:
+                parts.extend((row, s + start, e, at) for row, s, e, at in _near_starts(xs, ys, own, w, np.arange(lo, hi), slack))
+            elif opens[lo]:
+                xs, ys, own, start = x[lo:hi], y[lo:hi], b.column("_own")[lo].as_py(), b.column("_from")[lo].as_py()
+            else:                                  # a piece that began in the batch before
+                xs, ys = np.concatenate([xs, x[lo:hi]]), np.concatenate([ys, y[lo:hi]])
+        row, s, e, at = _joined(parts)
+        unknown = np.bincount(np.repeat(np.arange(b.num_rows), w.size)[np.isnan(w.values)], minlength=b.num_rows) > 0
+        e[unknown[row]] = np.nan
+        yield pa.RecordBatch.from_arrays([b.column("_id").take(pa.array(row)), pa.array(s, pa.int64()), pa.array(e), pa.array(at)],
+                                         names=["_id", *MATCH.names])
 
 
 def median_gate(df: DataFrame, entity: str, err: str, cand: str, prior: str, out: str, slack: float = 1.5) -> DataFrame:

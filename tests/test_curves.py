@@ -118,3 +118,26 @@ def test_window_match_by_broadcast_and_by_pieces(spark, monkeypatch):
     ev = spark.createDataFrame(rows, "entity long, e long, k string, prior double, s double")
     a, b = _both_ways(monkeypatch, lambda: MT.subseq_match_sse(ev, ref, "entity", "e", "k", "prior", "s", half=3, search=4.0, sse_digits=5))
     assert a == b and len(a) == len(rows) and any("match_x=None" not in r for r in a)
+
+
+def test_window_match_on_many_pieces(spark, monkeypatch):
+    """Pieces smaller than a row's reach, dealt to several tasks and cut by Arrow batches, find what whole curves find."""
+    rng = np.random.default_rng(3)
+    ref = spark.createDataFrame([(f"k{i % 3}", float(x), float(y)) for i, (x, y) in enumerate(zip(rng.integers(0, 400, 600) / 4, rng.integers(0, 6, 600)))]
+                                + [("few", 1.0, 1.0)], "k string, x double, y double")
+    rows = [(e, i, "few" if e == 4 else None if e == 5 else f"k{e % 3}", None if i == 7 else float("nan") if i == 8 else i * 4.0 - 20,
+             float("nan") if (e, i) == (1, 20) else None if i % 9 == 4 else float(rng.integers(0, 12)) / 2) for e in range(6) for i in range(40)]
+    ev = spark.createDataFrame(rows, "entity long, e long, k string, prior double, s double")
+    monkeypatch.setattr(MT, "SSE_POINTS", 16)
+    monkeypatch.setattr(MT, "SSE_ROWS", 10)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "7")
+    try:
+        a, b = _both_ways(monkeypatch, lambda: MT.subseq_match_sse(ev.filter("NOT (entity = 1 AND e BETWEEN 17 AND 23)"), ref, "entity", "e", "k", "prior", "s",
+                                                                   half=3, search=30.0, sse_digits=5))
+        _, c = _both_ways(monkeypatch, lambda: MT.subseq_match_sse(ev, ref, "entity", "e", "k", "prior", "s", half=3, search=30.0, sse_digits=5))
+    finally:
+        spark.conf.set(batch, before)
+    assert a == b and sum("match_x=None" not in r for r in a) > 100
+    assert len(c) == len(rows) and sum("err=nan" in r for r in c) == 7      # a NaN signal: windows that hold it have no error
